@@ -46,7 +46,7 @@ def train_buckets(
     return cuts.dropna(subset=list(axes)).select(*keys, *[intervals(F.col(a)).alias(a) for a in axes])
 
 
-def bucket_grid(segments: DataFrame, keys: Sequence[str], axes: Sequence[str]) -> DataFrame:
+def bucket_grid(segments: DataFrame, axes: Sequence[str]) -> DataFrame:
     """Every combination of intervals per segment: 12 rows for one axis, 144 for two, 1,728 for three."""
     grid = segments
     for axis in axes:
@@ -88,6 +88,10 @@ def segments_from_grid(grid: DataFrame, keys: Sequence[str], axes: Sequence[str]
     )
 
 
+def _scaled_lows(cells: Column, factor: float) -> Column:
+    return F.transform(cells, lambda cell: cell["low"] * F.lit(float(factor)))
+
+
 def _interval_index(value: Column, lows: Column, first: int, last: int) -> Column:
     """Position of the last interval among first..last whose low edge is at or below value.
 
@@ -122,8 +126,7 @@ def assign_bucket(
         *[F.col(k).alias(f"_key_{k}") for k in keys],
         *[F.col(a).alias(f"_cells_{a}") for a in axes],
         *[
-            F.transform(F.col(a), lambda s, factor=factor: s["low"] * F.lit(float(factor))).alias(f"_lows_{a}")
-            for a, (_, factor) in axes.items()
+            _scaled_lows(F.col(a), factor).alias(f"_lows_{a}") for a, (_, factor) in axes.items()
         ],
     )
     probe = facts.select(

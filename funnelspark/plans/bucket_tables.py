@@ -62,16 +62,14 @@ def train_segments_v2(impressions: DataFrame, start: str, end: str, method: str
     )
 
 
-def _grid(segments: DataFrame, keys: tuple[str, ...], axes: tuple[str, ...]) -> DataFrame:
-    return bucket_grid(segments, keys, axes)
-
-
 def prediction_bucket_v1(impressions: DataFrame, start: str, end: str, method: str = "sketch", **options) -> DataFrame:
     """The three-axis grid table; store it with `write_once`."""
     segments = train_segments_v1(impressions, start, end, method, **options)
-    return _grid(segments.select("platform", "model_type", "exchange_group", "ad_format_group", *AXES_V1), KEYS_V1, AXES_V1)
+    return bucket_grid(
+        segments.select("platform", "model_type", "exchange_group", "ad_format_group", *AXES_V1), AXES_V1
+    )
 
 
 def prediction_bucket_v2(impressions: DataFrame, start: str, end: str, method: str = "sketch", **options) -> DataFrame:
     """The two-axis grid table; store it with `write_once`."""
-    return _grid(train_segments_v2(impressions, start, end, method, **options), KEYS_V2, AXES_V2)
+    return bucket_grid(train_segments_v2(impressions, start, end, method, **options), AXES_V2)
