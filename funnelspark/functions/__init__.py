@@ -1,3 +1,11 @@
+"""Expressions, as Spark SQL text.
+
+Every function takes SQL expressions and returns one; use the result in `selectExpr`, `where`
+or `F.expr`, or inside another. A funnel projection has well over a thousand operators. As text
+it reaches the JVM in one call; as a chain of Column calls it costs several calls per operator,
+which is seconds of driver time per job.
+"""
+
 from funnelspark.functions.chains import (
     ATTRIBUTION,
     INSTALL,
@@ -30,9 +38,10 @@ from funnelspark.functions.recode import (
     model_type,
     name_or_na,
     tracker_type,
-    vio_enrolled,
     viewthrough_enabled,
+    vio_enrolled,
 )
+from funnelspark.functions.text import quoted, quoted_list
 from funnelspark.functions.times import (
     day_range,
     hour_ms,
@@ -44,4 +53,44 @@ from funnelspark.functions.times import (
     iso_text,
 )
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "ATTRIBUTION",
+    "COUNTRIES",
+    "EXCHANGES",
+    "INSTALL",
+    "LATEST_FIRST",
+    "ORIGIN_FIRST",
+    "REENGAGEMENT",
+    "REVENUE_MODELS",
+    "ad_format",
+    "ad_format_group",
+    "cap",
+    "clamp_or_zero",
+    "country_group",
+    "day_range",
+    "exchange_group",
+    "finite_or_null",
+    "first_chain",
+    "first_country",
+    "hour_ms",
+    "hour_plus",
+    "hour_range",
+    "ieee_div",
+    "in_cohort",
+    "is_revenue_model",
+    "is_special",
+    "iso_day",
+    "iso_hour",
+    "iso_text",
+    "keep_or_other",
+    "micros",
+    "model_type",
+    "name_or_na",
+    "norm_likelihood",
+    "per_impression",
+    "quoted",
+    "quoted_list",
+    "tracker_type",
+    "viewthrough_enabled",
+    "vio_enrolled",
+]

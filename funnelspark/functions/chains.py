@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Column prefixes of the three chains.
 ATTRIBUTION = "attribution_event__click__"
 REENGAGEMENT = "reeng_click__"
@@ -24,10 +21,10 @@ COUNTRY_COLUMNS = {
 }
 
 
-def first_chain(field: str, order: Sequence[str]) -> Column:
+def first_chain(field: str, order: Sequence[str]) -> str:
     """First non-null value of a field over chain prefixes, in the given order."""
-    return F.coalesce(*[F.col(prefix + field) for prefix in order])
+    return f"coalesce({', '.join(prefix + field for prefix in order)})"
 
 
-def first_country(order: Sequence[str]) -> Column:
-    return F.coalesce(*[F.col(COUNTRY_COLUMNS[prefix]) for prefix in order])
+def first_country(order: Sequence[str]) -> str:
+    return f"coalesce({', '.join(COUNTRY_COLUMNS[prefix] for prefix in order)})"

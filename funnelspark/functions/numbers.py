@@ -2,55 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-NAN = float("nan")
-INF = float("inf")
-
-
-def ieee_div(numerator: Column, denominator: Column) -> Column:
+def ieee_div(numerator: str, denominator: str) -> str:
     """Floating division that yields ±Infinity or NaN at zero instead of raising.
 
     A null on either side stays null. Zero divisors are taken as positive zero.
     """
-    n, d = numerator.cast("double"), denominator.cast("double")
+    n, d = f"cast({numerator} as double)", f"cast({denominator} as double)"
     at_zero = (
-        F.when((n == 0) | F.isnan(n), F.lit(NAN)).when(n > 0, F.lit(INF)).when(n < 0, F.lit(-INF))
+        f"case when {n} = 0 or isnan({n}) then double('NaN')"
+        f" when {n} > 0 then double('Infinity') when {n} < 0 then double('-Infinity') end"
     )
-    return F.when(d == 0, at_zero).otherwise(n / d)
+    return f"(case when {d} = 0 then {at_zero} else {n} / {d} end)"
 
 
-def cap(value: Column, ceiling: float) -> Column:
+def cap(value: str, ceiling: float) -> str:
     """The smaller of value and ceiling; null stays null (Spark's `least` would return the ceiling)."""
-    return F.when(value.isNotNull(), F.least(value, F.lit(float(ceiling))))
+    return f"(case when {value} is not null then least({value}, double('{float(ceiling)!r}')) end)"
 
 
-def micros(value: Column) -> Column:
+def micros(value: str) -> str:
     """Millionths to units."""
-    return value.cast("double") / F.lit(1e6)
+    return f"(cast({value} as double) / 1e6D)"
 
 
-def per_impression(cpm_micros: Column) -> Column:
+def per_impression(cpm_micros: str) -> str:
     """Price per thousand in millionths to price per impression in units."""
-    return cpm_micros.cast("double") / F.lit(1e9)
+    return f"(cast({cpm_micros} as double) / 1e9D)"
 
 
-def norm_likelihood(value: Column, in_micros: Column) -> Column:
+def norm_likelihood(value: str, in_micros: str) -> str:
     """Likelihood on one scale: revenue-type models store theirs in millionths."""
-    return F.when(in_micros, value / F.lit(1e6)).otherwise(value).cast("double")
+    return f"cast(case when {in_micros} then {value} / 1e6D else {value} end as double)"
 
 
-def is_special(value: Column) -> Column:
+def is_special(value: str) -> str:
     """NaN or ±Infinity; null for null."""
-    v = value.cast("double")
-    return F.when(v.isNotNull(), F.isnan(v) | (F.abs(v) == F.lit(INF)))
+    v = f"cast({value} as double)"
+    return f"(case when {value} is not null then isnan({v}) or abs({v}) = double('Infinity') end)"
 
 
-def finite_or_null(value: Column) -> Column:
-    return F.when(~is_special(value), value)
+def finite_or_null(value: str) -> str:
+    return f"(case when not {is_special(value)} then {value} end)"
 
 
-def clamp_or_zero(value: Column, low: float, high: float) -> Column:
+def clamp_or_zero(value: str, low: int, high: int) -> str:
     """The value when strictly between the limits, else (also for null) zero."""
-    return F.when((value > F.lit(low)) & (value < F.lit(high)), value).otherwise(F.lit(0))
+    return f"(case when {value} > {low} and {value} < {high} then {value} else 0 end)"

@@ -1,62 +1,59 @@
 """Epoch-millisecond and hour-string expressions.
 
-Everything is plain UTC arithmetic on longs and strings, so results do not depend
-on the session time zone, and comparisons on raw columns reach the file scan.
+Everything is plain UTC arithmetic on longs and strings, so results do not depend on the
+session time zone, and comparisons on raw columns reach the file scan.
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from funnelspark.functions.text import quoted
 
-SECOND_MS = 1_000
 HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
 
 
-def _floor_to(ms: Column, unit_ms: int) -> Column:
-    seconds = ms - ms % F.lit(SECOND_MS)  # whole seconds, cut toward zero
-    return seconds - F.pmod(seconds, F.lit(unit_ms))
+def _floor_to(ms: str, unit_ms: int) -> str:
+    seconds = f"({ms} - {ms} % 1000)"  # whole seconds, cut toward zero
+    return f"({seconds} - pmod({seconds}, {unit_ms}))"
 
 
-def hour_ms(ms: Column) -> Column:
+def hour_ms(ms: str) -> str:
     """Start of the hour, as epoch milliseconds. Group by this; format after aggregating."""
     return _floor_to(ms, HOUR_MS)
 
 
-def iso_text(ms: Column) -> Column:
+def iso_text(ms: str) -> str:
     """`yyyy-MM-ddTHH:mm:ssZ` for whole-second epoch milliseconds; null stays null."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    at = F.timestamp_add("SECOND", (ms / F.lit(SECOND_MS)).cast("bigint"), epoch)
-    return F.concat(F.translate(at.cast("string"), " ", "T"), F.lit("Z"))
+    at = f"timestampadd(SECOND, {ms} div 1000, timestamp_ntz'1970-01-01 00:00:00')"
+    return f"concat(translate(cast({at} as string), ' ', 'T'), 'Z')"
 
 
-def iso_hour(ms: Column) -> Column:
+def iso_hour(ms: str) -> str:
     return iso_text(hour_ms(ms))
 
 
-def iso_day(ms: Column) -> Column:
+def iso_day(ms: str) -> str:
     return iso_text(_floor_to(ms, DAY_MS))
 
 
 def hour_plus(hour: str, hours: int) -> str:
-    """Shift a `YYYY-MM-DDTHH` hour string."""
+    """Shift a `YYYY-MM-DDTHH` hour string (a value, not an expression)."""
     shifted = datetime.strptime(hour, "%Y-%m-%dT%H") + timedelta(hours=hours)
     return shifted.strftime("%Y-%m-%dT%H")
 
 
-def hour_range(dt: Column, low: str, high: str, closed: str = "left") -> Column:
-    """Lexicographic range on an hour-string partition column.
+def hour_range(dt: str, low: str, high: str, closed: str = "left") -> str:
+    """Lexicographic range on an hour-string partition column; the bounds are values.
 
     closed: "left" [low, high), "both" [low, high], "neither" (low, high), "right" (low, high].
     """
     if closed not in ("left", "right", "both", "neither"):
         raise ValueError(f"closed must be left, right, both or neither, not {closed!r}")
-    above = dt >= F.lit(low) if closed in ("left", "both") else dt > F.lit(low)
-    below = dt <= F.lit(high) if closed in ("right", "both") else dt < F.lit(high)
-    return above & below
+    above = ">=" if closed in ("left", "both") else ">"
+    below = "<=" if closed in ("right", "both") else "<"
+    return f"({dt} {above} {quoted(low)} and {dt} {below} {quoted(high)})"
 
 
 def _first_day_ms(bound: str, strictly_after: bool) -> int:
@@ -68,20 +65,20 @@ def _first_day_ms(bound: str, strictly_after: bool) -> int:
     return (day - date(1970, 1, 1)).days * DAY_MS
 
 
-def day_range(ms: Column, low: str, high: str, closed: str = "left") -> Column:
-    """Range on the event's own day, given as strings, tested on the raw epoch column.
+def day_range(ms: str, low: str, high: str, closed: str = "left") -> str:
+    """Range on the event's own day, with bounds given as strings, tested on the raw epoch column.
 
     Same rows as comparing `iso_day(ms)` with the bounds as text, since that text grows with
     the day; but a comparison on the stored column is pushed into the Parquet scan.
     """
     start = _first_day_ms(low, strictly_after=closed in ("right", "neither"))
     end = _first_day_ms(high, strictly_after=closed in ("right", "both"))
-    return (ms >= F.lit(start)) & (ms < F.lit(end))
+    return f"({ms} >= {start} and {ms} < {end})"
 
 
-def in_cohort(at_hour: Column, anchor_hour: Column, days: int) -> Column:
+def in_cohort(at_hour: str, anchor_hour: str, days: int) -> str:
     """True when less than `days` full days lie between anchor and event; null without an anchor.
 
     There is no lower limit: an event before its anchor counts.
     """
-    return at_hour - anchor_hour < F.lit(days * DAY_MS)
+    return f"({at_hour} - {anchor_hour} < {days * DAY_MS})"

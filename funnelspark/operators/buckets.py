@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from funnelspark.functions.text import quoted
 from funnelspark.operators.percentiles import exact_cuts, sketch_cuts
 
 # Names of the twelve intervals between the cut points.
@@ -16,34 +16,37 @@ LABELS = (
     "60-70", "70-80", "80-90", "90-95", "95-99", "99-100",
 )
 
-_INTERVALS = "array<struct<low:double,high:double,name:string>>"
+_NAMES = "array(" + ", ".join(quoted(name) for name in LABELS) + ")"
 
 
-def intervals(cuts: Column) -> Column:
+def intervals(cuts: str) -> str:
     """Half-open labelled intervals from zero through the cuts to an open end; null for null cuts."""
-    low = F.concat(F.array(F.lit(0.0)), cuts)
-    high = F.concat(cuts, F.array(F.lit(None).cast("double")))
-    names = F.array(*[F.lit(name) for name in LABELS])
-    return F.when(cuts.isNotNull(), F.arrays_zip(low, high, names).cast(_INTERVALS))
+    low = f"concat(array(0D), {cuts})"
+    high = f"concat({cuts}, array(cast(null as double)))"
+    return (
+        f"case when {cuts} is not null then cast(arrays_zip({low}, {high}, {_NAMES})"
+        " as array<struct<low:double,high:double,name:string>>) end"
+    )
 
 
 def train_buckets(
     df: DataFrame,
-    keys: Mapping[str, Column],
-    axes: Mapping[str, Column],
+    keys: Mapping[str, str],
+    axes: Mapping[str, str],
     method: str = "sketch",
     **options,
 ) -> DataFrame:
     """One row per segment with an interval array per axis, all axes from one pass over the rows.
 
-    Segments with a null key, or with no usable value on some axis, are left out. The sketch
-    method is randomised: store the result (`write_once`) rather than recompute it per use.
+    `keys` and `axes` map output names to expressions. Segments with a null key, or with no
+    usable value on some axis, are left out. The sketch method is randomised: store the result
+    (`write_once`) rather than recompute it per use.
     """
     cutter = {"sketch": sketch_cuts, "exact": exact_cuts}[method]
-    rows = df.select(*[c.alias(k) for k, c in keys.items()], *[c.alias(a) for a, c in axes.items()])
-    rows = rows.dropna(subset=list(keys))
-    cuts = cutter(rows, list(keys), {a: F.col(a) for a in axes}, **options)
-    return cuts.dropna(subset=list(axes)).select(*keys, *[intervals(F.col(a)).alias(a) for a in axes])
+    named = {**keys, **axes}
+    rows = df.selectExpr(*[f"{sql} as {name}" for name, sql in named.items()]).dropna(subset=list(keys))
+    cuts = cutter(rows, list(keys), {a: a for a in axes}, **options)
+    return cuts.dropna(subset=list(axes)).selectExpr(*keys, *[f"{intervals(a)} as {a}" for a in axes])
 
 
 def bucket_grid(segments: DataFrame, axes: Sequence[str]) -> DataFrame:
@@ -51,9 +54,8 @@ def bucket_grid(segments: DataFrame, axes: Sequence[str]) -> DataFrame:
     grid = segments
     for axis in axes:
         kept = [c for c in grid.columns if c != axis]
-        grid = grid.select(
-            *kept,
-            F.inline(axis).alias(f"{axis}_percentile_low", f"{axis}_percentile_high", f"{axis}_percentile"),
+        grid = grid.selectExpr(
+            *kept, f"inline({axis}) as ({axis}_percentile_low, {axis}_percentile_high, {axis}_percentile)"
         )
     return grid
 
@@ -63,133 +65,122 @@ def segments_from_grid(grid: DataFrame, keys: Sequence[str], axes: Sequence[str]
 
     A segment trained twice would have more than twelve intervals on an axis; that is an error.
     """
-    position = F.array(*[F.lit(name) for name in LABELS])
-    parts = {
-        axis: F.struct(
-            F.array_position(position, F.col(f"{axis}_percentile")).alias("position"),
-            F.col(f"{axis}_percentile_low").alias("low"),
-            F.col(f"{axis}_percentile_high").alias("high"),
-            F.col(f"{axis}_percentile").alias("name"),
+
+    def cells(axis: str) -> str:
+        # Tied edges leave the order of intervals to their names.
+        cell = (
+            f"named_struct('position', array_position({_NAMES}, {axis}_percentile), 'low', {axis}_percentile_low,"
+            f" 'high', {axis}_percentile_high, 'name', {axis}_percentile)"
         )
-        for axis in axes
-    }
-    sets = grid.groupBy(*keys).agg(*[F.array_sort(F.collect_set(p)).alias(a) for a, p in parts.items()])
-    return sets.select(
+        return f"array_sort(collect_set({cell}))"
+
+    sets = grid.groupBy(*keys).agg(*[F.expr(cells(a)).alias(a) for a in axes])
+    wrong = f"bucket table: not {len(LABELS)} intervals on axis "
+    return sets.selectExpr(
         *keys,
         *[
-            F.when(
-                F.size(a) == len(LABELS),
-                F.transform(a, lambda s: F.struct(s["low"].alias("low"), s["high"].alias("high"), s["name"].alias("name"))),
-            )
-            .otherwise(F.raise_error(F.lit(f"bucket table: not {len(LABELS)} intervals on axis {a}")))
-            .alias(a)
+            f"case when size({a}) = {len(LABELS)} then transform({a}, c -> struct(c.low, c.high, c.name))"
+            f" else raise_error({quoted(wrong + a)}) end as {a}"
             for a in axes
         ],
     )
 
 
-def _scaled_lows(cells: Column, factor: float) -> Column:
-    return F.transform(cells, lambda cell: cell["low"] * F.lit(float(factor)))
-
-
-def _interval_index(value: Column, lows: Column, first: int, last: int) -> Column:
+def _interval_index(value: str, lows: str, first: int, last: int) -> str:
     """Position of the last interval among first..last whose low edge is at or below value.
 
     Edges ascend from position 1 on, so halving finds it in four comparisons, all inside
     generated code (an array lambda would be interpreted per element).
     """
     if first == last:
-        return F.lit(first)
+        return str(first)
     middle = (first + last + 1) // 2
-    return F.when(
-        value >= lows[middle], _interval_index(value, lows, middle, last)
-    ).otherwise(_interval_index(value, lows, first, middle - 1))
+    upper = _interval_index(value, lows, middle, last)
+    lower = _interval_index(value, lows, first, middle - 1)
+    return f"case when {value} >= {lows}[{middle}] then {upper} else {lower} end"
 
 
 def assign_bucket(
     facts: DataFrame,
     segments: DataFrame,
-    keys: Mapping[str, Column],
-    axes: Mapping[str, tuple[Column, float]],
+    keys: Mapping[str, str],
+    axes: Mapping[str, tuple[str, float]],
 ) -> DataFrame:
     """Inner join of rows to their grid cell: adds low, high and name per axis.
 
-    `axes` maps an axis to the row's value and the factor its edges are scaled by before the
-    comparison (the factor goes on the edge, not the value: the two round differently). Rows
-    whose segment is not trained, or with a null, NaN or below-range value, are dropped.
+    `keys` maps a segment key to the row's expression for it. `axes` maps an axis to the row's
+    value and the factor its edges are scaled by before the comparison (the factor goes on the
+    edge, not the value: the two round differently). Rows whose segment is not trained, or with
+    a null, NaN or below-range value, are dropped.
 
-    The join key is the segment and the small side has one row per segment, not one per cell;
-    the cell is then looked up per axis. Beyond the broadcast threshold Spark sort-merges and
-    splits hot segments at run time.
+    The small side has one row per segment, not one per cell; the cell is then looked up per
+    axis. Beyond the broadcast threshold Spark sort-merges and splits hot segments at run time.
     """
-    small = segments.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        *[F.col(a).alias(f"_cells_{a}") for a in axes],
+    small = segments.selectExpr(
+        *[f"{k} as _key_{k}" for k in keys],
+        *[f"{a} as _cells_{a}" for a in axes],
         *[
-            _scaled_lows(F.col(a), factor).alias(f"_lows_{a}") for a, (_, factor) in axes.items()
+            f"transform({a}, cell -> cell.low * {float(factor)!r}D) as _lows_{a}"
+            for a, (_, factor) in axes.items()
         ],
     )
-    probe = facts.select(
+    probe = facts.selectExpr(
         "*",
-        *[c.alias(f"_probe_{k}") for k, c in keys.items()],
-        *[c.cast("double").alias(f"_value_{a}") for a, (c, _) in axes.items()],
-    )
-    comparable = reduce(
-        lambda x, y: x & y, [F.col(f"_value_{a}").isNotNull() & ~F.isnan(f"_value_{a}") for a in axes]
-    )
-    same_segment = reduce(
-        lambda x, y: x & y, [F.col(f"_probe_{k}") == F.col(f"_key_{k}") for k in keys]
-    )
-    joined = probe.where(comparable).join(small, same_segment)
-    placed = joined.select(
-        *facts.columns,
-        *[f"_value_{a}" for a in axes],
-        *[f"_lows_{a}" for a in axes],
-        *[f"_cells_{a}" for a in axes],
-        *[
-            _interval_index(F.col(f"_value_{a}"), F.col(f"_lows_{a}"), 0, len(LABELS) - 1).alias(f"_index_{a}")
-            for a in axes
-        ],
+        *[f"{sql} as _probe_{k}" for k, sql in keys.items()],
+        *[f"cast({sql} as double) as _value_{a}" for a, (sql, _) in axes.items()],
     )
-    in_range = reduce(
-        lambda x, y: x & y,
-        [F.col(f"_value_{a}") >= F.col(f"_lows_{a}")[F.col(f"_index_{a}")] for a in axes],
+    comparable = " and ".join(f"_value_{a} is not null and not isnan(_value_{a})" for a in axes)
+    same_segment = " and ".join(f"_probe_{k} = _key_{k}" for k in keys)
+    in_range = " and ".join(f"_value_{a} >= _lows_{a}[_index_{a}]" for a in axes)
+    located = (
+        probe.where(comparable)
+        .join(small, F.expr(same_segment))
+        .selectExpr(
+            "*",
+            *[f"{_interval_index(f'_value_{a}', f'_lows_{a}', 0, len(LABELS) - 1)} as _index_{a}" for a in axes],
+        )
+        .where(in_range)
     )
-    cell = {a: F.col(f"_cells_{a}")[F.col(f"_index_{a}")] for a in axes}
-    return placed.where(in_range).select(
-        *facts.columns,
+    return located.selectExpr(
+        *[f"`{c}`" for c in facts.columns],
         *[
-            c
+            f"_cells_{a}[_index_{a}].{field} as {a}_percentile{suffix}"
             for a in axes
-            for c in (
-                cell[a]["low"].alias(f"{a}_percentile_low"),
-                cell[a]["high"].alias(f"{a}_percentile_high"),
-                cell[a]["name"].alias(f"{a}_percentile"),
-            )
+            for field, suffix in (("low", "_low"), ("high", "_high"), ("name", ""))
         ],
     )
 
 
+def in_bucket(value: str, low: str, high: str) -> str:
+    """Half-open range with an open end when high is null; NaN is in no range."""
+    return f"({value} >= {low} and ({high} is null or {value} < {high}) and not isnan({value}))"
+
+
 def assign_bucket_by_grid(
     facts: DataFrame,
     grid: DataFrame,
-    keys: Mapping[str, Column],
-    axes: Mapping[str, tuple[Column, float]],
+    keys: Mapping[str, str],
+    axes: Mapping[str, tuple[str, float]],
 ) -> DataFrame:
     """The same result stated as a plain range join on grid rows.
 
     Tests every cell of the segment per row, so it is for comparison on small inputs and for
     bucket tables that `segments_from_grid` refuses.
     """
-    on = reduce(lambda x, y: x & y, [c == grid[k] for k, c in keys.items()])
-    for a, (value, factor) in axes.items():
-        low = grid[f"{a}_percentile_low"] * F.lit(float(factor))
-        high = grid[f"{a}_percentile_high"] * F.lit(float(factor))
-        on = on & in_bucket(value.cast("double"), low, high)
-    cells = [grid[f"{a}_percentile{end}"] for a in axes for end in ("_low", "_high", "")]
-    return facts.join(grid, on).select(*[facts[c] for c in facts.columns], *cells)
-
-
-def in_bucket(value: Column, low: Column, high: Column) -> Column:
-    """Half-open range with an open end when high is null; NaN is in no range."""
-    return (value >= low) & (high.isNull() | (value < high)) & ~F.isnan(value)
+    cells = [f"{a}_percentile{suffix}" for a in axes for suffix in ("_low", "_high", "")]
+    side = grid.selectExpr(*[f"{k} as _key_{k}" for k in keys], *cells)
+    probe = facts.selectExpr(
+        "*",
+        *[f"{sql} as _probe_{k}" for k, sql in keys.items()],
+        *[f"cast({sql} as double) as _value_{a}" for a, (sql, _) in axes.items()],
+    )
+    on = [f"_probe_{k} = _key_{k}" for k in keys]
+    on += [
+        in_bucket(
+            f"_value_{a}",
+            f"{a}_percentile_low * {float(factor)!r}D",
+            f"{a}_percentile_high * {float(factor)!r}D",
+        )
+        for a, (_, factor) in axes.items()
+    ]
+    return probe.join(side, F.expr(" and ".join(on))).select(*facts.columns, *cells)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 def primary_goal(goals: DataFrame, tiebreak: Sequence[str] = ("type", "target_value")) -> DataFrame:
     """Lowest-priority-number goal per campaign, pacing goals and goals without a priority aside."""
-    candidates = goals.where(F.col("priority").isNotNull() & (F.col("type") != "pacing-model"))
+    candidates = goals.where("priority is not null and type <> 'pacing-model'")
     order = [F.col(c).asc_nulls_last() for c in ("priority", *tiebreak)]
     return top1_per_key(candidates, ["campaign_id"], order).select(
         "campaign_id", "priority", "type", "target_value"
@@ -32,30 +31,34 @@ def primary_goal(goals: DataFrame, tiebreak: Sequence[str] = ("type", "target_va
 
 def campaign_targets(campaigns: DataFrame) -> DataFrame:
     """Target event, app and customer of each campaign, named for joining to facts."""
-    return campaigns.select(
-        F.col("id").alias("target_campaign_id"),
-        F.col("cpa_target_event_id"),
-        F.col("app_id").alias("target_app_id"),
-        F.col("customer_id").alias("target_customer_id"),
+    return campaigns.selectExpr(
+        "id as target_campaign_id",
+        "cpa_target_event_id",
+        "app_id as target_app_id",
+        "customer_id as target_customer_id",
     )
 
 
-def newest_snapshot(snapshots: DataFrame, lookback_days: int, as_of: Column | None) -> DataFrame:
+def newest_snapshot(snapshots: DataFrame, lookback_days: int, as_of: str) -> DataFrame:
+    """Rows of the newest daily snapshot within the look-back."""
     latest = latest_partition(snapshots, lookback_days, as_of)
     return snapshots.where(F.col("dt") == latest.scalar())
 
 
 def crm_campaign_v1(
-    crm_campaigns: DataFrame, campaigns: DataFrame, as_of: Column | None = None, lookback_days: int = 2
+    crm_campaigns: DataFrame,
+    campaigns: DataFrame,
+    as_of: str = "current_timestamp()",
+    lookback_days: int = 2,
 ) -> DataFrame:
     """Sales attributes per campaign from the newest CRM snapshot; duplicates are kept."""
     crm = newest_snapshot(crm_campaigns, lookback_days, as_of)
-    ids = campaigns.select(F.col("id").alias("campaign_id"), "salesforce_campaign_id")
-    return crm.join(ids, F.col("campaign_id_18_digit__c") == F.col("salesforce_campaign_id")).select(
+    ids = campaigns.selectExpr("id as campaign_id", "salesforce_campaign_id")
+    return crm.join(ids, F.expr("campaign_id_18_digit__c = salesforce_campaign_id")).selectExpr(
         "campaign_id",
-        F.col("sales_region__c").alias("sales_region"),
-        F.col("service_level__c").alias("service_level"),
-        F.col("sales_sub_region__c").alias("sales_sub_region"),
+        "sales_region__c as sales_region",
+        "service_level__c as service_level",
+        "sales_sub_region__c as sales_sub_region",
     )
 
 
@@ -63,7 +66,7 @@ def crm_campaign_v2(
     crm_campaigns: DataFrame,
     crm_opportunities: DataFrame,
     campaigns: DataFrame,
-    as_of: Column | None = None,
+    as_of: str = "current_timestamp()",
     lookback_days: int = 4,
 ) -> DataFrame:
     """Sales attributes and scale zone per enabled campaign, through its opportunity.
@@ -71,21 +74,21 @@ def crm_campaign_v2(
     Both snapshots are filtered to their newest day, so campaigns without a match on either
     side do not appear: the joins are inner.
     """
-    enabled = campaigns.where(F.col("state") == "enabled").select(
-        "customer_id", F.col("id").alias("campaign_id"), "salesforce_campaign_id"
+    enabled = campaigns.where("state = 'enabled'").selectExpr(
+        "customer_id", "id as campaign_id", "salesforce_campaign_id"
     )
     crm = newest_snapshot(crm_campaigns, lookback_days, as_of).drop("dt")
     opportunities = newest_snapshot(crm_opportunities, lookback_days, as_of).drop("dt")
     return (
-        enabled.join(crm, F.col("campaign_id_18_digit__c") == F.col("salesforce_campaign_id"))
-        .join(opportunities, F.col("opportunity_id_18_digit__c") == F.col("opportunity__c"))
-        .select(
+        enabled.join(crm, F.expr("campaign_id_18_digit__c = salesforce_campaign_id"))
+        .join(opportunities, F.expr("opportunity_id_18_digit__c = opportunity__c"))
+        .selectExpr(
             "customer_id",
             "campaign_id",
-            F.col("sales_region__c").alias("sales_region"),
-            F.col("sales_sub_region__c").alias("sales_sub_region"),
-            F.col("scale_zone__c").alias("scale_zone"),
-            F.col("service_level__c").alias("service_level"),
+            "sales_region__c as sales_region",
+            "sales_sub_region__c as sales_sub_region",
+            "scale_zone__c as scale_zone",
+            "service_level__c as service_level",
         )
     )
 
@@ -96,17 +99,18 @@ def attach(
     """Left join a dimension: `on` maps fact columns to its keys, `take` maps its columns to new names.
 
     A dimension row that repeats a key repeats the fact, as a plain join does. There is no
-    broadcast hint: Spark broadcasts when the side's size is known to be under the threshold.
+    broadcast hint: Spark broadcasts when the side's size is known to be under the threshold,
+    and otherwise sort-merges, splitting partitions that turn out skewed.
     """
-    keyed = {f"_dim_{key}": column for column, key in on.items()}
-    side = dimension.select(
-        *[F.col(key).alias(f"_dim_{key}") for key in on.values()],
-        *[F.col(c).alias(name) for c, name in take.items()],
+    side = dimension.selectExpr(
+        *[f"{key} as _dim_{key}" for key in on.values()],
+        *[f"{column} as {name}" for column, name in take.items()],
     )
-    condition = reduce(lambda x, y: x & y, [F.col(c) == F.col(k) for k, c in keyed.items()])
-    return facts.join(side, condition, "left").drop(*keyed)
+    condition = " and ".join(f"{column} = _dim_{key}" for column, key in on.items())
+    joined = facts.join(side, F.expr(condition), "left")
+    return joined.drop(*[f"_dim_{key}" for key in on.values()])
 
 
 def repeated_keys(dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with their count: the ones a left join would fan out."""
-    return dimension.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return dimension.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions import chains, recode
 from funnelspark.functions.numbers import ieee_div, micros
+from funnelspark.functions.text import quoted
 from funnelspark.functions.times import hour_ms, iso_text
 from funnelspark.operators.buckets import assign_bucket
 from funnelspark.operators.dimensions import campaign_targets
@@ -64,20 +65,20 @@ def key_names(variant: str) -> list[str]:
     return [k for k in KEYS if k not in _V1_ONLY]
 
 
-def _shape(source: str, df: DataFrame, keys: Mapping[str, Column], measures: Mapping[str, Column], probe: Mapping[str, Column]) -> DataFrame:
+def _shape(source: str, df: DataFrame, keys: Mapping[str, str], measures: Mapping[str, str], probe: Mapping[str, str]) -> DataFrame:
     """Project a source to the common row; absent keys are typed nulls, absent measures zeros."""
     unknown = (set(keys) - set(KEYS)) | (set(measures) - set(METRICS))
     if unknown:
         raise ValueError(f"{source}: unknown columns {sorted(unknown)}")
-    return df.select(
-        F.lit(source).alias("source"),
-        *[keys.get(k, F.lit(None)).cast(t).alias(k) for k, t in KEYS.items()],
-        *[measures.get(m, F.lit(0)).cast(t).alias(m) for m, t in METRICS.items()],
-        *[c.alias(name) for name, c in probe.items()],
+    return df.selectExpr(
+        f"{quoted(source)} as source",
+        *[f"cast({keys.get(k, 'null')} as {t}) as {k}" for k, t in KEYS.items()],
+        *[f"cast({measures.get(m, '0')} as {t}) as {m}" for m, t in METRICS.items()],
+        *[f"{sql} as {name}" for name, sql in probe.items()],
     )
 
 
-def _probe(platform: Column, model: Column, exchange: Column, fmt: Column, likelihood: Column, private: Column, price: Column) -> dict[str, Column]:
+def _probe(platform: str, model: str, exchange: str, fmt: str, likelihood: str, private: str, price: str) -> dict[str, str]:
     """What the bucket lookup needs from a row: its segment and its value on each axis."""
     return {
         "_seg_platform": platform,
@@ -86,66 +87,66 @@ def _probe(platform: Column, model: Column, exchange: Column, fmt: Column, likel
         "_seg_ad_format_group": recode.ad_format_group(fmt),
         "_val_convx": likelihood,
         "_val_private_cpm": private,
-        "_val_cpm": price.cast("double"),
+        "_val_cpm": price,
     }
 
 
-def private_price(bid: str) -> Column:
+def private_price(bid: str) -> str:
     """Winning price before the margin multiplier, in micros."""
     return ieee_div(
-        F.col(f"{bid}auction_result__winner__price_cpm_micros"),
-        F.col(f"{bid}price_data__compensated_margin_bid_multiplier"),
+        f"{bid}auction_result__winner__price_cpm_micros",
+        f"{bid}price_data__compensated_margin_bid_multiplier",
     )
 
 
-def _bid_keys(bid: str) -> dict[str, Column]:
+def _bid_keys(bid: str) -> dict[str, str]:
     """Keys read from one bid record."""
     return {
-        "platform": F.col(f"{bid}app_platform"),
-        "exchange_group": recode.exchange_group(F.col(f"{bid}bid_request__exchange")),
-        "customer_id": F.col(f"{bid}customer_id"),
-        "dest_app_id": F.col(f"{bid}app_id"),
-        "campaign_id": F.col(f"{bid}campaign_id"),
-        "creative_type": F.col(f"{bid}creative__type"),
+        "platform": f"{bid}app_platform",
+        "exchange_group": recode.exchange_group(f"{bid}bid_request__exchange"),
+        "customer_id": f"{bid}customer_id",
+        "dest_app_id": f"{bid}app_id",
+        "campaign_id": f"{bid}campaign_id",
+        "creative_type": f"{bid}creative__type",
         **_bid_traits(bid),
     }
 
 
-def _bid_traits(bid: str) -> dict[str, Column]:
+def _bid_traits(bid: str) -> dict[str, str]:
     """The keys an unmatched install still takes from its bid record."""
     return {
-        "ad_group_id": F.col(f"{bid}ad_group_id"),
-        "ad_group_type": F.col(f"{bid}ad_group_type"),
-        "ad_format": recode.ad_format(F.col(f"{bid}creative__ad_format")),
-        "model_type": recode.model_type(F.col(f"{bid}price_data__model_type")),
-        "is_nonpersonalized": F.col(f"{bid}bid_request__non_personalized"),
+        "ad_group_id": f"{bid}ad_group_id",
+        "ad_group_type": f"{bid}ad_group_type",
+        "ad_format": recode.ad_format(f"{bid}creative__ad_format"),
+        "model_type": recode.model_type(f"{bid}price_data__model_type"),
+        "is_nonpersonalized": f"{bid}bid_request__non_personalized",
     }
 
 
-def _bid_probe(bid: str) -> dict[str, Column]:
+def _bid_probe(bid: str) -> dict[str, str]:
     return _probe(
-        F.col(f"{bid}app_platform"),
-        F.col(f"{bid}price_data__model_type"),
-        F.col(f"{bid}bid_request__exchange"),
-        F.col(f"{bid}creative__ad_format"),
-        F.col(f"{bid}price_data__conversion_likelihood"),
+        f"{bid}app_platform",
+        f"{bid}price_data__model_type",
+        f"{bid}bid_request__exchange",
+        f"{bid}creative__ad_format",
+        f"{bid}price_data__conversion_likelihood",
         private_price(bid),
-        F.col(f"{bid}price_cpm_micros"),
+        f"{bid}price_cpm_micros",
     )
 
 
 def _impressions(tables: Mapping[str, DataFrame], variant: str, scan: Callable) -> DataFrame:
     keys = {
         **_bid_keys("bid__"),
-        "impression_at": hour_ms(F.col("at")),
-        "at": hour_ms(F.col("at")),
-        "country_group": recode.country_group(F.col("bid__bid_request__device__geo__country")),
-        "is_viewthrough": F.lit("N/A"),
+        "impression_at": hour_ms("at"),
+        "at": hour_ms("at"),
+        "country_group": recode.country_group("bid__bid_request__device__geo__country"),
+        "is_viewthrough": "'N/A'",
     }
     measures = {
-        "impressions": F.lit(1),
-        "internal_spend": micros(F.col("spend_micros")),
-        "external_spend": micros(F.col("revenue_micros")),
+        "impressions": "1",
+        "internal_spend": micros("spend_micros"),
+        "external_spend": micros("revenue_micros"),
         **predicted_terms(variant),
     }
     return _shape("impressions", scan("impressions"), keys, measures, _bid_probe("bid__"))
@@ -156,32 +157,32 @@ def _clicks(source: str) -> Callable:
         bid = "impression__bid__"
         keys = {
             **_bid_keys(bid),
-            "impression_at": hour_ms(F.col("impression__at")),
-            "click_at": hour_ms(F.col("at")),
-            "at": hour_ms(F.col("at")),
-            "country_group": recode.country_group(F.col("geo__country")),
-            "is_viewthrough": F.lit("N/A"),
-            "click_source": F.col("click_source"),
+            "impression_at": hour_ms("impression__at"),
+            "click_at": hour_ms("at"),
+            "at": hour_ms("at"),
+            "country_group": recode.country_group("geo__country"),
+            "is_viewthrough": "'N/A'",
+            "click_source": "click_source",
         }
-        first = scan(source).where(F.col("has_prior_click") == F.lit(False))
-        return _shape(source, first, keys, {"clicks": F.lit(1)}, _bid_probe(bid))
+        first = scan(source).where("has_prior_click = false")
+        return _shape(source, first, keys, {"clicks": "1"}, _bid_probe(bid))
 
     return rows
 
 
 def _reported(df: DataFrame) -> DataFrame:
     """Reportable, credited conversions; a null flag drops the row."""
-    return df.where(F.col("for_reporting") & ~F.col("is_uncredited"))
+    return df.where("for_reporting and not is_uncredited")
 
 
-def _install_keys(bid: str) -> dict[str, Column]:
+def _install_keys(bid: str) -> dict[str, str]:
     return {
-        "impression_at": hour_ms(F.col("ad_click__impression__at")),
-        "click_at": hour_ms(F.col("ad_click__at")),
-        "install_at": hour_ms(F.col("event_timestamp")),
-        "at": hour_ms(F.col("event_timestamp")),
-        "is_viewthrough": F.col("is_viewthrough").cast("string"),
-        "click_source": F.col("ad_click__click_source"),
+        "impression_at": hour_ms("ad_click__impression__at"),
+        "click_at": hour_ms("ad_click__at"),
+        "install_at": hour_ms("event_timestamp"),
+        "at": hour_ms("event_timestamp"),
+        "is_viewthrough": "cast(is_viewthrough as string)",
+        "click_source": "ad_click__click_source",
         **_bid_traits(bid),
     }
 
@@ -191,72 +192,70 @@ def _matched_installs(tables: Mapping[str, DataFrame], variant: str, scan: Calla
     keys = {
         **_bid_keys(bid),
         **_install_keys(bid),
-        "country_group": recode.country_group(F.col("geo__country")),
+        "country_group": recode.country_group("geo__country"),
     }
-    return _shape("matched_installs", _reported(scan("matched_installs")), keys, {"installs": F.lit(1)}, _bid_probe(bid))
+    return _shape("matched_installs", _reported(scan("matched_installs")), keys, {"installs": "1"}, _bid_probe(bid))
 
 
-def _unmatched_keys() -> dict[str, Column]:
+def _unmatched_keys() -> dict[str, str]:
     """Without a matched bid, customer and app come from the campaign the tracker names."""
     return {
-        "platform": F.col("tracker_params__platform"),
-        "exchange_group": F.lit("UNMATCHED"),
-        "creative_type": F.lit("UNMATCHED"),
-        "campaign_id": F.col("tracker_params__campaign_id"),
-        "customer_id": F.col("target_customer_id"),
-        "dest_app_id": F.col("target_app_id"),
+        "platform": "tracker_params__platform",
+        "exchange_group": "'UNMATCHED'",
+        "creative_type": "'UNMATCHED'",
+        "campaign_id": "tracker_params__campaign_id",
+        "customer_id": "target_customer_id",
+        "dest_app_id": "target_app_id",
     }
 
 
-def _with_target(df: DataFrame, tables: Mapping[str, DataFrame], campaign: Column) -> DataFrame:
+def _with_target(df: DataFrame, tables: Mapping[str, DataFrame], campaign: str) -> DataFrame:
     targets = campaign_targets(tables["campaigns"])
-    return df.withColumn("_campaign", campaign).join(
-        targets, F.col("_campaign") == F.col("target_campaign_id"), "left"
-    )
+    return df.join(targets, F.expr(f"{campaign} = target_campaign_id"), "left")
 
 
 def _unmatched_installs(tables: Mapping[str, DataFrame], variant: str, scan: Callable) -> DataFrame:
-    rows = _with_target(_reported(scan("unmatched_installs")), tables, F.col("tracker_params__campaign_id"))
-    country = F.coalesce(F.col("ad_click__geo__country"), F.col("geo__country"))
+    rows = _with_target(_reported(scan("unmatched_installs")), tables, "tracker_params__campaign_id")
+    country = "coalesce(ad_click__geo__country, geo__country)"
     keys = {
         **_install_keys("ad_click__impression__bid__"),
         **_unmatched_keys(),
         "country_group": recode.country_group(country),
     }
-    return _shape("unmatched_installs", rows, keys, {"installs": F.lit(1)}, {})
+    return _shape("unmatched_installs", rows, keys, {"installs": "1"}, {})
 
 
-def _latest(field: str) -> Column:
+def _latest(field: str) -> str:
     return chains.first_chain(field, chains.LATEST_FIRST)
 
 
-def _origin(field: str) -> Column:
+def _origin(field: str) -> str:
     return chains.first_chain(field, chains.ORIGIN_FIRST)
 
 
-def _app_event_keys() -> dict[str, Column]:
+def _app_event_keys() -> dict[str, str]:
     """Keys app events share; which chain wins differs from column to column."""
     bid = "impression__bid__"
     return {
         "impression_at": hour_ms(_latest("impression__at")),
         "click_at": hour_ms(_latest("at")),
-        "install_at": hour_ms(F.col("install__at")),
-        "at": hour_ms(F.col("event_timestamp")),
+        "install_at": hour_ms("install__at"),
+        "at": hour_ms("event_timestamp"),
         "ad_group_id": _latest(f"{bid}ad_group_id"),
         "ad_group_type": _latest(f"{bid}ad_group_type"),
         "ad_format": recode.ad_format(_origin(f"{bid}creative__ad_format")),
-        "is_viewthrough": F.col("is_viewthrough").cast("string"),
+        "is_viewthrough": "cast(is_viewthrough as string)",
         "model_type": recode.model_type(_latest(f"{bid}price_data__model_type")),
         "is_nonpersonalized": _latest(f"{bid}bid_request__non_personalized"),
         "click_source": _latest("click_source"),
     }
 
 
-def _app_event_measures() -> dict[str, Column]:
+def _app_event_measures() -> dict[str, str]:
     return {
-        "customer_revenue_d7": revenue_micros(F.col("customer_revenue_micros")),
+        "customer_revenue_d7": revenue_micros("customer_revenue_micros"),
         **target_event_terms(
-            F.col("cpa_target_event_id"), F.col("custom_event_id"), F.col("first_occurrence")
+            "cpa_target_event_id", "custom_event_id", "first_occurrence"
         ),
     }
 
@@ -283,15 +282,15 @@ def _matched_app_events(tables: Mapping[str, DataFrame], variant: str, scan: Cal
         _latest(exchange),
         _origin(f"{bid}creative__ad_format"),
         _origin(f"{bid}price_data__conversion_likelihood"),
-        F.coalesce(*[private_price(prefix + bid) for prefix in chains.ORIGIN_FIRST]),
+        f"coalesce({', '.join(private_price(prefix + bid) for prefix in chains.ORIGIN_FIRST)})",
         _origin(f"{bid}price_cpm_micros"),
     )
     return _shape("matched_app_events", rows, keys, _app_event_measures(), probe)
 
 
 def _unmatched_app_events(tables: Mapping[str, DataFrame], variant: str, scan: Callable) -> DataFrame:
-    rows = _with_target(_reported(scan("unmatched_app_events")), tables, F.col("tracker_params__campaign_id"))
-    country = F.coalesce(F.col("install__geo__country"), F.col("geo__country"))
+    rows = _with_target(_reported(scan("unmatched_app_events")), tables, "tracker_params__campaign_id")
+    country = "coalesce(install__geo__country, geo__country)"
     keys = {**_app_event_keys(), **_unmatched_keys(), "country_group": recode.country_group(country)}
     return _shape("unmatched_app_events", rows, keys, _app_event_measures(), {})
 
@@ -338,15 +337,15 @@ def funnel_rows(
         matched = assign_bucket(
             matched,
             segments,
-            {k: F.col(f"_seg_{k}") for k in _SEGMENT},
+            {k: f"_seg_{k}" for k in _SEGMENT},
             # Buckets are trained on units for prices and raw likelihood.
             {
-                "convx": (F.col("_val_convx"), 1.0),
-                "private_cpm": (F.col("_val_private_cpm"), 1e6),
-                "cpm": (F.col("_val_cpm"), 1e6),
+                "convx": ("_val_convx", 1.0),
+                "private_cpm": ("_val_private_cpm", 1e6),
+                "cpm": ("_val_cpm", 1e6),
             },
         )
-        unmatched = unmatched.select("*", *[F.lit(None).cast(t).alias(k) for k, t in BUCKET_KEYS.items()])
+        unmatched = unmatched.selectExpr("*", *[f"cast(null as {t}) as {k}" for k, t in BUCKET_KEYS.items()])
     columns = ["source", *key_names(variant), *METRICS]
     return union_branches([matched.select(*columns), unmatched.select(*columns)])
 
@@ -357,7 +356,7 @@ def sum_metrics() -> list[Column]:
 
 def format_hours(df: DataFrame) -> DataFrame:
     """Hour keys from epoch milliseconds to ISO text."""
-    return df.select(*[iso_text(F.col(c)).alias(c) if c in HOUR_KEYS else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"{iso_text(c)} as {c}" if c in HOUR_KEYS else c for c in df.columns])
 
 
 def funnel(

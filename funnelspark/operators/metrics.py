@@ -37,74 +37,71 @@ METRICS = {
 }
 
 
-def sum_finite(value: Column) -> Column:
+def sum_finite(value: str) -> str:
     """Sum that skips NaN and ±Infinity."""
-    return F.sum(finite_or_null(value))
+    return f"sum({finite_or_null(value)})"
 
 
-def predicted_terms(variant: str, prefix: str = "bid__") -> dict[str, Column]:
+def predicted_terms(variant: str, prefix: str = "bid__") -> dict[str, str]:
     """Per-impression terms of the price and prediction metrics; null terms are skipped by sum.
 
     v2 uses click-based formulas for every ad-group type but user acquisition (also for null)
     and leaves the click-based revenue uncapped; v1 uses the install-based ones throughout.
     """
-
-    def data(name: str) -> Column:
-        return F.col(f"{prefix}price_data__{name}")
-
-    winner = F.col(f"{prefix}auction_result__winner__price_cpm_micros")
-    click = data("predicted_imp_to_click_rate")
-    view_install = data("predicted_imp_to_install_vt_rate")
-    installs = F.coalesce(click * data("predicted_click_to_install_rate"), F.lit(0.0)) + F.coalesce(
-        data("predicted_imp_to_install_ct_rate"), F.lit(0.0)
+    data = f"{prefix}price_data__"
+    winner = micros(f"{prefix}auction_result__winner__price_cpm_micros")
+    click = f"{data}predicted_imp_to_click_rate"
+    view_install = f"{data}predicted_imp_to_install_vt_rate"
+    installs = (
+        f"(coalesce({click} * {data}predicted_click_to_install_rate, 0D)"
+        f" + coalesce({data}predicted_imp_to_install_ct_rate, 0D))"
     )
-    revenue_rate = cap(data("predicted_install_to_revenue_rate"), REVENUE_RATE_CEILING)
-    events_ct = installs * data("predicted_install_to_preferred_app_event_rate")
-    revenue_ct = installs * revenue_rate
+    revenue_rate = cap(f"{data}predicted_install_to_revenue_rate", REVENUE_RATE_CEILING)
+    events_ct = f"{installs} * {data}predicted_install_to_preferred_app_event_rate"
+    revenue_ct = f"{installs} * {revenue_rate}"
     if variant == "v2":
-        acquisition = F.col(f"{prefix}ad_group_type") == "user-acquisition"
-        events_ct = F.when(acquisition, events_ct).otherwise(
-            click * data("predicted_click_to_preferred_app_event_rate")
+        when_acquired = f"case when {prefix}ad_group_type = 'user-acquisition' then"
+        events_ct = (
+            f"{when_acquired} {events_ct} else {click} * {data}predicted_click_to_preferred_app_event_rate end"
         )
-        revenue_ct = F.when(acquisition, revenue_ct).otherwise(click * data("predicted_click_to_revenue_rate"))
+        revenue_ct = f"{when_acquired} {revenue_ct} else {click} * {data}predicted_click_to_revenue_rate end"
     elif variant != "v1":
         raise ValueError(f"variant must be v1 or v2, not {variant!r}")
     return {
         "predicted_conversion_likelihood": norm_likelihood(
-            data("conversion_likelihood"), is_revenue_model(data("model_type"))
+            f"{data}conversion_likelihood", is_revenue_model(f"{data}model_type")
         ),
-        "preshaded_cpm": micros(winner),
-        "private_value": ieee_div(micros(winner), data("compensated_margin_bid_multiplier")),
-        "shaded_cpm": micros(F.col(f"{prefix}price_cpm_micros")),
+        "preshaded_cpm": winner,
+        "private_value": ieee_div(winner, f"{data}compensated_margin_bid_multiplier"),
+        "shaded_cpm": micros(f"{prefix}price_cpm_micros"),
         "predicted_clicks": click,
         "predicted_installs_ct": installs,
         "predicted_installs_vt": view_install,
         "predicted_target_events_ct": events_ct,
-        "predicted_target_events_vt": view_install * data("predicted_install_to_preferred_app_event_vt_rate"),
+        "predicted_target_events_vt": f"{view_install} * {data}predicted_install_to_preferred_app_event_vt_rate",
         "predicted_customer_revenue_micros_ct": revenue_ct,
-        "predicted_customer_revenue_micros_vt": view_install * revenue_rate,
+        "predicted_customer_revenue_micros_vt": f"{view_install} * {revenue_rate}",
     }
 
 
 def predicted_metrics(variant: str, prefix: str = "bid__") -> list[Column]:
     """Sums of `predicted_terms`, for use in an aggregation over impressions."""
-    return [F.sum(term).alias(name) for name, term in predicted_terms(variant, prefix).items()]
+    return [F.expr(f"sum({sql})").alias(name) for name, sql in predicted_terms(variant, prefix).items()]
 
 
-def revenue_micros(value: Column) -> Column:
+def revenue_micros(value: str) -> str:
     """One event's revenue; implausible amounts and null count as zero."""
     return clamp_or_zero(value, -REVENUE_LIMIT_MICROS, REVENUE_LIMIT_MICROS)
 
 
-def target_event_terms(target: Column, event: Column, first_occurrence: Column) -> dict[str, Column]:
+def target_event_terms(target: str, event: str, first_occurrence: str) -> dict[str, str]:
     """1 for a campaign's target event, and 1 for its first occurrence; null comparisons count 0."""
-    hit = target == event
     return {
-        "target_events_d7": F.when(hit, F.lit(1)).otherwise(F.lit(0)),
-        "target_events_first_d7": F.when(hit & first_occurrence, F.lit(1)).otherwise(F.lit(0)),
+        "target_events_d7": f"case when {target} = {event} then 1 else 0 end",
+        "target_events_first_d7": f"case when {target} = {event} and {first_occurrence} then 1 else 0 end",
     }
 
 
-def cohort_value(value: Column, inside: Column) -> Column:
+def cohort_value(value: str, inside: str) -> str:
     """The value inside the cohort window, zero outside and where the window is unknown."""
-    return F.when(inside, value).otherwise(F.lit(0))
+    return f"(case when {inside} then {value} else 0 end)"

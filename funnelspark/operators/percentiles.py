@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelspark.sources.sinks import via_shared_table
@@ -18,15 +18,15 @@ from funnelspark.sources.sinks import via_shared_table
 PROBABILITIES = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99)
 
 
-def _usable(value: Column) -> Column:
-    v = value.cast("double")
-    return F.when(~F.isnan(v), v)
+def _usable(value: str) -> str:
+    v = f"cast({value} as double)"
+    return f"case when not isnan({v}) then {v} end"
 
 
 def sketch_cuts(
     df: DataFrame,
     keys: Sequence[str],
-    axes: Mapping[str, Column],
+    axes: Mapping[str, str],
     probabilities: Sequence[float] = PROBABILITIES,
     k: int = 4096,
     salts: int = 256,
@@ -38,19 +38,18 @@ def sketch_cuts(
     with a third of all rows does not end in one reducer that merges a sketch from every task.
     """
     sketches = (
-        df.select(*keys, *[_usable(v).alias(a) for a, v in axes.items()])
+        df.selectExpr(*keys, *[f"{_usable(v)} as {a}" for a, v in axes.items()])
         .groupBy(*keys, F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"))
         .agg(*[F.kll_sketch_agg_double(a, k).alias(a) for a in axes])
         .groupBy(*keys)
         .agg(*[F.kll_merge_agg_double(a, k).alias(a) for a in axes])
     )
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    return sketches.select(
+    wanted = ", ".join(f"{float(p)!r}D" for p in probabilities)
+    return sketches.selectExpr(
         *keys,
         *[
-            F.when(
-                F.kll_sketch_get_n_double(a) > 0, F.kll_sketch_get_quantile_double(a, wanted)
-            ).alias(a)
+            f"case when kll_sketch_get_n_double({a}) > 0"
+            f" then kll_sketch_get_quantile_double({a}, array({wanted})) end as {a}"
             for a in axes
         ],
     )
@@ -59,7 +58,7 @@ def sketch_cuts(
 def exact_cuts(
     df: DataFrame,
     keys: Sequence[str],
-    axes: Mapping[str, Column],
+    axes: Mapping[str, str],
     probabilities: Sequence[float] = PROBABILITIES,
 ) -> DataFrame:
     """Exact discrete percentiles: the smallest value whose cumulative share reaches the probability.
@@ -72,15 +71,12 @@ def exact_cuts(
     keys = list(keys)
     names = list(axes)
     group = [*keys, "axis"]
-    points = F.array(
-        *[
-            F.struct(F.lit(i).alias("axis"), _usable(axes[a]).alias("value"))
-            for i, a in enumerate(names)
-        ]
+    points = ", ".join(
+        f"named_struct('axis', {i}, 'value', {_usable(axes[a])})" for i, a in enumerate(names)
     )
     counts = (
-        df.select(*keys, F.inline(points))
-        .where(F.col("value").isNotNull())
+        df.selectExpr(*keys, f"inline(array({points}))")
+        .where("value is not null")
         .groupBy(*group, "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .repartitionByRange(*group, "value")
@@ -90,24 +86,17 @@ def exact_cuts(
 
     # Rows per chunk and group: at most (partitions + groups) rows in all.
     whole = Window.partitionBy(*group)
-    ranks = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("point"),
-                F.ceil(F.col("total").cast("decimal(20,0)") * F.lit(Decimal(str(p))))
-                .cast("bigint")
-                .alias("rank"),
-            )
-            for i, p in enumerate(probabilities)
-        ]
+    ranks = ", ".join(
+        f"named_struct('point', {i}, 'rank', cast(ceil(cast(total as decimal(20,0)) * {Decimal(str(p))}BD) as bigint))"
+        for i, p in enumerate(probabilities)
     )
     chunks = (
         counts.groupBy(*group, "chunk")
         .agg(F.sum("n").alias("n"))
         .withColumn("upto", F.sum("n").over(whole.orderBy("chunk")))
         .withColumn("total", F.sum("n").over(whole))
-        .select(*group, "chunk", (F.col("upto") - F.col("n")).alias("before"), "upto", F.inline(ranks))
-        .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("upto")))
+        .selectExpr(*group, "chunk", "upto - n as before", "upto", f"inline(array({ranks}))")
+        .where("rank > before and rank <= upto")
         .groupBy(*group, "chunk", "before")
         .agg(F.collect_list(F.struct("point", "rank")).alias("ranks"))
     )
@@ -117,15 +106,13 @@ def exact_cuts(
     found = (
         counts.join(hits, [*group, "chunk"])
         .withColumn("upto", F.col("before") + F.sum("n").over(within))
-        .select(*group, "value", (F.col("upto") - F.col("n")).alias("after"), "upto", F.inline("ranks"))
-        .where((F.col("rank") > F.col("after")) & (F.col("rank") <= F.col("upto")))
+        .selectExpr(*group, "value", "upto - n as after", "upto", "inline(ranks)")
+        .where("rank > after and rank <= upto")
     )
     lists = found.groupBy(*keys).agg(
         *[
-            F.array_sort(
-                F.collect_list(F.when(F.col("axis") == i, F.struct("point", "value")))
-            ).alias(a)
+            F.expr(f"array_sort(collect_list(case when axis = {i} then struct(point, value) end))").alias(a)
             for i, a in enumerate(names)
         ]
     )
-    return lists.select(*keys, *[F.when(F.size(a) > 0, F.col(f"{a}.value")).alias(a) for a in names])
+    return lists.selectExpr(*keys, *[f"case when size({a}) > 0 then {a}.value end as {a}" for a in names])

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from funnelspark.functions import recode
-from funnelspark.functions.numbers import ieee_div, micros
+from funnelspark.functions.numbers import micros
+from funnelspark.functions.text import quoted_list
 from funnelspark.functions.times import day_range
 from funnelspark.operators.buckets import bucket_grid, train_buckets
+from funnelspark.operators.funnel import private_price
 from funnelspark.sources.readers import scan_hours
 
 KEYS_V1 = ("platform", "exchange_group", "model_type", "ad_format_group")
@@ -20,26 +21,22 @@ AXES_V2 = ("convx", "private_cpm")
 PLATFORMS_V2 = ("ANDROID", "IOS")
 
 _KEY = {
-    "platform": lambda: F.col("bid__app_platform"),
-    "exchange_group": lambda: recode.exchange_group(F.col("bid__bid_request__exchange")),
-    "model_type": lambda: recode.model_type(F.col("bid__price_data__model_type")),
-    "ad_format_group": lambda: recode.ad_format_group(F.col("bid__creative__ad_format")),
+    "platform": "bid__app_platform",
+    "exchange_group": recode.exchange_group("bid__bid_request__exchange"),
+    "model_type": recode.model_type("bid__price_data__model_type"),
+    "ad_format_group": recode.ad_format_group("bid__creative__ad_format"),
 }
 _AXIS = {
-    "convx": lambda: F.col("bid__price_data__conversion_likelihood"),
-    "private_cpm": lambda: ieee_div(
-        F.col("bid__auction_result__winner__price_cpm_micros"),
-        F.col("bid__price_data__compensated_margin_bid_multiplier"),
-    )
-    / F.lit(1e6),
-    "cpm": lambda: micros(F.col("bid__price_cpm_micros")),
+    "convx": "bid__price_data__conversion_likelihood",
+    "private_cpm": f"{private_price('bid__')} / 1e6D",
+    "cpm": micros("bid__price_cpm_micros"),
 }
 
 
 def _training_rows(impressions: DataFrame, start: str, end: str, closed: str) -> DataFrame:
     """Impressions whose partition and own day are both in range, with a model named."""
     return scan_hours(impressions, start, end, closed).where(
-        day_range(F.col("at"), start, end, closed) & (F.col("bid__price_data__model_type") != "")
+        f"{day_range('at', start, end, closed)} and bid__price_data__model_type <> ''"
     )
 
 
@@ -47,8 +44,8 @@ def train_segments_v1(impressions: DataFrame, start: str, end: str, method: str
     """Interval arrays on three axes per four-key segment. Both ends are exclusive: the first hour is not used."""
     return train_buckets(
         _training_rows(impressions, start, end, "neither"),
-        {k: _KEY[k]() for k in KEYS_V1},
-        {a: _AXIS[a]() for a in AXES_V1},
+        {k: _KEY[k] for k in KEYS_V1},
+        {a: _AXIS[a] for a in AXES_V1},
         method,
         **options,
     )
@@ -56,9 +53,9 @@ def train_segments_v1(impressions: DataFrame, start: str, end: str, method: str
 
 def train_segments_v2(impressions: DataFrame, start: str, end: str, method: str = "sketch", **options) -> DataFrame:
     """Interval arrays on two axes per platform and model type; half-open range."""
-    rows = _training_rows(impressions, start, end, "left").where(F.col("bid__app_platform").isin(*PLATFORMS_V2))
+    rows = _training_rows(impressions, start, end, "left").where(f"bid__app_platform in {quoted_list(PLATFORMS_V2)}")
     return train_buckets(
-        rows, {k: _KEY[k]() for k in KEYS_V2}, {a: _AXIS[a]() for a in AXES_V2}, method, **options
+        rows, {k: _KEY[k] for k in KEYS_V2}, {a: _AXIS[a] for a in AXES_V2}, method, **options
     )
 
 

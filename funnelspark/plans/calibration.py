@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.operators.metrics import sum_finite
@@ -11,53 +11,47 @@ SERIES_KEYS = ["time_bucket", "ab_test_group_ids", "ad_group_id"]
 
 
 def revenue_calibration(
-    results: DataFrame, history: DataFrame, lookback: Column, as_of: Column | None = None
+    results: DataFrame, history: DataFrame, lookback: str, as_of: str = "current_timestamp()"
 ) -> DataFrame:
     """Revenue sums in units per time bucket, for buckets older than an hour and within `lookback`.
 
-    `lookback` is an interval column. Both series are summed per join key before they meet, each
-    keeping its row count, and the sums are scaled by the other side's count: the same totals as
-    joining row by row, but a key repeated on both sides does not multiply rows, and the join
-    reuses the partitioning of the sums.
+    `lookback` is an interval expression such as `interval '7' day`. Both series are summed per
+    join key before they meet, each keeping its row count, and the sums are scaled by the other
+    side's count: the same totals as joining row by row, but a key repeated on both sides does
+    not multiply rows, and the join reuses the partitioning of the sums.
     """
-    now = F.current_timestamp() if as_of is None else as_of
-    t = F.col("time_bucket")
-    in_window = (t > now - lookback) & (t < now - F.expr("INTERVAL '1' HOUR"))
-    with_target = [df for df in (results, history) if "bid_target_micros" in df.columns]
-    if len(with_target) != 1:
+    in_window = f"time_bucket > {as_of} - {lookback} and time_bucket < {as_of} - interval '1' hour"
+    if ("bid_target_micros" in results.columns) == ("bid_target_micros" in history.columns):
         raise ValueError("bid_target_micros must be a column of exactly one of the two series")
 
-    def usable(df: DataFrame, condition: Column) -> DataFrame:
-        if df is with_target[0]:
-            condition = condition & (F.col("bid_target_micros") > 0)
-        return df.where(in_window & condition)
+    def usable(df: DataFrame, condition: str) -> DataFrame:
+        if "bid_target_micros" in df.columns:
+            condition += " and bid_target_micros > 0"
+        return df.where(f"{in_window} and {condition}")
 
     actual = (
-        usable(history, F.col("enabled") & F.col("estimated"))
+        usable(history, "enabled and estimated")
         .groupBy(*SERIES_KEYS)
-        .agg(F.sum("revenue_micros").alias("actual"), F.count(F.lit(1)).alias("n_history"))
+        .agg(F.sum("revenue_micros").alias("actual"), F.count("*").alias("n_history"))
     )
     modelled = (
-        usable(results, F.col("suggested_bid_target_micros").isNotNull())
+        usable(results, "suggested_bid_target_micros is not null")
         .groupBy(*SERIES_KEYS)
         .agg(
-            sum_finite(F.col("predicted_revenue_micros")).alias("predicted"),
+            F.expr(sum_finite("predicted_revenue_micros")).alias("predicted"),
             F.sum("suggested_revenue_micros").alias("suggested"),
             F.sum("planned_revenue_micros").alias("planned"),
-            F.count(F.lit(1)).alias("n_results"),
+            F.count("*").alias("n_results"),
         )
     )
-
-    def total(name: str, repeats: str) -> Column:
-        return F.sum(F.col(name) * F.col(repeats)).cast("double") / F.lit(1e6)
-
+    totals = {
+        "revenue": "actual * n_results",
+        "predicted_revenue": "predicted * n_history",
+        "suggested_revenue": "suggested * n_history",
+        "planned_revenue": "planned * n_history",
+    }
     return (
         modelled.join(actual, SERIES_KEYS)
-        .groupBy(t.alias("time"))
-        .agg(
-            total("actual", "n_results").alias("revenue"),
-            total("predicted", "n_history").alias("predicted_revenue"),
-            total("suggested", "n_history").alias("suggested_revenue"),
-            total("planned", "n_history").alias("planned_revenue"),
-        )
+        .groupBy(F.col("time_bucket").alias("time"))
+        .agg(*[F.expr(f"cast(sum({sql}) as double) / 1e6D").alias(name) for name, sql in totals.items()])
     )

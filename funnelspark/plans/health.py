@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.functions import recode
@@ -31,25 +31,25 @@ def _gate_cohort(rows: DataFrame) -> DataFrame:
     The anchor is the click for re-engagement and the install otherwise. Everything the test
     reads is a group key, so testing rows gives what testing their sums would.
     """
-    anchor = F.when(F.col("ad_group_type") == "reengagement", F.col("click_at")).otherwise(F.col("install_at"))
-    inside = in_cohort(F.col("at"), anchor, COHORT_DAYS)
-    return rows.withColumns({m: cohort_value(F.col(m), inside) for m in COHORT_METRICS})
+    anchor = "(case when ad_group_type = 'reengagement' then click_at else install_at end)"
+    inside = in_cohort("at", anchor, COHORT_DAYS)
+    return replaced(rows, {m: cohort_value(m, inside) for m in COHORT_METRICS})
 
 
-def _viewthrough() -> Column:
-    return recode.viewthrough_enabled(
-        F.col("creative_type"), F.col("ad_format"), *[F.col(c) for c in VIEWTHROUGH_FLAGS.values()]
-    )
+VIEWTHROUGH = recode.viewthrough_enabled("creative_type", "ad_format", *VIEWTHROUGH_FLAGS.values())
 
 
-def _report(enriched: DataFrame, keys: Sequence[str], derived: Mapping[str, Column]) -> DataFrame:
+def _report(enriched: DataFrame, keys: Sequence[str], derived: Mapping[str, str]) -> DataFrame:
     """Second sum, per group key and dimension; revenue from micros to units."""
-    keyed = enriched.withColumns(dict(derived))
+    keyed = enriched.selectExpr(*keys, *[f"{sql} as {name}" for name, sql in derived.items()], *METRICS)
     sums = [
-        (F.sum(micros(F.col(m))) if m == "customer_revenue_d7" else F.sum(m)).alias(m) for m in METRICS
+        F.expr(f"sum({micros(m) if m == 'customer_revenue_d7' else m})").alias(m) for m in METRICS
     ]
-    extra = [name for name in derived if name not in keys]
-    return format_hours(keyed.groupBy(*keys, *extra).agg(*sums))
+    return format_hours(keyed.groupBy(*keys, *derived).agg(*sums))
+
+
+def replaced(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{columns[c]} as {c}" if c in columns else c for c in df.columns])
 
 
 def _hours(hour: str, until: str | None) -> tuple[str, str]:
@@ -61,7 +61,7 @@ def platform_health_v1(
     segments: DataFrame,
     hour: str,
     until: str | None = None,
-    as_of: Column | None = None,
+    as_of: str = "current_timestamp()",
     goal_tiebreak: Sequence[str] = ("type", "target_value"),
 ) -> DataFrame:
     """Funnel with bucket axes: 44 dimensions, 19 metrics, for one hour (or [hour, until)).
@@ -73,8 +73,8 @@ def platform_health_v1(
     rows = _gate_cohort(funnel_rows(tables, start, end, "v1", segments))
     keys = key_names("v1")
     # Edges of revenue models are stored in millionths and reported in units.
-    for edge in ("convx_percentile_low", "convx_percentile_high"):
-        rows = rows.withColumn(edge, F.when(F.col("model_type") == "revenue", micros(F.col(edge))).otherwise(F.col(edge)))
+    edges = ("convx_percentile_low", "convx_percentile_high")
+    rows = replaced(rows, {e: f"case when model_type = 'revenue' then {micros(e)} else {e} end" for e in edges})
     f = rows.groupBy(*keys).agg(*sum_metrics())
 
     f = attach(f, tables["customers"], {"customer_id": "id"}, {"company": "_company"})
@@ -115,23 +115,23 @@ def platform_health_v1(
         f,
         keys,
         {
-            "service_level": F.col("_service"),
-            "customer_name": F.col("_company"),
-            "dest_app_name": F.col("_app"),
-            "campaign_name": F.col("_campaign_name"),
-            "campaign_tracker": recode.name_or_na(F.col("_tracker")),
-            "campaign_tracker_type": recode.tracker_type(F.col("_tracker"), F.col("campaign_id")),
-            "current_optimization_state": F.col("_optimization"),
-            "campaign_sales_region": F.col("_region"),
-            "campaign_sales_sub_region": F.col("_sub_region"),
-            "goal_type_3": F.col("_goal"),
-            "goal_3_value": F.col("_goal_value"),
-            "treasurer_target": F.col("_treasurer"),
-            "ad_group_name": F.col("_ad_group"),
-            "exploratory_ad_group": F.col("_exploratory"),
-            "ad_group_bid_type": F.col("_bid_type"),
-            "viewthrough_enabled": _viewthrough(),
-            "is_enrolled_in_vio": recode.vio_enrolled(F.col("_vt_cap")),
+            "service_level": "_service",
+            "customer_name": "_company",
+            "dest_app_name": "_app",
+            "campaign_name": "_campaign_name",
+            "campaign_tracker": recode.name_or_na("_tracker"),
+            "campaign_tracker_type": recode.tracker_type("_tracker", "campaign_id"),
+            "current_optimization_state": "_optimization",
+            "campaign_sales_region": "_region",
+            "campaign_sales_sub_region": "_sub_region",
+            "goal_type_3": "_goal",
+            "goal_3_value": "_goal_value",
+            "treasurer_target": "_treasurer",
+            "ad_group_name": "_ad_group",
+            "exploratory_ad_group": "_exploratory",
+            "ad_group_bid_type": "_bid_type",
+            "viewthrough_enabled": VIEWTHROUGH,
+            "is_enrolled_in_vio": recode.vio_enrolled("_vt_cap"),
         },
     )
     # Column order of the report: name before edges on the price axes.
@@ -145,7 +145,7 @@ def platform_health_v2(
     tables: Mapping[str, DataFrame],
     hour: str,
     until: str | None = None,
-    as_of: Column | None = None,
+    as_of: str = "current_timestamp()",
     goal_tiebreak: Sequence[str] = ("type", "target_value"),
 ) -> DataFrame:
     """Trimmed funnel without buckets, ad groups, exchanges and countries: 28 dimensions, 19 metrics.
@@ -198,19 +198,19 @@ def platform_health_v2(
         f,
         keys,
         {
-            "service_level": F.col("_service"),
-            "customer_name": F.col("_company"),
-            "dest_app_name": F.col("_app"),
-            "dest_app_category": F.col("_category"),
-            "campaign_sales_region": F.col("_region"),
-            "campaign_sales_sub_region": F.col("_sub_region"),
-            "scale_zone": F.col("_zone"),
-            "current_optimization_state": F.col("_optimization"),
-            "campaign_name": F.col("_campaign_name"),
-            "campaign_type": F.col("_campaign_type"),
-            "goal_type_3": F.col("_goal"),
-            "goal_3_value": F.col("_goal_value"),
-            "campaign_tracker_type": recode.tracker_type(F.col("_tracker"), F.col("campaign_id")),
-            "viewthrough_enabled": _viewthrough(),
+            "service_level": "_service",
+            "customer_name": "_company",
+            "dest_app_name": "_app",
+            "dest_app_category": "_category",
+            "campaign_sales_region": "_region",
+            "campaign_sales_sub_region": "_sub_region",
+            "scale_zone": "_zone",
+            "current_optimization_state": "_optimization",
+            "campaign_name": "_campaign_name",
+            "campaign_type": "_campaign_type",
+            "goal_type_3": "_goal",
+            "goal_3_value": "_goal_value",
+            "campaign_tracker_type": recode.tracker_type("_tracker", "campaign_id"),
+            "viewthrough_enabled": VIEWTHROUGH,
         },
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions.numbers import ieee_div, micros, norm_likelihood, per_impression
 from funnelspark.functions.recode import REVENUE_BID_TYPES
+from funnelspark.functions.text import quoted_list
 from funnelspark.operators.dimensions import attach
 from funnelspark.sources.readers import scan_hours
 
@@ -30,24 +31,23 @@ def bid_validation(
         rows = rows.where(F.col("bid__ad_group_id").isin(*ad_group_ids))
     rows = attach(rows, ad_groups, {"bid__ad_group_id": "id"}, {"bid_type": "bid_type"})
 
-    def data(name: str):
-        return F.col(f"bid__price_data__{name}")
-
-    likelihood = norm_likelihood(data("conversion_likelihood"), F.col("bid_type").isin(*REVENUE_BID_TYPES))
-    winner = per_impression(F.col("bid__auction_result__winner__price_cpm_micros"))
-    multiplier = data("compensated_margin_bid_multiplier")
-    out = rows.select(
-        "bid__ad_group_id",
-        likelihood.alias("p_cvr"),
-        micros(data("ad_group_cpx_bid_micros")).alias("bid_target"),
-        (likelihood * data("effective_cpx_bid_micros") / F.lit(1e6)).alias("preshaded_w_multiplier"),
-        winner.alias("preshaded_value"),
-        ieee_div(winner, multiplier).alias("private_value"),
-        per_impression(F.col("bid__price_cpm_micros")).alias("CPM_per_impression"),
-        micros(F.col("revenue_micros")).alias("revenue"),
-        micros(F.col("spend_micros")).alias("spend"),
-        (F.lit(1) - ieee_div(F.col("spend_micros"), F.col("revenue_micros"))).alias("nrm_by_cal"),
-        multiplier.cast("double").alias("margin_multiplier"),
-        data("effective_cpx_bid_micros").alias("bid_target_with_multiplier"),
-    )
+    data = "bid__price_data__"
+    likelihood = norm_likelihood(f"{data}conversion_likelihood", f"bid_type in {quoted_list(REVENUE_BID_TYPES)}")
+    winner = per_impression("bid__auction_result__winner__price_cpm_micros")
+    multiplier = f"{data}compensated_margin_bid_multiplier"
+    columns = {
+        "bid__ad_group_id": "bid__ad_group_id",
+        "p_cvr": likelihood,
+        "bid_target": micros(f"{data}ad_group_cpx_bid_micros"),
+        "preshaded_w_multiplier": f"{likelihood} * {data}effective_cpx_bid_micros / 1e6D",
+        "preshaded_value": winner,
+        "private_value": ieee_div(winner, multiplier),
+        "CPM_per_impression": per_impression("bid__price_cpm_micros"),
+        "revenue": micros("revenue_micros"),
+        "spend": micros("spend_micros"),
+        "nrm_by_cal": f"1 - {ieee_div('spend_micros', 'revenue_micros')}",
+        "margin_multiplier": f"cast({multiplier} as double)",
+        "bid_target_with_multiplier": f"{data}effective_cpx_bid_micros",
+    }
+    out = rows.selectExpr(*[f"{sql} as {name}" for name, sql in columns.items()])
     return out if limit is None else out.limit(limit)

@@ -17,17 +17,18 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def scan_hours(facts: DataFrame, start: str, end: str, closed: str = "left") -> DataFrame:
     """Rows of an hour range. On a table partitioned by `dt` only those folders are listed and read."""
-    return facts.where(hour_range(F.col("dt"), start, end, closed))
+    return facts.where(hour_range("dt", start, end, closed))
 
 
-def latest_partition(snapshots: DataFrame, lookback_days: int, as_of: Column | None = None, dt: str = "dt") -> DataFrame:
+def latest_partition(
+    snapshots: DataFrame, lookback_days: int, as_of: str = "current_timestamp()", dt: str = "dt"
+) -> DataFrame:
     """One row, one column: the newest snapshot within the look-back, null when there is none.
 
     Reads the partition column alone. Use it as `df.where(F.col("dt") == latest_partition(df, 2).scalar())`:
     the comparison is a run-time partition filter, and a null newest snapshot keeps no rows.
     """
-    now = F.current_timestamp() if as_of is None else as_of
-    recent = F.to_timestamp(F.col(dt)) >= now - F.make_dt_interval(F.lit(lookback_days))
+    recent = f"to_timestamp({dt}) >= {as_of} - interval '{int(lookback_days)}' day"
     return snapshots.where(recent).agg(F.max(dt).alias("latest_dt"))
 
 

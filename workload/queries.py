@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark import functions as fx
@@ -19,7 +20,6 @@ from funnelspark.plans import (
     train_segments_v1,
     train_segments_v2,
 )
-from funnelspark.plans.bucket_tables import AXES_V1, KEYS_V1
 from funnelspark.sources import latest_partition, shared_folder, via_shared_table, write_hour, write_once
 from workload.tables import Tables
 
@@ -28,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Wide enough for every row; the hour range is a parameter of the jobs.
 START, END = "1990-01-01T00", "2100-01-01T00"
 AS_OF = "2024-01-30 12:00:00"
+NOW = f"timestamp'{AS_OF}'"
 CALIBRATION_AS_OF = "2001-12-01 00:00:00"
 CALIBRATION_DAYS = 4000
 
@@ -42,10 +43,6 @@ def query(f: Callable[[Tables], DataFrame]) -> Query:
     return run
 
 
-def as_of() -> Column:
-    return F.lit(AS_OF).cast("timestamp")
-
-
 def rounded(df: DataFrame, digits: int) -> DataFrame:
     """Double sums depend on the order of addition in their last bits; compare them rounded."""
     return df.select(
@@ -67,52 +64,50 @@ def rounded_metrics(df: DataFrame) -> DataFrame:
     )
 
 
+def counted(df: DataFrame, keys: dict[str, str] | list[str], **more: str) -> DataFrame:
+    """Rows per key, the keys given as expressions."""
+    named = keys if isinstance(keys, dict) else {k: k for k in keys}
+    return df.groupBy(*[F.expr(sql).alias(k) for k, sql in named.items()]).agg(
+        F.count("*").alias("n"), *[F.expr(sql).alias(name) for name, sql in more.items()]
+    )
+
+
 # --- scans, predicates, scalar functions ---------------------------------------------------
 
 
 @query
 def hour_range_scan(t: Tables) -> DataFrame:
     """Rows per platform inside the same bounds, under each choice of open and closed ends."""
-    dt = F.col("dt")
-    ends = ("left", "right", "both", "neither")
-    return (
-        t["impressions"]
-        .groupBy(F.col("bid__app_platform").alias("platform"))
-        .agg(
-            *[
-                F.count_if(fx.hour_range(dt, "1997-01-01T01", "2000-01-01T03", closed)).alias(f"n_{closed}")
-                for closed in ends
-            ],
-            F.count_if(fx.day_range(F.col("at"), "1997-01-01T00", "2000-01-01T00", "neither")).alias("n_day_open"),
-            F.count_if(fx.day_range(F.col("at"), "1997-01-01T05", "2000-01-01T05", "both")).alias("n_day_shifted"),
-        )
-    )
+    tests = {
+        **{
+            f"n_{closed}": fx.hour_range("dt", "1997-01-01T01", "2000-01-01T03", closed)
+            for closed in ("left", "right", "both", "neither")
+        },
+        "n_day_open": fx.day_range("at", "1997-01-01T00", "2000-01-01T00", "neither"),
+        "n_day_shifted": fx.day_range("at", "1997-01-01T05", "2000-01-01T05", "both"),
+    }
+    sums = [F.expr(f"count_if({sql})").alias(name) for name, sql in tests.items()]
+    return t["impressions"].groupBy(F.col("bid__app_platform").alias("platform")).agg(*sums)
 
 
 @query
 def iso_hour_counts(t: Tables) -> DataFrame:
-    at = F.col("event_timestamp")
-    return (
-        t["matched_app_events"]
-        .groupBy(fx.hour_ms(at).alias("hour"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(fx.iso_text(F.col("hour")).alias("hour"), fx.iso_day(F.col("hour")).alias("day"), "n")
-    )
+    hours = counted(t["matched_app_events"], {"hour": fx.hour_ms("event_timestamp")})
+    return hours.selectExpr(f"{fx.iso_text('hour')} as hour", f"{fx.iso_day('hour')} as day", "n")
 
 
 @query
 def recode_dims(t: Tables) -> DataFrame:
-    fmt = F.col("bid__creative__ad_format")
-    return (
-        t["impressions"]
-        .groupBy(
-            fx.exchange_group(F.col("bid__bid_request__exchange")).alias("exchange_group"),
-            fx.country_group(F.col("bid__bid_request__device__geo__country")).alias("country_group"),
-            fx.ad_format(fmt).alias("ad_format"),
-            fx.ad_format_group(fmt).alias("ad_format_group"),
-            fx.model_type(F.col("bid__price_data__model_type")).alias("model_type"),
-        )
-        .agg(F.count(F.lit(1)).alias("n"))
+    fmt = "bid__creative__ad_format"
+    return counted(
+        t["impressions"],
+        {
+            "exchange_group": fx.exchange_group("bid__bid_request__exchange"),
+            "country_group": fx.country_group("bid__bid_request__device__geo__country"),
+            "ad_format": fx.ad_format(fmt),
+            "ad_format_group": fx.ad_format_group(fmt),
+            "model_type": fx.model_type("bid__price_data__model_type"),
+        },
     )
 
 
@@ -142,56 +137,48 @@ def predicted_metrics_v2(t: Tables) -> DataFrame:
 
 @query
 def finite_sum(t: Tables) -> DataFrame:
-    value = F.col("predicted_revenue_micros")
-    return rounded(
-        t["ad_group_results"]
-        .groupBy("ad_group_id")
-        .agg(
-            metrics.sum_finite(value).alias("finite_revenue"),
-            F.count_if(fx.is_special(value)).alias("n_special"),
-            F.count(F.lit(1)).alias("n"),
-        ),
-        2,
+    value = "predicted_revenue_micros"
+    sums = counted(
+        t["ad_group_results"],
+        ["ad_group_id"],
+        finite_revenue=metrics.sum_finite(value),
+        n_special=f"count_if({fx.is_special(value)})",
     )
+    return rounded(sums, 2)
 
 
 @query
 def clamp_revenue(t: Tables) -> DataFrame:
-    return (
-        t["matched_app_events"]
-        .groupBy("custom_event_id", "is_viewthrough")
-        .agg(
-            F.sum(metrics.revenue_micros(F.col("customer_revenue_micros"))).alias("revenue_micros"),
-            F.count(F.lit(1)).alias("n"),
-        )
+    return counted(
+        t["matched_app_events"],
+        ["custom_event_id", "is_viewthrough"],
+        revenue_micros=f"sum({metrics.revenue_micros('customer_revenue_micros')})",
     )
 
 
 @query
 def cohort_d7(t: Tables) -> DataFrame:
-    """Order value gated by the time from order to shipment, shipments before the order included."""
-    at = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("l_shipdate"))
-    anchor = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("o_orderdate"))
-    inside = fx.in_cohort(fx.hour_ms(at), fx.hour_ms(anchor), 7)
-    return (
-        t["lineitem"]
-        .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .groupBy("l_returnflag", "l_linestatus", "o_orderpriority")
-        .agg(
-            F.sum(metrics.cohort_value(F.col("l_quantity").cast("bigint"), inside)).alias("quantity_d7"),
-            F.count_if(inside).alias("n_inside"),
-            F.count(F.lit(1)).alias("n"),
-        )
+    """Order quantity gated by the time from order to shipment, shipments before the order included."""
+
+    def ms(column: str) -> str:
+        return f"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', {column})"
+
+    inside = fx.in_cohort(fx.hour_ms(ms("l_shipdate")), fx.hour_ms(ms("o_orderdate")), 7)
+    return counted(
+        t["lineitem"].join(t["orders"], F.expr("l_orderkey = o_orderkey"), "left"),
+        ["l_returnflag", "l_linestatus", "o_orderpriority"],
+        quantity_d7=f"sum({metrics.cohort_value('cast(l_quantity as bigint)', inside)})",
+        n_inside=f"count_if({inside})",
     )
 
 
 @query
 def two_level_agg(t: Tables) -> DataFrame:
     """Sums per fine key, then per coarse key with a dimension attached."""
-    fine = (
-        t["lineitem"]
-        .groupBy("l_suppkey", "l_returnflag", "l_linestatus", "l_linenumber")
-        .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"), F.count(F.lit(1)).alias("n"))
+    fine = counted(
+        t["lineitem"],
+        ["l_suppkey", "l_returnflag", "l_linestatus", "l_linenumber"],
+        quantity="sum(cast(l_quantity as bigint))",
     )
     named = dimensions.attach(fine, t["supplier"], {"l_suppkey": "s_suppkey"}, {"s_nationkey": "nation"})
     return named.groupBy("nation", "l_returnflag", "l_linestatus").agg(
@@ -208,8 +195,8 @@ def latest_snapshot(t: Tables) -> DataFrame:
     crm = t["crm_campaigns"]
 
     def rows(days: int) -> DataFrame:
-        newest = crm.where(F.col("dt") == latest_partition(crm, days, as_of()).scalar())
-        return newest.groupBy("dt", "service_level__c").agg(F.count(F.lit(1)).alias("n")).withColumn("days", F.lit(days))
+        newest = crm.where(F.col("dt") == latest_partition(crm, days, NOW).scalar())
+        return newest.groupBy("dt", "service_level__c").agg(F.count("*").alias("n")).withColumn("days", F.lit(days))
 
     return rows(2).unionByName(rows(20)).unionByName(rows(0))
 
@@ -221,76 +208,74 @@ def primary_goal(t: Tables) -> DataFrame:
 
 @query
 def crm_campaigns_v1(t: Tables) -> DataFrame:
-    return dimensions.crm_campaign_v1(t["crm_campaigns"], t["campaigns"], as_of())
+    return dimensions.crm_campaign_v1(t["crm_campaigns"], t["campaigns"], NOW)
 
 
 @query
 def crm_campaigns_v2(t: Tables) -> DataFrame:
-    return dimensions.crm_campaign_v2(t["crm_campaigns"], t["crm_opportunities"], t["campaigns"], as_of())
+    return dimensions.crm_campaign_v2(t["crm_campaigns"], t["crm_opportunities"], t["campaigns"], NOW)
 
 
 @query
 def repeated_dimension_keys(t: Tables) -> DataFrame:
     """Campaigns that the CRM join would fan out."""
-    crm = dimensions.crm_campaign_v1(t["crm_campaigns"], t["campaigns"], as_of())
+    crm = dimensions.crm_campaign_v1(t["crm_campaigns"], t["campaigns"], NOW)
     return dimensions.repeated_keys(crm, ["campaign_id"])
 
 
 @query
 def star_enrich(t: Tables) -> DataFrame:
     """Clicks with app, campaign, tracker (through the campaign) and ad group attached."""
-    clicks = t["ad_clicks"].select(
-        F.col("impression__bid__campaign_id").alias("campaign_id"),
-        F.col("impression__bid__app_id").alias("app_id"),
-        F.col("impression__bid__customer_id").alias("customer_id"),
-        F.col("impression__bid__ad_group_id").alias("ad_group_id"),
-        F.col("impression__bid__creative__type").alias("creative_type"),
-        fx.ad_format(F.col("impression__bid__creative__ad_format")).alias("ad_format"),
-    )
-    f = dimensions.attach(
-        clicks, t["campaigns"], {"campaign_id": "id"}, {"display_name": "campaign_name", "tracker_id": "tracker_id", "vt_cap": "vt_cap"}
+    bid = "impression__bid__"
+    f = t["ad_clicks"].selectExpr(
+        f"{bid}campaign_id as campaign_id",
+        f"{bid}app_id as app_id",
+        f"{bid}customer_id as customer_id",
+        f"{bid}ad_group_id as ad_group_id",
+        f"{bid}creative__type as creative_type",
+        f"{fx.ad_format(f'{bid}creative__ad_format')} as ad_format",
     )
+    campaign = {"display_name": "campaign_name", "tracker_id": "tracker_id", "vt_cap": "vt_cap"}
+    f = dimensions.attach(f, t["campaigns"], {"campaign_id": "id"}, campaign)
     f = dimensions.attach(f, t["trackers"], {"tracker_id": "id"}, {"name": "tracker"})
     flags = {f"{k}_viewthrough_enabled": k for k in ("video", "banner", "interstitial", "native")}
     f = dimensions.attach(
         f, t["apps"], {"app_id": "id", "customer_id": "customer_id"}, {"display_name": "app_name", **flags}
     )
     f = dimensions.attach(f, t["ad_groups"], {"ad_group_id": "id"}, {"exploratory": "exploratory"})
-    return f.groupBy(
-        "campaign_name",
-        "app_name",
-        "exploratory",
-        fx.name_or_na(F.col("tracker")).alias("campaign_tracker"),
-        fx.tracker_type(F.col("tracker"), F.col("campaign_id")).alias("campaign_tracker_type"),
-        fx.vio_enrolled(F.col("vt_cap")).alias("is_enrolled_in_vio"),
-        fx.viewthrough_enabled(F.col("creative_type"), F.col("ad_format"), *[F.col(c) for c in flags.values()]).alias(
-            "viewthrough_enabled"
-        ),
-    ).agg(F.count(F.lit(1)).alias("n"))
+    return counted(
+        f,
+        {
+            "campaign_name": "campaign_name",
+            "app_name": "app_name",
+            "exploratory": "exploratory",
+            "campaign_tracker": fx.name_or_na("tracker"),
+            "campaign_tracker_type": fx.tracker_type("tracker", "campaign_id"),
+            "is_enrolled_in_vio": fx.vio_enrolled("vt_cap"),
+            "viewthrough_enabled": fx.viewthrough_enabled("creative_type", "ad_format", *flags.values()),
+        },
+    )
 
 
 @query
 def null_rejecting_join(t: Tables) -> DataFrame:
     """An outer join whose filter on the right side makes it inner."""
-    joined = t["orders"].join(t["lineitem"], F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return (
-        joined.where((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 25))
-        .groupBy("o_orderstatus", "o_orderpriority", "l_linestatus")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    joined = t["orders"].join(t["lineitem"], F.expr("o_orderkey = l_orderkey"), "left")
+    kept = joined.where("l_returnflag = 'R' and l_quantity > 25")
+    return counted(kept, ["o_orderstatus", "o_orderpriority", "l_linestatus"])
 
 
 # --- buckets -------------------------------------------------------------------------------
 
-_FLAG_STATUS = {"l_returnflag": F.col, "l_linestatus": F.col}
+_FLAG_STATUS = {"l_returnflag": "l_returnflag", "l_linestatus": "l_linestatus"}
 
 
 def _lineitem_segments(t: Tables) -> DataFrame:
     """Segments over price and over the heavily tied discount."""
     return buckets.train_buckets(
         t["lineitem"],
-        {k: col(k) for k, col in _FLAG_STATUS.items()},
-        {"price": F.col("l_extendedprice") / F.lit(1e6), "discount": F.col("l_discount")},
+        _FLAG_STATUS,
+        {"price": "l_extendedprice / 1e6D", "discount": "l_discount"},
         method="exact",
     )
 
@@ -300,12 +285,10 @@ def percentile_cuts_exact(t: Tables) -> DataFrame:
     cuts = percentiles.exact_cuts(
         t["lineitem"],
         ["l_returnflag", "l_linestatus"],
-        {"price": F.col("l_extendedprice"), "discount": F.col("l_discount")},
+        {"price": "l_extendedprice", "discount": "l_discount"},
     )
-    return cuts.select(
-        "l_returnflag",
-        "l_linestatus",
-        F.posexplode(F.arrays_zip("price", "discount")).alias("position", "cut"),
+    return cuts.selectExpr(
+        "l_returnflag", "l_linestatus", "posexplode(arrays_zip(price, discount)) as (position, cut)"
     ).select("l_returnflag", "l_linestatus", "position", "cut.price", "cut.discount")
 
 
@@ -318,31 +301,18 @@ def percentile_cuts_sketch(t: Tables) -> DataFrame:
     """
     keys = ["l_returnflag", "l_linestatus"]
     rows = t["lineitem"].select(*keys, F.col("l_extendedprice").alias("x"))
-    cuts = via_shared_table(percentiles.sketch_cuts(rows, keys, {"cuts": F.col("x")}), "sketch-cuts")
-    n = len(percentiles.PROBABILITIES)
-    counted = (
-        rows.join(cuts, keys)
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            *[F.count_if(F.col("x") < F.col("cuts")[i]).alias(f"below_{i}") for i in range(n)],
-            *[F.count_if(F.col("x") <= F.col("cuts")[i]).alias(f"upto_{i}") for i in range(n)],
-        )
-    )
+    cuts = via_shared_table(percentiles.sketch_cuts(rows, keys, {"cuts": "x"}), "sketch-cuts")
     tolerance = 0.005
-    checks = F.array(
-        *[
-            F.struct(
-                F.lit(p).alias("probability"),
-                (
-                    (F.col(f"below_{i}") <= (p + tolerance) * F.col("n_rows"))
-                    & (F.col(f"upto_{i}") >= (p - tolerance) * F.col("n_rows"))
-                ).alias("within_tolerance"),
-            )
-            for i, p in enumerate(percentiles.PROBABILITIES)
-        ]
-    )
-    return counted.select(*keys, "n_rows", F.inline(checks))
+    counts, checks = {}, []
+    for i, p in enumerate(percentiles.PROBABILITIES):
+        counts[f"below_{i}"] = f"count_if(x < cuts[{i}])"
+        counts[f"upto_{i}"] = f"count_if(x <= cuts[{i}])"
+        checks.append(
+            f"named_struct('probability', {p}D, 'within_tolerance',"
+            f" below_{i} <= {p + tolerance} * n and upto_{i} >= {p - tolerance} * n)"
+        )
+    ranked = counted(rows.join(cuts, keys), keys, **counts)
+    return ranked.selectExpr(*keys, "n as n_rows", f"inline(array({', '.join(checks)}))")
 
 
 @query
@@ -373,8 +343,8 @@ def bucket_assign(t: Tables) -> DataFrame:
     cells = buckets.assign_bucket(
         t["lineitem"],
         segments,
-        {k: col(k) for k, col in _FLAG_STATUS.items()},
-        {"price": (F.col("l_extendedprice"), 1e6), "discount": (F.col("l_discount"), 1.0)},
+        _FLAG_STATUS,
+        {"price": ("l_extendedprice", 1e6), "discount": ("l_discount", 1.0)},
     )
     return cells.groupBy(
         "l_returnflag", "l_linestatus", "price_percentile", "discount_percentile", "price_percentile_low", "discount_percentile_high"
@@ -384,20 +354,23 @@ def bucket_assign(t: Tables) -> DataFrame:
 @query
 def bucket_table_round_trip(t: Tables) -> DataFrame:
     """Grid written once, read back, folded to segments and expanded again."""
-    spark = t.spark
     grid = via_shared_table(prediction_bucket_v2(t["impressions"], START, END, method="exact"), "grid")
     axes = ["convx", "private_cpm"]
     segments = buckets.segments_from_grid(grid, ["platform", "model_type"], axes)
     return buckets.bucket_grid(segments, axes)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @query
 def write_once_keeps_first(t: Tables) -> DataFrame:
     """A second create-once leaves the first result in place."""
     spark = t.spark
-    folder = via_folder(spark, "once")
+    folder = new_folder(spark, "once")
     table = folder.rsplit("/", 1)[1].replace("-", "_")
-    first = t["lineitem"].groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    first = t["lineitem"].groupBy("l_returnflag").agg(F.count("*").alias("n"))
     write_once(first, table, folder)
     write_once(first.withColumn("n", F.lit(0).cast("bigint")), table, folder)
     return spark.table(table)
@@ -407,20 +380,14 @@ def write_once_keeps_first(t: Tables) -> DataFrame:
 def write_hour_replaces_hour(t: Tables) -> DataFrame:
     """Two days written, one of them written again: it is replaced, the other is kept."""
     spark = t.spark
-    folder = via_folder(spark, "hours")
-    counts = t["matched_app_events"].groupBy("custom_event_id").agg(F.count(F.lit(1)).alias("n"))
+    folder = new_folder(spark, "hours")
+    counts = t["matched_app_events"].groupBy("custom_event_id").agg(F.count("*").alias("n"))
     write_hour(counts, folder, "2024-01-01T00")
     write_hour(counts, folder, "2024-01-01T01")
     write_hour(counts.withColumn("n", F.col("n") * 10), folder, "2024-01-01T01")
     return spark.read.schema("custom_event_id bigint, n bigint, dt string").parquet(folder)
 
 
-def via_folder(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # --- funnel --------------------------------------------------------------------------------
 
 
@@ -430,19 +397,20 @@ def attribution_coalesce(t: Tables) -> DataFrame:
     bid = "impression__bid__"
     exchange = f"{bid}bid_request__exchange"
     latest, origin = fx.LATEST_FIRST, fx.ORIGIN_FIRST
-    return (
-        t["matched_app_events"]
-        .groupBy(
-            fx.first_chain(f"{bid}app_platform", origin).alias("platform_v1"),
-            fx.first_chain(f"{bid}app_platform", latest).alias("platform_v2"),
-            fx.exchange_group(fx.first_chain(exchange, origin), emit=fx.first_chain(exchange, latest)).alias("exchange_group"),
-            fx.country_group(fx.first_country(origin)).alias("country_group"),
-            fx.first_chain(f"{bid}campaign_id", latest).alias("campaign_id"),
-            fx.ad_format(fx.first_chain(f"{bid}creative__ad_format", origin)).alias("ad_format"),
-            fx.model_type(fx.first_chain(f"{bid}price_data__model_type", latest)).alias("model_type"),
-            fx.first_chain("click_source", latest).alias("click_source"),
-        )
-        .agg(F.count(F.lit(1)).alias("n"))
+    return counted(
+        t["matched_app_events"],
+        {
+            "platform_v1": fx.first_chain(f"{bid}app_platform", origin),
+            "platform_v2": fx.first_chain(f"{bid}app_platform", latest),
+            "exchange_group": fx.exchange_group(
+                fx.first_chain(exchange, origin), emit=fx.first_chain(exchange, latest)
+            ),
+            "country_group": fx.country_group(fx.first_country(origin)),
+            "campaign_id": fx.first_chain(f"{bid}campaign_id", latest),
+            "ad_format": fx.ad_format(fx.first_chain(f"{bid}creative__ad_format", origin)),
+            "model_type": fx.model_type(fx.first_chain(f"{bid}price_data__model_type", latest)),
+            "click_source": fx.first_chain("click_source", latest),
+        },
     )
 
 
@@ -450,14 +418,14 @@ def attribution_coalesce(t: Tables) -> DataFrame:
 def target_events(t: Tables) -> DataFrame:
     """Events matching their campaign's target, and first occurrences among them."""
     campaign = fx.first_chain("impression__bid__campaign_id", fx.LATEST_FIRST)
-    joined = (
-        t["matched_app_events"]
-        .withColumn("campaign_id", campaign)
-        .join(dimensions.campaign_targets(t["campaigns"]), F.col("campaign_id") == F.col("target_campaign_id"), "left")
+    joined = t["matched_app_events"].join(
+        dimensions.campaign_targets(t["campaigns"]), F.expr(f"{campaign} = target_campaign_id"), "left"
     )
-    terms = metrics.target_event_terms(F.col("cpa_target_event_id"), F.col("custom_event_id"), F.col("first_occurrence"))
-    return joined.groupBy("campaign_id", "target_customer_id").agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(name) for name, c in terms.items()]
+    terms = metrics.target_event_terms("cpa_target_event_id", "custom_event_id", "first_occurrence")
+    return counted(
+        joined,
+        {"campaign_id": campaign, "target_customer_id": "target_customer_id"},
+        **{name: f"sum({sql})" for name, sql in terms.items()},
     )
 
 
@@ -477,12 +445,12 @@ def funnel_v2(t: Tables) -> DataFrame:
 
 @query
 def platform_health_v1_report(t: Tables) -> DataFrame:
-    return rounded_metrics(platform_health_v1(t, _segments(t), START, END, as_of()))
+    return rounded_metrics(platform_health_v1(t, _segments(t), START, END, NOW))
 
 
 @query
 def platform_health_v2_report(t: Tables) -> DataFrame:
-    return rounded_metrics(platform_health_v2(t, START, END, as_of()))
+    return rounded_metrics(platform_health_v2(t, START, END, NOW))
 
 
 @query
@@ -490,7 +458,7 @@ def revenue_calibration_series(t: Tables) -> DataFrame:
     series = revenue_calibration(
         t["ad_group_results"],
         t["ad_group_history"],
-        F.make_dt_interval(F.lit(CALIBRATION_DAYS)),
-        F.lit(CALIBRATION_AS_OF).cast("timestamp_ntz"),
+        f"interval '{CALIBRATION_DAYS}' day",
+        f"timestamp_ntz'{CALIBRATION_AS_OF}'",
     )
     return rounded(series, 6)
