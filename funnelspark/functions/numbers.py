@@ -6,14 +6,11 @@ from __future__ import annotations
 def ieee_div(numerator: str, denominator: str) -> str:
     """Floating division that yields ±Infinity or NaN at zero instead of raising.
 
-    A null on either side stays null. Zero divisors are taken as positive zero.
+    At zero the result is the numerator times Infinity, which has the sign of the numerator, is
+    NaN for zero and stays null for null. Zero divisors are taken as positive zero.
     """
     n, d = f"cast({numerator} as double)", f"cast({denominator} as double)"
-    at_zero = (
-        f"case when {n} = 0 or isnan({n}) then double('NaN')"
-        f" when {n} > 0 then double('Infinity') when {n} < 0 then double('-Infinity') end"
-    )
-    return f"(case when {d} = 0 then {at_zero} else {n} / {d} end)"
+    return f"(case when {d} = 0 then {n} * double('Infinity') else {n} / {d} end)"
 
 
 def cap(value: str, ceiling: float) -> str:

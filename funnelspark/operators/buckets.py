@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,18 +86,17 @@ def segments_from_grid(grid: DataFrame, keys: Sequence[str], axes: Sequence[str]
     )
 
 
-def _interval_index(value: str, lows: str, first: int, last: int) -> str:
+def _interval_index(value: str, edge: Callable[[int], str], first: int, last: int) -> str:
     """Position of the last interval among first..last whose low edge is at or below value.
 
-    Edges ascend from position 1 on, so halving finds it in four comparisons, all inside
-    generated code (an array lambda would be interpreted per element).
+    Edges ascend from position 1 on, so halving finds it in four comparisons.
     """
     if first == last:
         return str(first)
     middle = (first + last + 1) // 2
-    upper = _interval_index(value, lows, middle, last)
-    lower = _interval_index(value, lows, first, middle - 1)
-    return f"case when {value} >= {lows}[{middle}] then {upper} else {lower} end"
+    upper = _interval_index(value, edge, middle, last)
+    lower = _interval_index(value, edge, first, middle - 1)
+    return f"case when {value} >= {edge(middle)} then {upper} else {lower} end"
 
 
 def assign_bucket(
@@ -113,40 +112,47 @@ def assign_bucket(
     edge, not the value: the two round differently). Rows whose segment is not trained, or with
     a null, NaN or below-range value, are dropped.
 
-    The small side has one row per segment, not one per cell; the cell is then looked up per
-    axis. Beyond the broadcast threshold Spark sort-merges and splits hot segments at run time.
+    The small side has one row per segment, not one per cell, and brings only the low edges as
+    numbers (a high edge is the next low one): joined rows stay narrow, and the cell is looked
+    up per axis. Beyond the broadcast threshold Spark sort-merges and splits hot segments at
+    run time.
     """
+    n = len(LABELS)
     small = segments.selectExpr(
         *[f"{k} as _key_{k}" for k in keys],
-        *[f"{a} as _cells_{a}" for a in axes],
-        *[
-            f"transform({a}, cell -> cell.low * {float(factor)!r}D) as _lows_{a}"
-            for a, (_, factor) in axes.items()
-        ],
+        *[f"{a}[{i}].low as _low_{a}_{i}" for a in axes for i in range(n)],
     )
     probe = facts.selectExpr(
         "*",
         *[f"{sql} as _probe_{k}" for k, sql in keys.items()],
         *[f"cast({sql} as double) as _value_{a}" for a, (sql, _) in axes.items()],
     )
-    comparable = " and ".join(f"_value_{a} is not null and not isnan(_value_{a})" for a in axes)
+
+    def edge(axis: str) -> Callable[[int], str]:
+        factor = float(axes[axis][1])
+        return lambda i: f"_low_{axis}_{i} * {factor!r}D" if factor != 1 else f"_low_{axis}_{i}"
+
     same_segment = " and ".join(f"_probe_{k} = _key_{k}" for k in keys)
-    in_range = " and ".join(f"_value_{a} >= _lows_{a}[_index_{a}]" for a in axes)
-    located = (
-        probe.where(comparable)
-        .join(small, F.expr(same_segment))
-        .selectExpr(
-            "*",
-            *[f"{_interval_index(f'_value_{a}', f'_lows_{a}', 0, len(LABELS) - 1)} as _index_{a}" for a in axes],
-        )
-        .where(in_range)
+    # A row has a cell when it reaches the first edge or the first cut, whichever is lower.
+    # Null fails every comparison; NaN, which Spark sorts above all, fails the one with Infinity.
+    has_cell = " and ".join(
+        f"_value_{a} <= double('Infinity') and _value_{a} >= least({edge(a)(0)}, {edge(a)(1)})" for a in axes
+    )
+    located = probe.join(small, F.expr(f"{same_segment} and {has_cell}")).selectExpr(
+        *[f"`{c}`" for c in facts.columns],
+        *[f"array({', '.join(f'_low_{a}_{i}' for i in range(n))}) as _lows_{a}" for a in axes],
+        *[f"{_interval_index(f'_value_{a}', edge(a), 0, n - 1)} as _index_{a}" for a in axes],
     )
     return located.selectExpr(
         *[f"`{c}`" for c in facts.columns],
         *[
-            f"_cells_{a}[_index_{a}].{field} as {a}_percentile{suffix}"
+            sql
             for a in axes
-            for field, suffix in (("low", "_low"), ("high", "_high"), ("name", ""))
+            for sql in (
+                f"get(_lows_{a}, _index_{a}) as {a}_percentile_low",
+                f"get(_lows_{a}, _index_{a} + 1) as {a}_percentile_high",
+                f"get({_NAMES}, _index_{a}) as {a}_percentile",
+            )
         ],
     )
 

@@ -18,9 +18,19 @@ SETTINGS = {
     # Sketch aggregation keeps one small sketch per segment; a few thousand
     # segments per task still fit, so do not fall back to sorting at 128.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # The JVM does not compile methods over 8,000 bytes, and fusing a funnel projection with a
+    # sum over 27 keys makes longer ones. Those stages run as separate, compiled projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Bring a session made elsewhere to these settings; all of them can change at run time."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app_name: str = "funnelspark", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:

@@ -6,7 +6,15 @@ joins, `quantile_disc`, text comparison of hours.
 
 from __future__ import annotations
 
-from workload.queries import AS_OF, CALIBRATION_AS_OF, CALIBRATION_DAYS, END, START, metric_digits
+from workload.queries import (
+    AS_OF,
+    CALIBRATION_AS_OF,
+    CALIBRATION_DAYS,
+    END,
+    START,
+    large_sum_digits,
+    metric_digits,
+)
 from workload.tables import duckdb_select
 
 ORACLES: dict[str, str] = {}
@@ -150,7 +158,7 @@ for _variant in ("v1", "v2"):
     ORACLES[f"predicted_metrics_{_variant}"] = f"""
 {_with("impressions")}
 select bid__campaign_id, bid__app_platform, bid__ad_group_type, bid__creative__type,
-  {", ".join(f"round(sum({sql}), 3) as {name}" for name, sql in _terms(_variant).items())}
+  {", ".join(f"round(sum({sql}), {large_sum_digits(name)}) as {name}" for name, sql in _terms(_variant).items())}
 from impressions group by all
 """
 
@@ -735,10 +743,10 @@ _CALIBRATION_WINDOW = (
 ORACLES["revenue_calibration_series"] = f"""
 {_with("ad_group_results", "ad_group_history")}
 select r.time_bucket as "time",
-  round(cast(sum(h.revenue_micros) as double) / 1e6, 6) as revenue,
-  round(sum(r.predicted_revenue_micros) filter (where isfinite(r.predicted_revenue_micros)) / 1e6, 6) as predicted_revenue,
-  round(sum(r.suggested_revenue_micros) / 1e6, 6) as suggested_revenue,
-  round(sum(r.planned_revenue_micros) / 1e6, 6) as planned_revenue
+  round(cast(sum(h.revenue_micros) as double) / 1e6, 8) as revenue,
+  round(sum(r.predicted_revenue_micros) filter (where isfinite(r.predicted_revenue_micros)) / 1e6, 8) as predicted_revenue,
+  round(sum(r.suggested_revenue_micros) / 1e6, 8) as suggested_revenue,
+  round(sum(r.planned_revenue_micros) / 1e6, 8) as planned_revenue
 from ad_group_results r
 join ad_group_history h on h.time_bucket = r.time_bucket and h.ab_test_group_ids = r.ab_test_group_ids
   and h.ad_group_id = r.ad_group_id

@@ -57,6 +57,11 @@ def metric_digits(name: str) -> int:
     return 9
 
 
+def large_sum_digits(name: str) -> int:
+    """The same for sums over thousands of rows."""
+    return 3 if "_micros_" in name else 7
+
+
 def rounded_metrics(df: DataFrame) -> DataFrame:
     sums = {m for m in metrics.METRICS if dict(df.dtypes)[m] == "double"}
     return df.select(
@@ -122,7 +127,10 @@ def bid_economics(t: Tables) -> DataFrame:
 
 def _predicted(t: Tables, variant: str) -> DataFrame:
     keys = ["bid__campaign_id", "bid__app_platform", "bid__ad_group_type", "bid__creative__type"]
-    return rounded(t["impressions"].groupBy(*keys).agg(*metrics.predicted_metrics(variant)), 3)
+    sums = t["impressions"].groupBy(*keys).agg(*metrics.predicted_metrics(variant))
+    return sums.select(
+        *keys, *[F.round(c, large_sum_digits(c)).alias(c) for c in metrics.predicted_terms(variant)]
+    )
 
 
 @query
@@ -461,4 +469,4 @@ def revenue_calibration_series(t: Tables) -> DataFrame:
         f"interval '{CALIBRATION_DAYS}' day",
         f"timestamp_ntz'{CALIBRATION_AS_OF}'",
     )
-    return rounded(series, 6)
+    return rounded(series, 8)

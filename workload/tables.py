@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from funnelspark.session import apply_settings
+
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -21,23 +23,17 @@ class Dialect:
     """The few functions the two engines spell differently."""
 
     epoch_ms: Callable[[str], str]
-    hour_text: Callable[[str], str]
     longs: Callable[[str], str]
     quote: str
 
 
 SPARK = Dialect(
     epoch_ms=lambda ts: f"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', {ts})",
-    hour_text=lambda ms: (
-        f"substr(replace(cast(timestampadd(SECOND, cast(floor(({ms}) / 1000) as bigint),"
-        " timestamp_ntz'1970-01-01 00:00:00') as string), ' ', 'T'), 1, 13)"
-    ),
     longs=lambda items: f"array({items})",
     quote="`",
 )
 DUCKDB = Dialect(
     epoch_ms=lambda ts: f"(epoch_us({ts}) // 1000)",
-    hour_text=lambda ms: f"strftime(make_timestamp(({ms}) * 1000), '%Y-%m-%dT%H')",
     longs=lambda items: f"[{items}]",
     quote='"',
 )
@@ -194,7 +190,7 @@ def derivations(d: Dialect) -> dict[str, str]:
         return f"select {body} from {source}" + (f" where {where}" if where else "")
 
     def fact(columns: dict[str, str], event_type: str) -> str:
-        return select({**columns, "dt": d.hour_text("t_ms")}, events, f"event_type = '{event_type}'")
+        return select({**columns, "dt": "replace(substr(cast(ts as string), 1, 13), ' ', 'T')"}, events, f"event_type = '{event_type}'")
 
     click = {
         "at": "t_ms",
@@ -211,7 +207,7 @@ def derivations(d: Dialect) -> dict[str, str]:
                 **_bid_from_lineitem(),
                 "spend_micros": "cast(floor(l_quantity * 1000 * (1 - l_tax)) as bigint)",
                 "revenue_micros": "case when l_quantity = 1 then 0 else cast(floor(l_quantity * 1000) as bigint) end",
-                "dt": d.hour_text("t_ms"),
+                "dt": "cast(year(l_shipdate) as string) || '-01-01T0' || substr('013', cast(l_linenumber % 3 as int) + 1, 1)",
             },
             lineitems,
         ),
@@ -345,7 +341,7 @@ class Tables:
     """The given and derived tables of one folder, as lazy DataFrames."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark = apply_settings(spark)
         self.given = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in GIVEN}
         self._sql = derivations(SPARK)
 
