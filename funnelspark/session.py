@@ -27,7 +27,8 @@ SETTINGS = {
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Bring a session made elsewhere to these settings; all of them can change at run time."""
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -338,19 +338,26 @@ def derivations(d: Dialect) -> dict[str, str]:
 
 
 class Tables:
-    """The given and derived tables of one folder, as lazy DataFrames."""
+    """The given and derived tables of one folder, as lazy DataFrames, each opened when first used."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = apply_settings(spark)
-        self.given = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in GIVEN}
-        self._sql = derivations(SPARK)
+        self.folder = folder
+        self._opened: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in self.given:
-            return self.given[name]
-        sql = self._sql[name]
-        used = {t: df for t, df in self.given.items() if f"{{{t}}}" in sql}
-        return self.spark.sql(sql, **used)
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
+
+    def _open(self, name: str) -> DataFrame:
+        if name in GIVEN:
+            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        sql = _SPARK_SQL[name]
+        return self.spark.sql(sql, **{t: self[t] for t in GIVEN if f"{{{t}}}" in sql})
+
+
+_SPARK_SQL = derivations(SPARK)
 
 
 def duckdb_select(name: str) -> str:
