@@ -27,3 +27,42 @@ def op10_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     from funnelspark.llm.packing import pack_documents
 
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op5_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
+    from funnelspark.llm.mixing import pareto_mix
+
+    mixed = pareto_mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
+    return mixed.selectExpr(
+        "doc_id",
+        "mix_size as size",
+        "mix_source_size as source_size",
+        "mix_target as target",
+        "mix_size * mix_copies as taken",
+    )
+
+
+@query
+def op6_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    from funnelspark.llm.exact_dedup import exact_groups
+
+    return exact_groups(table(spark, folder, "documents"))
+
+
+ORACLES["op6_chunk_recipes"] = r"""
+with plain as (
+    select doc_id, coalesce(length(text), 0) as n_points,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as plain
+    from documents
+), ranked as (
+    select *, row_number() over (partition by plain order by n_points desc, doc_id) as place
+    from plain
+)
+select doc_id,
+       first_value(doc_id) over (partition by plain order by place) as keep_id,
+       count(*) over (partition by plain) as group_size,
+       place = 1 as kept,
+       sha256(plain) as text_sha256
+from ranked
+"""
