@@ -66,3 +66,145 @@ select doc_id,
        sha256(plain) as text_sha256
 from ranked
 """
+
+
+@query
+def op4_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    from funnelspark.llm.chat import format_paths, number_messages, read_back
+
+    said = "</s>[INST] ok [/INST]"
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], conversations.schema)
+    read = read_back(format_paths(number_messages(conversations.unionByName(probe))))
+    learned = "array_join(transform(messages, m -> m.learned), '')"
+    return read.selectExpr(
+        "conv_id",
+        "cast(size(messages) as bigint) as n_turns",
+        r"sha2(array_join(transform(messages, m -> concat(m.role, '\n', m.text, '\n')), ''), 256) as turns_sha256",
+        f"cast(length({learned}) as bigint) as loss_chars",
+        f"sha2({learned}, 256) as loss_sha256",
+        "cast(length(formatted) as bigint) as formatted_chars",
+    )
+
+
+ORACLES["op4_reply_trees"] = r"""
+with rows as (
+    select conv_id, turn, role, text from conversations
+    union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), said as (
+    select conv_id, turn, role, text, coalesce(role, '') as r, coalesce(text, '') as t from rows
+    where conv_id is not null
+), escaped as (
+    select *, replace(replace(replace(replace(replace(r || chr(1) || t, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'),
+                      '[INST]', '[\INST]'), '[/INST]', '[\/INST]') as e
+    from said
+)
+select conv_id,
+       count(*) as n_turns,
+       sha256(string_agg(r || chr(10) || t || chr(10), '' order by turn nulls first, role nulls first, text nulls first)) as turns_sha256,
+       coalesce(sum(length(t)) filter (r = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(t, '' order by turn nulls first, text nulls first) filter (r = 'assistant'), '')) as loss_sha256,
+       sum(length(e) - 1 + length('<s>[INST]  [/INST]</s>'))::bigint as formatted_chars
+from escaped
+group by conv_id
+"""
+
+
+@query
+def op2_ordinal_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from funnelspark.llm.toxicity import score, train
+
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = train(documents, table(spark, folder, "labels"))
+    return score(documents, model).drop("text")
+
+
+@query
+def op1_hierarchical_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents have no addresses: their source is the host, and its languages are the paths."""
+    from funnelspark.llm.quality import posterior_quality, train
+
+    documents = table(spark, folder, "documents").selectExpr("doc_id", "source as host", "lang as path", "text")
+    labels = table(spark, folder, "labels")
+    return posterior_quality(documents, labels, train(documents, labels))
+
+
+#: Dated list entries and fetch times derived from the pages' own addresses: digests give the days.
+_HOST = r"lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1))"
+_CAPTURES = f"""
+    select page_id, url, {_HOST} as host, regexp_extract(url, '^[a-z]+://[^/?#]*/([^/?#]*)', 1) as segment,
+           1672531200 + (page_id * 2654435761) % 63072000 as fetched
+    from pages
+"""
+_ENTRIES = """
+    select host as pattern, 'block' as action, listed from listed_hosts where code % 3 = 0
+    union all select host, 'remove', listed + 90 * 86400 from listed_hosts where code % 6 = 0
+    union all select host, 'block', listed + 200 * 86400 from listed_hosts where code % 12 = 0
+    union all select regexp_extract(host, '[^.]+[.][^.]+$', 0), 'block', 1672531200 + (code % 700) * 86400 from listed_hosts where code % 97 = 0
+    union all select host || '/' || segment, 'allow', 1672531200 + (code % 500) * 86400 from listed_paths where code % 2 = 0 and segment != ''
+"""
+_LISTED = """
+    listed_hosts as (
+        select host, {code} as code, 1672531200 + ({code} % 600) * 86400 as listed
+        from (select distinct host from captures) as h
+    ), listed_paths as (
+        select host, segment, {code} as code from (select distinct host, segment from captures) as p
+    )
+"""
+
+
+@query
+def op9_temporal_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page against a list of hosts, domains and sections that changes over two years."""
+    from funnelspark.llm.url_filter import evaluate
+
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    captures = spark.sql(_CAPTURES.replace("from pages", "from {pages}"), pages=pages)
+    code = "cast(conv(substring(md5(host), 1, 7), 16, 10) as bigint)"
+    entries = spark.sql(f"with captures as (select * from {{captures}}), {_LISTED.format(code=code)} {_ENTRIES}", captures=captures)
+    decided = evaluate(
+        captures.selectExpr("page_id as capture_id", "url", "timestamp_seconds(fetched) as fetched_at"),
+        entries.selectExpr("pattern", "action", "timestamp_seconds(listed) as listed_at"),
+    )
+    return decided.selectExpr(
+        "capture_id as page_id", "verdict", "pattern", "unix_seconds(listed_from) as listed_from", "coalesce(verdict = 'block', false) as blocked"
+    )
+
+
+_CODE = "('0x' || substring(md5(host), 1, 7))::bigint"
+ORACLES["op9_temporal_lists"] = f"""
+with captures as ({_CAPTURES}), {_LISTED.format(code=_CODE)}, entries as ({_ENTRIES}),
+per_second as (
+    select pattern, listed, arg_min(action, case action when 'block' then 0 when 'allow' then 1 else 2 end) as verdict
+    from entries group by pattern, listed
+), intervals as (
+    select pattern, verdict, listed as valid_from, lead(listed) over (partition by pattern order by listed) as valid_to from per_second
+), keys as (
+    select page_id, fetched, host || '/' || segment as key, 1 as depth, 9 as labels from captures where segment != ''
+    union all
+    select page_id, fetched, array_to_string(list_slice(parts, i, len(parts)), '.'), 0, len(parts) - i + 1
+    from (select page_id, fetched, parts, unnest(range(1, len(parts) + 1)) as i
+          from (select page_id, fetched, string_split(host, '.') as parts from captures) as a) as b
+), best as (
+    select page_id, verdict, pattern, valid_from, row_number() over (partition by page_id order by depth desc, labels desc) as place
+    from keys join intervals
+      on key = pattern and fetched >= valid_from and (valid_to is null or fetched < valid_to) and verdict != 'remove'
+)
+select c.page_id, b.verdict, b.pattern, b.valid_from::bigint as listed_from, coalesce(b.verdict = 'block', false) as blocked
+from captures as c left join best as b on c.page_id = b.page_id and b.place = 1
+"""
+
+
+@query
+def op8_k_means_tree(spark: SparkSession, folder: str) -> DataFrame:
+    from funnelspark.llm.nearest import neighbours
+
+    vectors = table(spark, folder, "embeddings")
+    return neighbours(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query
+def op7_adaptive_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    from funnelspark.llm.ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))

@@ -21,6 +21,8 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACES = _random.integers(1, 1 << 63, 8, dtype=np.uint64) | U64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: ASCII punctuation and digits end words too where words are features.
+PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalpha())
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: dict[int, np.ndarray] = {}
@@ -58,14 +60,18 @@ def slices(texts: Iterable[bytes], most: int = SLICE_BYTES) -> Iterator[tuple[in
         yield first, run
 
 
-def hash_words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(texts: list[bytes], lower: bool = False, also_between: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word of every text, in order, and the index of its text."""
+    space = _SPACE
+    if also_between:
+        space = space.copy()
+        space[list(also_between)] = True
     joined = b"\n".join(texts)
     data = np.frombuffer(joined, dtype=np.uint8)
     if lower:
         data = _LOWER[data]
     word = np.zeros(len(data) + 2, dtype=np.int8)
-    word[1:-1] = ~_SPACE[data]
+    word[1:-1] = ~space[data]
     edge = np.diff(word)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(starts):
