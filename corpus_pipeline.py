@@ -1,7 +1,8 @@
 """A training corpus from `documents`, in stages that each write Parquet for the next one.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
-of `documents`.
+of `documents`. Null texts count as empty and pass; repeated rows are documents of their own until
+the near-duplicate stage; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -12,21 +13,52 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from funnelspark.llm.line_dedup import drop_lines
+from funnelspark.llm.mixing import mixed_documents
+from funnelspark.llm.ngram_join import one_of_each
 from funnelspark.llm.packing import pack_documents
+from funnelspark.llm.toxicity import reject, train
 from funnelspark.sources.sinks import shared_folder
 
 # Text classifiers, set joins and best-fit packing are beyond SQL; the stages are tested one by one
 # against brute force.
 ORACLE_SQL = None
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are more likely toxic than not, by a model fitted on the folder's labels, go."""
+    return reject(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that match an earlier line go, and documents of which no words are left after that."""
+    cut = drop_lines(docs)
+    return cut.where(r"removed_lines is null or text rlike '[^\\x20\\x09-\\x0D]'").select(*docs.columns)
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of the smallest doc_id stays."""
+    return one_of_each(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them, up to three times."""
+    return mixed_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1,024 tokens; one row per piece of a document."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("best-fit packing", pack),
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_join),
+    ("mixing sources to target weights", mixing),
+    ("best-fit packing", packing),
 ]
 
 

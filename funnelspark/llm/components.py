@@ -18,7 +18,7 @@ def components(links: DataFrame) -> DataFrame:
     links = via_shared_table(links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     labels = None
     while not links.isEmpty():
-        ends = links.selectExpr("inline(array(struct(a as node, a as to), struct(b, a)))")
+        ends = links.selectExpr("inline(array(struct(a as node, b as to), struct(b as node, a as to)))")
         to = via_shared_table(ends.groupBy("node").agg(F.least("node", F.min("to")).alias("to")), "pointers")
         while True:
             further = to.select(F.col("node").alias("to"), F.col("to").alias("next"))

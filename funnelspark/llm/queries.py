@@ -208,3 +208,10 @@ def op7_adaptive_prefixes(spark: SparkSession, folder: str) -> DataFrame:
     from funnelspark.llm.ngram_join import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from funnelspark.llm.line_dedup import drop_lines
+
+    return drop_lines(table(spark, folder, "documents").select("doc_id", "text"))

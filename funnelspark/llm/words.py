@@ -97,7 +97,7 @@ def hash_shingles(words: np.ndarray, text_of: np.ndarray, k: int = 5) -> tuple[n
         inside = text_of[: n - k + 1] == text_of[k - 1 :]
         parts.append(mix(total[inside]))
         owners.append(text_of[: n - k + 1][inside])
-    first = np.flatnonzero(np.diff(text_of, prefix=-1))
+    first = np.flatnonzero(np.diff(text_of, prepend=-1))
     counts = np.diff(np.append(first, n))
     for i, m in zip(first[counts < k], counts[counts < k]):
         whole = (words[i : i + m] * _PLACES[:m]).sum(dtype=np.uint64) + U64(m) * U64(0xD6E8FEB86659FD93)
