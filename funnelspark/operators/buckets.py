@@ -112,15 +112,14 @@ def assign_bucket(
     edge, not the value: the two round differently). Rows whose segment is not trained, or with
     a null, NaN or below-range value, are dropped.
 
-    The small side has one row per segment, not one per cell, and brings only the low edges as
-    numbers (a high edge is the next low one): joined rows stay narrow, and the cell is looked
-    up per axis. Beyond the broadcast threshold Spark sort-merges and splits hot segments at
+    The small side has one row per segment, not one per cell, and brings one array of low edges per
+    axis (a high edge is the next low one), in which the cell is looked up. Beyond the broadcast threshold Spark sort-merges and splits hot segments at
     run time.
     """
     n = len(LABELS)
     small = segments.selectExpr(
         *[f"{k} as _key_{k}" for k in keys],
-        *[f"{a}[{i}].low as _low_{a}_{i}" for a in axes for i in range(n)],
+        *[f"{a}.low as _lows_{a}" for a in axes],
     )
     probe = facts.selectExpr(
         "*",
@@ -130,7 +129,7 @@ def assign_bucket(
 
     def edge(axis: str) -> Callable[[int], str]:
         factor = float(axes[axis][1])
-        return lambda i: f"_low_{axis}_{i} * {factor!r}D" if factor != 1 else f"_low_{axis}_{i}"
+        return lambda i: f"get(_lows_{axis}, {i}) * {factor!r}D" if factor != 1 else f"get(_lows_{axis}, {i})"
 
     same_segment = " and ".join(f"_probe_{k} = _key_{k}" for k in keys)
     # A row has a cell when it reaches the first edge or the first cut, whichever is lower.
@@ -140,7 +139,7 @@ def assign_bucket(
     )
     located = probe.join(small, F.expr(f"{same_segment} and {has_cell}")).selectExpr(
         *[f"`{c}`" for c in facts.columns],
-        *[f"array({', '.join(f'_low_{a}_{i}' for i in range(n))}) as _lows_{a}" for a in axes],
+        *[f"_lows_{a}" for a in axes],
         *[f"{_interval_index(f'_value_{a}', edge(a), 0, n - 1)} as _index_{a}" for a in axes],
     )
     return located.selectExpr(
@@ -155,38 +154,3 @@ def assign_bucket(
             )
         ],
     )
-
-
-def in_bucket(value: str, low: str, high: str) -> str:
-    """Half-open range with an open end when high is null; NaN is in no range."""
-    return f"({value} >= {low} and ({high} is null or {value} < {high}) and not isnan({value}))"
-
-
-def assign_bucket_by_grid(
-    facts: DataFrame,
-    grid: DataFrame,
-    keys: Mapping[str, str],
-    axes: Mapping[str, tuple[str, float]],
-) -> DataFrame:
-    """The same result stated as a plain range join on grid rows.
-
-    Tests every cell of the segment per row, so it is for comparison on small inputs and for
-    bucket tables that `segments_from_grid` refuses.
-    """
-    cells = [f"{a}_percentile{suffix}" for a in axes for suffix in ("_low", "_high", "")]
-    side = grid.selectExpr(*[f"{k} as _key_{k}" for k in keys], *cells)
-    probe = facts.selectExpr(
-        "*",
-        *[f"{sql} as _probe_{k}" for k, sql in keys.items()],
-        *[f"cast({sql} as double) as _value_{a}" for a, (sql, _) in axes.items()],
-    )
-    on = [f"_probe_{k} = _key_{k}" for k in keys]
-    on += [
-        in_bucket(
-            f"_value_{a}",
-            f"{a}_percentile_low * {float(factor)!r}D",
-            f"{a}_percentile_high * {float(factor)!r}D",
-        )
-        for a, (_, factor) in axes.items()
-    ]
-    return probe.join(side, F.expr(" and ".join(on))).select(*facts.columns, *cells)

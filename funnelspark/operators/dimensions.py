@@ -100,7 +100,8 @@ def attach(
 
     A dimension row that repeats a key repeats the fact, as a plain join does. There is no
     broadcast hint: Spark broadcasts when the side's size is known to be under the threshold,
-    and otherwise sort-merges, splitting partitions that turn out skewed.
+    and otherwise sort-merges. It then splits partitions that turn out skewed, unless something
+    above needs the rows of a key together, such as a sum or a second join on the same key.
     """
     side = dimension.selectExpr(
         *[f"{key} as _dim_{key}" for key in on.values()],
@@ -111,6 +112,28 @@ def attach(
     return joined.drop(*[f"_dim_{key}" for key in on.values()])
 
 
+def campaign_dimension(
+    campaigns: DataFrame,
+    attached: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]],
+    take: Mapping[str, str],
+) -> DataFrame:
+    """campaign_id and everything known by campaign, so that facts are joined by campaign once.
+
+    `attached` are (dimension, on, take) as for `attach`, joined in order to the campaigns' own columns
+    (`take`). Campaigns that only dimensions keyed by `campaign_id` know have a row too, with nulls
+    for what they lack. A key that several rows of a dimension hold repeats the campaign, as
+    joining the facts would repeat them.
+    """
+    by_campaign = [d.select("campaign_id") for d, on, _ in attached if "campaign_id" in on]
+    ids = campaigns.select(F.col("id").alias("campaign_id"))
+    for more in by_campaign:
+        ids = ids.unionByName(more)
+    known = attach(ids.where("campaign_id is not null").distinct(), campaigns, {"campaign_id": "id"}, take)
+    for dimension, on, columns in attached:
+        known = attach(known, dimension, on, columns)
+    return known
+
+
 def repeated_keys(dimension: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with their count: the ones a left join would fan out."""
     return dimension.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")

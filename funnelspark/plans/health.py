@@ -1,8 +1,10 @@
 """Hourly platform health: the funnel, gated to its seven-day cohort, with dimensions attached.
 
-One shuffle carries the whole job. The funnel is summed per group key; dimension joins are
-narrow when the dimensions are small; and the second sum, needed because joins may repeat rows,
-groups by a superset of the keys the rows are already partitioned on.
+One shuffle carries the whole job while dimensions are under the broadcast threshold. The funnel is
+summed per group key; what is known of a campaign is joined among dimensions first, so that the sums
+meet four dimensions at most; and the second sum, needed because joins may repeat rows, groups by a
+superset of the keys the rows are already partitioned on. A dimension over the threshold costs one
+shuffle of the sums.
 """
 
 from __future__ import annotations
@@ -15,9 +17,10 @@ from pyspark.sql import functions as F
 from funnelspark.functions import recode
 from funnelspark.functions.numbers import micros
 from funnelspark.functions.times import hour_plus, in_cohort
-from funnelspark.operators.dimensions import attach, crm_campaign_v1, crm_campaign_v2, primary_goal
+from funnelspark.operators.dimensions import attach, campaign_dimension, crm_campaign_v1, crm_campaign_v2, primary_goal
 from funnelspark.operators.funnel import format_hours, funnel_rows, key_names, sum_metrics
 from funnelspark.operators.metrics import COHORT_DAYS, METRICS, cohort_value
+from funnelspark.sources.sinks import via_shared_table
 
 COHORT_METRICS = ("customer_revenue_d7", "target_events_d7", "target_events_first_d7")
 VIEWTHROUGH_FLAGS = {
@@ -36,6 +39,7 @@ def _gate_cohort(rows: DataFrame) -> DataFrame:
     return replaced(rows, {m: cohort_value(m, inside) for m in COHORT_METRICS})
 
 
+_BY_CAMPAIGN = {"campaign_id": "campaign_id"}
 VIEWTHROUGH = recode.viewthrough_enabled("creative_type", "ad_format", *VIEWTHROUGH_FLAGS.values())
 
 
@@ -48,6 +52,11 @@ def _report(enriched: DataFrame, keys: Sequence[str], derived: Mapping[str, str]
     return format_hours(keyed.groupBy(*keys, *derived).agg(*sums))
 
 
+def _stored_campaigns(*arguments) -> DataFrame:
+    """Written first: Spark then knows its size when it plans the join, which a chain of joins hides."""
+    return via_shared_table(campaign_dimension(*arguments), "campaigns")
+
+
 def replaced(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{columns[c]} as {c}" if c in columns else c for c in df.columns])
 
@@ -66,8 +75,9 @@ def platform_health_v1(
 ) -> DataFrame:
     """Funnel with bucket axes: 44 dimensions, 19 metrics, for one hour (or [hour, until)).
 
-    `segments` is the trained table in compact form (`train_segments_v1`, or a stored grid
-    through `segments_from_grid`). Matched events without a bucket are not reported.
+    Small dimension joins run, and are stored, when this is called. `segments` is the trained table in
+    compact form (`train_segments_v1`, or a stored grid through `segments_from_grid`). Matched events
+    without a bucket are not reported.
     """
     start, end = _hours(hour, until)
     rows = _gate_cohort(funnel_rows(tables, start, end, "v1", segments))
@@ -79,24 +89,17 @@ def platform_health_v1(
 
     f = attach(f, tables["customers"], {"customer_id": "id"}, {"company": "_company"})
     crm = crm_campaign_v1(tables["crm_campaigns"], tables["campaigns"], as_of)
-    f = attach(
-        f,
-        crm,
-        {"campaign_id": "campaign_id"},
-        {"sales_region": "_region", "sales_sub_region": "_sub_region", "service_level": "_service"},
-    )
-    f = attach(
-        f,
+    campaign = _stored_campaigns(
         tables["campaigns"],
-        {"campaign_id": "id"},
-        {
-            "display_name": "_campaign_name",
-            "current_optimization_state": "_optimization",
-            "vt_cap": "_vt_cap",
-            "tracker_id": "_tracker_id",
-        },
+        [
+            (tables["trackers"], {"_tracker_id": "id"}, {"name": "_tracker"}),
+            (primary_goal(tables["goals"], goal_tiebreak), _BY_CAMPAIGN, {"type": "_goal", "target_value": "_goal_value"}),
+            (tables["treasurer_configs"], _BY_CAMPAIGN, {"target": "_treasurer"}),
+            (crm, _BY_CAMPAIGN, {"sales_region": "_region", "sales_sub_region": "_sub_region", "service_level": "_service"}),
+        ],
+        {"display_name": "_campaign_name", "current_optimization_state": "_optimization", "vt_cap": "_vt_cap", "tracker_id": "_tracker_id"},
     )
-    f = attach(f, tables["trackers"], {"_tracker_id": "id"}, {"name": "_tracker"})
+    f = attach(f, campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_tracker_id")})
     f = attach(f, tables["apps"], {"dest_app_id": "id"}, {"display_name": "_app", **VIEWTHROUGH_FLAGS})
     f = attach(
         f,
@@ -104,13 +107,6 @@ def platform_health_v1(
         {"ad_group_id": "id"},
         {"display_name": "_ad_group", "exploratory": "_exploratory", "bid_type": "_bid_type"},
     )
-    f = attach(
-        f,
-        primary_goal(tables["goals"], goal_tiebreak),
-        {"campaign_id": "campaign_id"},
-        {"type": "_goal", "target_value": "_goal_value"},
-    )
-    f = attach(f, tables["treasurer_configs"], {"campaign_id": "campaign_id"}, {"target": "_treasurer"})
     report = _report(
         f,
         keys,
@@ -148,9 +144,10 @@ def platform_health_v2(
     as_of: str = "current_timestamp()",
     goal_tiebreak: Sequence[str] = ("type", "target_value"),
 ) -> DataFrame:
-    """Trimmed funnel without buckets, ad groups, exchanges and countries: 28 dimensions, 19 metrics.
+    """Funnel without buckets, ad groups, exchanges and countries: 28 dimensions, 19 metrics.
 
-    The click hour serves the cohort test only, so it is dropped before the first sum.
+    Small dimension joins run, and are stored, when this is called. The click hour serves the cohort
+    test only, so it is dropped before the first sum.
     """
     start, end = _hours(hour, until)
     keys = [k for k in key_names("v2") if k != "click_at"]
@@ -158,6 +155,7 @@ def platform_health_v2(
 
     f = attach(f, tables["customers"], {"customer_id": "id"}, {"company": "_company"})
     crm = crm_campaign_v2(tables["crm_campaigns"], tables["crm_opportunities"], tables["campaigns"], as_of)
+    crm = via_shared_table(crm, "crm-campaigns")
     f = attach(
         f,
         crm,
@@ -175,16 +173,13 @@ def platform_health_v2(
         {"dest_app_id": "id", "customer_id": "customer_id"},
         {"display_name": "_app", "category": "_category", **VIEWTHROUGH_FLAGS},
     )
-    f = attach(
-        f,
-        primary_goal(tables["goals"], goal_tiebreak),
-        {"campaign_id": "campaign_id"},
-        {"type": "_goal", "target_value": "_goal_value"},
-    )
-    f = attach(
-        f,
+    campaign = _stored_campaigns(
         tables["campaigns"],
-        {"campaign_id": "id"},
+        [
+            (tables["campaign_types"], {"_type_id": "id"}, {"name": "_campaign_type"}),
+            (tables["trackers"], {"_tracker_id": "id"}, {"name": "_tracker"}),
+            (primary_goal(tables["goals"], goal_tiebreak), _BY_CAMPAIGN, {"type": "_goal", "target_value": "_goal_value"}),
+        ],
         {
             "display_name": "_campaign_name",
             "current_optimization_state": "_optimization",
@@ -192,8 +187,7 @@ def platform_health_v2(
             "tracker_id": "_tracker_id",
         },
     )
-    f = attach(f, tables["campaign_types"], {"_type_id": "id"}, {"name": "_campaign_type"})
-    f = attach(f, tables["trackers"], {"_tracker_id": "id"}, {"name": "_tracker"})
+    f = attach(f, campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_type_id", "_tracker_id")})
     return _report(
         f,
         keys,

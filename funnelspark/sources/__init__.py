@@ -1,10 +1,11 @@
 from funnelspark.sources.readers import flatten_records, latest_partition, read_table, scan_hours
 from funnelspark.sources.schemas import SCHEMAS
-from funnelspark.sources.sinks import shared_folder, via_shared_table, write_hour, write_once
+from funnelspark.sources.sinks import intermediates, shared_folder, via_shared_table, write_hour, write_once
 
 __all__ = [
     "SCHEMAS",
     "flatten_records",
+    "intermediates",
     "latest_partition",
     "read_table",
     "scan_hours",

@@ -2,56 +2,140 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+class _Files:
+    """The few file operations needed, on whatever file system the path names."""
+
+    def __init__(self, spark: SparkSession):
+        self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def _of(self, path: str):
+        p = self._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self._conf), p
+
+    def exists(self, path: str) -> bool:
+        fs, p = self._of(path)
+        return fs.exists(p)
+
+    def delete(self, path: str) -> None:
+        fs, p = self._of(path)
+        fs.delete(p, True)
+
+    def rename(self, old: str, new: str) -> None:
+        fs, p = self._of(old)
+        if not fs.rename(p, self._jvm.org.apache.hadoop.fs.Path(new)):
+            raise OSError(f"could not rename {old} to {new}")
+
+
 def write_once(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Create the table from the result; do nothing, not even compute it, if the table exists.
+    """Create the table from the result; do nothing, not even compute it, if it is there.
 
-    A catalog table, not a bare folder: a run that dies half-way leaves no table behind, so
-    the next run still creates it.
+    The table lives in `path`, by default a folder of its name in the warehouse. What is there is told
+    by the folder, not by the catalog: a folder with `_SUCCESS` is a finished table and is kept, and
+    only its catalog entry is added where missing; a folder without is an unfinished run and is
+    written again. A table that the catalog knows in another place is kept too. The entry is made
+    last, so a run that dies half-way is repeated by the next one.
     """
-    writer = df.write.format("parquet").mode("ignore")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    spark = df.sparkSession
+    if path is None:
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}"
+    path = path.rstrip("/")
+    finished = _Files(spark).exists(f"{path}/_SUCCESS")
+    if not finished:
+        if spark.catalog.tableExists(table):
+            location = spark.sql(f"describe formatted {table}").where("col_name = 'Location'").first()
+            if location and _Files(spark).exists(location.data_type) and not _same(spark, location.data_type, path):
+                return
+            spark.sql(f"drop table {table}")
+        df.write.mode("overwrite").parquet(path)
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"create table if not exists {table} ({columns}) using parquet location '{path}'")
+
+
+def _same(spark: SparkSession, a: str, b: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(a).toUri().getPath() == path(b).toUri().getPath()
 
 
 def write_hour(df: DataFrame, path: str, hour: str) -> None:
-    """Write one hour's result as partition `dt=<hour>`; a second run replaces that hour only."""
-    (
-        df.withColumn("dt", F.lit(hour))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
-    )
+    """Write one hour's result as partition `dt=<hour>`; a second run replaces that hour only.
+
+    Also by nothing: a run without rows leaves the hour empty. The result is written beside the
+    partition and takes its place when it is complete, so a run that fails leaves the hour as it was.
+    A report with an `at` column of other hours (one made with `until`) is refused: its rows would
+    all come under one `dt`.
+    """
+    files = _Files(df.sparkSession)
+    if dict(df.dtypes).get("at") == "string":
+        wrong = f"concat('write_hour: row of hour ', at, ' in {hour}')"
+        checked = F.expr(f"case when at is null or substr(at, 1, {len(hour)}) = '{hour}' then at else raise_error({wrong}) end")
+        df = df.withColumn("at", checked)
+    target, beside = f"{path.rstrip('/')}/dt={hour}", f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(beside)
+        files.delete(target)
+        files.rename(beside, target)
+    finally:
+        files.delete(beside)
+
+
+_local_folders: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it.
+    """The folder all executors share, as the cluster names it in `spark.checkpoint.dir`.
 
-    Where none is named, only a local master may fall back to a folder of this machine.
+    Where none is named, only a local master may use a folder of this machine, which goes when the
+    process ends. The session's settings are not changed.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="funnelspark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="funnelspark-")
+        atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
+    return _local_folders[app]
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end, the intermediate tables made inside. Write the job's output before that.
+
+    Without it they stay in the shared folder for as long as the cluster keeps it.
+    """
+    mine: list[str] = []
+    _scopes.append(mine)
+    try:
+        yield
+    finally:
+        _scopes.remove(mine)
+        for path in mine:
+            _Files(spark).delete(path)
 
 
 def via_shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write a result to the shared folder and read it back.
+    """Write a result to the shared folder and read it back. This runs a job.
 
     The rows then no longer depend on executors staying alive, are computed once however often
     they are used, and Spark knows their true size when it plans a join with them.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

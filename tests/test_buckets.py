@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from funnelspark.operators import buckets, percentiles
+from tests.grid_join import assign_bucket_by_grid
 
 INF, NAN = float("inf"), float("nan")
 
@@ -20,7 +21,7 @@ def place(spark, cuts, items, by_grid=False):
     facts = spark.createDataFrame([(i, "s", v) for i, v in enumerate(items)], "i int, seg string, v double")
     keys, axes = {"seg": "seg"}, {"axis": ("v", 1.0)}
     if by_grid:
-        out = buckets.assign_bucket_by_grid(facts, buckets.bucket_grid(segments, ["axis"]), keys, axes)
+        out = assign_bucket_by_grid(facts, buckets.bucket_grid(segments, ["axis"]), keys, axes)
     else:
         out = buckets.assign_bucket(facts, segments, keys, axes)
     found = {r.i: r.axis_percentile for r in out.collect()}
@@ -67,7 +68,7 @@ def test_scaled_edges_round_on_the_edge(spark):
     keys, axes = {"seg": "seg"}, {"axis": ("v", 1e6)}
     assert buckets.assign_bucket(facts, segments, keys, axes).first().axis_percentile == "0-10"
     grid = buckets.bucket_grid(segments, ["axis"])
-    assert buckets.assign_bucket_by_grid(facts, grid, keys, axes).first().axis_percentile == "0-10"
+    assert assign_bucket_by_grid(facts, grid, keys, axes).first().axis_percentile == "0-10"
 
 
 def training_rows(spark):

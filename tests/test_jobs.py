@@ -5,10 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from funnelspark.operators import buckets, funnel
+from funnelspark.operators import buckets, dimensions, funnel
 from funnelspark.operators.metrics import METRICS
 from funnelspark.plans import bid_validation, platform_health_v1, platform_health_v2, revenue_calibration
-from funnelspark.sources import SCHEMAS, flatten_records, read_table, shared_folder, via_shared_table, write_hour, write_once
+from funnelspark.sources import SCHEMAS, flatten_records, read_table
 
 HOUR = "2024-01-10T05"
 AT = 1704862800000 + 600_000  # 05:10 of that hour
@@ -155,11 +155,84 @@ def test_funnel_keeps_sources_apart(tables):
     assert len(funnel.key_names("v1")) == 27 and len(funnel.key_names("v2")) == 15
 
 
-def test_report_shuffles_facts_once(spark, tables, segments):
-    for report in (platform_health_v2(tables, HOUR, as_of=AS_OF), platform_health_v1(tables, segments, HOUR, as_of=AS_OF)):
-        report.collect()
-        plan = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert len(re.findall(r"Exchange hashpartitioning\(impression_at", plan)) == 1
+def above_union(report):
+    """Names of the operators between the result and the union of the sources, nearest the result first."""
+    lines = report._jdf.queryExecution().executedPlan().treeString().split("\n")
+    depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+    at = min(i for i, line in enumerate(lines) if re.search(r"\bUnion\b", line))
+    path, d = [], depth[at]
+    for i in range(at - 1, -1, -1):
+        if depth[i] < d:
+            path.append(lines[i].strip(" :+-*()0123456789"))
+            d = depth[i]
+    return path[::-1]
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tables, segments, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("stored"))
+    for name, df in {**tables, "segments": segments}.items():
+        df.write.parquet(f"{root}/{name}")
+    return {name: spark.read.parquet(f"{root}/{name}") for name in [*tables, "segments"]}
+
+
+@pytest.mark.parametrize("threshold, most", [("10485760", 1), ("-1", 7)])
+def test_exchanges_of_facts_are_few(spark, stored, threshold, most):
+    """One with small dimensions; else that, one for each of four dimensions, the segments, and the last sum."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for report in (platform_health_v2(stored, HOUR, as_of=AS_OF), platform_health_v1(stored, stored["segments"], HOUR, as_of=AS_OF)):
+            path = above_union(report)
+            exchanges = [x for x in path if x.startswith("Exchange")]
+            assert 1 <= len(exchanges) <= most
+            assert not any("_tracker_id" in x or "_type_id" in x for x in exchanges)
+            assert sum("Join" in x for x in path) <= 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_reports_prune_all_sources(spark, tables, segments, tmp_path):
+    """Every source and both snapshots are read by partition."""
+    root, parted = str(tmp_path), [n for n in tables if "dt" in tables[n].columns]
+    for name in parted:
+        tables[name].write.partitionBy("dt").parquet(f"{root}/{name}")
+    read = {**tables, **{n: read_table(spark, root, n) for n in parted}}
+    report = platform_health_v2(read, HOUR, as_of=AS_OF)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    crm = dimensions.crm_campaign_v2(read["crm_campaigns"], read["crm_opportunities"], tables["campaigns"], AS_OF)
+    crm_plan = crm._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in re.findall(r"FileScan parquet .*", plan) if "campaigns-" not in x]
+    assert len(parted) == 9 and len(scans) == 7 and crm_plan.count("FileScan") >= 2
+    assert all(re.search(r"PartitionFilters: \[[^\]]*dt#", x) for x in [*scans, *re.findall(r"FileScan parquet .*", crm_plan)])
+    assert total(report.collect(), "impressions") == 4
+
+
+def test_hot_campaign_is_split(spark):
+    """Half of the rows in one campaign, no broadcast: the partition is split when the join is the last on its key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(200000).selectExpr("if(id % 2 = 0, 7, id % 1000) as campaign_id", "id as x").repartition(8, "x")
+        campaigns = spark.range(1000).selectExpr("id", "concat('c', id) as display_name", "id % 5 as tracker_id")
+        trackers = spark.range(5).selectExpr("id", "concat('t', id) as name")
+        campaign = dimensions.campaign_dimension(
+            campaigns, [(trackers, {"_tracker_id": "id"}, {"name": "_tracker"})], {"display_name": "_name", "tracker_id": "_tracker_id"}
+        )
+        joined = dimensions.attach(facts, campaign, {"campaign_id": "campaign_id"}, {"_tracker": "_tracker"})
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_funnel_needs_segments_in_v1(tables):
@@ -198,21 +271,6 @@ def test_bid_validation(spark, tables):
     assert bid_validation(tables["impressions"], tables["ad_groups"], HOUR, HOUR, limit=1).count() == 1
 
 
-def test_write_hour_replaces_only_its_hour(spark, tmp_path):
-    path = str(tmp_path / "out")
-    for hour, n in (("2024-01-10T05", 3), ("2024-01-10T06", 2), ("2024-01-10T05", 4), ("2024-01-10T05", 4)):
-        write_hour(spark.range(n), path, hour)
-    got = spark.read.schema("id bigint, dt string").parquet(path).groupBy("dt").count().collect()
-    assert {r.dt: r["count"] for r in got} == {"2024-01-10T05": 4, "2024-01-10T06": 2}
-
-
-def test_write_once_keeps_first(spark, tmp_path):
-    write_once(spark.range(3), "once_a")
-    write_once(spark.range(9), "once_a")
-    write_once(spark.range(2), "once_b", str(tmp_path / "b"))
-    assert (spark.table("once_a").count(), spark.table("once_b").count()) == (3, 2)
-
-
 def test_hour_scan_reads_only_its_partitions_and_columns(spark, tmp_path, tables):
     tables["impressions"].write.partitionBy("dt").parquet(str(tmp_path / "impressions"))
     read = {**tables, "impressions": read_table(spark, str(tmp_path), "impressions")}
@@ -228,9 +286,3 @@ def test_flatten_records(spark):
     flat = flatten_records(df)
     assert flat.columns == ["a", "b__x", "b__y__z", "c"]
     assert tuple(flat.first())[:3] == (1, 2, 3)
-
-
-def test_shared_table_survives_its_source(spark):
-    folder = shared_folder(spark)
-    df = via_shared_table(spark.range(5).withColumn("y", F.col("id") * 2), "t")
-    assert df.count() == 5 and folder in df.inputFiles()[0]

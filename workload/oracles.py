@@ -10,8 +10,14 @@ from workload.queries import (
     AS_OF,
     CALIBRATION_AS_OF,
     CALIBRATION_DAYS,
+    CHECKED_HOURS,
+    CHECKED_IDS,
     END,
+    EVENT_HOUR,
+    IMPRESSION_HOUR,
     START,
+    TRAINING,
+    WEEK,
     large_sum_digits,
     metric_digits,
 )
@@ -19,6 +25,7 @@ from workload.tables import duckdb_select
 
 ORACLES: dict[str, str] = {}
 
+# Listed exchanges, names of the intervals, probabilities of the cuts.
 _LISTED = "('VUNGLE','APPLOVIN','INNERACTIVE_DIRECT','DOUBLECLICK','MINTEGRAL','IRONSOURCE','UNITY','APPODEAL','INMOBI','VERVE')"
 _LABELS = "['0-10','10-20','20-30','30-40','40-50','50-60','60-70','70-80','80-90','90-95','95-99','99-100']"
 _P = "[0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,0.95,0.99]"
@@ -754,3 +761,40 @@ where {_CALIBRATION_WINDOW} and h.enabled and h.estimated and bid_target_micros
   and r.suggested_bid_target_micros is not null
 group by 1
 """
+
+# --- the same over windows -----------------------------------------------------------------
+
+_ALL_HOURS = f"dt >= '{START}' and dt < '{END}'"
+
+
+def _during(name: str, hours: str) -> str:
+    assert _ALL_HOURS in ORACLES[name]
+    return ORACLES[name].replace(_ALL_HOURS, hours)
+
+
+def _week(name: str) -> str:
+    return _during(name, f"dt >= '{WEEK[0]}' and dt < '{WEEK[1]}'")
+
+
+ORACLES["platform_health_v1_hour"] = _during("platform_health_v1_report", f"dt = '{IMPRESSION_HOUR}'")
+ORACLES["platform_health_v2_hour"] = _during("platform_health_v2_report", f"dt = '{EVENT_HOUR}'")
+ORACLES["platform_health_v1_week"] = _week("platform_health_v1_report")
+ORACLES["platform_health_v2_week"] = _week("platform_health_v2_report")
+ORACLES["platform_health_v1_stored"] = ORACLES["platform_health_v1_report"]
+ORACLES["bucket_grid_v1_window"] = ORACLES["bucket_grid_v1"].replace(START, TRAINING[0]).replace(END, TRAINING[1])
+_HALF_OPEN = {f"dt > '{START}'": f"dt >= '{TRAINING[0]}'", f"{day('\"at\"')} > '{START}'": f"{day('\"at\"')} >= '{TRAINING[0]}'", END: TRAINING[1]}
+_grid_v2 = ORACLES["bucket_grid_v2"].replace("where bid__price_data__model_type", "where bid__app_platform in ('ANDROID', 'IOS') and bid__price_data__model_type")
+ORACLES["bucket_grid_v2"] = ORACLES["bucket_table_round_trip"] = _grid_v2
+for _old, _new in _HALF_OPEN.items():
+    assert _old in _grid_v2
+    _grid_v2 = _grid_v2.replace(_old, _new)
+ORACLES["bucket_grid_v2_window"] = _grid_v2
+ORACLES["bid_validation_hours"] = (
+    ORACLES["bid_economics"].rstrip()
+    + f" where dt >= '{CHECKED_HOURS[0]}' and dt <= '{CHECKED_HOURS[1]}' and bid__ad_group_id in {CHECKED_IDS}"
+)
+ORACLES["write_once_keeps_folder"] = ORACLES["write_once_after_half_run"] = ORACLES["write_once_keeps_first"]
+ORACLES["write_hour_empty_rerun"] = f"""
+{_with("matched_app_events")}
+select custom_event_id, count(*) as n, '2024-01-01T00' as dt from matched_app_events group by custom_event_id
+"""

@@ -20,8 +20,9 @@ from funnelspark.plans import (
     train_segments_v1,
     train_segments_v2,
 )
-from funnelspark.sources import latest_partition, shared_folder, via_shared_table, write_hour, write_once
-from workload.tables import Tables
+from funnelspark.plans.bucket_tables import AXES_V1, KEYS_V1
+from funnelspark.sources import latest_partition, read_table, shared_folder, via_shared_table, write_hour, write_once
+from workload.tables import Tables, TypedTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,14 @@ AS_OF = "2024-01-30 12:00:00"
 NOW = f"timestamp'{AS_OF}'"
 CALIBRATION_AS_OF = "2001-12-01 00:00:00"
 CALIBRATION_DAYS = 4000
+# An hour of impressions, an hour and a week of the other events, a training window whose first hour and
+# first day are cut, and what a bid check is asked for.
+IMPRESSION_HOUR = "1997-01-01T01"
+EVENT_HOUR = "2024-01-12T23"
+WEEK = ("2024-01-05T00", "2024-01-12T00")
+TRAINING = ("1996-01-01T01", "1999-01-01T02")
+CHECKED_HOURS = ("1997-01-01T00", "1997-01-01T01")
+CHECKED_IDS = (1, 3, 5)
 
 QUERIES: dict[str, Query] = {}
 
@@ -368,22 +377,80 @@ def bucket_table_round_trip(t: Tables) -> DataFrame:
     return buckets.bucket_grid(segments, axes)
 
 
+@query
+def bucket_grid_v1_window(t: Tables) -> DataFrame:
+    """Training over stored hours, both ends left out: rows go by hour, by own day and without a model."""
+    return prediction_bucket_v1(typed(t)["impressions"], *TRAINING, method="exact")
+
+
+@query
+def bucket_grid_v2_window(t: Tables) -> DataFrame:
+    """Training over stored hours, half-open; a third platform goes too."""
+    return prediction_bucket_v2(typed(t)["impressions"], *TRAINING, method="exact")
+
+
+@query
+def bid_validation_hours(t: Tables) -> DataFrame:
+    """The bid check as it is used: two stored hours and a few ad groups."""
+    return bid_validation(typed(t)["impressions"], t["ad_groups"], *CHECKED_HOURS, ad_group_ids=CHECKED_IDS)
+
+
+def typed(t: Tables) -> TypedTables:
+    return TypedTables(t.spark, t.folder)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def new_table(folder: str) -> str:
+    return folder.rsplit("/", 1)[1].replace("-", "_")
+
+
 @query
 def write_once_keeps_first(t: Tables) -> DataFrame:
     """A second create-once leaves the first result in place."""
     spark = t.spark
     folder = new_folder(spark, "once")
-    table = folder.rsplit("/", 1)[1].replace("-", "_")
+    table = new_table(folder)
     first = t["lineitem"].groupBy("l_returnflag").agg(F.count("*").alias("n"))
     write_once(first, table, folder)
     write_once(first.withColumn("n", F.lit(0).cast("bigint")), table, folder)
     return spark.table(table)
 
 
+@query
+def write_once_keeps_folder(t: Tables) -> DataFrame:
+    """A finished folder that the catalog doesn't know is kept, and gets its entry."""
+    folder = new_folder(t.spark, "kept")
+    counts = t["lineitem"].groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    counts.write.parquet(folder)
+    write_once(counts.withColumn("n", F.lit(0).cast("bigint")), new_table(folder), folder)
+    return t.spark.table(new_table(folder))
+
+
+@query
+def write_once_after_half_run(t: Tables) -> DataFrame:
+    """A folder that an unfinished run has left is written again."""
+    folder = new_folder(t.spark, "half")
+    counts = t["lineitem"].groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    unfinished = counts.withColumn("n", F.lit(0).cast("bigint")).write
+    unfinished.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(folder)
+    write_once(counts, new_table(folder), folder)
+    return t.spark.table(new_table(folder))
+
+
+@query
+def write_hour_empty_rerun(t: Tables) -> DataFrame:
+    """A second run of an hour that gives no rows empties it; the other hour stays."""
+    folder = new_folder(t.spark, "empty")
+    counts = t["matched_app_events"].groupBy("custom_event_id").agg(F.count("*").alias("n"))
+    write_hour(counts, folder, "2024-01-01T00")
+    write_hour(counts, folder, "2024-01-01T01")
+    write_hour(counts.where("n < 0"), folder, "2024-01-01T01")
+    return t.spark.read.schema("custom_event_id bigint, n bigint, dt string").parquet(folder)
+
+
 @query
 def write_hour_replaces_hour(t: Tables) -> DataFrame:
     """Two days written, one of them written again: it is replaced, the other is kept."""
@@ -461,6 +528,37 @@ def platform_health_v2_report(t: Tables) -> DataFrame:
     return rounded_metrics(platform_health_v2(t, START, END, NOW))
 
 
+@query
+def platform_health_v1_hour(t: Tables) -> DataFrame:
+    """The hourly job as it runs: stored hours, the default of one hour."""
+    return rounded_metrics(platform_health_v1(typed(t), _segments(t), IMPRESSION_HOUR, as_of=NOW))
+
+
+@query
+def platform_health_v2_hour(t: Tables) -> DataFrame:
+    return rounded_metrics(platform_health_v2(typed(t), EVENT_HOUR, as_of=NOW))
+
+
+@query
+def platform_health_v1_week(t: Tables) -> DataFrame:
+    return rounded_metrics(platform_health_v1(typed(t), _segments(t), *WEEK, NOW))
+
+
+@query
+def platform_health_v2_week(t: Tables) -> DataFrame:
+    return rounded_metrics(platform_health_v2(typed(t), *WEEK, NOW))
+
+
+@query
+def platform_health_v1_stored(t: Tables) -> DataFrame:
+    """The report from a stored grid: written once, read as declared, folded to segments."""
+    folder = new_folder(t.spark, "grids")
+    write_once(prediction_bucket_v1(t["impressions"], START, END, method="exact"), new_table(folder), f"{folder}/prediction_bucket_v1")
+    grid = read_table(t.spark, folder, "prediction_bucket_v1")
+    segments = via_shared_table(buckets.segments_from_grid(grid, KEYS_V1, AXES_V1), "segments")
+    return rounded_metrics(platform_health_v1(t, segments, START, END, NOW))
+
+
 @query
 def revenue_calibration_series(t: Tables) -> DataFrame:
     series = revenue_calibration(
