@@ -65,26 +65,58 @@ def key_names(variant: str) -> list[str]:
     return [k for k in KEYS if k not in _V1_ONLY]
 
 
+# What a source gives for its exchange instead of the group: the one tested, the one named, or the group itself.
+_EXCHANGE = ("exchange_tested", "exchange_named", "exchange_fixed")
+
+# Common to all sources and stated once, on the joined rows: raw values to keys.
+_RECODED = {
+    **{k: hour_ms(k) for k in HOUR_KEYS},
+    "exchange_group": f"coalesce(exchange_fixed, {recode.exchange_group('exchange_tested', emit='exchange_named')})",
+    "country_group": recode.country_group("country_group"),
+    "ad_format": recode.ad_format("ad_format"),
+    "model_type": recode.model_type("model_type"),
+    "_seg_model_type": recode.model_type("_seg_model_type"),
+    "_seg_exchange_group": recode.exchange_group("_seg_exchange_group"),
+    "_seg_ad_format_group": recode.ad_format_group("_seg_ad_format_group"),
+}
+
+
 def _shape(source: str, df: DataFrame, keys: Mapping[str, str], measures: Mapping[str, str], probe: Mapping[str, str]) -> DataFrame:
-    """Project a source to the common row; absent keys are typed nulls, absent measures zeros."""
-    unknown = (set(keys) - set(KEYS)) | (set(measures) - set(METRICS))
+    """Project a source to the common row; absent keys are typed nulls, absent measures zeros.
+
+    Hours, exchanges, countries, formats and model types are still raw.
+    """
+    unknown = (set(keys) - set(KEYS) - set(_EXCHANGE)) | (set(measures) - set(METRICS))
     if unknown:
         raise ValueError(f"{source}: unknown columns {sorted(unknown)}")
+    given = {**{k: t for k, t in KEYS.items() if k != "exchange_group"}, **dict.fromkeys(_EXCHANGE, "string")}
     return df.selectExpr(
         f"{quoted(source)} as source",
-        *[f"cast({keys.get(k, 'null')} as {t}) as {k}" for k, t in KEYS.items()],
+        *[f"cast({keys.get(k, 'null')} as {t}) as {k}" for k, t in given.items()],
         *[f"cast({measures.get(m, '0')} as {t}) as {m}" for m, t in METRICS.items()],
         *[f"{sql} as {name}" for name, sql in probe.items()],
     )
 
 
+def _recoded(rows: DataFrame) -> DataFrame:
+    """Joined rows with raw values recoded to keys."""
+    kept = [c for c in rows.columns if c not in _EXCHANGE]
+    return rows.selectExpr(
+        *[f"{_RECODED[c]} as {c}" if c in _RECODED else c for c in kept], f"{_RECODED['exchange_group']} as exchange_group"
+    )
+
+
+def _exchange(raw: str, named: str | None = None) -> dict[str, str]:
+    return {"exchange_tested": raw, "exchange_named": named or raw}
+
+
 def _probe(platform: str, model: str, exchange: str, fmt: str, likelihood: str, private: str, price: str) -> dict[str, str]:
-    """What the bucket lookup needs from a row: its segment and its value on each axis."""
+    """What the bucket lookup needs from a row: its segment, still raw, and its value on each axis."""
     return {
         "_seg_platform": platform,
-        "_seg_model_type": recode.model_type(model),
-        "_seg_exchange_group": recode.exchange_group(exchange),
-        "_seg_ad_format_group": recode.ad_format_group(fmt),
+        "_seg_model_type": model,
+        "_seg_exchange_group": exchange,
+        "_seg_ad_format_group": fmt,
         "_val_convx": likelihood,
         "_val_private_cpm": private,
         "_val_cpm": price,
@@ -103,7 +135,7 @@ def _bid_keys(bid: str) -> dict[str, str]:
     """Keys read from one bid record."""
     return {
         "platform": f"{bid}app_platform",
-        "exchange_group": recode.exchange_group(f"{bid}bid_request__exchange"),
+        **_exchange(f"{bid}bid_request__exchange"),
         "customer_id": f"{bid}customer_id",
         "dest_app_id": f"{bid}app_id",
         "campaign_id": f"{bid}campaign_id",
@@ -117,8 +149,8 @@ def _bid_traits(bid: str) -> dict[str, str]:
     return {
         "ad_group_id": f"{bid}ad_group_id",
         "ad_group_type": f"{bid}ad_group_type",
-        "ad_format": recode.ad_format(f"{bid}creative__ad_format"),
-        "model_type": recode.model_type(f"{bid}price_data__model_type"),
+        "ad_format": f"{bid}creative__ad_format",
+        "model_type": f"{bid}price_data__model_type",
         "is_nonpersonalized": f"{bid}bid_request__non_personalized",
     }
 
@@ -138,9 +170,9 @@ def _bid_probe(bid: str) -> dict[str, str]:
 def _impressions(tables: Mapping[str, DataFrame], variant: str, scan: Callable) -> DataFrame:
     keys = {
         **_bid_keys("bid__"),
-        "impression_at": hour_ms("at"),
-        "at": hour_ms("at"),
-        "country_group": recode.country_group("bid__bid_request__device__geo__country"),
+        "impression_at": "at",
+        "at": "at",
+        "country_group": "bid__bid_request__device__geo__country",
         "is_viewthrough": "'N/A'",
     }
     measures = {
@@ -157,10 +189,10 @@ def _clicks(source: str) -> Callable:
         bid = "impression__bid__"
         keys = {
             **_bid_keys(bid),
-            "impression_at": hour_ms("impression__at"),
-            "click_at": hour_ms("at"),
-            "at": hour_ms("at"),
-            "country_group": recode.country_group("geo__country"),
+            "impression_at": "impression__at",
+            "click_at": "at",
+            "at": "at",
+            "country_group": "geo__country",
             "is_viewthrough": "'N/A'",
             "click_source": "click_source",
         }
@@ -177,10 +209,10 @@ def _reported(df: DataFrame) -> DataFrame:
 
 def _install_keys(bid: str) -> dict[str, str]:
     return {
-        "impression_at": hour_ms("ad_click__impression__at"),
-        "click_at": hour_ms("ad_click__at"),
-        "install_at": hour_ms("event_timestamp"),
-        "at": hour_ms("event_timestamp"),
+        "impression_at": "ad_click__impression__at",
+        "click_at": "ad_click__at",
+        "install_at": "event_timestamp",
+        "at": "event_timestamp",
         "is_viewthrough": "cast(is_viewthrough as string)",
         "click_source": "ad_click__click_source",
         **_bid_traits(bid),
@@ -192,7 +224,7 @@ def _matched_installs(tables: Mapping[str, DataFrame], variant: str, scan: Calla
     keys = {
         **_bid_keys(bid),
         **_install_keys(bid),
-        "country_group": recode.country_group("geo__country"),
+        "country_group": "geo__country",
     }
     return _shape("matched_installs", _reported(scan("matched_installs")), keys, {"installs": "1"}, _bid_probe(bid))
 
@@ -201,7 +233,7 @@ def _unmatched_keys() -> dict[str, str]:
     """Without a matched bid, customer and app come from the campaign the tracker names."""
     return {
         "platform": "tracker_params__platform",
-        "exchange_group": "'UNMATCHED'",
+        "exchange_fixed": "'UNMATCHED'",
         "creative_type": "'UNMATCHED'",
         "campaign_id": "tracker_params__campaign_id",
         "customer_id": "target_customer_id",
@@ -220,7 +252,7 @@ def _unmatched_installs(tables: Mapping[str, DataFrame], variant: str, scan: Cal
     keys = {
         **_install_keys("ad_click__impression__bid__"),
         **_unmatched_keys(),
-        "country_group": recode.country_group(country),
+        "country_group": country,
     }
     return _shape("unmatched_installs", rows, keys, {"installs": "1"}, {})
 
@@ -237,15 +269,15 @@ def _app_event_keys() -> dict[str, str]:
     """Keys app events share; which chain wins differs from column to column."""
     bid = "impression__bid__"
     return {
-        "impression_at": hour_ms(_latest("impression__at")),
-        "click_at": hour_ms(_latest("at")),
-        "install_at": hour_ms("install__at"),
-        "at": hour_ms("event_timestamp"),
+        "impression_at": _latest("impression__at"),
+        "click_at": _latest("at"),
+        "install_at": "install__at",
+        "at": "event_timestamp",
         "ad_group_id": _latest(f"{bid}ad_group_id"),
         "ad_group_type": _latest(f"{bid}ad_group_type"),
-        "ad_format": recode.ad_format(_origin(f"{bid}creative__ad_format")),
+        "ad_format": _origin(f"{bid}creative__ad_format"),
         "is_viewthrough": "cast(is_viewthrough as string)",
-        "model_type": recode.model_type(_latest(f"{bid}price_data__model_type")),
+        "model_type": _latest(f"{bid}price_data__model_type"),
         "is_nonpersonalized": _latest(f"{bid}bid_request__non_personalized"),
         "click_source": _latest("click_source"),
     }
@@ -269,8 +301,8 @@ def _matched_app_events(tables: Mapping[str, DataFrame], variant: str, scan: Cal
         **_app_event_keys(),
         "platform": _origin(f"{bid}app_platform") if variant == "v1" else _latest(f"{bid}app_platform"),
         # The original chain decides whether the exchange is listed, the latest one names it.
-        "exchange_group": recode.exchange_group(_origin(exchange), emit=_latest(exchange)),
-        "country_group": recode.country_group(chains.first_country(chains.ORIGIN_FIRST)),
+        **_exchange(_origin(exchange), named=_latest(exchange)),
+        "country_group": chains.first_country(chains.ORIGIN_FIRST),
         "customer_id": _latest(f"{bid}customer_id"),
         "dest_app_id": _latest(f"{bid}app_id"),
         "campaign_id": campaign,
@@ -291,7 +323,7 @@ def _matched_app_events(tables: Mapping[str, DataFrame], variant: str, scan: Cal
 def _unmatched_app_events(tables: Mapping[str, DataFrame], variant: str, scan: Callable) -> DataFrame:
     rows = _with_target(_reported(scan("unmatched_app_events")), tables, "tracker_params__campaign_id")
     country = "coalesce(install__geo__country, geo__country)"
-    keys = {**_app_event_keys(), **_unmatched_keys(), "country_group": recode.country_group(country)}
+    keys = {**_app_event_keys(), **_unmatched_keys(), "country_group": country}
     return _shape("unmatched_app_events", rows, keys, _app_event_measures(), {})
 
 
@@ -331,21 +363,24 @@ def funnel_rows(
 
     matched = union_branches([f(tables, variant, scan) for f in MATCHED.values()])
     unmatched = union_branches([f(tables, variant, scan) for f in UNMATCHED.values()])
-    if variant == "v1":
-        if segments is None:
-            raise ValueError("v1 needs the trained segments")
-        matched = assign_bucket(
-            matched,
-            segments,
-            {k: f"_seg_{k}" for k in _SEGMENT},
-            # Buckets are trained on units for prices and raw likelihood.
-            {
-                "convx": ("_val_convx", 1.0),
-                "private_cpm": ("_val_private_cpm", 1e6),
-                "cpm": ("_val_cpm", 1e6),
-            },
-        )
-        unmatched = unmatched.selectExpr("*", *[f"cast(null as {t}) as {k}" for k, t in BUCKET_KEYS.items()])
+    if variant == "v2":
+        probes = [c for c in matched.columns if c not in unmatched.columns]
+        rows = _recoded(union_branches([matched.drop(*probes), unmatched]))
+        return rows.select("source", *key_names(variant), *METRICS)
+    if segments is None:
+        raise ValueError("v1 needs the trained segments")
+    matched = assign_bucket(
+        _recoded(matched),
+        segments,
+        {k: f"_seg_{k}" for k in _SEGMENT},
+        # Buckets are trained on units for prices and raw likelihood.
+        {
+            "convx": ("_val_convx", 1.0),
+            "private_cpm": ("_val_private_cpm", 1e6),
+            "cpm": ("_val_cpm", 1e6),
+        },
+    )
+    unmatched = _recoded(unmatched).selectExpr("*", *[f"cast(null as {t}) as {k}" for k, t in BUCKET_KEYS.items()])
     columns = ["source", *key_names(variant), *METRICS]
     return union_branches([matched.select(*columns), unmatched.select(*columns)])
 
