@@ -18,6 +18,7 @@ from funnelspark.llm.mixing import mixed_documents
 from funnelspark.llm.ngram_join import one_of_each
 from funnelspark.llm.packing import pack_documents
 from funnelspark.llm.toxicity import reject, train
+from funnelspark.llm.workers import reachable
 from funnelspark.sources.sinks import shared_folder
 
 # Text classifiers, set joins and best-fit packing are beyond SQL; the stages are tested one by one
@@ -29,7 +30,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are more likely toxic than not, by a model fitted on the folder's labels, go."""
-    return reject(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return reject(docs, train(docs, reachable(spark).read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +65,7 @@ STAGES: list[tuple[str, Stage]] = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the folder's `documents`."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = reachable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
         out = f"{folder}/{i}"
