@@ -16,17 +16,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.llm.tables import count_table, maybe, rarity, seen, slot
-from funnelspark.llm.words import hash_words, mix, slices
+from funnelspark.llm.words import hash_words, mix, order_within, slices, small_batches, texts_of
 from funnelspark.sources.sinks import via_shared_table
 
 #: A match: PERCENT * union <= 100 * intersection.
 PERCENT = 80
 #: Slots of the table of word counts, as a power of two.
 TABLE_BITS = 22
-#: Earlier lines a line is verified against first; if none matches and there are more, all are.
+#: Earlier lines kept for a line and word; if none of them matches and there are more, all are verified.
 FEW = 3
 #: Pairs of one posting list looked at in one go.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 _ENTRY = np.dtype(
     [("token", "<u8"), ("key", "<u8"), ("map", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4"), ("place", "u1")]
 )
@@ -37,11 +37,11 @@ class Lines:
 
     def __init__(self, texts: list[bytes]):
         split = [t.split(b"\n") for t in texts]
-        counts = np.array([len(s) for s in split])
+        counts = np.array([len(s) for s in split], dtype=np.int64)
         self.text = np.repeat(np.arange(len(texts)), counts)
         self.number = np.arange(len(self.text)) - np.repeat(np.cumsum(counts) - counts, counts)
         words, line = hash_words([x for s in split for x in s])
-        order = np.lexsort((words, line))
+        order = order_within(words, line)
         words, line = words[order], line[order]
         new = np.ones(len(words), dtype=bool)
         new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
@@ -77,7 +77,7 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Lines]]:
     """Document ids and lines of a batch (doc_id, text) in slices; rows without an id are left out."""
     batch = batch.filter(batch.column(0).is_valid())
     ids = batch.column(0).to_numpy(zero_copy_only=False)
-    for first, run in slices((t or "").encode() for t in batch.column(1).to_pylist()):
+    for first, run in slices(texts_of(batch.column(1))):
         yield ids[first : first + len(run)], Lines(run)
 
 
@@ -85,7 +85,7 @@ def word_table(documents: DataFrame) -> np.ndarray:
     """Hashed counts over all words of all lines."""
 
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, run in slices((t or "").encode() for t in batch.column(0).to_pylist()):
+        for _, run in slices(texts_of(batch.column(0))):
             yield hash_words(run)[0]
 
     return count_table(documents.select("text"), hashes, TABLE_BITS)
@@ -114,6 +114,16 @@ def line_rows(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, line int, key1 long, key2 long, n int")
 
 
+def _packed(entries: np.ndarray) -> bytes:
+    """Byte planes, one after another: the many zero ones compress to nothing on the way."""
+    return np.ascontiguousarray(entries.view(np.uint8).reshape(-1, _ENTRY.itemsize).T).tobytes()
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, dtype=np.uint8).reshape(_ENTRY.itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(_ENTRY)
+
+
 def _first_of(entries: np.ndarray) -> np.ndarray:
     """Entries by word, length, set and place in the corpus; of each word and set the first."""
     entries = entries[np.lexsort((entries["line"], entries["doc"], entries["key"], entries["n"], entries["token"]))]
@@ -122,8 +132,11 @@ def _first_of(entries: np.ndarray) -> np.ndarray:
     return entries[new]
 
 
-def _prefix_blobs(documents: DataFrame, levels, owners: int) -> DataFrame:
-    """owner, entries: prefix words with what the filters need, packed by the owner of the word."""
+def _prefix_blobs(documents: DataFrame, levels, owners: int, among=None) -> DataFrame:
+    """owner, entries: prefix words with what the filters need, packed by the owner of the word.
+
+    With `among`, a bit table, only those of the words that may be in it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -134,18 +147,21 @@ def _prefix_blobs(documents: DataFrame, levels, owners: int) -> DataFrame:
             order = np.argsort(owner, kind="stable")
             entries, owner = entries[order], owner[order]
             which, at = np.unique(owner, return_index=True)
-            blobs = [e.tobytes() for e in np.split(entries, at[1:])] if len(entries) else []
+            blobs = [_packed(e) for e in np.split(entries, at[1:])] if len(entries) else []
             return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary())], names=["owner", "entries"])
 
         for batch in batches:
             for ids, lines in _runs(batch):
                 level = levels.value[slot(lines.words, TABLE_BITS)]
-                order = np.lexsort((lines.words, level, lines.line))
+                # Words of a line are in the order of their hashes, which a stable sort keeps among equal levels.
+                order = np.argsort((lines.line.astype(np.int64) << 16) | level, kind="stable")
                 line, level = lines.line[order], level[order]
                 place = np.arange(len(line)) - lines.start[line]
                 n = lines.n[line]
                 # A word whose slot was hit once is in no other line.
                 kept = (place < n + (-PERCENT * n // 100) + 1) & (level > 0)
+                if among is not None:
+                    kept &= maybe(among.value, lines.words[order].view(np.int64))
                 line = line[kept]
                 entries = np.zeros(len(line), dtype=_ENTRY)
                 entries["token"], entries["place"] = lines.words[order][kept], np.minimum(place[kept], 255)
@@ -153,7 +169,7 @@ def _prefix_blobs(documents: DataFrame, levels, owners: int) -> DataFrame:
                 entries["doc"], entries["line"], entries["n"] = ids[lines.text[line]], lines.number[line], lines.n[line]
                 parts.append(entries)
                 size += len(entries)
-                if size > 1_000_000:
+                if size > 250_000:
                     yield flush()
                     parts, size = [], 0
         yield flush()
@@ -197,7 +213,7 @@ def _candidates(few: int | None, only) -> callable:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [np.frombuffer(b, dtype=_ENTRY) for batch in batches for b in batch.column(1).to_pylist()]
+        blobs = [_unpacked(b) for batch in batches for b in batch.column(1).to_pylist()]
         e = _first_of(np.concatenate(blobs)) if blobs else np.zeros(0, dtype=_ENTRY)
         del blobs
         doc, line = e["doc"].copy(), e["line"].astype(np.int64)
@@ -224,9 +240,9 @@ def _candidates(few: int | None, only) -> callable:
     return run
 
 
-def candidates(documents: DataFrame, levels, few: int | None = None, only=None) -> DataFrame:
+def candidates(documents: DataFrame, levels, few: int | None = None, only=None, among=None) -> DataFrame:
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blobs = _prefix_blobs(documents, levels, 16 * parts).repartition(parts, "owner")
+    blobs = _prefix_blobs(documents, levels, 16 * parts, among).repartition(parts, "owner")
     return blobs.mapInArrow(_candidates(few, only), "x_doc long, x_line int, y_doc long, y_line int, more boolean")
 
 
@@ -243,12 +259,20 @@ def line_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, lines in _runs(batch):
-                doc = docs[lines.text]
-                some = np.flatnonzero(maybe(table.value, line_id(doc, lines.number)) & (lines.n > 0))
-                words = [lines.words[a : a + n].tobytes() for a, n in zip(lines.start[some], lines.n[some])]
+            batch = batch.filter(batch.column(0).is_valid())
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for first, texts in slices(texts_of(batch.column(1))):
+                split = [t.split(b"\n") for t in texts]
+                counts = np.array([len(x) for x in split], dtype=np.int64)
+                doc = np.repeat(ids[first : first + len(texts)], counts)
+                number = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+                some = np.flatnonzero(maybe(table.value, line_id(doc, number)))
+                every = [x for t in split for x in t]
+                # Every line wanted is a text of one line.
+                lines = Lines([every[i] for i in some])
+                words = [lines.words[a : a + n].tobytes() for a, n in zip(lines.start, lines.n)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[some], pa.int64()), pa.array(lines.number[some].astype(np.int32)), pa.array(words, pa.binary())],
+                    [pa.array(doc[some], pa.int64()), pa.array(number[some].astype(np.int32)), pa.array(words, pa.binary())],
                     names=["doc_id", "line", "words"],
                 )
 
@@ -256,6 +280,21 @@ def line_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, line int, words binary").join(wanted, ["doc_id", "line"], "left_semi")
 
 
+def _prefix_words(levels) -> callable:
+    """Task body: the prefix words of lines (doc_id, line, words)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, dtype=np.uint64)]
+            for data in batch.column(2).to_pylist():
+                words = np.frombuffer(data, dtype=np.uint64)
+                order = np.lexsort((words, levels.value[slot(words, TABLE_BITS)]))
+                found.append(words[order[: len(words) + (-PERCENT * len(words) // 100) + 1]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["word"])
+
+    return run
+
+
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         match = []
@@ -298,21 +337,30 @@ def removed_lines(documents: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("y_doc", "y_line"))).alias("ys"), F.bool_or("more").alias("more")
     )
     by_line = via_shared_table(by_line, "line-candidates")
-    pairs = by_line.select("x_doc", "x_line", F.inline(F.slice("ys", 1, FEW)))
+    # First the earliest candidate of each line, then, of lines it doesn't match, the others kept.
+    pairs = by_line.select("x_doc", "x_line", F.inline(F.slice("ys", 1, 1)))
     similar = via_shared_table(matched(via_shared_table(pairs, "line-pairs"), documents), "similar-lines")
-    open_ = by_line.where(f"more or size(ys) > {FEW}").join(similar, ["x_doc", "x_line"], "left_anti")
-    open_ = via_shared_table(open_.select("x_doc", "x_line"), "open-lines")
+    rest = by_line.where("more or size(ys) > 1").join(similar, ["x_doc", "x_line"], "left_anti")
+    rest = via_shared_table(rest, "open-lines")
+    pairs = rest.where("size(ys) > 1").select("x_doc", "x_line", F.inline(F.expr("slice(ys, 2, size(ys))")))
+    pairs = via_shared_table(pairs, "line-pairs")
+    if not pairs.isEmpty():
+        similar = via_shared_table(similar.unionByName(matched(pairs, documents)), "similar-lines")
+    open_ = via_shared_table(rest.where("more").join(similar, ["x_doc", "x_line"], "left_anti").select("x_doc", "x_line"), "open-lines")
     if not open_.isEmpty():
-        # None of the earliest candidates matched; now all of them.
+        # None of the candidates kept matched; now all there are.
         def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(line_id(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)))], names=["id"]
                 )
 
-        only = documents.sparkSession.sparkContext.broadcast(seen(open_.mapInArrow(ids, "id long"), "id"))
-        rest = candidates(documents, levels, None, only).drop("more").join(open_, ["x_doc", "x_line"], "left_semi").distinct()
-        similar = similar.unionByName(matched(via_shared_table(rest, "line-pairs"), documents))
+        context = documents.sparkSession.sparkContext
+        only = context.broadcast(seen(open_.mapInArrow(ids, "id long"), "id"))
+        named = open_.select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line"))
+        among = context.broadcast(seen(line_words(documents, named).mapInArrow(_prefix_words(levels), "word long"), "word"))
+        rest = candidates(documents, levels, None, only, among).drop("more").join(open_, ["x_doc", "x_line"], "left_semi").distinct()
+        similar = via_shared_table(similar.unionByName(matched(via_shared_table(rest, "line-pairs"), documents)), "similar-lines")
 
     gone = firsts.join(
         similar, (F.col("first.doc_id") == similar["x_doc"]) & (F.col("first.line") == similar["x_line"]), "left"
@@ -326,7 +374,8 @@ def drop_lines(documents: DataFrame) -> DataFrame:
 
     The lines left are joined by line feeds as before. No rows are lost; an empty table gives no rows.
     """
-    removed = via_shared_table(removed_lines(documents), "removed-lines")
+    with small_batches(documents.sparkSession):
+        removed = via_shared_table(removed_lines(documents), "removed-lines")
     removed = removed.select(F.col("doc_id").alias("_removed_id"), F.col("removed").alias("_removed"))
     joined = documents.join(removed, documents["doc_id"] == removed["_removed_id"], "left")
     kept = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> not array_contains(_removed, i)), '\\n')")

@@ -8,11 +8,14 @@ difference of two prefix sums of `table[byte] * base ** position`, moved back to
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import SparkSession
 
 U64 = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _random = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -47,6 +50,37 @@ def _power(base: int, n: int) -> np.ndarray:
     return have
 
 
+def texts_of(column: pa.Array) -> Iterator[bytes]:
+    """The texts of a string column as UTF-8, null as empty, a few at a time."""
+    data = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+    for i in range(0, len(data), 256):
+        for text in data.slice(i, 256).to_pylist():
+            yield text or b""
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """Fewer rows to an Arrow batch for the jobs run inside: texts and sets are wide."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def order_within(words: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Order by group, then word; `group` is ascending already."""
+    if len(group) and int(group[-1]) < 1 << 20:
+        key = (group.astype(np.uint64) << U64(44)) | (words >> U64(20))
+        order = np.argsort(key)
+        key, w = key[order], words[order]
+        if not ((key[1:] == key[:-1]) & (w[1:] < w[:-1])).any():
+            return order
+    return np.lexsort((words, group))
+
+
 def slices(texts: Iterable[bytes], most: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of texts of at most `most` bytes (a longer text alone), with the index of the first."""
     first, run, total = 0, [], 0
@@ -100,16 +134,16 @@ def hash_shingles(words: np.ndarray, text_of: np.ndarray, k: int = 5) -> tuple[n
     first = np.flatnonzero(np.diff(text_of, prepend=-1))
     counts = np.diff(np.append(first, n))
     for i, m in zip(first[counts < k], counts[counts < k]):
-        whole = (words[i : i + m] * _PLACES[:m]).sum(dtype=np.uint64) + U64(m) * U64(0xD6E8FEB86659FD93)
-        parts.append(mix(np.array([whole])))
+        whole = (words[i : i + m] * _PLACES[:m]).sum(dtype=np.uint64, keepdims=True)
+        parts.append(mix(whole + np.array([m], dtype=np.uint64) * U64(0xD6E8FEB86659FD93)))
         owners.append(text_of[i : i + 1])
     hashes, owner = np.concatenate(parts), np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
     return hashes[order], owner[order]
 
 
-def sets_of(texts: list[bytes], k: int = 5, lower: bool = True) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text, in the order given."""
+def sets_of(texts: Iterable[bytes], k: int = 5, lower: bool = True) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text, in the order given; texts may come from an iterator."""
     for _, run in slices(texts):
         hashes, owner = hash_shingles(*hash_words(run, lower), k)
         bounds = np.searchsorted(owner, np.arange(len(run) + 1))
