@@ -8,9 +8,10 @@ the smaller of its two l.
 
 Posting lists may be as long as a group of near copies is large, and its pairs are not enumerated.
 First every document of a list is verified against one, the list's hub. What that links is one
-component. Then pairs are made only between documents of a list that are still in different
-components, and not where their distances to a common hub, with the triangle inequality of the
-Jaccard distance, rule a link out. No link between components is missed.
+component. Then documents of a list that are still in different components are compared: those of
+short lists as pairs, where their distances to the hub, with the triangle inequality of the Jaccard
+distance, don't rule a link out; those of long lists in blocks, by products of their sets' incidence
+matrices, of which only links that join components come out. No link between components is missed.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.llm.components import components
 from funnelspark.llm.tables import count_table, maybe, rarity, seen, slot
-from funnelspark.llm.words import mix, set_key, sets_of
+from funnelspark.llm.words import mix, set_key, sets_of, small_batches, texts_of
 from funnelspark.sources.sinks import via_shared_table
 
 SHINGLE = 5
@@ -38,15 +40,13 @@ MATCHES = (1, 2, 4, 8, 16, 32)
 VERIFY = 50.0
 #: A shingle with more documents in one task than this keeps them there; its owner learns only that.
 CROWDED = 64
+#: Longest list whose pairs are made, and documents of a longer one that are compared as a block.
+SHORT, BLOCK = 64, 512
 _ENTRY = np.dtype([("token", "<u8"), ("doc", "<i8"), ("level", "u1")])
 #: Levels are the l from which on a shingle is in the prefix, up to the largest of MATCHES; added to it:
 _CERTAIN = 64
 
 
-def _texts(column: pa.Array) -> list[bytes]:
-    return [(t or "").encode() for t in column.to_pylist()]
-
-
 def _needed(n: np.ndarray | int):
     """ceil(t n): the smallest overlap of a set of n with any that it links with."""
     return -(-PERCENT * n // 100)
@@ -92,7 +92,7 @@ def shingle_table(documents: DataFrame, k: int = SHINGLE) -> np.ndarray:
 
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         some: list[np.ndarray] = []
-        for tokens in sets_of(_texts(batch.column(0)), k):
+        for tokens in sets_of(texts_of(batch.column(0)), k):
             some.append(tokens)
             if len(some) == 256:
                 yield np.concatenate(some)
@@ -109,7 +109,7 @@ def _summaries(documents: DataFrame, order, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for tokens in sets_of(_texts(batch.column(1)), k):
+            for tokens in sets_of(texts_of(batch.column(1)), k):
                 rows.append((len(tokens), order.value.prefix(tokens)[2], *set_key(tokens)) if len(tokens) else (0, 1, 0, 0))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
@@ -134,7 +134,7 @@ def _prefix_blobs(documents: DataFrame, order, k: int, owners: int) -> DataFrame
     """owner, entries: the prefix entries of each task, packed by the owner of their shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_task = np.uint64(TaskContext.get().partitionId())
+        own_task = np.array([TaskContext.get().partitionId()], dtype=np.uint64)
         have: set[tuple[int, int]] = set()
         tokens_, docs_, levels_, size = [], [], [], 0
 
@@ -163,7 +163,7 @@ def _prefix_blobs(documents: DataFrame, order, k: int, owners: int) -> DataFrame
 
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for doc, tokens in zip(ids, sets_of(_texts(batch.column(1)), k)):
+            for doc, tokens in zip(ids, sets_of(texts_of(batch.column(1)), k)):
                 if doc is None or not len(tokens):
                     continue
                 key = set_key(tokens)
@@ -176,7 +176,7 @@ def _prefix_blobs(documents: DataFrame, order, k: int, owners: int) -> DataFrame
                 docs_.append(np.full(len(ordered), doc, dtype=np.int64))
                 levels_.append(np.maximum(np.arange(len(ordered)) - base + 2, 1).astype(np.uint8))
                 size += len(ordered)
-                if size > 2_000_000:
+                if size > 500_000:
                     yield flush()
                     tokens_, docs_, levels_, size = [], [], [], 0
         yield flush()
@@ -229,7 +229,7 @@ def shingle_sets(documents: DataFrame, ids: DataFrame, k: int = SHINGLE) -> Data
         for batch in batches:
             numbers = batch.column(0).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array(maybe(table.value, numbers)))
-            sets = [t.tobytes() for t in sets_of(_texts(batch.column(1)), k)]
+            sets = [t.tobytes() for t in sets_of(texts_of(batch.column(1)), k)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "tokens"])
 
     rows = documents.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
@@ -260,10 +260,66 @@ def verify(pairs: DataFrame, documents: DataFrame, k: int = SHINGLE) -> DataFram
 _LINKS = f"100 * shared >= {PERCENT} * either and shared > 0"
 
 
-def similar_pairs(documents: DataFrame, classes: DataFrame, posted: DataFrame, k: int = SHINGLE) -> DataFrame:
+def _linking(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links a, b between components of one cell: x of side 0 with x of side 1, or all x if there is one side."""
+    rows = rows.sort_values(["side", "x"]).reset_index(drop=True)
+    sets = [np.frombuffer(t, dtype=np.uint64) for t in rows["tokens"]]
+    n = np.array([len(t) for t in sets])
+    token = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), n)
+    values, code, count = np.unique(token, return_inverse=True, return_counts=True)
+    shared = count[code] > 1
+    code, owner = code[shared], owner[shared]
+    _, code = np.unique(code, return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    width = 2048
+    for first in range(0, int(code[-1]) + 1 if len(code) else 0, width):
+        a, b = np.searchsorted(code, [first, first + width])
+        part = np.zeros((len(sets), width), dtype=np.float32)
+        part[owner[a:b], code[a:b] - first] = 1
+        both += part @ part.T
+    component, side = rows["component"].to_numpy(), rows["side"].to_numpy()
+    link = 100 * both >= PERCENT * (n[:, None] + n[None, :] - both)
+    link &= (both > 0) & (component[:, None] != component[None, :])
+    link &= (side[:, None] < side[None, :]) if side.max() else np.triu(np.ones_like(link), 1)
+    # Of the links only a forest that joins the same components.
+    ends = {c: c for c in component.tolist()}
+
+    def end(c: int) -> int:
+        while ends[c] != c:
+            ends[c] = ends[ends[c]]
+            c = ends[c]
+        return c
+
+    found = []
+    for i, j in zip(*np.nonzero(link)):
+        p, q = end(int(component[i])), end(int(component[j]))
+        if p != q:
+            ends[max(p, q)] = min(p, q)
+            found.append((int(rows["x"][i]), int(rows["x"][j])))
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
+def _block_links(members: DataFrame, documents: DataFrame, k: int) -> DataFrame:
+    """Links between the components of each hub's documents: hub_x, x, component, one row each."""
+    blocks = members.groupBy("hub_x").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "hub_x").withColumn("block", F.pmod(F.xxhash64("x"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.selectExpr(
+        "hub_x", "x", "component", "least(block, other) as low", "greatest(block, other) as high", "cast(block > other as int) as side"
+    )
+    ids = via_shared_table(members.select(F.col("x").alias("doc_id")).distinct(), "block-ids")
+    sets = shingle_sets(documents, ids, k).withColumnRenamed("doc_id", "x")
+    cells = dealt.join(sets, "x").groupBy("hub_x", "low", "high")
+    return cells.applyInPandas(_linking, "a long, b long")
+
+
+def similar_pairs(documents: DataFrame, posted: DataFrame, k: int = SHINGLE) -> DataFrame:
     """Links (a, b) that join all documents whose sets are similar, directly or by way of others."""
     entry = F.struct("x", "n", "l", "level")
-    hubs = posted.groupBy("token").agg(F.min(entry).alias("hub"), F.count("*").alias("many")).where("many > 1").drop("many")
+    hubs = posted.groupBy("token").agg(F.min(entry).alias("hub"), F.count("*").alias("many")).where("many > 1")
     hubs = via_shared_table(hubs, "hubs")
     listed = posted.join(hubs, "token")
     met = listed.where(f"x != hub.x and {_size_fits('n', 'hub.n')} and greatest(level, hub.level) <= least(l, hub.l)")
@@ -275,26 +331,28 @@ def similar_pairs(documents: DataFrame, classes: DataFrame, posted: DataFrame, k
     links = checked.where(_LINKS).select("a", "b")
     near = via_shared_table(components(links), "first-components")
 
-    # Second: pairs of a list in different components. `far` is the distance to the list's hub, if known.
+    # Second: documents of a list in different components. `far` is the distance to the list's hub, if known.
     known = checked.selectExpr("a as hub_x", "b as x", "1 - shared / cast(either as double) as far").groupBy("hub_x", "x").agg(F.max("far").alias("far"))
     comp = near.select(F.col("node").alias("x"), "component")
     hub_comp = near.select(F.col("node").alias("hub_x"), F.col("component").alias("hub_component"))
     placed = (
-        listed.select("token", "x", "n", "l", "level", F.col("hub.x").alias("hub_x"))
+        listed.select("token", "x", "n", "l", "level", "many", F.col("hub.x").alias("hub_x"))
         .join(comp, "x", "left")
         .withColumn("component", F.coalesce("component", "x"))
+        .join(hub_comp, "hub_x", "left")
+        .withColumn("stray", F.col("component") != F.coalesce("hub_component", "hub_x"))
+        .drop("hub_component")
     )
-    strange = via_shared_table(
-        placed.join(hub_comp, "hub_x", "left")
-        .withColumn("hub_component", F.coalesce("hub_component", "hub_x"))
-        .withColumn("stray", F.col("component") != F.col("hub_component"))
-        .join(known, ["hub_x", "x"], "left")
-        .withColumn("far", F.expr("if(x = hub_x, 0D, far)"))
-        .select("token", "x", "n", "l", "level", "component", "stray", "far"),
-        "listed",
-    )
-    stray = strange.where("stray").drop("stray").withColumnsRenamed({c: f"s_{c}" for c in ("x", "n", "l", "level", "component", "far")})
-    met = strange.join(stray, "token").where(
+    placed = via_shared_table(placed, "listed")
+
+    long_ = placed.where(f"many > {SHORT}").groupBy("hub_x", "x", "component").agg(F.max("stray").alias("stray"))
+    mixed = long_.where("stray").select("hub_x").distinct()
+    members = via_shared_table(long_.join(mixed, "hub_x", "left_semi").select("hub_x", "x", "component"), "block-members")
+    in_blocks = via_shared_table(_block_links(members, documents, k), "block-links")
+
+    short = placed.where(f"many <= {SHORT}").join(known, ["hub_x", "x"], "left").withColumn("far", F.expr("if(x = hub_x, 0D, far)"))
+    stray = short.where("stray").select(*[F.col(c).alias(f"s_{c}") for c in ("token", "x", "n", "l", "level", "component", "far")])
+    met = short.join(stray, F.col("token") == F.col("s_token")).where(
         f"component != s_component and (not stray or x < s_x) and {_size_fits('n', 's_n')}"
         f" and greatest(level, s_level) <= least(l, s_l) and (far is null or s_far is null or abs(far - s_far) <= {1 - PERCENT / 100} + 1e-9)"
     )
@@ -302,10 +360,12 @@ def similar_pairs(documents: DataFrame, classes: DataFrame, posted: DataFrame, k
         F.count("*").alias("met"), F.first(F.least("l", "s_l")).alias("needed")
     )
     done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # A pair that also meets in a long list has been compared there, so that its count here may fall short.
     pairs = via_shared_table(pairs.where("met >= needed").select("a", "b").join(done, ["a", "b"], "left_anti"), "more-pairs")
     more = verify(pairs, documents, k).where(_LINKS).select("a", "b")
     # The first links by their components: a link to the smallest node for each.
-    return near.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a != b").unionByName(more)
+    first = near.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a != b")
+    return first.unionByName(in_blocks).unionByName(more)
 
 
 def near_duplicates(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -317,10 +377,11 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
     none and a null component. Other columns are not looked at; an empty table gives no rows.
     """
     documents = documents.select("doc_id", "text")
-    order = documents.sparkSession.sparkContext.broadcast(Order(shingle_table(documents, k)))
-    classes = document_classes(documents, order, k)
-    posted = postings(documents, classes, order, k)
-    same = components(similar_pairs(documents, classes, posted, k))
+    with small_batches(documents.sparkSession):
+        order = documents.sparkSession.sparkContext.broadcast(Order(shingle_table(documents, k)))
+        classes = document_classes(documents, order, k)
+        posted = postings(documents, classes, order, k)
+        same = components(similar_pairs(documents, posted, k))
     labels = same.select(F.col("node").alias("rep"), "component")
     return classes.join(labels, "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")

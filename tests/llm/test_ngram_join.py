@@ -74,6 +74,25 @@ def test_crowded_shingles(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == brute(rows)
 
 
+def test_long_lists_in_blocks(spark, monkeypatch):
+    """A hot group whose copies are borderline to each other, compared in cells of a few documents."""
+    monkeypatch.setattr(ngram_join, "SHORT", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    r = random.Random(11)
+    base = [f"b{i}" for i in range(90)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for _ in range(r.choice([0, 1, 2, 3, 4])):
+            w[r.randrange(90)] = f"v{r.randrange(1000)}"
+        rows.append((i, " ".join(w), "", 0))
+    rows += corpus(5, 60)
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = brute(rows)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
+    assert len({c for i, c in want.items() if i < 160}) > 1
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = corpus(3, 80)
     docs = spark.createDataFrame(rows, SCHEMA)
