@@ -17,10 +17,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.words import mix
+from funnelspark.llm.words import mix, small_batches
 from funnelspark.sources.sinks import via_shared_table
 
-MEMO_WORDS = 600_000
+MEMO_WORDS = 200_000
 _SEGMENT = re.compile(r" ?\S+|\s+(?!\S)|\s")
 # The public byte-level rule's pattern, and the bytes it shows as themselves.
 _PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -115,7 +115,7 @@ def tokenize(
             at = 0
             while at < len(texts):
                 upto, size = at, 0
-                while upto < len(texts) and (upto == at or size + len(texts[upto]) <= 1 << 20):
+                while upto < len(texts) and (upto == at or size + len(texts[upto]) <= 1 << 18):
                     size += len(texts[upto])
                     upto += 1
                 own, rows, ids = [], [], []
@@ -231,13 +231,15 @@ def pack_documents(docs: DataFrame, path: str, most: int = 1024, end_id: int = 2
     empty table gives no rows; other columns of `docs` are not looked at. Tokenising happens once:
     the pieces, without text or ids, are written to the shared folder.
     """
-    pieces = via_shared_table(tokenize(docs, path, most, end_id, id_column), "pieces")
+    with small_batches(docs.sparkSession, 512):
+        pieces = via_shared_table(tokenize(docs, path, most, end_id, id_column), "pieces")
     return pack(pieces, most).drop("salt")
 
 
 def sequences(docs: DataFrame, path: str, most: int = 1024, end_id: int = 2, id_column: str = "doc_id") -> DataFrame:
     """The packed sequences themselves: sequence_id, ids, lengths (one number per piece, for attention masks)."""
-    pieces = via_shared_table(tokenize(docs, path, most, end_id, id_column, keep_ids=True), "pieces")
+    with small_batches(docs.sparkSession, 512):
+        pieces = via_shared_table(tokenize(docs, path, most, end_id, id_column, keep_ids=True), "pieces")
     placed = pack(pieces.select("salt", "length"), most)
     joined = pieces.select("salt", "ids").join(placed, "salt")
     parts = F.array_sort(F.collect_list(F.struct("offset", "length", "ids")))
