@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.llm.toxicity import labelled_sample
-from funnelspark.llm.words import hash_words, slices
+from funnelspark.llm.words import hash_words, parts, slices, texts_of
 from funnelspark.sources.sinks import via_shared_table
 
 #: Most labelled documents the classifier is fitted on, those with the smallest hash of their id.
@@ -103,8 +103,8 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", most:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = features([(t or "").encode() for t in batch.column(1).to_pylist()])
+        for batch in parts(batches):
+            x = features(list(texts_of(batch.column(1))))
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(list(x), pa.list_(pa.float64()))], names=["grade", "x"])
 
     sample = labelled_sample(documents, labels, label, most).select("doc_id", "text", F.col("grade").cast("int").alias("grade"))
@@ -122,8 +122,8 @@ def classify(documents: DataFrame, model: Classifier, prior: float) -> DataFrame
     """doc_id, host, path, evidence, p: the classifier's say on every row, without its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            e = model.evidence(features([(t or "").encode() for t in batch.column(3).to_pylist()]))
+        for batch in parts(batches):
+            e = model.evidence(features(list(texts_of(batch.column(3)))))
             p = 1 / (1 + np.exp(-(e + prior)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(e), pa.array(p)], names=["doc_id", "host", "path", "evidence", "p"])
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.words import PUNCTUATION, hash_words, slices
+from funnelspark.llm.words import PUNCTUATION, hash_words, parts, slices, texts_of
 
 #: Most labelled documents the model is fitted on, those with the smallest hash of their id.
 SAMPLE = 8192
@@ -53,14 +53,14 @@ def word_counts(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarra
 
 
 def _texts(column: pa.Array) -> list[bytes]:
-    return [(t or "").encode() for t in column.to_pylist()]
+    return list(texts_of(column))
 
 
 def sample_counts(sample: DataFrame) -> DataFrame:
     """doc_id, grade, word, count of the sample's documents (doc_id, text, grade)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             ids, grades = batch.column(0), batch.column(2)
             for first, owner, words, counts, _ in word_counts(_texts(batch.column(1))):
                 rows = pa.array(owner + first)
@@ -200,7 +200,7 @@ def score(documents: DataFrame, model: OrdinalModel, reject_at: float = 0.5) ->
     text = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             upto = model.at_most(evidence(model, _texts(batch.column(text))))
             each = np.diff(upto, axis=1, prepend=0, append=1)
             above = 1 - upto[:, 0]
@@ -218,7 +218,7 @@ def reject(documents: DataFrame, model: OrdinalModel, reject_at: float = 0.5) ->
     text = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             above = 1 - model.at_most(evidence(model, _texts(batch.column(text))))[:, 0]
             yield batch.filter(pa.array(above < reject_at))
 

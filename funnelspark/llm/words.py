@@ -58,6 +58,13 @@ def texts_of(column: pa.Array) -> Iterator[bytes]:
             yield text or b""
 
 
+def parts(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that only a few texts are Python objects at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
     """Fewer rows to an Arrow batch for the jobs run inside: texts and sets are wide."""
