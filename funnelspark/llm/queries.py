@@ -217,3 +217,14 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from funnelspark.llm.line_dedup import drop_lines
 
     return drop_lines(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_pair_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens of two public tokenizers, aligned."""
+    import public_tokenizers
+
+    from funnelspark.llm.alignment import align_documents
+
+    path = public_tokenizers.path
+    return align_documents(table(spark, folder, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
