@@ -228,3 +228,38 @@ def op13_pair_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
 
     path = public_tokenizers.path
     return align_documents(table(spark, folder, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
+@query
+def op11_residue_gemm(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors are every hundredth vector; every seventh label is moved on by one first."""
+    from funnelspark.llm.hard_negatives import hard_negatives
+
+    vectors = table(spark, folder, "embeddings")
+    label = "if(vec_id % 7 = 0, (cast(label as bigint) + 1) % 10, cast(label as bigint)) as label"
+    return hard_negatives(vectors.selectExpr("vec_id", "embedding", label), "id % 100 = 0")
+
+
+ORACLES["op11_residue_gemm"] = """
+with given as (
+    select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label::bigint end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), rows as (
+    select row_number() over () as own, * from (select distinct * from given)
+), met as (
+    select a.own as anchor, a.vec_id as anchor_id, a.label as anchor_label, b.own, b.vec_id, b.label,
+           coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0)::bigint as score
+    from rows as a join rows as b on a.vec_id % 100 = 0 and a.own != b.own and len(a.v) = len(b.v)
+), near as (
+    select *, row_number() over (partition by anchor order by score desc, vec_id, own) as place from met where label = anchor_label
+), far as (
+    select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score, n.score as negative_score,
+           row_number() over (partition by p.anchor, p.place order by n.score desc, n.vec_id, n.own) as rank
+    from near as p join met as n
+      on p.place <= 5 and n.anchor = p.anchor and n.label != p.anchor_label and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from far where rank <= 10
+"""
