@@ -263,3 +263,11 @@ with given as (
 )
 select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from far where rank <= 10
 """
+
+
+@query
+def op12_cap_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings, compared within their labels."""
+    from funnelspark.llm.cap_filters import near_vectors
+
+    return near_vectors(table(spark, folder, "embeddings"), 0.93)
