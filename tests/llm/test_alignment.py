@@ -7,6 +7,7 @@ import pytest
 
 from funnelspark.llm import alignment
 from funnelspark.llm.alignment import align_documents, aligner, bitmaps, index, pair_counts
+from funnelspark.llm.packing import _BYTE_OF
 
 A, B = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, row long, pair string"
@@ -28,7 +29,7 @@ def slow(texts):
     for t in texts:
         ids_a = a.encode(f" {t}", add_special_tokens=False).ids if t else []
         ids_b = b.encode(t) if t else []
-        bytes_a = [bytes(alignment._BYTE_OF[c] for c in shown[i]) for i in ids_a]
+        bytes_a = [bytes(_BYTE_OF[c] for c in shown[i]) for i in ids_a]
         bytes_b = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ids_b]
         if b"".join(bytes_a) != f" {t or ''}".encode() or b"".join(bytes_b) != f" {t or ''}".encode():
             ids_a = ids_b = bytes_a = bytes_b = []
@@ -50,7 +51,8 @@ def slow(texts):
 
 
 def test_against_whole_texts(spark, monkeypatch):
-    monkeypatch.setattr(alignment, "MEMO_SEGMENTS", 10)
+    monkeypatch.setattr(alignment, "HELD", 300)
+    monkeypatch.setattr(alignment, "RUN", 40)
     texts = [t for t in TEXTS if t is None or len(t) < 6000] + TEXTS[4:10]
     docs = spark.createDataFrame([(i % 20 or None, t, i, "x") for i, t in enumerate(texts)], SCHEMA).repartition(3)
     got = align_documents(docs, A, B)
@@ -88,7 +90,7 @@ def test_bitmaps_hold_all(documents):
     assert back == Counter(zip(pair.tolist(), place.tolist()))
 
 
-def test_segments_are_whole_texts():
+def test_random_texts():
     rng = np.random.default_rng(2)
     letters = list(" \n\t\x1c\x85 　ab'sT1.,你é\U0001f600▁") + ["  ", " the", "ing", "<s>", "'s"]
     texts = ["".join(rng.choice(letters, rng.integers(1, 25))) for _ in range(3000)]
