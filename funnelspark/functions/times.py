@@ -44,6 +44,15 @@ def hour_plus(hour: str, hours: int) -> str:
     return shifted.strftime("%Y-%m-%dT%H")
 
 
+def hours_between(start: str, until: str) -> list[str]:
+    """The hour strings of [start, until)."""
+    hours = []
+    while start < until:
+        hours.append(start)
+        start = hour_plus(start, 1)
+    return hours
+
+
 def hour_range(dt: str, low: str, high: str, closed: str = "left") -> str:
     """Lexicographic range on an hour-string partition column; the bounds are values.
 

@@ -1,6 +1,6 @@
 from funnelspark.sources.readers import flatten_records, latest_partition, read_table, scan_hours
 from funnelspark.sources.schemas import SCHEMAS
-from funnelspark.sources.sinks import intermediates, shared_folder, via_shared_table, write_hour, write_once
+from funnelspark.sources.sinks import intermediates, recover, shared_folder, via_shared_table, write_hour, write_hours, write_once
 
 __all__ = [
     "SCHEMAS",
@@ -8,9 +8,11 @@ __all__ = [
     "intermediates",
     "latest_partition",
     "read_table",
+    "recover",
     "scan_hours",
     "shared_folder",
     "via_shared_table",
     "write_hour",
+    "write_hours",
     "write_once",
 ]

@@ -7,6 +7,7 @@ joins, `quantile_disc`, text comparison of hours.
 from __future__ import annotations
 
 from workload.queries import (
+    BACKFILL,
     AS_OF,
     CALIBRATION_AS_OF,
     CALIBRATION_DAYS,
@@ -798,3 +799,15 @@ ORACLES["write_hour_empty_rerun"] = f"""
 {_with("matched_app_events")}
 select custom_event_id, count(*) as n, '2024-01-01T00' as dt from matched_app_events group by custom_event_id
 """
+ORACLES["write_once_without_marker"] = ORACLES["write_once_keeps_first"]
+ORACLES["write_hour_failed_swap"] = ORACLES["write_hour_replaces_hour"]
+ORACLES["backfill_hours"] = (
+    "select *, substr(\"at\", 1, 13) as dt from ("
+    + _during("platform_health_v2_report", f"dt >= '{BACKFILL[0]}' and dt < '{BACKFILL[2]}'")
+    + f") where substr(\"at\", 1, 13) <> '{BACKFILL[1]}'"
+)
+ORACLES["bid_validation_limit"] = f"""
+with whole as ({ORACLES["bid_economics"]})
+select asked::bigint as asked, least(asked, (select count(*) from whole))::bigint as n_rows, least(asked, (select count(*) from whole))::bigint as n_in_whole
+from (values (10), (1000), (2000000000)) as v(asked)
+"""

@@ -21,7 +21,8 @@ from funnelspark.plans import (
     train_segments_v2,
 )
 from funnelspark.plans.bucket_tables import AXES_V1, KEYS_V1
-from funnelspark.sources import latest_partition, read_table, shared_folder, via_shared_table, write_hour, write_once
+from funnelspark.sources import latest_partition, read_table, recover, shared_folder, via_shared_table, write_hour, write_hours, write_once
+from funnelspark.sources.sinks import PLAN, Files
 from workload.tables import Tables, TypedTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,8 @@ IMPRESSION_HOUR = "1997-01-01T01"
 EVENT_HOUR = "2024-01-12T23"
 WEEK = ("2024-01-05T00", "2024-01-12T00")
 TRAINING = ("1996-01-01T01", "1999-01-01T02")
+#: Start, the hour left without rows, and end of a backfill.
+BACKFILL = ("2024-01-12T21", "2024-01-12T22", "2024-01-13T00")
 CHECKED_HOURS = ("1997-01-01T00", "1997-01-01T01")
 CHECKED_IDS = (1, 3, 5)
 
@@ -395,10 +398,34 @@ def bid_validation_hours(t: Tables) -> DataFrame:
     return bid_validation(typed(t)["impressions"], t["ad_groups"], *CHECKED_HOURS, ad_group_ids=CHECKED_IDS)
 
 
+@query
+def bid_validation_limit(t: Tables) -> DataFrame:
+    """The row limit of the bid check: as many rows as asked for, every one a row of the whole check."""
+    whole = via_shared_table(bid_validation(t["impressions"], t["ad_groups"], START, END), "bids")
+    columns = [f"`{c}`" for c in whole.columns]
+    row = F.expr(f"to_json(struct({', '.join(columns)}))")
+    asked = [10, 1000, 2_000_000_000]
+    out = None
+    for n in asked:
+        some = via_shared_table(bid_validation(t["impressions"], t["ad_groups"], START, END, limit=n), "some-bids")
+        each = some.groupBy(row.alias("row")).agg(F.count("*").alias("times"))
+        known = whole.groupBy(row.alias("known")).agg(F.count("*").alias("most"))
+        told = each.join(known, F.col("row") == F.col("known"), "left").agg(
+            F.coalesce(F.sum("times"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.expr("least(times, most)")), F.lit(0)).alias("n_in_whole")
+        )
+        told = told.withColumn("asked", F.lit(n).cast("bigint"))
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
 def typed(t: Tables) -> TypedTables:
     return TypedTables(t.spark, t.folder)
 
 
+def schema_text(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -463,6 +490,42 @@ def write_hour_replaces_hour(t: Tables) -> DataFrame:
     return spark.read.schema("custom_event_id bigint, n bigint, dt string").parquet(folder)
 
 
+@query
+def write_once_without_marker(t: Tables) -> DataFrame:
+    """A table finished without any success file is kept, data and all: the catalog knows it by its place."""
+    table = new_table(new_folder(t.spark, "unmarked"))
+    counts = t["lineitem"].groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    counts.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").saveAsTable(table)
+    write_once(counts.withColumn("n", F.lit(0).cast("bigint")), table)
+    return t.spark.table(table)
+
+
+@query
+def write_hour_failed_swap(t: Tables) -> DataFrame:
+    """An hour's replacement that died between its two renames is found and ended; the other hour stays."""
+    spark, folder = t.spark, new_folder(t.spark, "swapped")
+    counts = t["matched_app_events"].groupBy("custom_event_id").agg(F.count("*").alias("n"))
+    write_hour(counts, folder, "2024-01-01T00")
+    write_hour(counts, folder, "2024-01-01T01")
+    swap, files = f"{folder}/_swap-died", Files(spark)
+    counts.withColumn("n", F.col("n") * 10).write.parquet(f"{swap}/dt=2024-01-01T01")
+    files.write(f"{swap}/{PLAN}", "2024-01-01T01 1")
+    files.move(f"{folder}/dt=2024-01-01T01", f"{swap}/_old/dt=2024-01-01T01")
+    recover(spark, folder)
+    return spark.read.schema("custom_event_id bigint, n bigint, dt string").parquet(folder)
+
+
+@query
+def backfill_hours(t: Tables) -> DataFrame:
+    """Three hours of the second report as one job, over an earlier run of them; one hour has no rows any more."""
+    start, empty, until = BACKFILL
+    folder = new_folder(t.spark, "backfill")
+    report = via_shared_table(platform_health_v2(typed(t), start, until, NOW), "report")
+    write_hours(report.withColumn("installs", F.col("installs") + 1), folder, start, until)
+    write_hours(report.where(f"substr(at, 1, 13) <> '{empty}'"), folder, start, until)
+    return rounded_metrics(t.spark.read.schema(f"{schema_text(report)}, dt string").parquet(folder))
+
+
 # --- funnel --------------------------------------------------------------------------------
 
 
