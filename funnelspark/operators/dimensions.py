@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from funnelspark.sources.readers import latest_partition
+from funnelspark.sources.readers import PartitionedTable, latest_partition
 
 
 def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -39,14 +39,16 @@ def campaign_targets(campaigns: DataFrame) -> DataFrame:
     )
 
 
-def newest_snapshot(snapshots: DataFrame, lookback_days: int, as_of: str) -> DataFrame:
+def newest_snapshot(snapshots: DataFrame | PartitionedTable, lookback_days: int, as_of: str) -> DataFrame:
     """Rows of the newest daily snapshot within the look-back."""
+    if isinstance(snapshots, PartitionedTable):
+        return snapshots.newest(lookback_days, as_of)
     latest = latest_partition(snapshots, lookback_days, as_of)
     return snapshots.where(F.col("dt") == latest.scalar())
 
 
 def crm_campaign_v1(
-    crm_campaigns: DataFrame,
+    crm_campaigns: DataFrame | PartitionedTable,
     campaigns: DataFrame,
     as_of: str = "current_timestamp()",
     lookback_days: int = 2,
@@ -63,8 +65,8 @@ def crm_campaign_v1(
 
 
 def crm_campaign_v2(
-    crm_campaigns: DataFrame,
-    crm_opportunities: DataFrame,
+    crm_campaigns: DataFrame | PartitionedTable,
+    crm_opportunities: DataFrame | PartitionedTable,
     campaigns: DataFrame,
     as_of: str = "current_timestamp()",
     lookback_days: int = 4,

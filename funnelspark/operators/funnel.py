@@ -98,8 +98,18 @@ def _shape(source: str, df: DataFrame, keys: Mapping[str, str], measures: Mappin
     )
 
 
+def stated_once(union: DataFrame) -> DataFrame:
+    """The union's rows, with a filter that every row passes and that the optimiser can't move.
+
+    What is projected above it stays above it. Otherwise the same long expressions would be pushed into each
+    of the union's sources, and optimised and compiled as many times. Columns are still pruned.
+    """
+    return union.where("spark_partition_id() >= 0")
+
+
 def _recoded(rows: DataFrame) -> DataFrame:
     """Joined rows with raw values recoded to keys."""
+    rows = stated_once(rows)
     kept = [c for c in rows.columns if c not in _EXCHANGE]
     return rows.selectExpr(
         *[f"{_RECODED[c]} as {c}" if c in _RECODED else c for c in kept], f"{_RECODED['exchange_group']} as exchange_group"
@@ -382,7 +392,7 @@ def funnel_rows(
     )
     unmatched = _recoded(unmatched).selectExpr("*", *[f"cast(null as {t}) as {k}" for k, t in BUCKET_KEYS.items()])
     columns = ["source", *key_names(variant), *METRICS]
-    return union_branches([matched.select(*columns), unmatched.select(*columns)])
+    return stated_once(union_branches([matched.select(*columns), unmatched.select(*columns)]))
 
 
 def sum_metrics() -> list[Column]:

@@ -21,9 +21,6 @@ SETTINGS = {
     # The JVM does not compile methods over 8,000 bytes, and fusing a funnel projection with a
     # sum over 27 keys makes longer ones. Those stages run as separate, compiled projections.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # What the seven sources have in common is stated once above their union. Pushed below it, the same
-    # long expressions would be optimised and compiled seven times. Columns are still pruned.
-    "spark.sql.optimizer.excludedRules": "org.apache.spark.sql.catalyst.optimizer.PushProjectionThroughUnion",
 }
 
 

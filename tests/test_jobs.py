@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from funnelspark.operators import buckets, dimensions, funnel
 from funnelspark.operators.metrics import METRICS
 from funnelspark.plans import bid_validation, platform_health_v1, platform_health_v2, revenue_calibration
-from funnelspark.sources import SCHEMAS, flatten_records, read_table
+from funnelspark.sources import SCHEMAS, flatten_records, latest_partition, open_table, read_table
 
 HOUR = "2024-01-10T05"
 AT = 1704862800000 + 600_000  # 05:10 of that hour
@@ -208,6 +208,39 @@ def test_reports_prune_all_sources(spark, tables, segments, tmp_path):
     assert total(report.collect(), "impressions") == 4
 
 
+def test_tables_by_partition_list_only_what_is_asked_for(spark, tables, segments, tmp_path):
+    """Same rows as through whole tables; no file scan to find a snapshot, and none of other hours' files."""
+    root, parted = str(tmp_path), [n for n in tables if "dt" in tables[n].columns]
+    for name in parted:
+        tables[name].write.partitionBy("dt").parquet(f"{root}/{name}")
+    read = {**tables, **{n: open_table(spark, root, n) for n in parted}}
+    crm = read["crm_campaigns"]
+    assert "Scan parquet" not in latest_partition(crm.listed(), 4, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert crm.newest(4, AS_OF).select("dt").distinct().count() == 1 and crm.newest(0, "timestamp'2030-01-01'").count() == 0
+    newest = crm.newest(4, AS_OF)
+    assert newest.schema == read_table(spark, root, "crm_campaigns").schema and len({f.rsplit("/", 2)[1] for f in newest.inputFiles()}) == 1
+    assert read["impressions"].hours("2000-01-01T00", "2001-01-01T00").count() == 0
+    hours = read["impressions"].partitions()
+    files = read["impressions"].hours(hours[0], hours[0], "both").inputFiles()
+    assert files and all(f"dt={hours[0]}/" in f for f in files)
+    for report in (platform_health_v1, platform_health_v2):
+        extra = (segments,) if report is platform_health_v1 else ()
+        got = report(read, *extra, HOUR, as_of=AS_OF).collect()
+        assert sorted(map(str, got)) == sorted(map(str, report(tables, *extra, HOUR, as_of=AS_OF).collect()))
+
+
+def test_common_expressions_are_stated_once(spark, tables, segments):
+    """Above the unions, in this plan alone: no rule is switched off for the session."""
+    assert spark.conf.get("spark.sql.optimizer.excludedRules", "") == ""
+    plans = [platform_health_v1(tables, segments, HOUR, as_of=AS_OF), platform_health_v2(tables, HOUR, as_of=AS_OF)]
+    for report, unions in zip(plans, (2, 1)):
+        text = report._jdf.queryExecution().optimizedPlan().toString()
+        below = text[text.index("Union") :]
+        assert text.count("CASE WHEN (creative__ad_format") == 0 and below.count("UNMATCHED") >= 1
+        # The five formats of P-06 are told apart once for each union.
+        assert text.count("html-interstitial") <= 2 * unions
+
+
 def test_hot_campaign_is_split(spark):
     """Half of the rows in one campaign, no broadcast: the partition is split when the join is the last on its key."""
     settings = {

@@ -21,9 +21,9 @@ from funnelspark.plans import (
     train_segments_v2,
 )
 from funnelspark.plans.bucket_tables import AXES_V1, KEYS_V1
-from funnelspark.sources import latest_partition, read_table, recover, shared_folder, via_shared_table, write_hour, write_hours, write_once
+from funnelspark.sources import read_table, recover, shared_folder, via_shared_table, write_hour, write_hours, write_once
 from funnelspark.sources.sinks import PLAN, Files
-from workload.tables import Tables, TypedTables
+from workload.tables import ListedTables, Tables, TypedTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -211,12 +211,14 @@ def two_level_agg(t: Tables) -> DataFrame:
 
 @query
 def latest_snapshot(t: Tables) -> DataFrame:
-    """Newest CRM day within two days, and its rows per service level; nothing within zero days."""
-    crm = t["crm_campaigns"]
+    """Newest CRM day within two days, and its rows per service level; nothing within zero days.
+
+    The day is found among partition names, and only its folder is opened.
+    """
+    crm = listed(t)["crm_campaigns"]
 
     def rows(days: int) -> DataFrame:
-        newest = crm.where(F.col("dt") == latest_partition(crm, days, NOW).scalar())
-        return newest.groupBy("dt", "service_level__c").agg(F.count("*").alias("n")).withColumn("days", F.lit(days))
+        return crm.newest(days, NOW).groupBy("dt", "service_level__c").agg(F.count("*").alias("n")).withColumn("days", F.lit(days))
 
     return rows(2).unionByName(rows(20)).unionByName(rows(0))
 
@@ -418,6 +420,10 @@ def bid_validation_limit(t: Tables) -> DataFrame:
     return out
 
 
+def listed(t: Tables) -> ListedTables:
+    return ListedTables(t.spark, t.folder)
+
+
 def typed(t: Tables) -> TypedTables:
     return TypedTables(t.spark, t.folder)
 
@@ -520,7 +526,7 @@ def backfill_hours(t: Tables) -> DataFrame:
     """Three hours of the second report as one job, over an earlier run of them; one hour has no rows any more."""
     start, empty, until = BACKFILL
     folder = new_folder(t.spark, "backfill")
-    report = via_shared_table(platform_health_v2(typed(t), start, until, NOW), "report")
+    report = via_shared_table(platform_health_v2(listed(t), start, until, NOW), "report")
     write_hours(report.withColumn("installs", F.col("installs") + 1), folder, start, until)
     write_hours(report.where(f"substr(at, 1, 13) <> '{empty}'"), folder, start, until)
     return rounded_metrics(t.spark.read.schema(f"{schema_text(report)}, dt string").parquet(folder))
@@ -594,12 +600,12 @@ def platform_health_v2_report(t: Tables) -> DataFrame:
 @query
 def platform_health_v1_hour(t: Tables) -> DataFrame:
     """The hourly job as it runs: stored hours, the default of one hour."""
-    return rounded_metrics(platform_health_v1(typed(t), _segments(t), IMPRESSION_HOUR, as_of=NOW))
+    return rounded_metrics(platform_health_v1(listed(t), _segments(t), IMPRESSION_HOUR, as_of=NOW))
 
 
 @query
 def platform_health_v2_hour(t: Tables) -> DataFrame:
-    return rounded_metrics(platform_health_v2(typed(t), EVENT_HOUR, as_of=NOW))
+    return rounded_metrics(platform_health_v2(listed(t), EVENT_HOUR, as_of=NOW))
 
 
 @query

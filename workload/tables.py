@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.session import apply_settings
-from funnelspark.sources import SCHEMAS, read_table, shared_folder
+from funnelspark.sources import SCHEMAS, PartitionedTable, read_table, shared_folder
 
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -383,7 +383,17 @@ class TypedTables(Tables):
             columns = [c.cast(f.dataType).alias(f.name) for c, f in zip(given, SCHEMAS[name])]
             derived.where("dt is not null").select(*columns).repartition("dt").write.partitionBy("dt").parquet(f"{root}/{name}")
             self._written[key] = root
-        return read_table(self.spark, self._written[key], name)
+        return self._read(self._written[key], name)
+
+    def _read(self, root: str, name: str) -> DataFrame:
+        return read_table(self.spark, root, name)
+
+
+class ListedTables(TypedTables):
+    """The same stored tables by their partitions: only those in range are listed and read."""
+
+    def _read(self, root: str, name: str) -> PartitionedTable:
+        return PartitionedTable(self.spark, root, name)
 
 
 _SPARK_SQL = derivations(SPARK)
