@@ -21,7 +21,9 @@ from funnelspark.llm.words import mix, small_batches
 from funnelspark.sources.sinks import via_shared_table
 
 MEMO_WORDS = 200_000
-_SEGMENT = re.compile(r" ?\S+|\s+(?!\S)|\s")
+# White space to the tokenizers library; Python's own class also has U+001C to U+001F.
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SEGMENT = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
 # The public byte-level rule's pattern, and the bytes it shows as themselves.
 _PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]

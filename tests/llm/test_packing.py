@@ -25,6 +25,22 @@ def test_same_ids_as_tokenizers(texts):
         assert np.frombuffer(got, "<u4").tolist() == plain_ids(text)
 
 
+def test_every_character_beside_letters_and_white_space():
+    texts = [f"a{c}b {c} \n{c}\n\n{c}c \n {c}" for c in map(chr, range(0x110000)) if not "\ud800" <= c <= "\udfff"]
+    for i in range(0, len(texts), 20_000):
+        some = texts[i : i + 20_000]
+        expected = PLAIN.encode_batch(some, add_special_tokens=False)
+        assert [np.frombuffer(x, "<u4").tolist() for x in OURS.encode(some)] == [e.ids for e in expected]
+
+
+def test_white_space_runs():
+    rng = np.random.default_rng(1)
+    letters = list("ab1.\n\n\t \x1c\x1d\x1e\x1f\x85\xa0\u2028\u3000'é")
+    texts = ["".join(rng.choice(letters, rng.integers(1, 12))) for _ in range(60_000)]
+    expected = PLAIN.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in OURS.encode(texts)] == [e.ids for e in expected]
+
+
 def test_added_token_in_a_text():
     text = "a <|endoftext|> b"
     assert np.frombuffer(OURS.encode([text])[0], "<u4").tolist() == plain_ids(text)
@@ -50,6 +66,37 @@ def test_bins_are_gapless_and_full_enough(lengths):
     assert (fill <= 10).sum() <= 1
 
 
+def slow_best_two_fit(lengths, most):
+    """Sorted lengths of each bin, every choice by looking at all unpacked ones."""
+    left, bins = sorted(lengths), []
+    while left:
+        bin_ = [left.pop()]
+        while fit := [x for x in left if x <= most - sum(bin_)]:
+            bin_.append(fit[-1])
+            left.remove(fit[-1])
+        while len(bin_) > 1 and sum(bin_) < most:
+            smallest = min(bin_)
+            room = most - sum(bin_) + smallest
+            pairs = [(left[i] + left[j], -left[i], j, i) for i in range(len(left)) for j in range(i + 1, len(left)) if smallest < left[i] + left[j] <= room]
+            if not pairs:
+                break
+            _, _, j, i = max(pairs, key=lambda p: p[:2])
+            pair = [left.pop(j), left.pop(i)]
+            bin_.remove(smallest)
+            bin_ += pair
+            left = sorted([*left, smallest])
+        bins.append(sorted(bin_))
+    return bins
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 24), max_size=40))
+def test_bins_as_slow_packing(lengths):
+    bins, _ = best_two_fit(np.array(lengths, dtype=np.int64), 24)
+    got = [sorted(np.array(lengths)[bins == b].tolist()) for b in range(bins.max(initial=-1) + 1)]
+    assert got == slow_best_two_fit(lengths, 24)
+
+
 def test_two_replace_the_smallest():
     # Greedy fills 10 + 6 of 20 and nothing fits the gap of 4; 5 + 5 fill it better than 6.
     bins, _ = best_two_fit(np.array([10, 6, 5, 5]), 20)
