@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -243,14 +244,15 @@ def calibrate(index: tuple[Tree, DataFrame], k: int, recall: float = WANTED_RECA
     """Fewest leaf visits, doubled and then narrowed, with which probe vectors reach the recall; and that recall.
 
     The leaves of a probe's true neighbours, found by a scan of all vectors, tell at which visit it meets each.
+    The probe itself, which it always meets, is not one of them.
     """
     tree, placed = index
     sample = placed.orderBy(F.xxhash64("id", F.lit(7)), "id").limit(probes).toPandas()
     if not len(sample):
         return 1, 1.0
     ids, x = sample["id"].to_numpy(), _matrix(sample["v"])
-    exact = _scan(placed.select("id", "v"), ids, x, k)
-    where = placed.select(F.col("id").alias("vec_id"), "leaf").join(F.broadcast(exact), "vec_id")  # probes * k rows
+    exact = _scan(placed.select("id", "v"), ids, x, k + 1).where("query_id != vec_id")
+    where = placed.select(F.col("id").alias("vec_id"), "leaf").join(F.broadcast(exact), "vec_id")  # probes * (k + 1) rows
     order = {i: {leaf: n for n, leaf in enumerate(tree.visits(u, tree.leaves), 1)} for i, u in zip(ids.tolist(), _unit(x))}
     met = np.sort([order[r.query_id][r.leaf] for r in where.select("query_id", "leaf").collect()])
     if not len(met):
@@ -266,8 +268,8 @@ def neighbours(
     """query_id, rank, vec_id, score: the k nearest found of each query among `vectors`, but itself.
 
     Nearest is the largest cosine of the vectors as given, in double precision; ties go to the smaller
-    id. Vectors that are null, empty, zero, or hold a null or non-finite component take no part, nor do
-    those of another dimension than the one with the smallest id. A query with fewer than k candidates
+    id. Vectors that are null, empty, zero, or hold a null or non-finite component take no part. A query
+    meets vectors of its own dimension; each dimension has an index. A query with fewer than k candidates
     gets them all, one without any gives no row. Rows alike in id and vector count once. An empty table
     gives no rows.
 
@@ -276,15 +278,22 @@ def neighbours(
     than another. `visits` fixes the number of leaves instead of calibrating it; all leaves give exact
     neighbours.
     """
-    first = usable(vectors, id_column, vector_column).orderBy("id", F.size("v")).select(F.size("v").alias("n")).first()
-    dimension = first.n if first else 0
-    x = usable(vectors, id_column, vector_column, dimension)
+    # Dimensions are few, however many vectors there are.
+    sizes = sorted(r.d for r in usable(vectors, id_column, vector_column).select(F.size("v").alias("d")).distinct().collect())
+    found = [
+        _of_dimension(usable(vectors, id_column, vector_column, d), usable(queries, id_column, vector_column, d), k, recall, visits)
+        for d in sizes or [0]
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _of_dimension(x: DataFrame, asked: DataFrame, k: int, recall: float, visits: int | None) -> DataFrame:
+    """`neighbours` among usable vectors (id, v) of one dimension."""
     place = F.dense_rank().over(Window.partitionBy("v").orderBy("id"))
     index = build(x.withColumn("place", place).where(F.col("place") <= k + 1).select("id", "v").distinct())
     if visits is None:
-        visits, _ = calibrate(index, k + 1, recall)
+        visits, _ = calibrate(index, k, recall)
 
-    asked = usable(queries, id_column, vector_column, dimension)
     each = via_shared_table(asked.groupBy("v").agg(F.min("id").alias("id")).select("id", "v"), "ann-queries")
     found = via_shared_table(search(index, each, k + 1, visits), "ann-found")
     # Fewer than k + 1 in the visited leaves: such queries visit all leaves.

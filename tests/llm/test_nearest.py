@@ -56,6 +56,15 @@ def test_few_and_no_vectors(spark):
     assert neighbours(x.where("vec_id = 0"), x).where("query_id = 0").count() == 0
 
 
+def test_vectors_meet_those_of_their_dimension(spark):
+    """The smallest id has another dimension than most; one dimension holds a query alone."""
+    rows = [(0, [1.0, 2.0], "", 0), (1, [1.0, 0.0, 0.0], "", 0), (2, [0.0, 1.0, 0.2], "", 0), (50, [1.0, 0.1, 0.0], "", 0)]
+    rows += [(4, [2.0, 1.0], "", 0), (100, [1.0], "", 0)]
+    x = spark.createDataFrame(rows, SCHEMA)
+    got = grouped(neighbours(x, x.where("vec_id % 50 = 0")).collect())
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {0: [4], 50: [1, 2]}
+
+
 def test_best_bin_first_meets_every_leaf_once():
     x = np.random.default_rng(1).normal(size=(800, 8))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
