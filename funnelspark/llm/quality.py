@@ -3,7 +3,7 @@
 A logistic classifier gives each document's own evidence. Its host and path (a section of the host)
 give a prior: the mean quality of the other documents there, shrunk towards the host's, and the
 host's towards the corpus's, the more strongly the fewer documents there are. How strongly is
-estimated from the spread of means over hosts and over paths. Evidence and prior add up as log-odds.
+estimated from the spread of means over hosts, and over the paths within hosts. Evidence and prior add up as log-odds.
 """
 
 from __future__ import annotations
@@ -132,23 +132,34 @@ def classify(documents: DataFrame, model: Classifier, prior: float) -> DataFrame
     return read.mapInArrow(run, f"{schema}, evidence double, p double")
 
 
-def shrinkage(groups: DataFrame) -> tuple[float, float]:
-    """Mean, and the number of documents the level above counts for, from groups (n, s).
+def shrinkage(groups: DataFrame, parents: tuple[str, ...] = ()) -> tuple[float, float]:
+    """Mean, and the number of documents the level above counts for, from groups (n, s, and their parents).
 
-    By moments of a beta-binomial: the means of groups spread as sampling alone would make them, plus
-    what groups truly differ by. No true difference gives a large number, a great one a small number.
+    By moments of a beta-binomial: the means of a parent's groups spread around its own mean as sampling
+    alone would make them, plus what groups truly differ by. Spread and room are added up over parents, so
+    that differences between parents don't count. No true difference gives a large number, a great one a
+    small number.
     """
-    r = groups.agg(
+    one = groups.groupBy(*parents).agg(
         F.count("*").alias("g"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum(F.expr("n * n")).alias("n2"), F.sum(F.expr("s * s / n")).alias("q")
-    ).first()
+    )
+    mean = F.expr("least(greatest(s / n, 1e-6D), 1 - 1e-6D)")
+    r = (
+        one.where("n > 0")
+        .withColumn("m", mean)
+        .agg(
+            F.sum(F.expr("(q - s * s / n) / (m * (1 - m)) - (g - 1)")).alias("beyond"),
+            F.sum(F.expr("n - n2 / n - (g - 1)")).alias("room"),
+            F.sum("n").alias("n"),
+            F.sum("s").alias("s"),
+        )
+        .first()
+    )
     if not r.n:
         return 0.5, 1.0
-    m = min(max(r.s / r.n, 1e-6), 1 - 1e-6)
-    spread = (r.q - r.s * r.s / r.n) / (m * (1 - m))
-    room = r.n - r.n2 / r.n - (r.g - 1)
-    rho = (spread - (r.g - 1)) / room if room > 0 else 0.0
+    rho = r.beyond / r.room if r.room > 0 else 0.0
     rho = min(max(rho, 1e-4), 0.9)
-    return m, 1 / rho - 1
+    return min(max(r.s / r.n, 1e-6), 1 - 1e-6), 1 / rho - 1
 
 
 def _shrunk(total: str, n: str, mean: Column | str, strength: float) -> Column:
@@ -176,7 +187,7 @@ def posterior_quality(documents: DataFrame, labels: DataFrame, model: Classifier
     paths = via_shared_table(paths, "quality-paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
     mean, over_hosts = shrinkage(hosts.selectExpr("host_n as n", "host_s as s"))
-    _, over_paths = shrinkage(paths)
+    _, over_paths = shrinkage(paths, ("host",))
     named = hosts.withColumnRenamed("host", "h")
     sites = paths.join(named, paths["host"].eqNullSafe(named["h"])).select(
         F.col("host").alias("site_host"), F.col("path").alias("site_path"), "n", "s", "host_n", "host_s"

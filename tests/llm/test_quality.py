@@ -55,10 +55,21 @@ def test_shrinkage_by_hand(spark):
         groups = {}
         for r, v in zip(rows, y):
             groups.setdefault(key(r), []).append(v)
-        return spark.createDataFrame([(len(g), float(sum(g))) for g in groups.values()], "n long, s double")
+        return {k: (len(g), sum(g)) for k, g in groups.items()}
 
-    mean, over_hosts = shrinkage(moments(lambda r: r[1]))
-    _, over_paths = shrinkage(moments(lambda r: r[1:3]))
+    def excess(groups):
+        """Spread of means beyond sampling, and the room for it."""
+        n, s = sum(g[0] for g in groups), sum(g[1] for g in groups)
+        spread = sum(g[1] ** 2 / g[0] for g in groups) - s * s / n
+        return spread / (s / n * (1 - s / n)) - (len(groups) - 1), n - sum(g[0] ** 2 for g in groups) / n - (len(groups) - 1)
+
+    def strength(beyond, room):
+        return 1 / min(max(beyond / room, 1e-4), 0.9) - 1
+
+    hosts, paths = moments(lambda r: r[1]), moments(lambda r: r[1:3])
+    mean, over_hosts = sum(y) / len(y), strength(*excess(list(hosts.values())))
+    inside = [excess([v for k, v in paths.items() if k[0] == h]) for h in hosts]
+    over_paths = strength(sum(x[0] for x in inside), sum(x[1] for x in inside))
     want = by_hand(rows, labels, evidence, mean, over_hosts, over_paths)
     got = sorted((r.doc_id, r.host_prior, r.path_prior, r.quality) for r in got)
     assert [g[0] for g in got] == [r[0] for r in rows]
@@ -72,6 +83,25 @@ def test_sparse_sites_move_towards_the_corpus(spark):
     assert shrinkage(spread)[1] < 10 < 1000 < shrinkage(alike)[1]
 
 
+def test_paths_are_compared_within_their_host(spark):
+    """Hosts at 0.1 and 0.9. Alike paths leave everything to the host; differing ones by the moments."""
+    alike = [("a", 20, 2.0), ("a", 20, 2.0), ("b", 20, 18.0), ("b", 20, 18.0)]
+    assert shrinkage(spark.createDataFrame(alike, "host string, n long, s double"), ("host",)) == pytest.approx((0.5, 9999.0))
+    # In each host, room 40 - 800 / 40 - 1 = 19 and one difference expected from sampling.
+    differ = [("a", 20, 0.0), ("a", 20, 16.0), ("b", 20, 20.0), ("b", 20, 4.0)]
+    spread = ((0 + 16**2) / 20 - 16**2 / 40) / (0.4 * 0.6) - 1, ((20**2 + 4**2) / 20 - 24**2 / 40) / (0.6 * 0.4) - 1
+    got = shrinkage(spark.createDataFrame(differ, "host string, n long, s double"), ("host",))
+    assert got == pytest.approx((0.5, 1 / min(sum(spread) / 38, 0.9) - 1))
+    # Documents of a sparse path of an alike host are rated by the host.
+    docs = spark.createDataFrame(
+        [(i, "good" if i % 2 else "bad", f"p{i // 2 % 10}" if i < 400 else "new", "") for i in range(402)], "doc_id long, host string, path string, text string"
+    )
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    zero = Classifier(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.0)
+    rated = {r.doc_id: r for r in posterior_quality(docs, labels, zero).where("doc_id >= 400").collect()}
+    assert rated[400].path_prior == pytest.approx(rated[400].host_prior) and rated[400].host_prior < 0.05 and rated[401].host_prior > 0.95
+
+
 def test_empty_tables_and_no_labels(spark):
     docs = spark.createDataFrame([(1, "h", "p", "text")], "doc_id long, host string, path string, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
