@@ -75,7 +75,11 @@ def sample_counts(sample: DataFrame) -> DataFrame:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, grade: str, most: int = SAMPLE) -> DataFrame:
-    """doc_id, text, grade of at most `most` labelled documents, the same ones in every run."""
+    """doc_id, text, grade of at most `most` labelled documents, the same ones in every run.
+
+    One row of each, however often its label or the document itself is repeated: of several texts of a
+    doc_id the smallest, null only if there is no other.
+    """
     chosen = (
         labels.where(f"doc_id is not null and {grade} is not null")
         .groupBy("doc_id")
@@ -83,7 +87,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, grade: str, most: i
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by `most`
+    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by `most`
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").alias("grade"))
 
 
 def choose_words(counts: DataFrame, most: int = WORDS, least: int = LEAST_DOCUMENTS) -> np.ndarray:
@@ -150,7 +155,8 @@ def severity_grades(counts: DataFrame, words: np.ndarray, grades: int = GRADES)
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", graded: bool = False, most: int = SAMPLE) -> OrdinalModel:
-    """Fit on a bounded sample of labelled documents. With `graded`, labels are grades 0 to 3 already.
+    """Fit on a bounded sample of labelled documents. With `graded`, labels are grades 0 to 3 already; lower
+    ones count as 0, higher ones as 3, and fractions are cut off.
 
     Labels of documents that are not there, and null ones, are left out; of several labels of a document
     the highest counts. Without any labelled document every document gets grade 0.
@@ -161,7 +167,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", graded:
         counts.unpersist()
         return OrdinalModel(words, np.zeros(0), np.full(GRADES - 1, 40.0))
     if graded:
-        grade_of = {r.doc_id: int(r.grade) for r in counts.select("doc_id", "grade").distinct().collect()}
+        grade_of = {r.doc_id: min(max(int(r.grade), 0), GRADES - 1) for r in counts.select("doc_id", "grade").distinct().collect()}
     else:
         grade_of = severity_grades(counts, words)
     picked = counts.where(F.col("word").isin(words.view(np.int64).tolist())).toPandas().sort_values(["doc_id", "word"])

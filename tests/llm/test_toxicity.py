@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from funnelspark.llm.queries import QUERIES
-from funnelspark.llm.toxicity import ADDED, GRADES, OrdinalModel, fit_ordinal, reject, score, train
+from funnelspark.llm.toxicity import ADDED, GRADES, OrdinalModel, fit_ordinal, labelled_sample, reject, score, train
 
 FOLDER = "/root/testdata/sf0.1"
 
@@ -72,3 +72,19 @@ def test_the_query_scores_every_document(spark):
     folder = "/root/testdata/sf0.01"
     got = QUERIES["op2_ordinal_toxicity"](spark, folder)
     assert got.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
+def test_the_sample_is_bounded_however_rows_repeat(spark):
+    docs = spark.range(5000).selectExpr("1L as doc_id", "if(id % 2 = 0, 'b', 'a') as text").union(spark.range(2, 9).selectExpr("id", "null"))
+    labels = spark.range(9).selectExpr("id as doc_id", "1 as toxic").unionByName(spark.range(5000).selectExpr("1L as doc_id", "0 as toxic"))
+    got = labelled_sample(docs, labels, "toxic", most=5).collect()
+    assert 1 <= len(got) <= 5 and len({r.doc_id for r in got}) == len(got)
+    assert all((r.text, r.grade) == (("a", 1) if r.doc_id == 1 else (None, 1)) for r in got)
+
+
+def test_grades_out_of_range(spark):
+    words = ["calm", "rude", "vile", "hate", "gone"]
+    docs = spark.createDataFrame([(i, f"{words[i % 5]} text here") for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, [-3, 1, 2, 3, 99][i % 5]) for i in range(100)], "doc_id long, toxic int")
+    got = {r.doc_id % 5: r.tox_grade for r in score(docs, train(docs, labels, graded=True)).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 3}
