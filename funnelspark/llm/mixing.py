@@ -18,6 +18,9 @@ SLOTS = 1 << 16
 #: What longer documents are preferred by: expected copies grow by this much for each doubling in size.
 LENGTH_PREFERENCE = 0.05
 
+#: Columns `pareto_mix` adds.
+ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
+
 WORDS = r"coalesce(regexp_count(text, '[^\\x20\\x09-\\x0D]+'), 0)"
 
 
@@ -168,8 +171,10 @@ def pareto_mix(
     and rows alike in both are taken alike. Documents without words have no copies. An empty table
     gives no rows. The first of two scans only counts words; the second
     looks each row up in a table of one row per source, so no text is shuffled unless there are so
-    many sources that Spark won't broadcast that table.
+    many sources that Spark won't broadcast that table. Columns of `documents` named like an added one
+    give way to it; other names are free.
     """
+    documents = documents.select(*[c for c in documents.columns if c.lower() not in ADDED])
     plan = via_shared_table(mix_plan(documents, weights, most_copies, seed, preference), "mix-plan")
     names = {c: f"mix_doc_{c}" for c in documents.columns if c not in ("doc_id", "source", "text")}
     ranked = _ranked(_measured(documents.withColumnsRenamed(names), seed), plan)
@@ -185,6 +190,7 @@ def pareto_mix(
 
 def mixed_documents(documents: DataFrame, weights: DataFrame | None = None, **options) -> DataFrame:
     """The mix itself: the rows of `documents`, each as often as it is taken."""
-    taken = pareto_mix(documents, weights, **options)
-    copies = F.explode(F.expr("sequence(1, mix_copies)")).alias("mix_copy")
-    return taken.where("mix_copies > 0").select(*documents.columns, copies).drop("mix_copy")
+    own = {c: f"mix_kept_{i}" for i, c in enumerate(documents.columns) if c not in ("doc_id", "source", "text")}
+    taken = pareto_mix(documents.withColumnsRenamed(own), weights, **options).where("mix_copies > 0")
+    copied = taken.select("*", F.explode(F.expr("sequence(1, mix_copies)")).alias("mix_copy"))
+    return copied.select(*[F.col(own.get(c, c)).alias(c) for c in documents.columns])

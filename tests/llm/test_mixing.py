@@ -87,6 +87,16 @@ def test_whole_copies_are_certain(spark):
     assert counts[1] == counts[2] == 3
 
 
+def test_columns_of_any_name(spark):
+    """Those named like an added one give way where it is added, and come through in the mix itself."""
+    docs = spark.createDataFrame([(i, "ab"[i % 2], "w " * (i % 7), i, -i, "r", i) for i in range(60)], "doc_id long, source string, text string, mix_copies int, mix_copy int, rank string, Mix_Size int")
+    mixed = pareto_mix(docs)
+    assert len(mixed.columns) == len({c.lower() for c in mixed.columns}) and {r.mix_copies for r in mixed.collect()} <= {0, 1, 2, 3}
+    got = mixed_documents(docs)
+    assert got.columns == docs.columns and got.count() > 0
+    assert all(r.mix_copies == r.doc_id == -r.mix_copy == r.Mix_Size for r in got.collect())
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame([], "doc_id long, source string, text string")
     assert pareto_mix(docs).count() == 0
