@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.llm.components import components
+from funnelspark.llm.rows import free_name, numbered
 from funnelspark.llm.tables import count_table, maybe, rarity, seen, slot
 from funnelspark.llm.words import mix, set_key, sets_of, small_batches, texts_of
 from funnelspark.sources.sinks import via_shared_table
@@ -389,8 +390,16 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """The documents without those near another of a smaller doc_id in their component; one row of each kept doc_id."""
-    kept = near_duplicates(documents, k).where("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("kept_id")).distinct()
-    joined = documents.join(kept, documents["doc_id"].eqNullSafe(kept["kept_id"]))
-    once = joined.where("kept_id is not null").dropDuplicates(["kept_id"])
-    return once.unionByName(joined.where("kept_id is null")).drop("kept_id")
+    """The rows of `documents` without those near another of a smaller doc_id in their component.
+
+    Rows are documents of their own here, also those that share a doc_id: of near or equal texts under one
+    id any one row stays, other texts all do. Rows without words (null, empty, white space) and rows with a
+    null doc_id stay. Columns may have any names; an empty table gives no rows.
+    """
+    rows, number = numbered(documents)
+    kept = near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"), k).where("doc_id = component_id")
+    name = free_name(rows, "kept_number")
+    kept = kept.select(F.col("doc_id").alias(name)).distinct()
+    known = rows.where(F.col(number).isNotNull())
+    found = known.join(kept, known[number] == kept[name], "left_semi").select(*documents.columns)
+    return found.unionByName(rows.where(F.col(number).isNull()).select(*documents.columns))

@@ -102,6 +102,16 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(i for i in ids if i is not None) == sorted(set(brute(rows).values())) and ids.count(None) == 1
 
 
+def test_texts_that_share_an_id_are_not_lost(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(2, a, 1, None), (2, b, 2, None), (2, b + " more", 3, None), (7, a, 4, None), (7, c, 5, None), (2, None, 6, None), (2, "", 7, None), (None, a, 8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_number int, row_number string").repartition(3)
+    got = one_of_each(docs)
+    assert got.columns == docs.columns
+    kept = {r.kept_number for r in got.collect()}
+    assert kept - {2, 3} == {1, 5, 6, 7, 8} and len(kept & {2, 3}) == 1
+
+
 def test_empty_table_and_very_long_text(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     long = " ".join(f"w{i}" for i in range(60000))
