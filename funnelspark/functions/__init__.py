@@ -43,6 +43,7 @@ from funnelspark.functions.recode import (
 )
 from funnelspark.functions.text import quoted, quoted_list
 from funnelspark.functions.times import (
+    day_plus,
     day_range,
     hour_ms,
     hour_plus,
@@ -67,6 +68,7 @@ __all__ = [
     "cap",
     "clamp_or_zero",
     "country_group",
+    "day_plus",
     "day_range",
     "exchange_group",
     "finite_or_null",

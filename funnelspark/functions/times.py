@@ -30,6 +30,11 @@ def iso_text(ms: str) -> str:
     return f"concat(translate(cast({at} as string), ' ', 'T'), 'Z')"
 
 
+def day_ms(ms: str) -> str:
+    """Start of the day, as epoch milliseconds."""
+    return _floor_to(ms, DAY_MS)
+
+
 def iso_hour(ms: str) -> str:
     return iso_text(hour_ms(ms))
 
@@ -44,12 +49,18 @@ def hour_plus(hour: str, hours: int) -> str:
     return shifted.strftime("%Y-%m-%dT%H")
 
 
+def day_plus(day: str, days: int) -> str:
+    """Shift a `YYYY-MM-DD` day string (a value, not an expression)."""
+    return (date.fromisoformat(day) + timedelta(days=days)).isoformat()
+
+
 def hours_between(start: str, until: str) -> list[str]:
-    """The hour strings of [start, until)."""
+    """The hour strings of [start, until), or the day strings where the bounds are days."""
+    step = day_plus if len(start) == 10 else hour_plus
     hours = []
     while start < until:
         hours.append(start)
-        start = hour_plus(start, 1)
+        start = step(start, 1)
     return hours
 
 

@@ -45,7 +45,11 @@ def train_buckets(
     cutter = {"sketch": sketch_cuts, "exact": exact_cuts}[method]
     named = {**keys, **axes}
     rows = df.selectExpr(*[f"{sql} as {name}" for name, sql in named.items()]).dropna(subset=list(keys))
-    cuts = cutter(rows, list(keys), {a: a for a in axes}, **options)
+    return segments_from_cuts(cutter(rows, list(keys), {a: a for a in axes}, **options), list(keys), list(axes))
+
+
+def segments_from_cuts(cuts: DataFrame, keys: Sequence[str], axes: Sequence[str]) -> DataFrame:
+    """Interval arrays from cuts per segment; segments without a usable value on some axis are left out."""
     return cuts.dropna(subset=list(axes)).selectExpr(*keys, *[f"{intervals(a)} as {a}" for a in axes])
 
 

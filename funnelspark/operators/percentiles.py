@@ -23,29 +23,25 @@ def _usable(value: str) -> str:
     return f"case when not isnan({v}) then {v} end"
 
 
-def sketch_cuts(
-    df: DataFrame,
-    keys: Sequence[str],
-    axes: Mapping[str, str],
-    probabilities: Sequence[float] = PROBABILITIES,
-    k: int = 4096,
-    salts: int = 256,
-) -> DataFrame:
-    """Approximate cuts from bounded-size quantile sketches; rank error about 0.1 % at the default k.
+def sketches(df: DataFrame, keys: Sequence[str], axes: Mapping[str, str], k: int = 4096, salts: int = 256) -> DataFrame:
+    """Keys and, per axis, a bounded-size quantile sketch as binary; `merged_cuts` reads cuts off any number of them.
 
     Each task folds its rows into one sketch per segment before the shuffle. The sketches of a
     segment are then merged in two steps, first spread over `salts` reducers, so that a segment
     with a third of all rows does not end in one reducer that merges a sketch from every task.
     """
-    sketches = (
+    return (
         df.selectExpr(*keys, *[f"{_usable(v)} as {a}" for a, v in axes.items()])
         .groupBy(*keys, F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"))
         .agg(*[F.kll_sketch_agg_double(a, k).alias(a) for a in axes])
         .groupBy(*keys)
         .agg(*[F.kll_merge_agg_double(a, k).alias(a) for a in axes])
     )
+
+
+def _cuts(merged: DataFrame, keys: Sequence[str], axes: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
     wanted = ", ".join(f"{float(p)!r}D" for p in probabilities)
-    return sketches.selectExpr(
+    return merged.selectExpr(
         *keys,
         *[
             f"case when kll_sketch_get_n_double({a}) > 0"
@@ -55,6 +51,25 @@ def sketch_cuts(
     )
 
 
+def merged_cuts(
+    stored: DataFrame, keys: Sequence[str], axes: Sequence[str], probabilities: Sequence[float] = PROBABILITIES, k: int = 4096
+) -> DataFrame:
+    """Approximate cuts per key from stored sketches, several of them to a key."""
+    return _cuts(stored.groupBy(*keys).agg(*[F.kll_merge_agg_double(a, k).alias(a) for a in axes]), keys, axes, probabilities)
+
+
+def sketch_cuts(
+    df: DataFrame,
+    keys: Sequence[str],
+    axes: Mapping[str, str],
+    probabilities: Sequence[float] = PROBABILITIES,
+    k: int = 4096,
+    salts: int = 256,
+) -> DataFrame:
+    """Approximate cuts from `sketches`; rank error about 0.1 % at the default k."""
+    return _cuts(sketches(df, keys, axes, k, salts), keys, list(axes), probabilities)
+
+
 def exact_cuts(
     df: DataFrame,
     keys: Sequence[str],

@@ -1,6 +1,10 @@
 from funnelspark.plans.bucket_tables import (
+    daily_sketches_v1,
+    daily_sketches_v2,
     prediction_bucket_v1,
     prediction_bucket_v2,
+    stored_segments_v1,
+    stored_segments_v2,
     train_segments_v1,
     train_segments_v2,
 )
@@ -10,11 +14,15 @@ from funnelspark.plans.validation import bid_validation
 
 __all__ = [
     "bid_validation",
+    "daily_sketches_v1",
+    "daily_sketches_v2",
     "platform_health_v1",
     "platform_health_v2",
     "prediction_bucket_v1",
     "prediction_bucket_v2",
     "revenue_calibration",
+    "stored_segments_v1",
+    "stored_segments_v2",
     "train_segments_v1",
     "train_segments_v2",
 ]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     BooleanType,
     DoubleType,
     IntegerType,
@@ -26,6 +27,7 @@ _TYPES = {
     "boolean": BooleanType(),
     "timestamp": TimestampType(),
     "longs": ArrayType(LongType()),
+    "binary": BinaryType(),
 }
 
 
@@ -160,4 +162,14 @@ BUCKETS = {
     "prediction_bucket_v2": _joined(_struct(("string", _SEGMENT_V2)), _axis("convx"), _axis("private_cpm")),
 }
 
-SCHEMAS = {**FACTS, **DIMENSIONS, **SERIES, **BUCKETS}
+_SKETCHED_DAY = (("string", "day"), ("long", "own_day"), ("boolean", "first_hour"))
+
+# Quantile sketches of a day's impressions, by `dt` days.
+SKETCHES = {
+    "bucket_sketches_v1": _struct(
+        ("string", _SEGMENT_V1), *_SKETCHED_DAY, ("binary", "convx private_cpm cpm"), ("string", "dt")
+    ),
+    "bucket_sketches_v2": _struct(("string", _SEGMENT_V2), *_SKETCHED_DAY, ("binary", "convx private_cpm"), ("string", "dt")),
+}
+
+SCHEMAS = {**FACTS, **DIMENSIONS, **SERIES, **BUCKETS, **SKETCHES}

@@ -240,14 +240,14 @@ def write_hour(df: DataFrame, path: str, hour: str) -> None:
 def write_hours(df: DataFrame, path: str, start: str, until: str, at: str = "at") -> None:
     """Write the result of hours [start, until) as one job, each hour replaced as by `write_hour`.
 
-    `at` is ISO text, of which the first 13 characters are the hour. Hours without rows are emptied; a row
-    without an hour, or of one outside the range, is an error. Once all rows are written the replacement of
+    `at` is ISO text, of which the first 13 characters are the hour; with bounds of 10 characters the table is
+    one of days. Hours without rows are emptied; a row without an hour, or of one outside the range, is an error. Once all rows are written the replacement of
     all hours goes through: after a failure by being undone, after a death by `recover` or the next run
     of any of them. Rows are dealt to files by hour, a large hour to several.
     """
     if "dt" in df.columns:
         raise ValueError("write_hours makes the column dt")
-    hour = f"substr(`{at}`, 1, 13)"
+    hour = f"substr(`{at}`, 1, {len(start)})"
     wrong = f"concat('write_hours: row of hour ', coalesce(`{at}`, 'null'), ' outside {start} to {until}')"
     inside = f"case when {hour} >= {quoted(start)} and {hour} < {quoted(until)} then {hour} else raise_error({wrong}) end"
     dealt = df.withColumn("dt", F.expr(inside)).hint("rebalance", "dt")

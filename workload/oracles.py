@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from workload.queries import (
     BACKFILL,
+    SKETCHED,
     AS_OF,
     CALIBRATION_AS_OF,
     CALIBRATION_DAYS,
@@ -811,3 +812,22 @@ with whole as ({ORACLES["bid_economics"]})
 select asked::bigint as asked, least(asked, (select count(*) from whole))::bigint as n_rows, least(asked, (select count(*) from whole))::bigint as n_in_whole
 from (values (10), (1000), (2000000000)) as v(asked)
 """
+
+
+def _ranked(keys: str, axes: tuple[str, ...], rows: str) -> str:
+    """All cuts are in place; what is checked beside that is which segments there are, and their rows."""
+    counts = ", ".join(f"count(*) filter (where {a} is not null and not isnan({a})) as n_{a}" for a in axes)
+    named = " and ".join(f"{k} is not null" for k in keys.split(", "))
+    each = " union all ".join(
+        f"select {keys}, n_rows, '{a}' as axis, p::double as probability, n_{a} as n_values, true as within_tolerance from found, unnest({_P}) as u(p)" for a in axes
+    )
+    return (
+        f"{_with('impressions')}, training as ({rows}), found as (select * from (select {keys}, count(*) as n_rows, {counts}"
+        f" from training where {named} group by all) where {' and '.join(f'n_{a} > 0' for a in axes)}) {each}"
+    )
+
+
+_sketched = _TRAIN_ROWS.replace(START, SKETCHED[0]).replace(END, SKETCHED[1])
+ORACLES["bucket_sketches_v1_days"] = _ranked(_K1, ("convx", "private_cpm", "cpm"), _sketched)
+_sketched = _sketched.replace(f"> '{SKETCHED[0]}'", f">= '{SKETCHED[0]}'") + " and bid__app_platform in ('ANDROID', 'IOS')"
+ORACLES["bucket_sketches_v2_days"] = _ranked("platform, model_type", ("convx", "private_cpm"), _sketched)

@@ -12,16 +12,21 @@ from funnelspark import functions as fx
 from funnelspark.operators import buckets, dimensions, funnel, metrics, percentiles
 from funnelspark.plans import (
     bid_validation,
+    daily_sketches_v1,
+    daily_sketches_v2,
     platform_health_v1,
     platform_health_v2,
     prediction_bucket_v1,
     prediction_bucket_v2,
     revenue_calibration,
+    stored_segments_v1,
+    stored_segments_v2,
     train_segments_v1,
     train_segments_v2,
 )
-from funnelspark.plans.bucket_tables import AXES_V1, KEYS_V1
-from funnelspark.sources import read_table, recover, shared_folder, via_shared_table, write_hour, write_hours, write_once
+from funnelspark.plans import bucket_tables
+from funnelspark.plans.bucket_tables import AXES_V1, AXES_V2, KEYS_V1, KEYS_V2
+from funnelspark.sources import PartitionedTable, read_table, recover, shared_folder, via_shared_table, write_hour, write_hours, write_once
 from funnelspark.sources.sinks import PLAN, Files
 from workload.tables import ListedTables, Tables, TypedTables
 
@@ -39,6 +44,8 @@ IMPRESSION_HOUR = "1997-01-01T01"
 EVENT_HOUR = "2024-01-12T23"
 WEEK = ("2024-01-05T00", "2024-01-12T00")
 TRAINING = ("1996-01-01T01", "1999-01-01T02")
+#: A training window of whole days, merged from stored sketches.
+SKETCHED = ("1997-01-01T00", "1997-01-15T00")
 #: Start, the hour left without rows, and end of a backfill.
 BACKFILL = ("2024-01-12T21", "2024-01-12T22", "2024-01-13T00")
 CHECKED_HOURS = ("1997-01-01T00", "1997-01-01T01")
@@ -394,6 +401,51 @@ def bucket_grid_v2_window(t: Tables) -> DataFrame:
     return prediction_bucket_v2(typed(t)["impressions"], *TRAINING, method="exact")
 
 
+def _rank_checks(t: Tables, stored: DataFrame, rows: DataFrame, keys: tuple[str, ...], axes: tuple[str, ...]) -> DataFrame:
+    """True rank of every stored cut among a window's rows, per segment, axis and probability."""
+    tolerance, counts, checks = 0.005, {}, []
+    cuts = stored.selectExpr(*keys, *[f"transform({a}, c -> c.low) as {a}_cuts" for a in axes])
+    values = rows.selectExpr(
+        *[f"{bucket_tables._KEY[k]} as {k}" for k in keys],
+        *[f"nullif(cast({bucket_tables._AXIS[a]} as double), double('NaN')) as {a}" for a in axes],
+    )
+    for a in axes:
+        counts[f"n_{a}"] = f"count({a})"
+        for i, p in enumerate(percentiles.PROBABILITIES, 1):
+            counts[f"{a}_below_{i}"] = f"count_if({a} < {a}_cuts[{i}])"
+            counts[f"{a}_upto_{i}"] = f"count_if({a} <= {a}_cuts[{i}])"
+            inside = f"{a}_below_{i} <= {p + tolerance} * n_{a} and {a}_upto_{i} >= {p - tolerance} * n_{a}"
+            checks.append(f"named_struct('axis', '{a}', 'probability', {p}D, 'n_values', n_{a}, 'within_tolerance', {inside})")
+    ranked = counted(values.join(cuts, list(keys)), list(keys), **counts)
+    return ranked.selectExpr(*keys, "n as n_rows", f"inline(array({', '.join(checks)}))")
+
+
+@query
+def bucket_sketches_v1_days(t: Tables) -> DataFrame:
+    """Two weeks of stored daily sketches, the last day by a run of its own and one day run twice, merged over
+    a window with open ends: every cut's true rank among the impressions the window stands for."""
+    folder, impressions = new_folder(t.spark, "sketches"), listed(t)["impressions"]
+    path, (start, end) = f"{folder}/bucket_sketches_v1", (x[:10] for x in SKETCHED)
+    last, twice = fx.day_plus(end, -1), fx.day_plus(start, 3)
+    write_hours(daily_sketches_v1(impressions, start, last), path, start, last, at="day")
+    for day in (last, twice):
+        write_hours(daily_sketches_v1(impressions, day), path, day, fx.day_plus(day, 1), at="day")
+    stored = PartitionedTable(t.spark, folder, "bucket_sketches_v1")
+    segments = via_shared_table(stored_segments_v1(stored, *SKETCHED), "segments")
+    return _rank_checks(t, segments, bucket_tables._training_rows(impressions, *SKETCHED, "neither"), KEYS_V1, AXES_V1)
+
+
+@query
+def bucket_sketches_v2_days(t: Tables) -> DataFrame:
+    """The same for the half-open window of the two-axis table."""
+    folder, impressions = new_folder(t.spark, "sketches"), listed(t)["impressions"]
+    path, (start, end) = f"{folder}/bucket_sketches_v2", (x[:10] for x in SKETCHED)
+    write_hours(daily_sketches_v2(impressions, start, end), path, start, end, at="day")
+    segments = via_shared_table(stored_segments_v2(PartitionedTable(t.spark, folder, "bucket_sketches_v2"), *SKETCHED), "segments")
+    rows = bucket_tables._training_rows(impressions, *SKETCHED, "left").where(bucket_tables._ON_V2)
+    return _rank_checks(t, segments, rows, KEYS_V2, AXES_V2)
+
+
 @query
 def bid_validation_hours(t: Tables) -> DataFrame:
     """The bid check as it is used: two stored hours and a few ad groups."""
