@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelspark.sources.readers import PartitionedTable, latest_partition
+from funnelspark.sources.sinks import via_shared_table
 
 
 def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -114,6 +115,73 @@ def attach(
     return joined.drop(*[f"_dim_{key}" for key in on.values()])
 
 
+def fits_broadcast(dimension: DataFrame) -> bool:
+    """Whether Spark knows the side to be within its broadcast threshold."""
+    spark = dimension.sparkSession
+    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= threshold
+
+
+def heavy_keys(facts: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    """keys, salts: the keys held by more than one row in `parts`, and how many such shares each holds.
+
+    There are fewer than `parts` of them, whatever the data. Null keys are left out.
+    """
+    counts = facts.dropna(subset=list(keys)).groupBy(*keys).agg((F.count("*") * parts).alias("n"))
+    total = facts.agg(F.count("*")).scalar()
+    return counts.where(F.col("n") > total).select(*keys, F.ceil(F.col("n") / total).cast("int").alias("salts"))
+
+
+def attach_spread(
+    facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], take: Mapping[str, str], parts: int | None = None
+) -> DataFrame:
+    """`attach` for a dimension too large to broadcast, with the rows of heavy keys dealt over many tasks.
+
+    Rows of a key that holds more than one row in `parts` get a salt, in proportion to their number, and only
+    that key's dimension rows are repeated, once for each salt. Rows with a null key, which match nothing,
+    are dealt over all. Other rows are joined as ever. `facts` is read three times and should be stored.
+    """
+    parts = parts or 32 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = via_shared_table(heavy_keys(facts, list(on), parts), "heavy-keys")  # under `parts` rows
+    heavy = F.broadcast(heavy.select(*[F.col(c).alias(f"_heavy_{i}") for i, c in enumerate(on)], F.col("salts").alias("_salts")))
+    by_fact = " and ".join(f"`{c}` = _heavy_{i}" for i, c in enumerate(on))
+    unknown = " or ".join(f"`{c}` is null" for c in on)
+    salted = facts.join(heavy, F.expr(by_fact), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.expr(f"if({unknown}, {parts}, coalesce(_salts, 1))")).cast("int")
+    )
+    side = dimension.selectExpr(
+        *[f"{key} as _dim_{i}" for i, key in enumerate(on.values())],
+        *[f"{column} as {name}" for column, name in take.items()],
+    )
+    by_key = " and ".join(f"_dim_{i} = _heavy_{i}" for i, _ in enumerate(on))
+    side = side.join(heavy, F.expr(by_key), "left").withColumn("_dim_salt", F.explode(F.expr("sequence(0, coalesce(_salts, 1) - 1)")))
+    side = side.drop("_salts", *[f"_heavy_{i}" for i, _ in enumerate(on)])
+    condition = " and ".join([*[f"`{c}` = _dim_{i}" for i, c in enumerate(on)], "_salt = _dim_salt"])
+    return salted.join(side, F.expr(condition), "left").select(*[F.col(f"`{c}`") for c in facts.columns], *take.values())
+
+
+def attach_all(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
+    """(dimension, on, take) after (dimension, on, take), as by `attach`.
+
+    While every dimension fits a broadcast that is one pass over the facts, without a shuffle. One that
+    doesn't by Spark's estimate is stored, what is needed of it, to know its true size. If it still
+    doesn't, the facts, which are sums here, are stored, the small dimensions attached first, and the large
+    ones one after another by `attach_spread`, each on rows that are stored: no task gets a hot key's rows.
+    """
+    order = facts.columns + [name for _, _, take in steps for name in take.values()]
+    large = []
+    for dimension, on, take in steps:
+        if not fits_broadcast(dimension):
+            dimension = via_shared_table(dimension.select(*dict.fromkeys([*on.values(), *take])), "dimension")
+        if fits_broadcast(dimension):
+            facts = attach(facts, dimension, on, take)
+        else:
+            large.append((dimension, on, take))
+    for step in large:
+        facts = attach_spread(via_shared_table(facts, "sums"), *step)
+    return facts.select(*order)
+
+
 def campaign_dimension(
     campaigns: DataFrame,
     attached: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]],

@@ -4,7 +4,7 @@ One shuffle carries the whole job while dimensions are under the broadcast thres
 summed per group key; what is known of a campaign is joined among dimensions first, so that the sums
 meet four dimensions at most; and the second sum, needed because joins may repeat rows, groups by a
 superset of the keys the rows are already partitioned on. A dimension over the threshold costs one
-shuffle of the sums.
+shuffle of the sums, over which the rows of a hot campaign, customer or app are spread.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from funnelspark.functions import recode
 from funnelspark.functions.numbers import micros
 from funnelspark.functions.times import hour_plus, in_cohort
-from funnelspark.operators.dimensions import attach, campaign_dimension, crm_campaign_v1, crm_campaign_v2, primary_goal
+from funnelspark.operators.dimensions import attach_all, campaign_dimension, crm_campaign_v1, crm_campaign_v2, primary_goal
 from funnelspark.operators.funnel import format_hours, funnel_rows, key_names, sum_metrics
 from funnelspark.operators.metrics import COHORT_DAYS, METRICS, cohort_value
 from funnelspark.sources.sinks import via_shared_table
@@ -87,7 +87,6 @@ def platform_health_v1(
     rows = replaced(rows, {e: f"case when model_type = 'revenue' then {micros(e)} else {e} end" for e in edges})
     f = rows.groupBy(*keys).agg(*sum_metrics())
 
-    f = attach(f, tables["customers"], {"customer_id": "id"}, {"company": "_company"})
     crm = crm_campaign_v1(tables["crm_campaigns"], tables["campaigns"], as_of)
     campaign = _stored_campaigns(
         tables["campaigns"],
@@ -99,13 +98,15 @@ def platform_health_v1(
         ],
         {"display_name": "_campaign_name", "current_optimization_state": "_optimization", "vt_cap": "_vt_cap", "tracker_id": "_tracker_id"},
     )
-    f = attach(f, campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_tracker_id")})
-    f = attach(f, tables["apps"], {"dest_app_id": "id"}, {"display_name": "_app", **VIEWTHROUGH_FLAGS})
-    f = attach(
+    ad_group = {"display_name": "_ad_group", "exploratory": "_exploratory", "bid_type": "_bid_type"}
+    f = attach_all(
         f,
-        tables["ad_groups"],
-        {"ad_group_id": "id"},
-        {"display_name": "_ad_group", "exploratory": "_exploratory", "bid_type": "_bid_type"},
+        [
+            (tables["customers"], {"customer_id": "id"}, {"company": "_company"}),
+            (campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_tracker_id")}),
+            (tables["apps"], {"dest_app_id": "id"}, {"display_name": "_app", **VIEWTHROUGH_FLAGS}),
+            (tables["ad_groups"], {"ad_group_id": "id"}, ad_group),
+        ],
     )
     report = _report(
         f,
@@ -153,26 +154,8 @@ def platform_health_v2(
     keys = [k for k in key_names("v2") if k != "click_at"]
     f = _gate_cohort(funnel_rows(tables, start, end, "v2")).groupBy(*keys).agg(*sum_metrics())
 
-    f = attach(f, tables["customers"], {"customer_id": "id"}, {"company": "_company"})
     crm = crm_campaign_v2(tables["crm_campaigns"], tables["crm_opportunities"], tables["campaigns"], as_of)
     crm = via_shared_table(crm, "crm-campaigns")
-    f = attach(
-        f,
-        crm,
-        {"campaign_id": "campaign_id", "customer_id": "customer_id"},
-        {
-            "service_level": "_service",
-            "sales_region": "_region",
-            "sales_sub_region": "_sub_region",
-            "scale_zone": "_zone",
-        },
-    )
-    f = attach(
-        f,
-        tables["apps"],
-        {"dest_app_id": "id", "customer_id": "customer_id"},
-        {"display_name": "_app", "category": "_category", **VIEWTHROUGH_FLAGS},
-    )
     campaign = _stored_campaigns(
         tables["campaigns"],
         [
@@ -187,7 +170,17 @@ def platform_health_v2(
             "tracker_id": "_tracker_id",
         },
     )
-    f = attach(f, campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_type_id", "_tracker_id")})
+    sold = {"service_level": "_service", "sales_region": "_region", "sales_sub_region": "_sub_region", "scale_zone": "_zone"}
+    app = {"display_name": "_app", "category": "_category", **VIEWTHROUGH_FLAGS}
+    f = attach_all(
+        f,
+        [
+            (tables["customers"], {"customer_id": "id"}, {"company": "_company"}),
+            (crm, {"campaign_id": "campaign_id", "customer_id": "customer_id"}, sold),
+            (tables["apps"], {"dest_app_id": "id", "customer_id": "customer_id"}, app),
+            (campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_type_id", "_tracker_id")}),
+        ],
+    )
     return _report(
         f,
         keys,

@@ -176,22 +176,89 @@ def stored(spark, tables, segments, tmp_path_factory):
     return {name: spark.read.parquet(f"{root}/{name}") for name in [*tables, "segments"]}
 
 
-@pytest.mark.parametrize("threshold, most", [("10485760", 1), ("-1", 7)])
-def test_exchanges_of_facts_are_few(spark, stored, threshold, most):
-    """One with small dimensions; else that, one for each of four dimensions, the segments, and the last sum."""
+def test_exchanges_of_facts_are_few(spark, stored):
+    """One with small dimensions."""
+    for report in (platform_health_v2(stored, HOUR, as_of=AS_OF), platform_health_v1(stored, stored["segments"], HOUR, as_of=AS_OF)):
+        path = above_union(report)
+        assert sum(x.startswith("Exchange") for x in path) == 1
+        assert sum("Join" in x for x in path) <= 5
+
+
+def test_large_dimensions_are_attached_to_stored_sums(spark, stored):
+    """Without broadcast of any: one exchange for the last of the dimensions and one for the last sum; same rows."""
+    reports = lambda: (platform_health_v2(stored, HOUR, as_of=AS_OF), platform_health_v1(stored, stored["segments"], HOUR, as_of=AS_OF))
+    want = [sorted(map(str, r.collect())) for r in reports()]
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for report in (platform_health_v2(stored, HOUR, as_of=AS_OF), platform_health_v1(stored, stored["segments"], HOUR, as_of=AS_OF)):
-            path = above_union(report)
-            exchanges = [x for x in path if x.startswith("Exchange")]
-            assert 1 <= len(exchanges) <= most
-            assert not any("_tracker_id" in x or "_type_id" in x for x in exchanges)
-            assert sum("Join" in x for x in path) <= 5
+        for report, rows in zip(reports(), want):
+            plan = report._jdf.queryExecution().executedPlan().toString()
+            assert "Union" not in plan and plan.count("SortMergeJoin") <= 2
+            assert not re.search(r"Exchange hashpartitioning\(_(tracker|type)_id", plan)
+            assert sorted(map(str, report.collect())) == rows
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_report_with_half_of_its_rows_in_one_campaign(spark, stored, tmp_path):
+    """No broadcast: no task of the last joins, or of the sum after them, gets over twice the rows of the median."""
+    rows = spark.range(24_000).selectExpr(
+        f"{AT} + id % 7 * 0 as at", f"'{HOUR}' as dt", "'IOS' as bid__app_platform", "if(id % 2 = 0, 1, id % 1500) as bid__campaign_id",
+        "if(id % 2 = 0, 7, id % 400) as bid__customer_id", "if(id % 2 = 0, 70, id % 700) as bid__app_id", "id % 900 as bid__ad_group_id",
+        "concat('t', id % 997) as bid__creative__type", "10L as spend_micros", "20L as revenue_micros",
+    )
+    given = {f.name: f.dataType for f in SCHEMAS["impressions"]}
+    rows = rows.select(*[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in given.items()])
+    ids = spark.range(1500)
+    more = {
+        "campaigns": ids.selectExpr("id", "concat('c', id) as display_name", "id % 5 as tracker_id", "id as vt_cap"),
+        "customers": ids.selectExpr("id", "concat('k', id) as company"),
+        "apps": ids.selectExpr("id", "id % 400 as customer_id", "concat('a', id) as display_name"),
+    }
+    filled = dict(stored)
+    for name, df in {"impressions": rows, **more}.items():
+        kinds = {f.name: f.dataType for f in SCHEMAS[name]}
+        df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()]).write.parquet(f"{tmp_path}/{name}")
+        filled[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    want = sorted(map(str, platform_health_v2(filled, HOUR, as_of=AS_OF).collect()))
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    read = []
+    try:
+        real = dimensions.attach_spread
+
+        def spread(*arguments):
+            joined = real(*arguments)
+            read.append([r.n for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()])
+            return joined
+
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(dimensions, "attach_spread", spread)
+            report = platform_health_v2(filled, HOUR, as_of=AS_OF)
+        assert sorted(map(str, report.collect())) == want and len(want) > 10_000
+        read.append([r.n for r in report.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(read) >= 4
+    for tasks in read:
+        assert len(tasks) == 8 and max(tasks) <= 2 * sorted(tasks)[4]
+
+
+def test_spread_is_a_left_join(spark):
+    """Null keys, repeated and missing dimension rows, a heavy key; as a plain left join."""
+    facts = spark.range(3000).selectExpr("if(id % 3 = 0, 5, if(id % 7 = 0, null, id % 40)) as k", "id % 2 as j", "id as x")
+    side = spark.range(60).selectExpr("id % 30 as a", "id % 2 as b", "id as name")
+    on, take = {"k": "a", "j": "b"}, {"name": "name"}
+    want = sorted(map(str, dimensions.attach(facts, side, on, take).collect()))
+    for parts in (2, 10, 1000):
+        assert sorted(map(str, dimensions.attach_spread(facts, side, on, take, parts).collect())) == want
+    assert dimensions.heavy_keys(facts, ["k"], 10).collect() == [(5, 4)]
+    assert sorted(map(str, dimensions.attach_spread(facts.limit(0), side, on, take).collect())) == []
+
+
 def test_reports_prune_all_sources(spark, tables, segments, tmp_path):
     """Every source and both snapshots are read by partition."""
     root, parted = str(tmp_path), [n for n in tables if "dt" in tables[n].columns]
