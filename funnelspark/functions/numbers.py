@@ -46,3 +46,44 @@ def finite_or_null(value: str) -> str:
 def clamp_or_zero(value: str, low: int, high: int) -> str:
     """The value when strictly between the limits, else (also for null) zero."""
     return f"(case when {value} > {low} and {value} < {high} then {value} else 0 end)"
+
+
+#: Limbs a number is cut into for `exact_sum`: multiples of these, each below 2 ** 31 of the next.
+LIMBS = (2.0**31, 1.0, 2.0**-31, 2.0**-62)
+
+
+def _limbs(value: str) -> list[str]:
+    """Whole numbers, all of its sign, that add up, times LIMBS, to the value, but for what is below 2 ** -62 of it."""
+    rest, out = value, []
+    for unit in LIMBS:
+        whole = f"cast(({rest}) / {unit!r}D as bigint)"
+        out.append(whole)
+        rest = f"({rest}) - cast({whole} as double) * {unit!r}D"
+    return out
+
+
+def exact_parts(value: str) -> list[str]:
+    """What `exact_sum` adds up of a number: four whole numbers, and the number itself where it has none."""
+    small = f"abs({value}) < {2.0**62!r}D"
+    parts = [f"case when {small} then {limb} end" for limb in _limbs(value)]
+    return [*parts, f"case when {value} is not null and not ({small}) then {value} end"]
+
+
+def exact_total(sums: list[str]) -> str:
+    """The sum, from the sums of the five parts."""
+    high, one, low, least = (f"cast({part} as double) * {unit!r}D" for part, unit in zip(sums, LIMBS))
+    known = f"{sums[0]} is not null or {sums[-1]} is not null"
+    whole = f"({high}) + (({one}) + (({low}) + ({least})))"
+    return f"(case when {known} then coalesce({sums[-1]}, 0D) + coalesce({whole}, 0D) end)"
+
+
+def exact_sum(value: str) -> str:
+    """Sum of doubles that is the same to the last bit in whatever order, and however grouped, rows come.
+
+    Every number is cut into whole multiples of four powers of two, which are added as integers; the four
+    sums are put together at the end. What a number has below 2 ** -62 is cut off. NaN and infinities, and
+    numbers of 2 ** 62 and more, are added apart as doubles; nulls are skipped, and no numbers give null.
+    Good for some two thousand million rows to a group; more raise an overflow error. `value` should
+    be a column, since it is repeated.
+    """
+    return exact_total([f"sum({part})" for part in exact_parts(value)])

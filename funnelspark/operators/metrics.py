@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from funnelspark.functions.numbers import cap, clamp_or_zero, finite_or_null, ieee_div, micros, norm_likelihood
+from funnelspark.functions.numbers import (
+    cap,
+    clamp_or_zero,
+    exact_parts,
+    exact_sum,
+    exact_total,
+    finite_or_null,
+    ieee_div,
+    micros,
+    norm_likelihood,
+)
 from funnelspark.functions.recode import is_revenue_model
 
 # Ceiling of a revenue rate, limits of one event's revenue, cohort length.
@@ -37,9 +47,26 @@ METRICS = {
 }
 
 
-def sum_finite(value: str) -> str:
-    """Sum that skips NaN and ±Infinity."""
-    return f"sum({finite_or_null(value)})"
+def sum_finite(value: str, exact: bool = False) -> str:
+    """Sum that skips NaN and ±Infinity; exact, it does not depend on the order of rows."""
+    return exact_sum(finite_or_null(value)) if exact else f"sum({finite_or_null(value)})"
+
+
+def _parts(metric: str) -> list[str]:
+    return [f"_{metric}_{i}" for i in range(5)]
+
+
+def summands(exact: bool) -> dict[str, str]:
+    """What is summed for METRICS, as columns by name: the metrics, or the exact parts of those that are doubles."""
+    out = {}
+    for m, kind in METRICS.items():
+        out |= dict(zip(_parts(m), exact_parts(m))) if exact and kind == "double" else {m: m}
+    return out
+
+
+def totals(exact: bool) -> dict[str, str]:
+    """METRICS from the sums of `summands`, or of their sums."""
+    return {m: exact_total(_parts(m)) if exact and kind == "double" else m for m, kind in METRICS.items()}
 
 
 def predicted_terms(variant: str, prefix: str = "bid__") -> dict[str, str]:
@@ -84,8 +111,10 @@ def predicted_terms(variant: str, prefix: str = "bid__") -> dict[str, str]:
     }
 
 
-def predicted_metrics(variant: str, prefix: str = "bid__") -> list[Column]:
-    """Sums of `predicted_terms`, for use in an aggregation over impressions."""
+def predicted_metrics(variant: str, prefix: str = "bid__", exact: bool = False) -> list[Column]:
+    """Sums of `predicted_terms`, for use in an aggregation over impressions; exact, over their columns."""
+    if exact:
+        return [F.expr(exact_sum(name)).alias(name) for name in predicted_terms(variant, prefix)]
     return [F.expr(f"sum({sql})").alias(name) for name, sql in predicted_terms(variant, prefix).items()]
 
 

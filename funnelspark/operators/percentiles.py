@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,61 +71,89 @@ def sketch_cuts(
     return _cuts(sketches(df, keys, axes, k, salts), keys, list(axes), probabilities)
 
 
+#: Values are told apart by class before anything is divided: -Infinity, below zero, zero, above zero, Infinity.
+_CLASS = "case when v = double('-Infinity') then 0 when v < 0 then 1 when v = 0 then 2 when v < double('Infinity') then 3 else 4 end"
+
+
+def _bin(bins: int) -> str:
+    """Place of v between low and high, both of one sign: by logarithm where they are far apart, else linear.
+
+    It never falls as v grows, and low and high themselves come in different bins.
+    """
+    far_up, far_down = "(low > 0 and high / low > 16)", "(high < 0 and low / high > 16)"
+    share = (
+        f"case when {far_up} then (ln(v) - ln(low)) / (ln(high) - ln(low))"
+        f" when {far_down} then 1 - (ln(-v) - ln(-high)) / (ln(-low) - ln(-high))"
+        " else (v - low) / (high - low) end"
+    )
+    return f"cast(case when v = high then {bins - 1} else least(greatest(floor(({share}) * {bins}), 0), {bins - 1}) end as int)"
+
+
+def _narrowed(bins: DataFrame, group: Sequence[str], place: str, within: Sequence[str] = ()) -> DataFrame:
+    """Of bins (n, low, high, and before and ranks of their range), those that hold a wanted rank, as ranges.
+
+    `within` tells the ranges of a group apart.
+    """
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*group, *within).orderBy(place))
+    kept = bins.withColumn("upto", upto).withColumn("first", F.col("upto") - F.col("n"))
+    inside = "filter(ranks, r -> r.rank > first and r.rank <= upto)"
+    return kept.selectExpr(*group, "low", "high", "first as before", f"{inside} as ranks").where("size(ranks) > 0")
+
+
 def exact_cuts(
     df: DataFrame,
     keys: Sequence[str],
     axes: Mapping[str, str],
     probabilities: Sequence[float] = PROBABILITIES,
+    bins: int = 512,
 ) -> DataFrame:
     """Exact discrete percentiles: the smallest value whose cumulative share reaches the probability.
 
-    Equal values are counted before anything is ordered. The counts are range-partitioned by
-    (segment, axis, value), which splits a hot segment over as many partitions as its values
-    need, and stored. Totals per partition tell which few partitions hold a wanted rank, and
-    only those are read in order. Key columns must not be null.
+    By selection. Rows are counted by value range, the ranges that hold a wanted rank are divided again, and
+    so on until each holds one value, three or four times for prices. Every pass reads the rows and shuffles
+    histograms only: a count, least and largest value for each bin that a task has met, so the shuffle does
+    not depend on the number of rows or of distinct values, and a hot segment is folded where it is read.
+    The ranges of a segment, eleven to an axis at most, are joined to the rows; while they are under the
+    broadcast threshold no row moves. Rows without a value give nothing; key columns must not be null.
     """
-    keys = list(keys)
-    names = list(axes)
+    keys, names = list(keys), list(axes)
     group = [*keys, "axis"]
-    points = ", ".join(
-        f"named_struct('axis', {i}, 'value', {_usable(axes[a])})" for i, a in enumerate(names)
+    rows = df.selectExpr(*keys, *[f"{_usable(axes[a])} as `_v{i}`" for i, a in enumerate(names)])
+    values = ", ".join(f"named_struct('axis', {i}, 'v', `_v{i}`)" for i in range(len(names)))
+    classes = (
+        rows.selectExpr(*keys, f"inline(array({values}))")
+        .where("v is not null")
+        .groupBy(*group, F.expr(_CLASS).alias("class"))
+        .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
-    counts = (
-        df.selectExpr(*keys, f"inline(array({points}))")
-        .where("value is not null")
-        .groupBy(*group, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .repartitionByRange(*group, "value")
-        .withColumn("chunk", F.spark_partition_id())
-    )
-    counts = via_shared_table(counts, "value-counts")
-
-    # Rows per chunk and group: at most (partitions + groups) rows in all.
-    whole = Window.partitionBy(*group)
     ranks = ", ".join(
         f"named_struct('point', {i}, 'rank', cast(ceil(cast(total as decimal(20,0)) * {Decimal(str(p))}BD) as bigint))"
         for i, p in enumerate(probabilities)
     )
-    chunks = (
-        counts.groupBy(*group, "chunk")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("upto", F.sum("n").over(whole.orderBy("chunk")))
-        .withColumn("total", F.sum("n").over(whole))
-        .selectExpr(*group, "chunk", "upto - n as before", "upto", f"inline(array({ranks}))")
-        .where("rank > before and rank <= upto")
-        .groupBy(*group, "chunk", "before")
-        .agg(F.collect_list(F.struct("point", "rank")).alias("ranks"))
-    )
-    hits = via_shared_table(chunks, "rank-chunks")
-
-    within = Window.partitionBy(*group, "chunk").orderBy("value")
-    found = (
-        counts.join(hits, [*group, "chunk"])
-        .withColumn("upto", F.col("before") + F.sum("n").over(within))
-        .selectExpr(*group, "value", "upto - n as after", "upto", "inline(ranks)")
-        .where("rank > after and rank <= upto")
-    )
-    lists = found.groupBy(*keys).agg(
+    whole = Window.partitionBy(*group)
+    classes = classes.withColumn("total", F.sum("n").over(whole)).selectExpr("*", "0L as before", f"array({ranks}) as ranks")
+    ranges = via_shared_table(_narrowed(classes, group, "class"), "ranges")
+    found = [ranges.where("low = high")]
+    while not ranges.where("low < high").isEmpty():
+        ranges = ranges.where("low < high")
+        lists = ranges.groupBy(*keys).agg(
+            *[F.expr(f"collect_list(struct(low, high, before, ranks)) filter (where axis = {i})").alias(f"_r{i}") for i in range(len(names))]
+        )
+        # The one range of its axis that a value is in, if any.
+        hits = ", ".join(
+            f"named_struct('axis', {i}, 'v', `_v{i}`, 'r', get(filter(`_r{i}`, r -> `_v{i}` >= r.low and `_v{i}` <= r.high), 0))" for i in range(len(names))
+        )
+        met = rows.join(lists, keys).selectExpr(*keys, f"inline(filter(array({hits}), h -> h.r is not null))")
+        binned = met.selectExpr(*group, "v", "r.low as low", "r.high as high", "r.before as before", "r.ranks as ranks").selectExpr(
+            *group, "low as _low", "before", "ranks", f"{_bin(bins)} as bin", "v"
+        )
+        counts = binned.groupBy(*group, "_low", "bin").agg(
+            F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.first("before").alias("before"), F.first("ranks").alias("ranks")
+        )
+        ranges = via_shared_table(_narrowed(counts, group, "bin", ["_low"]), "ranges")
+        found.append(ranges.where("low = high"))
+    points = reduce(DataFrame.unionByName, found).selectExpr(*group, "low as value", "inline(ranks)")
+    lists = points.groupBy(*keys).agg(
         *[
             F.expr(f"array_sort(collect_list(case when axis = {i} then struct(point, value) end))").alias(a)
             for i, a in enumerate(names)

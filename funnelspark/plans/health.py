@@ -18,8 +18,8 @@ from funnelspark.functions import recode
 from funnelspark.functions.numbers import micros
 from funnelspark.functions.times import hour_plus, in_cohort
 from funnelspark.operators.dimensions import attach_all, campaign_dimension, crm_campaign_v1, crm_campaign_v2, primary_goal
-from funnelspark.operators.funnel import format_hours, funnel_rows, key_names, sum_metrics
-from funnelspark.operators.metrics import COHORT_DAYS, METRICS, cohort_value
+from funnelspark.operators.funnel import format_hours, funnel_rows, key_names
+from funnelspark.operators.metrics import COHORT_DAYS, METRICS, cohort_value, summands, totals
 from funnelspark.sources.sinks import via_shared_table
 
 COHORT_METRICS = ("customer_revenue_d7", "target_events_d7", "target_events_first_d7")
@@ -43,13 +43,21 @@ _BY_CAMPAIGN = {"campaign_id": "campaign_id"}
 VIEWTHROUGH = recode.viewthrough_enabled("creative_type", "ad_format", *VIEWTHROUGH_FLAGS.values())
 
 
-def _report(enriched: DataFrame, keys: Sequence[str], derived: Mapping[str, str]) -> DataFrame:
+def _first_sums(rows: DataFrame, keys: Sequence[str], exact: bool) -> DataFrame:
+    """Sums per group key: one row per key of any dimension."""
+    return rows.groupBy(*keys).agg(*[F.expr(f"sum({sql})").alias(name) for name, sql in summands(exact).items()])
+
+
+def _report(enriched: DataFrame, keys: Sequence[str], derived: Mapping[str, str], exact: bool) -> DataFrame:
     """Second sum, per group key and dimension; revenue from micros to units."""
-    keyed = enriched.selectExpr(*keys, *[f"{sql} as {name}" for name, sql in derived.items()], *METRICS)
-    sums = [
-        F.expr(f"sum({micros(m) if m == 'customer_revenue_d7' else m})").alias(m) for m in METRICS
-    ]
-    return format_hours(keyed.groupBy(*keys, *derived).agg(*sums))
+    added = list(summands(exact))
+    keyed = enriched.selectExpr(*keys, *[f"{sql} as {name}" for name, sql in derived.items()], *added)
+    if not exact:
+        sums = [F.expr(f"sum({micros(m) if m == 'customer_revenue_d7' else m})").alias(m) for m in METRICS]
+        return format_hours(keyed.groupBy(*keys, *derived).agg(*sums))
+    sums = keyed.groupBy(*keys, *derived).agg(*[F.sum(m).alias(m) for m in added])
+    put_together = {m: micros(sql) if m == "customer_revenue_d7" else sql for m, sql in totals(exact).items()}
+    return format_hours(sums.selectExpr(*keys, *derived, *[f"{sql} as {m}" for m, sql in put_together.items()]))
 
 
 def _stored_campaigns(*arguments) -> DataFrame:
@@ -72,12 +80,14 @@ def platform_health_v1(
     until: str | None = None,
     as_of: str = "current_timestamp()",
     goal_tiebreak: Sequence[str] = ("type", "target_value"),
+    exact: bool = False,
 ) -> DataFrame:
     """Funnel with bucket axes: 44 dimensions, 19 metrics, for one hour (or [hour, until)).
 
     Small dimension joins run, and are stored, when this is called. `segments` is the trained table in
     compact form (`train_segments_v1`, or a stored grid through `segments_from_grid`). Matched events
-    without a bucket are not reported.
+    without a bucket are not reported. With `exact`, sums of doubles are those of `exact_sum`: two runs
+    of an hour agree to the last bit.
     """
     start, end = _hours(hour, until)
     rows = _gate_cohort(funnel_rows(tables, start, end, "v1", segments))
@@ -85,7 +95,7 @@ def platform_health_v1(
     # Edges of revenue models are stored in millionths and reported in units.
     edges = ("convx_percentile_low", "convx_percentile_high")
     rows = replaced(rows, {e: f"case when model_type = 'revenue' then {micros(e)} else {e} end" for e in edges})
-    f = rows.groupBy(*keys).agg(*sum_metrics())
+    f = _first_sums(rows, keys, exact)
 
     crm = crm_campaign_v1(tables["crm_campaigns"], tables["campaigns"], as_of)
     campaign = _stored_campaigns(
@@ -130,6 +140,7 @@ def platform_health_v1(
             "viewthrough_enabled": VIEWTHROUGH,
             "is_enrolled_in_vio": recode.vio_enrolled("_vt_cap"),
         },
+        exact,
     )
     # Column order of the report: name before edges on the price axes.
     order = [c for c in report.columns if not c.startswith(("private_cpm_percentile", "cpm_percentile"))]
@@ -144,15 +155,16 @@ def platform_health_v2(
     until: str | None = None,
     as_of: str = "current_timestamp()",
     goal_tiebreak: Sequence[str] = ("type", "target_value"),
+    exact: bool = False,
 ) -> DataFrame:
     """Funnel without buckets, ad groups, exchanges and countries: 28 dimensions, 19 metrics.
 
     Small dimension joins run, and are stored, when this is called. The click hour serves the cohort
-    test only, so it is dropped before the first sum.
+    test only, so it is dropped before the first sum. `exact` as in the first report.
     """
     start, end = _hours(hour, until)
     keys = [k for k in key_names("v2") if k != "click_at"]
-    f = _gate_cohort(funnel_rows(tables, start, end, "v2")).groupBy(*keys).agg(*sum_metrics())
+    f = _first_sums(_gate_cohort(funnel_rows(tables, start, end, "v2")), keys, exact)
 
     crm = crm_campaign_v2(tables["crm_campaigns"], tables["crm_opportunities"], tables["campaigns"], as_of)
     crm = via_shared_table(crm, "crm-campaigns")
@@ -200,4 +212,5 @@ def platform_health_v2(
             "campaign_tracker_type": recode.tracker_type("_tracker", "campaign_id"),
             "viewthrough_enabled": VIEWTHROUGH,
         },
+        exact,
     )

@@ -98,6 +98,26 @@ def test_exact_cuts_against_sorting(spark):
     assert got["nulls"].x is None
 
 
+@pytest.mark.parametrize("bins", [2, 512])
+def test_exact_cuts_of_values_far_apart(spark, monkeypatch, bins):
+    """From the smallest to the largest doubles, both signs, zeros and infinities; few passes with many bins."""
+    rng = random.Random(bins)
+    edge = [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308, INF, -INF]
+    wide = [rng.choice([-1, 1]) * rng.uniform(1, 10) * 10.0 ** rng.randint(-307, 307) for _ in range(400)] + edge * 3
+    near = [1.0 + rng.randint(0, 200) * 2.0**-52 for _ in range(300)] + [-1e15 - rng.randint(0, 50) for _ in range(300)]
+    rows = [("wide", x, rng.random()) for x in wide] + [("near", x, None) for x in near] + [("one", 7.0, -0.0)]
+    passes = []
+    real = percentiles.via_shared_table
+    monkeypatch.setattr(percentiles, "via_shared_table", lambda df, name: passes.append(name) or real(df, name))
+    df = spark.createDataFrame(rows, "_seg string, x double, y double").repartition(3)
+    got = {r["_seg"]: r for r in percentiles.exact_cuts(df, ["_seg"], {"x": "x", "y": "y"}, bins=bins).collect()}
+    for seg in ("wide", "near", "one"):
+        column = [x for s, x, _ in rows if s == seg]
+        assert got[seg].x == [exact_reference(column, p) for p in percentiles.PROBABILITIES]
+    assert got["near"].y is None and got["one"].y == [0.0] * 11
+    assert len(passes) <= (8 if bins == 512 else 64)
+
+
 def test_exact_cuts_with_one_hot_segment_and_value(spark):
     """Two thirds of the rows share segment and value; ranks still come out exact."""
     rows = [("hot", 7.0)] * 6000 + [("hot", float(i)) for i in range(2000)] + [("cold", 1.0)]

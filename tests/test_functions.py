@@ -1,8 +1,13 @@
 """Null, NaN, division and boundary rules, with results worked out by hand."""
 
+import math
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from funnelspark import functions as fx
+from funnelspark.functions.numbers import exact_parts, exact_sum, exact_total
 from funnelspark.operators import metrics
 from tests.helpers import same, values
 
@@ -162,3 +167,32 @@ def test_target_events(spark):
 
 def test_quoting(spark):
     assert values(spark, "int", [1], fx.quoted("it's a \\ test")) == ["it's a \\ test"]
+
+
+def test_exact_sums_do_not_depend_on_order_or_grouping(spark):
+    r = random.Random(1)
+    values = [r.choice([r.uniform(-1, 1) * 10 ** r.randint(-9, 14), 0.1, -0.1, 1e-7 * r.random(), 3.0, None]) for _ in range(20_000)]
+    exact, plain = set(), set()
+    for parts in (1, 3, 7, 16):
+        r.shuffle(values)
+        df = spark.createDataFrame([(v, i % 5) for i, v in enumerate(values)], "x double, g int").repartition(parts)
+        a, b = df.selectExpr(exact_sum("x"), "sum(x)").first()
+        exact.add(a)
+        plain.add(b)
+        # Sums of the parts' sums are those of the parts.
+        names = [f"p{i}" for i in range(5)]
+        grouped = df.groupBy("g").agg(*[F.expr(f"sum({sql})").alias(n) for n, sql in zip(names, exact_parts("x"))])
+        exact.add(grouped.agg(F.expr(exact_total([f"sum({n})" for n in names]))).first()[0])
+    assert exact == {math.fsum(v for v in values if v is not None)} and len(plain) > 1
+
+
+@pytest.mark.parametrize(
+    "values, want",
+    [
+        ([], None), ([None], None), ([1.0, float("nan")], float("nan")), ([1.0, float("inf"), None], float("inf")),
+        ([float("inf"), float("-inf")], float("nan")), ([-5e18, 4e18, -0.3, 0.1], -1e18), ([-0.5, 0.25, None], -0.25), ([-(2.0**-60)], -(2.0**-60)),
+    ],
+)
+def test_exact_sums_of_odd_numbers(spark, values, want):
+    got = spark.createDataFrame([(v,) for v in values], "x double").selectExpr(exact_sum("x")).first()[0]
+    assert got == want or (want != want and got != got)

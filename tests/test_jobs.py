@@ -335,6 +335,18 @@ def test_hot_campaign_is_split(spark):
             spark.conf.set(k, v)
 
 
+def test_exact_reports_agree_to_the_last_bit(spark, tables, segments):
+    """However the impressions are dealt to tasks."""
+    r = tables["impressions"].where("bid__campaign_id = 1").limit(1)
+    many = r.drop("bid__price_data__conversion_likelihood").crossJoin(spark.range(3000).selectExpr("(hash(id) % 1000 / 7D) * pow(10, id % 9) as bid__price_data__conversion_likelihood")).select(*r.columns)
+    many = spark.createDataFrame(many.collect(), many.schema)
+    runs = set()
+    for parts in (1, 5, 16):
+        report = platform_health_v2({**tables, "impressions": many.repartition(parts)}, HOUR, as_of=AS_OF, exact=True)
+        runs.add(tuple(sorted(repr(x) for x in report.collect())))
+    assert len(runs) == 1
+
+
 def test_funnel_needs_segments_in_v1(tables):
     with pytest.raises(ValueError):
         funnel.funnel_rows(tables, HOUR, HOUR, "v1")

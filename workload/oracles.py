@@ -831,3 +831,46 @@ _sketched = _TRAIN_ROWS.replace(START, SKETCHED[0]).replace(END, SKETCHED[1])
 ORACLES["bucket_sketches_v1_days"] = _ranked(_K1, ("convx", "private_cpm", "cpm"), _sketched)
 _sketched = _sketched.replace(f"> '{SKETCHED[0]}'", f">= '{SKETCHED[0]}'") + " and bid__app_platform in ('ANDROID', 'IOS')"
 ORACLES["bucket_sketches_v2_days"] = _ranked("platform, model_type", ("convx", "private_cpm"), _sketched)
+
+
+def _exact(x: str, where: str = "") -> str:
+    """Sum of doubles cut into whole multiples of four powers of two; the counterpart of the exact sum."""
+    units, rest, parts = ("2147483648.0::double", "1.0::double", "(1.0::double / 2147483648)", "(1.0::double / 4611686018427387904)"), f"({x})::double", []
+    whole_numbers = f"abs(({x})::double) < 4611686018427387904 and not isnan(({x})::double){where}"
+    for unit in units:
+        whole = f"trunc(({rest}) / {unit})"
+        parts.append(f"sum(case when {whole_numbers} then ({whole})::bigint end)::double * {unit}")
+        rest = f"({rest}) - {whole} * {unit}"
+    large = f"sum({x}) filter (where not (abs(({x})::double) < 4611686018427387904 and not isnan(({x})::double)){where})"
+    small = f"({parts[0]}) + (({parts[1]}) + (({parts[2]}) + ({parts[3]})))"
+    return f"case when ({parts[0]}) is not null or ({large}) is not null then coalesce({large}, 0) + coalesce({small}, 0) end"
+
+
+ORACLES["finite_sum_exact"] = f"""
+{_with("ad_group_results")}
+select ad_group_id, {_exact("predicted_revenue_micros", " and isfinite(predicted_revenue_micros)")} as finite_revenue, count(*) as n
+from ad_group_results group by 1
+"""
+for _variant in ("v1", "v2"):
+    _columns = _terms(_variant)
+    ORACLES[f"predicted_metrics_exact_{_variant}"] = f"""
+{_with("impressions")}
+select bid__campaign_id, bid__app_platform, bid__ad_group_type, bid__creative__type, {", ".join(f"{_exact(name)} as {name}" for name in _columns)}
+from (select *, {", ".join(f"{sql} as {name}" for name, sql in _columns.items())} from impressions) group by all
+"""
+
+
+def _exactly(name: str) -> str:
+    """A report's SQL with exact sums in place of rounded ones."""
+    sql = ORACLES[name]
+    for m in _METRICS:
+        if m not in _LONGS:
+            assert _sum(m) in sql
+            sql = sql.replace(_sum(m), f"{_exact('f.' + m)} as {m}")
+    rounded_revenue = f", {metric_digits('customer_revenue_d7')}) as customer_revenue_d7"
+    assert rounded_revenue in sql
+    return sql.replace(f"round(sum(if({_INSIDE}, f.customer_revenue_d7, 0)) / 1e6{rounded_revenue}", f"sum(if({_INSIDE}, f.customer_revenue_d7, 0)) / 1e6 as customer_revenue_d7")
+
+
+ORACLES["platform_health_v1_exact_hour"] = _exactly("platform_health_v1_hour")
+ORACLES["platform_health_v2_exact_week"] = _exactly("platform_health_v2_week")

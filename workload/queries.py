@@ -174,6 +174,29 @@ def finite_sum(t: Tables) -> DataFrame:
     return rounded(sums, 2)
 
 
+@query
+def finite_sum_exact(t: Tables) -> DataFrame:
+    """The same sum to the last bit."""
+    return counted(t["ad_group_results"], ["ad_group_id"], finite_revenue=metrics.sum_finite("predicted_revenue_micros", exact=True))
+
+
+def _predicted_exact(t: Tables, variant: str) -> DataFrame:
+    keys = ["bid__campaign_id", "bid__app_platform", "bid__ad_group_type", "bid__creative__type"]
+    terms = t["impressions"].selectExpr(*keys, *[f"{sql} as {name}" for name, sql in metrics.predicted_terms(variant).items()])
+    return terms.groupBy(*keys).agg(*metrics.predicted_metrics(variant, exact=True))
+
+
+@query
+def predicted_metrics_exact_v1(t: Tables) -> DataFrame:
+    """Price and prediction sums to the last bit."""
+    return _predicted_exact(t, "v1")
+
+
+@query
+def predicted_metrics_exact_v2(t: Tables) -> DataFrame:
+    return _predicted_exact(t, "v2")
+
+
 @query
 def clamp_revenue(t: Tables) -> DataFrame:
     return counted(
@@ -660,6 +683,17 @@ def platform_health_v2_hour(t: Tables) -> DataFrame:
     return rounded_metrics(platform_health_v2(listed(t), EVENT_HOUR, as_of=NOW))
 
 
+@query
+def platform_health_v1_exact_hour(t: Tables) -> DataFrame:
+    """The hourly report with exact sums, to the last bit."""
+    return platform_health_v1(listed(t), _segments(t), IMPRESSION_HOUR, as_of=NOW, exact=True)
+
+
+@query
+def platform_health_v2_exact_week(t: Tables) -> DataFrame:
+    return platform_health_v2(listed(t), *WEEK, NOW, exact=True)
+
+
 @query
 def platform_health_v1_week(t: Tables) -> DataFrame:
     return rounded_metrics(platform_health_v1(typed(t), _segments(t), *WEEK, NOW))
