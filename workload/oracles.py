@@ -874,3 +874,14 @@ def _exactly(name: str) -> str:
 
 ORACLES["platform_health_v1_exact_hour"] = _exactly("platform_health_v1_hour")
 ORACLES["platform_health_v2_exact_week"] = _exactly("platform_health_v2_week")
+
+# Trained exactly over the same window; no cut is left in the result.
+_sketched_report = _during("platform_health_v1_report", f"dt >= '{SKETCHED[0]}' and dt < '{SKETCHED[1]}'")
+for _old, _new in ((f"dt > '{START}' and dt < '{END}'", f"dt > '{SKETCHED[0]}' and dt < '{SKETCHED[1]}'"), (f"> '{START}' and {day('\"at\"')} < '{END}'", f"> '{SKETCHED[0]}' and {day('\"at\"')} < '{SKETCHED[1]}'")):
+    assert _old in _sketched_report
+    _sketched_report = _sketched_report.replace(_old, _new)
+_without = [k for k in _REPORT_V1 if k not in _BUCKET]
+_whole = [m for m in _METRICS if m in _LONGS and m != "customer_revenue_d7"]
+ORACLES["platform_health_v1_sketched"] = (
+    f"select {', '.join(f'\"{k}\"' for k in _without)}, {', '.join(f'cast(sum({m}) as bigint) as {m}' for m in _whole)} from ({_sketched_report}) group by all"
+)

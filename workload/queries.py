@@ -704,6 +704,20 @@ def platform_health_v2_week(t: Tables) -> DataFrame:
     return rounded_metrics(platform_health_v2(typed(t), *WEEK, NOW))
 
 
+@query
+def platform_health_v1_sketched(t: Tables) -> DataFrame:
+    """The report on segments trained from stored daily sketches, buckets added up: whatever the cuts are, every
+    event with a segment and a value is in one bucket of each axis. The cuts themselves are checked by rank."""
+    folder, (start, end) = new_folder(t.spark, "sketches"), (x[:10] for x in SKETCHED)
+    path, impressions = f"{folder}/bucket_sketches_v1", listed(t)["impressions"]
+    write_hours(daily_sketches_v1(impressions, start, end), path, start, end, at="day")
+    segments = via_shared_table(stored_segments_v1(PartitionedTable(t.spark, folder, "bucket_sketches_v1"), *SKETCHED), "segments")
+    report = platform_health_v1(listed(t), segments, f"{start}T00", f"{end}T00", NOW)
+    longs = [m for m, kind in dict(report.dtypes).items() if m in metrics.METRICS and kind == "bigint"]
+    keys = [c for c in report.columns if c not in metrics.METRICS and c not in funnel.BUCKET_KEYS]
+    return report.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in longs])
+
+
 @query
 def platform_health_v1_stored(t: Tables) -> DataFrame:
     """The report from a stored grid: written once, read as declared, folded to segments."""
