@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -280,7 +281,9 @@ def shared_folder(spark: SparkSession) -> str:
 def intermediates(spark: SparkSession) -> Iterator[None]:
     """Removes, at the end, the intermediate tables made inside. Write the job's output before that.
 
-    Without it they stay in the shared folder for as long as the cluster keeps it.
+    Without it they stay in the shared folder for as long as the cluster keeps it. The shuffle files of
+    the jobs inside go as well: executors keep those until the driver's garbage collector finds them
+    unused, which in a driver with little garbage takes as long as the whole job.
     """
     mine: list[str] = []
     _scopes.append(mine)
@@ -290,16 +293,20 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
         _scopes.remove(mine)
         for path in mine:
             Files(spark).delete(path)
+        gc.collect()
+        spark._jvm.System.gc()
 
 
-def via_shared_table(df: DataFrame, name: str) -> DataFrame:
+def via_shared_table(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
     """Write a result to the shared folder and read it back. This runs a job.
 
     The rows then no longer depend on executors staying alive, are computed once however often
-    they are used, and Spark knows their true size when it plans a join with them.
+    they are used, and Spark knows their true size when it plans a join with them. With `outlive` the
+    table is not the innermost `intermediates` block's to remove, but that of the next one out.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scopes = _scopes[:-1] if outlive else _scopes
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -76,4 +76,9 @@ def test_nothing_is_left_and_no_setting_changed(spark):
     with intermediates(spark):
         assert via_shared_table(spark.range(5), "t").count() == 5
         assert set(os.listdir(folder)) != have
+    assert set(os.listdir(folder)) == have
+    with intermediates(spark):
+        with intermediates(spark):
+            kept = via_shared_table(via_shared_table(spark.range(5), "t"), "u", outlive=True)
+        assert kept.count() == 5
     assert set(os.listdir(folder)) == have and spark.conf.get("spark.checkpoint.dir", None) == before
