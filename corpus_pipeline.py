@@ -18,7 +18,7 @@ from funnelspark.llm.ngram_join import one_of_each
 from funnelspark.llm.packing import pack_documents
 from funnelspark.llm.toxicity import reject, train
 from funnelspark.llm.workers import reachable
-from funnelspark.sources.sinks import shared_folder
+from funnelspark.sources.sinks import Files, intermediates, shared_folder
 
 # Text classifiers, set joins and best-fit packing are beyond SQL; the stages are tested one by one
 # against brute force.
@@ -65,11 +65,14 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the folder's `documents`."""
+    """All stages over the folder's `documents`. What a stage has stored on its way goes once it is written, and
+    what it has written once the next one is."""
     docs = reachable(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder, files = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", Files(spark)
     for i, (_, stage) in enumerate(STAGES):
         out = f"{folder}/{i}"
-        stage(spark, docs, sf_dir).write.parquet(out)
+        with intermediates(spark):
+            stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        files.delete(f"{folder}/{i - 1}")
     return docs
