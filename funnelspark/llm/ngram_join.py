@@ -8,7 +8,7 @@ the smaller of its two l.
 
 Posting lists may be as long as a group of near copies is large, and its pairs are not enumerated.
 First every document of a list is verified against one, the list's hub. What that links is one
-component. Then documents of a list that are still in different components are compared: those of
+component. Pairs that bit maps of their sets rule out are not verified. Then documents of a list that are still in different components are compared: those of
 short lists as pairs, where their distances to the hub, with the triangle inequality of the Jaccard
 distance, don't rule a link out; those of long lists in blocks, by products of their sets' incidence
 matrices, of which only links that join components come out. No link between components is missed.
@@ -104,23 +104,43 @@ def shingle_table(documents: DataFrame, k: int = SHINGLE) -> np.ndarray:
     return count_table(documents.select("text"), hashes, TABLE_BITS)
 
 
+def marks(tokens: np.ndarray) -> bytes:
+    """A bit map of a set, two to four bits a token: each token flips the bit that its hash names.
+
+    Sets that differ in d tokens have maps that differ in d bits at most, also when the larger map is
+    folded to the size of the smaller one.
+    """
+    bits = max(64, 1 << (2 * len(tokens) - 1).bit_length())
+    places = (mix(tokens ^ np.uint64(0xA0761D6478BD642F)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    """In how many bits two maps differ at the smaller one's size."""
+    x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+    if len(x) < len(y):
+        x, y = y, x
+    folded = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.bitwise_count(folded ^ y).sum())
+
+
 def _summaries(documents: DataFrame, order, k: int) -> DataFrame:
-    """doc_id, n, l, and the two keys of its set, of every row."""
+    """doc_id, n, l, the two keys of its set and its marks, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for tokens in sets_of(texts_of(batch.column(1)), k):
-                rows.append((len(tokens), order.value.prefix(tokens)[2], *set_key(tokens)) if len(tokens) else (0, 1, 0, 0))
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+                rows.append((len(tokens), order.value.prefix(tokens)[2], *set_key(tokens), marks(tokens)) if len(tokens) else (0, 1, 0, 0, None))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "l", "key1", "key2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "l", "key1", "key2", "marks"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, l int, key1 long, key2 long")
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, l int, key1 long, key2 long, marks binary")
 
 
-def document_classes(documents: DataFrame, order, k: int = SHINGLE) -> DataFrame:
-    """doc_id, n, l, rep of every row; rep is the smallest doc_id of an equal set, its own for empty ones.
+def document_classes(documents: DataFrame, order, k: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n, l, rep of every row; rep is the smallest doc_id of an equal set, its own for empty ones. And doc_id, n, marks.
 
     Sets are equal when their size and two independent 64-bit keys are.
     """
@@ -128,7 +148,8 @@ def document_classes(documents: DataFrame, order, k: int = SHINGLE) -> DataFrame
     keys = ["n", "key1", "key2"]
     classes = rows.where("n > 0").groupBy(*keys).agg(F.min("doc_id").alias("rep"))
     joined = rows.join(classes, keys, "left")
-    return via_shared_table(joined.selectExpr("doc_id", "n", "l", "if(doc_id is null or n = 0, doc_id, rep) as rep"), "classes")
+    told = via_shared_table(joined.selectExpr("doc_id", "n", "l", "if(doc_id is null or n = 0, doc_id, rep) as rep"), "classes")
+    return told, rows.where("n > 0 and doc_id is not null").select("doc_id", "n", "marks")
 
 
 def _prefix_blobs(documents: DataFrame, order, k: int, owners: int) -> DataFrame:
@@ -251,13 +272,35 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verify(pairs: DataFrame, documents: DataFrame, k: int = SHINGLE) -> DataFrame:
     """a, b, shared, either of every pair (a, b) of documents: sizes of intersection and union."""
     ids = via_shared_table(pairs.selectExpr("explode(array(a, b)) as doc_id").distinct(), "pair-ids")
-    sets = shingle_sets(documents, ids, k)
+    sets = via_shared_table(shingle_sets(documents, ids, k), "pair-sets")
     joined = pairs.join(sets.withColumnsRenamed({"doc_id": "b", "tokens": "of_b"}), "b").join(
         sets.withColumnsRenamed({"doc_id": "a", "tokens": "of_a"}), "a"
     )
     return joined.select("a", "b", "of_a", "of_b").mapInArrow(_overlaps, "a long, b long, shared long, either long")
 
 
+def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b, n, m, x, y = (c.to_pylist() for c in batch.columns)
+        low, may = [], []
+        for both, differ in zip(map(sum, zip(n, m)), map(_differ, x, y)):
+            low.append(2 * differ / (both + differ))
+            may.append(100 * (both - differ) >= PERCENT * (both + differ))
+        columns = [*batch.columns[:2], pa.array(low, pa.float64()), pa.array(may, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "low", "may"])
+
+
+def bounded(pairs: DataFrame, marked: DataFrame) -> DataFrame:
+    """a, b, low, may of every pair: a lower bound of its Jaccard distance, and whether that lets it link.
+
+    Marks are a thirtieth of a set, so pairs that they rule out cost little.
+    """
+    b, a = (marked.withColumnsRenamed({c: f"{s}_{c}" for c in ("n", "marks")}).withColumnRenamed("doc_id", s) for s in "ba")
+    joined = pairs.join(b, "b").join(a, "a").select("a", "b", "a_n", "b_n", "a_marks", "b_marks")
+    told = joined.mapInArrow(_bounds, "a long, b long, low double, may boolean")
+    return told.groupBy("a", "b").agg(F.min("low").alias("low"), F.bool_or("may").alias("may"))
+
+
 _LINKS = f"100 * shared >= {PERCENT} * either and shared > 0"
 
 
@@ -304,20 +347,32 @@ def _linking(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _block_links(members: DataFrame, documents: DataFrame, k: int) -> DataFrame:
-    """Links between the components of each hub's documents: hub_x, x, component, one row each."""
-    blocks = members.groupBy("hub_x").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "hub_x").withColumn("block", F.pmod(F.xxhash64("x"), "blocks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.selectExpr(
-        "hub_x", "x", "component", "least(block, other) as low", "greatest(block, other) as high", "cast(block > other as int) as side"
-    )
+    """Links between the components of each hub's documents: hub_x, x, component, stray, one row each.
+
+    Those that are not strays are in the hub's component already, so only strays meet the others: their
+    blocks meet the blocks of the rest (kind 1) and each other (kind 0).
+    """
+    count = f"cast(ceil(count_if({{}}) / {float(BLOCK)}) as int)"
+    blocks = members.groupBy("hub_x").agg(F.expr(count.format("stray")).alias("strays"), F.expr(count.format("not stray")).alias("rest"))
+    dealt = members.join(blocks, "hub_x").withColumn("block", F.expr("cast(pmod(xxhash64(x), if(stray, strays, rest)) as int)"))
+    cells = [
+        ("stray and rest > 0", "sequence(0, rest - 1)", ("1", "block", "other", "0")),
+        ("not stray", "sequence(0, strays - 1)", ("1", "other", "block", "1")),
+        ("stray", "sequence(0, strays - 1)", ("0", "least(block, other)", "greatest(block, other)", "cast(block > other as int)")),
+    ]
+    parts = [
+        dealt.where(which).withColumn("other", F.explode(F.expr(others))).selectExpr(
+            "hub_x", "x", "component", *[f"{sql} as {name}" for sql, name in zip(cell, ("kind", "low", "high", "side"))]
+        )
+        for which, others, cell in cells
+    ]
+    placed = parts[0].unionByName(parts[1]).unionByName(parts[2])
     ids = via_shared_table(members.select(F.col("x").alias("doc_id")).distinct(), "block-ids")
     sets = shingle_sets(documents, ids, k).withColumnRenamed("doc_id", "x")
-    cells = dealt.join(sets, "x").groupBy("hub_x", "low", "high")
-    return cells.applyInPandas(_linking, "a long, b long")
+    return placed.join(sets, "x").groupBy("hub_x", "kind", "low", "high").applyInPandas(_linking, "a long, b long")
 
 
-def similar_pairs(documents: DataFrame, posted: DataFrame, k: int = SHINGLE) -> DataFrame:
+def similar_pairs(documents: DataFrame, posted: DataFrame, marked: DataFrame, k: int = SHINGLE) -> DataFrame:
     """Links (a, b) that join all documents whose sets are similar, directly or by way of others."""
     entry = F.struct("x", "n", "l", "level")
     hubs = posted.groupBy("token").agg(F.min(entry).alias("hub"), F.count("*").alias("many")).where("many > 1")
@@ -327,13 +382,15 @@ def similar_pairs(documents: DataFrame, posted: DataFrame, k: int = SHINGLE) ->
     pairs = met.groupBy(F.col("hub.x").alias("a"), F.col("x").alias("b")).agg(
         F.count("*").alias("met"), F.first(F.least("l", "hub.l")).alias("needed")
     )
-    pairs = via_shared_table(pairs.where("met >= needed").select("a", "b"), "hub-pairs")
-    checked = via_shared_table(verify(pairs, documents, k), "checked")
+    pairs = via_shared_table(bounded(pairs.where("met >= needed").select("a", "b"), marked), "hub-pairs")
+    checked = via_shared_table(verify(pairs.where("may").select("a", "b"), documents, k), "checked")
     links = checked.where(_LINKS).select("a", "b")
     near = via_shared_table(components(links), "first-components")
 
-    # Second: documents of a list in different components. `far` is the distance to the list's hub, if known.
-    known = checked.selectExpr("a as hub_x", "b as x", "1 - shared / cast(either as double) as far").groupBy("hub_x", "x").agg(F.max("far").alias("far"))
+    # Second: documents of a list in different components. `near` and `far` bound the distance to the list's hub.
+    exact = checked.selectExpr("a as hub_x", "b as x", "1 - shared / cast(either as double) as near", "1 - shared / cast(either as double) as far")
+    known = exact.unionByName(pairs.where("not may").selectExpr("a as hub_x", "b as x", "low as near", "1D as far"))
+    known = known.groupBy("hub_x", "x").agg(F.min("near").alias("near"), F.max("far").alias("far"))
     comp = near.select(F.col("node").alias("x"), "component")
     hub_comp = near.select(F.col("node").alias("hub_x"), F.col("component").alias("hub_component"))
     placed = (
@@ -348,21 +405,24 @@ def similar_pairs(documents: DataFrame, posted: DataFrame, k: int = SHINGLE) ->
 
     long_ = placed.where(f"many > {SHORT}").groupBy("hub_x", "x", "component").agg(F.max("stray").alias("stray"))
     mixed = long_.where("stray").select("hub_x").distinct()
-    members = via_shared_table(long_.join(mixed, "hub_x", "left_semi").select("hub_x", "x", "component"), "block-members")
+    members = via_shared_table(long_.join(mixed, "hub_x", "left_semi"), "block-members")
     in_blocks = via_shared_table(_block_links(members, documents, k), "block-links")
 
-    short = placed.where(f"many <= {SHORT}").join(known, ["hub_x", "x"], "left").withColumn("far", F.expr("if(x = hub_x, 0D, far)"))
-    stray = short.where("stray").select(*[F.col(c).alias(f"s_{c}") for c in ("token", "x", "n", "l", "level", "component", "far")])
+    short = placed.where(f"many <= {SHORT}").join(known, ["hub_x", "x"], "left").withColumns(
+        {"near": F.expr("if(x = hub_x, 0D, coalesce(near, 0D))"), "far": F.expr("if(x = hub_x, 0D, coalesce(far, 1D))")}
+    )
+    stray = short.where("stray").select(*[F.col(c).alias(f"s_{c}") for c in ("token", "x", "n", "l", "level", "component", "near", "far")])
     met = short.join(stray, F.col("token") == F.col("s_token")).where(
         f"component != s_component and (not stray or x < s_x) and {_size_fits('n', 's_n')}"
-        f" and greatest(level, s_level) <= least(l, s_l) and (far is null or s_far is null or abs(far - s_far) <= {1 - PERCENT / 100} + 1e-9)"
+        f" and greatest(level, s_level) <= least(l, s_l) and greatest(near - s_far, s_near - far) <= {1 - PERCENT / 100} + 1e-9"
     )
+    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = met.groupBy(F.least("x", "s_x").alias("a"), F.greatest("x", "s_x").alias("b")).agg(
         F.count("*").alias("met"), F.first(F.least("l", "s_l")).alias("needed")
     )
-    done = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # A pair that also meets in a long list has been compared there, so that its count here may fall short.
-    pairs = via_shared_table(pairs.where("met >= needed").select("a", "b").join(done, ["a", "b"], "left_anti"), "more-pairs")
+    pairs = pairs.where("met >= needed").select("a", "b").join(done, ["a", "b"], "left_anti")
+    pairs = via_shared_table(bounded(pairs, marked).where("may").select("a", "b"), "more-pairs")
     more = verify(pairs, documents, k).where(_LINKS).select("a", "b")
     # The first links by their components: a link to the smallest node for each.
     first = near.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a != b")
@@ -380,9 +440,9 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE) -> DataFrame:
     documents = documents.select("doc_id", "text")
     with small_batches(documents.sparkSession):
         order = documents.sparkSession.sparkContext.broadcast(Order(shingle_table(documents, k)))
-        classes = document_classes(documents, order, k)
+        classes, marked = document_classes(documents, order, k)
         posted = postings(documents, classes, order, k)
-        same = components(similar_pairs(documents, posted, k))
+        same = components(similar_pairs(documents, posted, marked, k))
     labels = same.select(F.col("node").alias("rep"), "component")
     return classes.join(labels, "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")

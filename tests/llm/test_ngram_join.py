@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from funnelspark.llm import ngram_join
@@ -112,6 +113,16 @@ def test_texts_that_share_an_id_are_not_lost(spark):
     assert kept - {2, 3} == {1, 5, 6, 7, 8} and len(kept & {2, 3}) == 1
 
 
+def test_marks_bound_the_difference():
+    r = np.random.default_rng(2)
+    for n, m, shared in [(1, 1, 0), (1, 1, 1), (10, 700, 5), (400, 420, 390), (5000, 40, 0), (3000, 3100, 2900)]:
+        tokens = r.integers(0, 1 << 63, n + m - shared, dtype=np.uint64)
+        a, b = tokens[:n], tokens[n - shared :]
+        differ = ngram_join._differ(ngram_join.marks(a), ngram_join.marks(b))
+        assert differ == ngram_join._differ(ngram_join.marks(b), ngram_join.marks(a)) <= n + m - 2 * shared
+        assert differ >= 0.25 * min(n + m - 2 * shared, 2 * min(n, m))
+
+
 def test_empty_table_and_very_long_text(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     long = " ".join(f"w{i}" for i in range(60000))
