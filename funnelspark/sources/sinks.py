@@ -290,7 +290,7 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        _scopes.remove(mine)
+        _scopes[:] = [s for s in _scopes if s is not mine]  # lists compare by what is in them
         for path in mine:
             Files(spark).delete(path)
         gc.collect()

@@ -78,6 +78,8 @@ def test_nothing_is_left_and_no_setting_changed(spark):
         assert set(os.listdir(folder)) != have
     assert set(os.listdir(folder)) == have
     with intermediates(spark):
+        with intermediates(spark):
+            pass
         with intermediates(spark):
             kept = via_shared_table(via_shared_table(spark.range(5), "t"), "u", outlive=True)
         assert kept.count() == 5
