@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.packing import WordTokenizer
+from funnelspark.llm.packing import FileTokenizer
 from funnelspark.llm.words import small_batches
 from funnelspark.sources.sinks import via_shared_table
 
@@ -42,9 +42,10 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         from sentencepiece import SentencePieceProcessor
 
-        self.a = WordTokenizer(path_a).merger
+        self.a = FileTokenizer(path_a)
         self.b = SentencePieceProcessor(model_file=path_b)
-        self.bytes_a = [self.a.decode_single_token_bytes(i) for i in range(self.a.n_vocab)]
+        merger = self.a.merger
+        self.bytes_a = [merger.decode_single_token_bytes(i) for i in range(merger.n_vocab)]
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.lengths = [np.array([len(x) for x in part]) for part in (self.bytes_a, self.bytes_b)]
         self.width = len(self.bytes_b)
@@ -66,7 +67,7 @@ class Aligner:
             if not text:
                 continue
             spaced = f" {text}"
-            a, b, data = self.a.encode_ordinary(spaced), self.b.encode(text), spaced.encode()
+            a, b, data = self.a.plain(spaced), self.b.encode(text), spaced.encode()
             if b"".join(map(self.bytes_a.__getitem__, a)) == data == b"".join(map(self.bytes_b.__getitem__, b)):
                 n[:, i] = len(a), len(b)
                 ids[0].append(np.array(a, dtype=np.int64))

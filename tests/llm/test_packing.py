@@ -7,11 +7,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from funnelspark.llm.packing import WordTokenizer, best_two_fit, cut_pieces, pack_documents, sequences
+from funnelspark.llm.packing import FileTokenizer, best_two_fit, cut_pieces, pack_documents, sequences
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
-OURS = WordTokenizer(PATH)
+OURS = FileTokenizer(PATH)
 
 
 def plain_ids(text):
@@ -41,6 +41,12 @@ def test_white_space_runs():
     assert [np.frombuffer(x, "<u4").tolist() for x in OURS.encode(texts)] == [e.ids for e in expected]
 
 
+def test_very_long_runs():
+    n = 1_200_000
+    for text in [" " * n, "a" + " \n" * (n // 2) + "b c", "x" * n, "\t" * 60_000 + " a \x1c" + " " * 60_000]:
+        assert np.array_equal(np.frombuffer(OURS.encode([text])[0], "<u4"), plain_ids(text))
+
+
 def test_added_token_in_a_text():
     text = "a <|endoftext|> b"
     assert np.frombuffer(OURS.encode([text])[0], "<u4").tolist() == plain_ids(text)
