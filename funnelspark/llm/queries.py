@@ -24,6 +24,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @query
 def op10_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces, packed into sequences of 1,024."""
     import public_tokenizers
 
     from funnelspark.llm.packing import pack_documents
@@ -33,6 +34,7 @@ def op10_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op5_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The mix of all documents by the default weights, with the words it takes of each."""
     from funnelspark.llm.mixing import pareto_mix
 
     mixed = pareto_mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
@@ -47,6 +49,7 @@ def op5_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of equal documents."""
     from funnelspark.llm.exact_dedup import exact_groups
 
     return exact_groups(table(spark, folder, "documents"))
@@ -72,6 +75,7 @@ from ranked
 
 @query
 def op4_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation and one of control strings, formatted and read back; a conversation is a chain of replies."""
     from funnelspark.llm.chat import format_paths, number_messages, read_back
 
     said = "</s>[INST] ok [/INST]"
@@ -114,6 +118,7 @@ group by conv_id
 
 @query
 def op2_ordinal_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's toxicity grade by a model fitted on the folder's labels."""
     from funnelspark.llm.toxicity import score, train
 
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -199,6 +204,7 @@ from captures as c left join best as b on c.page_id = b.page_id and b.place = 1
 
 @query
 def op8_k_means_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest of every fiftieth vector."""
     from funnelspark.llm.nearest import neighbours
 
     vectors = table(spark, folder, "embeddings")
@@ -207,6 +213,7 @@ def op8_k_means_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_adaptive_prefixes(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of near-duplicate documents."""
     from funnelspark.llm.ngram_join import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"))
@@ -214,6 +221,7 @@ def op7_adaptive_prefixes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that match an earlier one."""
     from funnelspark.llm.line_dedup import drop_lines
 
     return drop_lines(table(spark, folder, "documents").select("doc_id", "text"))
