@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 
 from funnelspark.sources.sinks import via_shared_table
 
-#: Most vectors the tree is fitted on, those with the smallest hash of their id.
-SAMPLE = 16384
+#: Vectors the tree is fitted on, those with the smallest hash of their id: so many, or one in SHARE of a larger
+#: table, up to MOST. The leaves grow with it.
+SAMPLE, SHARE, MOST = 16384, 64, 1 << 18
 #: Children of a node, and the number of sample vectors below which a node is a leaf.
 BRANCHES, LEAF = 8, 48
-#: Most vectors of a leaf that one task scores at a time; larger leaves are dealt over several tasks.
-BLOCK = 2048
+#: Most vectors of a leaf that one task scores at a time, and about as many queries; more are dealt over several.
+BLOCK, QUERIES = 2048, 4096
 #: Queries that calibration compares with a scan of all vectors.
 PROBES = 64
 WANTED_RECALL = 0.97
@@ -193,13 +194,14 @@ def _scan(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -> D
     return _top(vectors.mapInArrow(run, _CANDIDATES), k)
 
 
-def build(vectors: DataFrame, sample: int = SAMPLE) -> tuple[Tree, DataFrame]:
-    """The tree, and every vector (id, v) with its leaf and its block within the leaf, in the shared folder."""
+def build(vectors: DataFrame, sample: int | None = None) -> tuple[Tree, DataFrame]:
+    """The tree, and every vector (id, v) with its leaf, in the shared folder."""
+    sample = sample or min(max(SAMPLE, vectors.count() // SHARE), MOST)
     chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).toPandas().sort_values("id")
     x = _matrix(chosen["v"])
     tree = fit_tree(_unit(x) if len(x) else x)
     session = vectors.sparkSession
-    sent = session.sparkContext.broadcast(tree)  # at most 2 * sample / LEAF * BRANCHES centres
+    sent = session.sparkContext.broadcast(tree)  # at most 2 * MOST / LEAF * BRANCHES centres
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,10 +227,22 @@ def search(index: tuple[Tree, DataFrame], queries: DataFrame, k: int, visits: in
     # Leaves larger than a block are dealt over several; their queries go to each of those.
     sizes = placed.groupBy("leaf").agg(F.count("*").alias("n")).select("leaf", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     sizes = via_shared_table(sizes, "ann-leaves")
+    # The queries of a leaf are dealt over groups, each of which meets every block.
+    groups = max(1, -(-queries.count() * min(visits, tree.leaves) // (tree.leaves * QUERIES)))
     asked = queries.mapInArrow(ask, "id long, v array<double>, leaf long").join(sizes, "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v"
+        "leaf",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(F.xxhash64("id", F.lit(3)), F.lit(groups)).cast("int").alias("group"),
+        "id",
+        "v",
+    )
+    stored = placed.join(sizes, "leaf").select(
+        "leaf",
+        F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
+        "id",
+        "v",
     )
-    stored = placed.join(sizes, "leaf").select("leaf", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"), "id", "v")
 
     def score(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -236,7 +250,7 @@ def search(index: tuple[Tree, DataFrame], queries: DataFrame, k: int, visits: in
             found = nearest_in_block(asked["id"].to_numpy(), _matrix(asked["v"]), stored["id"].to_numpy(), _matrix(stored["v"]), k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    pairs = asked.groupBy("leaf", "block").cogroup(stored.groupBy("leaf", "block")).applyInPandas(score, _CANDIDATES)
+    pairs = asked.groupBy("leaf", "block", "group").cogroup(stored.groupBy("leaf", "block", "group")).applyInPandas(score, _CANDIDATES)
     return _top(pairs, k)
 
 

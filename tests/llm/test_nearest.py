@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 
+from funnelspark.llm import nearest
 from funnelspark.llm.nearest import fit_tree, neighbours
 from funnelspark.llm.queries import QUERIES
 
@@ -49,6 +50,20 @@ def test_odd_vectors_ties_and_copies(spark):
     assert [i for i, _ in got[110]] == [100, 101, 102, 103, 104] and [i for i, _ in got[100]] == [101, 102, 103, 104, 105]
 
 
+def test_queries_dealt_over_cells_and_a_larger_tree(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "QUERIES", 7)
+    monkeypatch.setattr(nearest, "BLOCK", 20)
+    monkeypatch.setattr(nearest, "SAMPLE", 100)
+    monkeypatch.setattr(nearest, "SHARE", 2)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=6)], "x", 1) for i in range(600)]
+    x = spark.createDataFrame(rows, SCHEMA)
+    assert nearest.build(nearest.usable(x, "vec_id", "embedding"))[0].leaves > nearest.fit_tree(nearest._unit(rng.normal(size=(100, 6)))).leaves
+    got = grouped(neighbours(x, x.where("vec_id % 4 = 0"), 5, visits=10**6).collect())
+    want = brute(rows, [i for i in range(600) if i % 4 == 0], 5)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
 def test_few_and_no_vectors(spark):
     x = spark.createDataFrame([(i, [1.0, float(i)], "", 0) for i in range(3)], SCHEMA)
     assert {q: len(v) for q, v in grouped(neighbours(x, x).collect()).items()} == {0: 2, 1: 2, 2: 2}
