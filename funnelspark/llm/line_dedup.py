@@ -2,8 +2,9 @@
 
 A line is the set of its words, ordered from rare to frequent. Two lines of Jaccard 0.8 or more share
 a word in their prefixes of |x| - ceil(t |x|) + 1 words, so lines meet in the posting lists of their
-prefix words. Length and positional filters, and a bound from 64-bit word maps, drop most of what
-meets; the rest is verified on the words themselves. Lines of equal sets are one line to all this.
+prefix words. Length and positional filters, and a bound from 128-bit word maps, drop most of what
+meets, and larger maps of the lines left most of the rest; what remains is verified on the words
+themselves. Lines of equal sets are one line to all this.
 """
 
 from __future__ import annotations
@@ -12,12 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.tables import count_table, maybe, rarity, seen, slot
-from funnelspark.llm.words import hash_words, mix, order_within, slices, small_batches, texts_of
-from funnelspark.sources.sinks import via_shared_table
+from funnelspark.llm.rows import free_name, numbered
+from funnelspark.llm.tables import Slots, added_up, maybe, rarity, seen_of, slot
+from funnelspark.llm.words import hash_words, mix, order_within, parts, slices, small_batches, texts_of
+from funnelspark.sources.sinks import intermediates, via_shared_table
 
 #: A match: PERCENT * union <= 100 * intersection.
 PERCENT = 80
@@ -28,7 +31,7 @@ FEW = 3
 #: Pairs of one posting list looked at in one go.
 CHUNK = 1 << 19
 _ENTRY = np.dtype(
-    [("token", "<u8"), ("key", "<u8"), ("map", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4"), ("place", "u1")]
+    [("token", "<u8"), ("key", "<u8"), ("map1", "<u8"), ("map2", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4"), ("place", "u1")]
 )
 
 
@@ -57,15 +60,36 @@ class Lines:
             out[full] = add.reduceat(values, self.start[full])
         return out
 
+    def key(self) -> np.ndarray:
+        """A 64-bit key of each line's set."""
+        return mix(self._each(np.add, mix(self.words + np.uint64(0x632BE59BD9B4E019))) + self.n.astype(np.uint64))
+
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
         """Two independent 64-bit keys of each line's set."""
-        n = self.n.astype(np.uint64)
-        a = self._each(np.add, mix(self.words + np.uint64(0x632BE59BD9B4E019))) + n
-        b = self._each(np.add, mix(self.words ^ np.uint64(0xC2B2AE3D27D4EB4F)))
-        return mix(a), mix(b)
-
-    def maps(self) -> np.ndarray:
-        return self._each(np.bitwise_or, np.uint64(1) << (mix(self.words ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(58)))
+        return self.key(), mix(self._each(np.add, mix(self.words ^ np.uint64(0xC2B2AE3D27D4EB4F))))
+
+    def order(self, level: np.ndarray) -> np.ndarray:
+        """The places of the words by line, level and hash."""
+        size = len(level)
+        if size < 1 << 20 and len(self.n) < 1 << 27:
+            places = (self.line.astype(np.uint64) << np.uint64(36)) | (level.astype(np.uint64) << np.uint64(20)) | np.arange(size, dtype=np.uint64)
+            places.sort()
+            return (places & np.uint64((1 << 20) - 1)).astype(np.int64)
+        return np.argsort((self.line.astype(np.int64) << 16) | level, kind="stable")
+
+    def maps(self) -> tuple[np.ndarray, np.ndarray]:
+        """A map of 128 bits for each line, in two words: each word of the line flips a bit."""
+        spread = mix(self.words ^ np.uint64(0xD6E8FEB86659FD93))
+        bit, high = np.uint64(1) << (spread >> np.uint64(58)), spread & np.uint64(1) == 0
+        return self._each(np.bitwise_xor, np.where(high, bit, 0)), self._each(np.bitwise_xor, np.where(high, 0, bit))
+
+    def marks(self) -> tuple[np.ndarray, np.ndarray]:
+        """A larger map, two to four bits a word and 64 at least: bytes of all lines, and where each line's end."""
+        bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * self.n, 1))).astype(np.int64))
+        first = np.cumsum(bits) - bits
+        place = (mix(self.words ^ np.uint64(0xA0761D6478BD642F)) & (bits[self.line] - 1).astype(np.uint64)).astype(np.int64)
+        odd = np.bincount(first[self.line] + place, minlength=int(bits.sum())) & 1
+        return np.packbits(odd.astype(bool), bitorder="little"), np.cumsum(bits) // 8
 
 
 def line_id(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -81,24 +105,21 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Lines]]:
         yield ids[first : first + len(run)], Lines(run)
 
 
-def word_table(documents: DataFrame) -> np.ndarray:
-    """Hashed counts over all words of all lines."""
-
-    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, run in slices(texts_of(batch.column(0))):
-            yield hash_words(run)[0]
-
-    return count_table(documents.select("text"), hashes, TABLE_BITS)
-
-
-def line_rows(documents: DataFrame) -> DataFrame:
-    """doc_id, line, key1, key2, n of every line that has words."""
+def read_lines(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """doc_id, line, key1, key2, n, marks of every line that has words; and, by the same scan, hashed counts
+    of the lines that each word is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = Slots(TABLE_BITS)
+        names = ["doc_id", "line", "key1", "key2", "n", "marks", "part", "counts"]
         for batch in batches:
             for ids, lines in _runs(batch):
+                slots.add(lines.words)
                 full = np.flatnonzero(lines.n)
                 key1, key2 = lines.keys()
+                marks, ends = lines.marks()
+                ends = np.append(0, ends).astype(np.int32)
+                marks = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(marks)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[lines.text[full]], pa.int64()),
@@ -106,12 +127,23 @@ def line_rows(documents: DataFrame) -> DataFrame:
                         pa.array(key1[full].view(np.int64)),
                         pa.array(key2[full].view(np.int64)),
                         pa.array(lines.n[full].astype(np.int32)),
+                        marks.take(pa.array(full)),
+                        pa.nulls(len(full), pa.int32()),
+                        pa.nulls(len(full), pa.binary()),
                     ],
-                    names=["doc_id", "line", "key1", "key2", "n"],
+                    names=names,
                 )
+        parts, counts = slots.parts()
+        for i in range(0, len(parts), 16):
+            n = len(parts[i : i + 16])
+            empty = [pa.nulls(n, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(parts[i : i + 16], pa.int32()), pa.array(counts[i : i + 16], pa.binary())], names=names)
 
     rows = documents.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, line int, key1 long, key2 long, n int")
+    read = rows.mapInArrow(run, "doc_id long, line int, key1 long, key2 long, n int, marks binary, part int, counts binary")
+    read = via_shared_table(read, "lines")
+    table = added_up(read.where("part is not null").select("part", "counts"), TABLE_BITS)
+    return read.where("part is null").drop("part", "counts"), table
 
 
 def _packed(entries: np.ndarray) -> bytes:
@@ -153,8 +185,7 @@ def _prefix_blobs(documents: DataFrame, levels, owners: int, among=None) -> Data
         for batch in batches:
             for ids, lines in _runs(batch):
                 level = levels.value[slot(lines.words, TABLE_BITS)]
-                # Words of a line are in the order of their hashes, which a stable sort keeps among equal levels.
-                order = np.argsort((lines.line.astype(np.int64) << 16) | level, kind="stable")
+                order = lines.order(level)
                 line, level = lines.line[order], level[order]
                 place = np.arange(len(line)) - lines.start[line]
                 n = lines.n[line]
@@ -165,7 +196,8 @@ def _prefix_blobs(documents: DataFrame, levels, owners: int, among=None) -> Data
                 line = line[kept]
                 entries = np.zeros(len(line), dtype=_ENTRY)
                 entries["token"], entries["place"] = lines.words[order][kept], np.minimum(place[kept], 255)
-                entries["key"], entries["map"] = lines.keys()[0][line], lines.maps()[line]
+                entries["key"] = lines.key()[line]
+                entries["map1"], entries["map2"] = (m[line] for m in lines.maps())
                 entries["doc"], entries["line"], entries["n"] = ids[lines.text[line]], lines.number[line], lines.n[line]
                 parts.append(entries)
                 size += len(entries)
@@ -182,7 +214,7 @@ def _meetings(e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(i, j) of entries of one word, j shorter or equal, that pass the filters. `e` is by word and length."""
     if not len(e):
         return
-    token, n, word_map = e["token"].copy(), e["n"].astype(np.int64), e["map"].copy()
+    token, n, maps = e["token"].copy(), e["n"].astype(np.int64), (e["map1"].copy(), e["map2"].copy())
     place = np.minimum(e["place"], n - 1).astype(np.int64)
     group = np.concatenate([[0], np.cumsum(token[1:] != token[:-1])])
     least = -(-PERCENT * n // 100)
@@ -201,21 +233,32 @@ def _meetings(e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         overlap = -(-PERCENT * both // (100 + PERCENT))
         good = np.minimum(n[i] - place[i], n[j] - place[j]) >= overlap
         i, j, spare = i[good], j[good], (both - 2 * overlap)[good]
-        good = np.bitwise_count(word_map[i] ^ word_map[j]) <= spare
+        good = sum(np.bitwise_count(m[i] ^ m[j]).astype(np.int64) for m in maps) <= spare
         yield i[good], j[good]
         i0 = i1
 
 
 def _candidates(few: int | None, only) -> callable:
-    """Task body: from entries to pairs (x, y), y the earlier line; with `few` the earliest ones of each word.
+    """Task body: from entries, sorted by owner, to pairs (x, y), y the earlier line; with `few` the earliest
+    ones of each word. One owner's entries are held at a time.
 
     With `only`, a bit table, just the pairs whose x may be among its lines.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [_unpacked(b) for batch in batches for b in batch.column(1).to_pylist()]
-        e = _first_of(np.concatenate(blobs)) if blobs else np.zeros(0, dtype=_ENTRY)
-        del blobs
+        blobs, current = [], None
+        for batch in batches:
+            for owner, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if blobs and owner != current:
+                    yield from meet(blobs)
+                    blobs = []
+                current = owner
+                blobs.append(_unpacked(blob.as_py()))
+        if blobs:
+            yield from meet(blobs)
+
+    def meet(blobs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        e = _first_of(np.concatenate(blobs))
         doc, line = e["doc"].copy(), e["line"].astype(np.int64)
         for i, j in _meetings(e):
             later = (doc[i] > doc[j]) | ((doc[i] == doc[j]) & (line[i] > line[j]))
@@ -241,21 +284,47 @@ def _candidates(few: int | None, only) -> callable:
 
 
 def candidates(documents: DataFrame, levels, few: int | None = None, only=None, among=None) -> DataFrame:
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blobs = _prefix_blobs(documents, levels, 16 * parts, among).repartition(parts, "owner")
+    owners = 16 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blobs = _prefix_blobs(documents, levels, owners, among).repartition("owner").sortWithinPartitions("owner")
     return blobs.mapInArrow(_candidates(few, only), "x_doc long, x_line int, y_doc long, y_line int, more boolean")
 
 
-def line_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, line, words of the lines named in wanted (doc_id, line), by a bit table and an exact join."""
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs (x_doc, x_line, y_doc, y_line, more, x_n, y_n, x_marks, y_marks) those that the marks let match."""
+    for batch in batches:
+        n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (5, 6))
+        differ = np.zeros(len(n), dtype=np.int64)
+        sides = [batch.column(i) for i in (7, 8)]
+        sizes = [pc.binary_length(c).to_numpy() for c in sides]
+        for a, b in np.unique(np.stack(sizes, axis=1), axis=0).tolist():
+            rows = np.flatnonzero((sizes[0] == a) & (sizes[1] == b))
+            maps = [np.frombuffer(b"".join(c.take(pa.array(rows)).to_pylist()), dtype=np.uint64).reshape(len(rows), -1) for c in sides]
+            # The larger map folded to the smaller one's size still differs in no more bits than the sets in words.
+            width = min(a, b) // 8
+            maps = [np.bitwise_xor.reduce(x.reshape(len(rows), -1, width), axis=1) for x in maps]
+            differ[rows] = np.bitwise_count(maps[0] ^ maps[1]).sum(axis=1)
+        may = 100 * (n + m - differ) >= PERCENT * (n + m + differ)
+        yield pa.RecordBatch.from_arrays(batch.columns[:5], names=batch.schema.names[:5]).filter(pa.array(may))
+
+
+def plausible(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The pairs (x_doc, x_line, y_doc, y_line, more) whose sets may match by their marks, a thirtieth of the words."""
+    marked = lines.select("doc_id", "line", "n", "marks")
+    named = {s: marked.toDF(f"{s}_doc", f"{s}_line", f"{s}_n", f"{s}_marks") for s in "xy"}
+    joined = pairs.join(named["y"], ["y_doc", "y_line"]).join(named["x"], ["x_doc", "x_line"])
+    columns = ["x_doc", "x_line", "y_doc", "y_line", "more"]
+    kept = joined.select(*columns, "x_n", "y_n", "x_marks", "y_marks").mapInArrow(_plausible, "x_doc long, x_line int, y_doc long, y_line int, more boolean")
+    return kept.distinct()
 
-    def ids(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for b in batch:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(line_id(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)))], names=["id"]
-            )
 
-    table = documents.sparkSession.sparkContext.broadcast(seen(wanted.mapInArrow(ids, "id long"), "id"))
+def _line_ids(batch: pa.RecordBatch) -> np.ndarray:
+    """Of the first two columns, document and line."""
+    return line_id(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False))
+
+
+def line_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, line, words of the lines named in wanted (doc_id, line), by a bit table and an exact join, stored."""
+    table = documents.sparkSession.sparkContext.broadcast(seen_of(wanted, _line_ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,22 +346,22 @@ def line_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                 )
 
     rows = documents.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, line int, words binary").join(wanted, ["doc_id", "line"], "left_semi")
+    found = rows.mapInArrow(run, "doc_id long, line int, words binary").join(wanted, ["doc_id", "line"], "left_semi")
+    return via_shared_table(found, "line-words")
 
 
 def _prefix_words(levels) -> callable:
-    """Task body: the prefix words of lines (doc_id, line, words)."""
+    """The prefix words of the lines of a batch (doc_id, line, words)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.zeros(0, dtype=np.uint64)]
-            for data in batch.column(2).to_pylist():
-                words = np.frombuffer(data, dtype=np.uint64)
-                order = np.lexsort((words, levels.value[slot(words, TABLE_BITS)]))
-                found.append(words[order[: len(words) + (-PERCENT * len(words) // 100) + 1]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["word"])
+    def words_of(batch: pa.RecordBatch) -> np.ndarray:
+        found = [np.zeros(0, dtype=np.uint64)]
+        for data in batch.column(2).to_pylist():
+            words = np.frombuffer(data, dtype=np.uint64)
+            order = np.lexsort((words, levels.value[slot(words, TABLE_BITS)]))
+            found.append(words[order[: len(words) + (-PERCENT * len(words) // 100) + 1]])
+        return np.concatenate(found).view(np.int64)
 
-    return run
+    return words_of
 
 
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,15 +375,16 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def matched(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """x_doc, x_line of the pairs' x that match their y."""
-    wanted = pairs.selectExpr("inline(array(struct(x_doc as doc_id, x_line as line), struct(y_doc as doc_id, y_line as line)))").distinct()
-    words = line_words(documents, via_shared_table(wanted, "pair-lines"))
-    named = {s: words.withColumnsRenamed({"doc_id": f"{s}_doc", "line": f"{s}_line", "words": f"{s}_words"}) for s in "xy"}
-    joined = pairs.join(named["y"], ["y_doc", "y_line"]).join(named["x"], ["x_doc", "x_line"])
-    found = joined.select("x_doc", "x_line", "y_doc", "y_line", "x_words", "y_words").mapInArrow(
-        _matches, "x_doc long, x_line int, y_doc long, y_line int, match boolean"
-    )
-    return found.where("match").select("x_doc", "x_line").distinct()
+    """x_doc, x_line of the pairs' x that match their y, stored."""
+    with intermediates(documents.sparkSession):
+        wanted = pairs.selectExpr("inline(array(struct(x_doc as doc_id, x_line as line), struct(y_doc as doc_id, y_line as line)))").distinct()
+        words = line_words(documents, via_shared_table(wanted, "pair-lines"))
+        named = {s: words.withColumnsRenamed({"doc_id": f"{s}_doc", "line": f"{s}_line", "words": f"{s}_words"}) for s in "xy"}
+        joined = pairs.join(named["y"], ["y_doc", "y_line"]).join(named["x"], ["x_doc", "x_line"])
+        found = joined.select("x_doc", "x_line", "y_doc", "y_line", "x_words", "y_words").mapInArrow(
+            _matches, "x_doc long, x_line int, y_doc long, y_line int, match boolean"
+        )
+        return via_shared_table(found.where("match").select("x_doc", "x_line").distinct(), "similar-lines", outlive=True)
 
 
 def removed_lines(documents: DataFrame) -> DataFrame:
@@ -326,41 +396,38 @@ def removed_lines(documents: DataFrame) -> DataFrame:
     doc_id are one document whose lines are numbered alike: a line goes where it goes in any of them.
     Documents with a null doc_id or without removed lines have no row.
     """
-    documents = documents.select("doc_id", "text")
-    levels = documents.sparkSession.sparkContext.broadcast(rarity(word_table(documents)))
-    rows = via_shared_table(line_rows(documents), "lines")
+    documents, spark = documents.select("doc_id", "text"), documents.sparkSession
+    rows, table = read_lines(documents)
+    levels = spark.sparkContext.broadcast(rarity(table))
     keys = ["key1", "key2", "n"]
-    firsts = via_shared_table(rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "line")).alias("first")), "first-lines")
-
-    met = via_shared_table(candidates(documents, levels, FEW), "line-candidates")
-    by_line = met.groupBy("x_doc", "x_line", "y_doc", "y_line").agg(F.bool_or("more").alias("more")).groupBy("x_doc", "x_line").agg(
-        F.array_sort(F.collect_list(F.struct("y_doc", "y_line"))).alias("ys"), F.bool_or("more").alias("more")
-    )
-    by_line = via_shared_table(by_line, "line-candidates")
+    with intermediates(spark):
+        firsts = via_shared_table(rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "line")).alias("first")), "first-lines", outlive=True)
+    with intermediates(spark):
+        met = via_shared_table(candidates(documents, levels, FEW), "line-candidates")
+        met = met.groupBy("x_doc", "x_line", "y_doc", "y_line").agg(F.bool_or("more").alias("more"))
+        # Lines of which more was cut off are asked again if nothing matches, also if none of theirs is plausible.
+        cut = met.where("more").select("x_doc", "x_line").distinct()
+        cut = via_shared_table(cut, "cut-lines", outlive=True)
+        by_line = plausible(met, rows).groupBy("x_doc", "x_line").agg(F.array_sort(F.collect_list(F.struct("y_doc", "y_line"))).alias("ys"))
+        by_line = via_shared_table(by_line, "line-candidates", outlive=True)
     # First the earliest candidate of each line, then, of lines it doesn't match, the others kept.
     pairs = by_line.select("x_doc", "x_line", F.inline(F.slice("ys", 1, 1)))
-    similar = via_shared_table(matched(via_shared_table(pairs, "line-pairs"), documents), "similar-lines")
-    rest = by_line.where("more or size(ys) > 1").join(similar, ["x_doc", "x_line"], "left_anti")
-    rest = via_shared_table(rest, "open-lines")
-    pairs = rest.where("size(ys) > 1").select("x_doc", "x_line", F.inline(F.expr("slice(ys, 2, size(ys))")))
+    similar = matched(via_shared_table(pairs, "line-pairs"), documents)
+    rest = by_line.where("size(ys) > 1").join(similar, ["x_doc", "x_line"], "left_anti")
+    pairs = rest.select("x_doc", "x_line", F.inline(F.expr("slice(ys, 2, size(ys))")))
     pairs = via_shared_table(pairs, "line-pairs")
     if not pairs.isEmpty():
         similar = via_shared_table(similar.unionByName(matched(pairs, documents)), "similar-lines")
-    open_ = via_shared_table(rest.where("more").join(similar, ["x_doc", "x_line"], "left_anti").select("x_doc", "x_line"), "open-lines")
+    open_ = via_shared_table(cut.join(similar, ["x_doc", "x_line"], "left_anti"), "open-lines")
     if not open_.isEmpty():
         # None of the candidates kept matched; now all there are.
-        def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(line_id(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)))], names=["id"]
-                )
-
-        context = documents.sparkSession.sparkContext
-        only = context.broadcast(seen(open_.mapInArrow(ids, "id long"), "id"))
-        named = open_.select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line"))
-        among = context.broadcast(seen(line_words(documents, named).mapInArrow(_prefix_words(levels), "word long"), "word"))
-        rest = candidates(documents, levels, None, only, among).drop("more").join(open_, ["x_doc", "x_line"], "left_semi").distinct()
-        similar = via_shared_table(similar.unionByName(matched(via_shared_table(rest, "line-pairs"), documents)), "similar-lines")
+        with intermediates(spark):
+            only = spark.sparkContext.broadcast(seen_of(open_, _line_ids))
+            named = open_.select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line"))
+            among = spark.sparkContext.broadcast(seen_of(line_words(documents, named), _prefix_words(levels)))
+            rest = candidates(documents, levels, None, only, among).join(open_, ["x_doc", "x_line"], "left_semi").distinct()
+            pairs = via_shared_table(plausible(rest, rows).drop("more"), "line-pairs", outlive=True)
+        similar = via_shared_table(similar.unionByName(matched(pairs, documents)), "similar-lines")
 
     gone = firsts.join(
         similar, (F.col("first.doc_id") == similar["x_doc"]) & (F.col("first.line") == similar["x_line"]), "left"
@@ -369,15 +436,34 @@ def removed_lines(documents: DataFrame) -> DataFrame:
     return lines.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
+def _cut(text: str | None, removed: list[int] | None) -> str | None:
+    if text is None or removed is None:
+        return text
+    gone = set(removed)
+    return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
+
+
 def drop_lines(documents: DataFrame) -> DataFrame:
     """The rows of `documents` with the removed lines cut out of their text, and removed_lines (null if none).
 
-    The lines left are joined by line feeds as before. No rows are lost; an empty table gives no rows.
+    Earlier lines are those of smaller doc_ids, and of the same row; rows that share a doc_id are documents
+    of their own, in no fixed order. The lines left are joined by line feeds as before. Texts that are null
+    or of rows with a null doc_id stay as they are. No rows are lost; an empty table gives no rows. A column
+    named removed_lines is replaced; others may have any names.
     """
-    with small_batches(documents.sparkSession):
-        removed = via_shared_table(removed_lines(documents), "removed-lines")
-    removed = removed.select(F.col("doc_id").alias("_removed_id"), F.col("removed").alias("_removed"))
-    joined = documents.join(removed, documents["doc_id"] == removed["_removed_id"], "left")
-    kept = F.expr("array_join(filter(split(text, '\\n', -1), (x, i) -> not array_contains(_removed, i)), '\\n')")
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(kept)
-    return joined.select(*[text.alias("text") if c == "text" else documents[c] for c in documents.columns if c != "removed_lines"], F.col("_removed").alias("removed_lines"))
+    rows, number = numbered(documents)
+    with small_batches(documents.sparkSession), intermediates(documents.sparkSession):
+        removed = via_shared_table(removed_lines(rows.select(F.col(number).alias("doc_id"), "text")), "removed-lines", outlive=True)
+    name = free_name(rows, "removed_number")
+    kept = [c for c in documents.columns if c.lower() != "removed_lines"]
+    rows = rows.select(*kept, *([number] if number not in kept else []))
+    joined = rows.join(removed.withColumnRenamed("doc_id", name).withColumnRenamed("removed", "removed_lines"), rows[number] == F.col(name), "left")
+    joined = joined.select(*kept, F.col("removed_lines"))
+    at = kept.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            text = pa.array(map(_cut, batch.column(at).to_pylist(), batch.column(len(kept)).to_pylist()), batch.column(at).type)
+            yield pa.RecordBatch.from_arrays([text if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+
+    return joined.mapInArrow(run, joined.schema)

@@ -66,6 +66,23 @@ def test_many_variants_of_one_line(spark, monkeypatch):
     assert {r.doc_id: r.removed_lines for r in got if r.removed_lines} == brute(rows)
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    shared = "a line that three documents share word for word"
+    rows = [(1, shared, 1, "x"), (2, shared + "\nkept one", 2, "y"), (2, "unique words nobody else has\nkept two", 3, "z"), (2, None, 4, None), (None, shared, 5, None)]
+    schema = "doc_id long, text string, _removed_id int, removed_number string"
+    got = drop_lines(spark.createDataFrame(rows, schema).repartition(2))
+    assert got.columns == ["doc_id", "text", "_removed_id", "removed_number", "removed_lines"]
+    assert {r._removed_id: (r.text, r.removed_lines) for r in got.collect()} == {
+        1: (shared, None), 2: ("kept one", [0]), 3: (rows[2][1], None), 4: (None, None), 5: (shared, None)
+    }
+
+
+def test_many_equal_lines_in_one_text(spark):
+    text = "\n".join(["the same few words"] * 80_000)
+    (row,) = drop_lines(spark.createDataFrame([(1, text, 0, "")], SCHEMA)).collect()
+    assert row.text == "the same few words" and len(row.removed_lines) == 79_999
+
+
 def test_empty_and_long(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert drop_lines(docs).count() == 0
