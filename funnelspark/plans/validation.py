@@ -12,6 +12,7 @@ from funnelspark.functions.recode import REVENUE_BID_TYPES
 from funnelspark.functions.text import quoted_list
 from funnelspark.operators.dimensions import attach
 from funnelspark.sources.readers import scan_hours
+from funnelspark.sources.sinks import limited
 
 
 def bid_validation(
@@ -24,7 +25,7 @@ def bid_validation(
 ) -> DataFrame:
     """Bid, price and margin of each impression of the hours start to end, both included.
 
-    `limit` returns that many arbitrary rows for a look at the data.
+    `limit` returns that many arbitrary rows for a look at the data, by `limited`.
     """
     rows = scan_hours(impressions, start, end, closed="both")
     if ad_group_ids is not None:
@@ -50,4 +51,4 @@ def bid_validation(
         "bid_target_with_multiplier": f"{data}effective_cpx_bid_micros",
     }
     out = rows.selectExpr(*[f"{sql} as {name}" for name, sql in columns.items()])
-    return out if limit is None else out.limit(limit)
+    return out if limit is None else limited(out, limit)

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from funnelspark.functions.text import quoted
@@ -310,3 +310,25 @@ def via_shared_table(df: DataFrame, name: str, outlive: bool = False) -> DataFra
         scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Up to so many rows go through one task, as by `DataFrame.limit`, whose tasks stop early.
+FEW = 1000
+
+
+def limited(df: DataFrame, n: int) -> DataFrame:
+    """n arbitrary rows of a result, or all if it has fewer.
+
+    `DataFrame.limit` sends what it returns through one task. More than a few rows are stored instead, at most n of
+    each task, which runs a job; of the stored files those that come first are taken whole and one in part, so no
+    row is moved.
+    """
+    if n <= FEW:
+        return df.limit(n)
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    stored = via_shared_table(df.where(in_task < n), "limited")
+    files = stored.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count("*").alias("_rows"))
+    upto = F.sum("_rows").over(Window.orderBy("_file"))  # one row per file
+    taken = files.select("_file", (n - (upto - F.col("_rows"))).alias("_take")).where("_take > 0")
+    in_file = (F.col("_metadata.file_path") == F.col("_file")) & (F.col("_metadata.row_index") < F.col("_take"))
+    return stored.join(F.broadcast(taken), in_file).select(*[F.col(f"`{c}`") for c in stored.columns])

@@ -479,20 +479,17 @@ def bid_validation_hours(t: Tables) -> DataFrame:
 def bid_validation_limit(t: Tables) -> DataFrame:
     """The row limit of the bid check: as many rows as asked for, every one a row of the whole check."""
     whole = via_shared_table(bid_validation(t["impressions"], t["ad_groups"], START, END), "bids")
-    columns = [f"`{c}`" for c in whole.columns]
-    row = F.expr(f"to_json(struct({', '.join(columns)}))")
     asked = [10, 1000, 2_000_000_000]
-    out = None
+    rows = whole.withColumn("asked", F.lit(0).cast("bigint"))
     for n in asked:
-        some = via_shared_table(bid_validation(t["impressions"], t["ad_groups"], START, END, limit=n), "some-bids")
-        each = some.groupBy(row.alias("row")).agg(F.count("*").alias("times"))
-        known = whole.groupBy(row.alias("known")).agg(F.count("*").alias("most"))
-        told = each.join(known, F.col("row") == F.col("known"), "left").agg(
-            F.coalesce(F.sum("times"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.expr("least(times, most)")), F.lit(0)).alias("n_in_whole")
-        )
-        told = told.withColumn("asked", F.lit(n).cast("bigint"))
-        out = told if out is None else out.unionByName(told)
-    return out
+        some = bid_validation(t["impressions"], t["ad_groups"], START, END, limit=n)
+        rows = rows.unionByName(some.withColumn("asked", F.lit(n).cast("bigint")))
+    # Equal rows of the whole check and of each limited one are counted side by side.
+    each = counted(rows, whole.columns, most="count_if(asked = 0)", **{f"times_{n}": f"count_if(asked = {n})" for n in asked})
+    told = ", ".join(
+        f"named_struct('n_rows', coalesce(sum(times_{n}), 0L), 'n_in_whole', coalesce(sum(least(times_{n}, most)), 0L), 'asked', {n}L)" for n in asked
+    )
+    return each.agg(F.expr(f"array({told})").alias("told")).selectExpr("inline(told)")
 
 
 def listed(t: Tables) -> ListedTables:
