@@ -1,9 +1,14 @@
 """What a single task gets does not grow with the input."""
 
+import math
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
+from funnelspark.operators import percentiles
 from funnelspark.sources import sinks
+from workload import tables
 
 
 def plan(df):
@@ -25,3 +30,42 @@ def test_many_limited_rows_stay_where_they_are(spark):
     got = sinks.limited(spark.range(0, 50_000, 1, 5).toDF("a"), 2_000_000_000)
     assert "GlobalLimit" not in plan(got)
     assert len({r.p for r in got.select(F.spark_partition_id().alias("p")).distinct().collect()}) > 1
+
+
+def test_hours_of_stored_tables_are_dealt_to_several_tasks(spark, tmp_path):
+    """Half of all rows are of one hour; each task that wrote rows of it has left a file."""
+    days = "timestamp_ntz'1997-03-01 00:00:00' + make_dt_interval(if(id % 2 = 0, 0, cast(id % 4000 as int)))"
+    columns = {
+        "l_orderkey": "id", "l_partkey": "id % 200", "l_suppkey": "id % 10", "l_linenumber": "cast(if(id % 2 = 0, 1, id % 7 + 1) as int)", "l_quantity": "cast(id % 50 + 1 as double)",
+        "l_extendedprice": "id * 1.5D", "l_discount": "0.05D", "l_tax": "0.02D", "l_returnflag": "'A'", "l_linestatus": "'O'", "l_shipdate": days,
+    }
+    items = spark.range(0, 40_000, 1, 8).selectExpr(*[f"{sql} as {c}" for c, sql in columns.items()])
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    key, before = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set(key, "32k")
+    try:
+        stored = tables.TypedTables(spark, str(tmp_path))["impressions"]
+    finally:
+        spark.conf.set(key, before)
+    files = [f for f in stored.inputFiles() if "dt=1997-01-01T01" in f]
+    assert len(files) > 1
+    derived = tables.Tables(spark, str(tmp_path))["impressions"]
+    assert stored.select(derived.columns).exceptAll(derived).isEmpty() and stored.count() == derived.count()
+
+
+def test_exact_cuts_sort_no_rows(spark, monkeypatch):
+    plans = []
+
+    def stored(df, name):
+        plans.append(plan(df))
+        return sinks.via_shared_table(df, name)
+
+    monkeypatch.setattr(percentiles, "via_shared_table", stored)
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("id % 3 as k", "case when id % 10 = 0 then null else sqrt(id) - 70 end as x", "id % 5 - 2 as y")
+    cuts = {r.k: r for r in percentiles.exact_cuts(rows, ["k"], {"x": "x", "y": "y"}, bins=16).collect()}
+    assert len(plans) > 2 and not any("SortAggregate" in p for p in plans)
+    for k in range(3):
+        for axis in "xy":
+            known = sorted(r[axis] for r in rows.where(f"k = {k} and {axis} is not null").collect())
+            ranks = [math.ceil(len(known) * Fraction(str(p))) for p in percentiles.PROBABILITIES]
+            assert cuts[k][axis] == [known[r - 1] for r in ranks]

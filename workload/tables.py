@@ -62,6 +62,14 @@ _SOURCE = ["banner-tap", "end-card", None]
 
 _NAN = "cast('NaN' as double)"
 
+# `dt` of what is derived from a given table, off its own columns.
+_DT = {
+    "lineitem": "cast(year(l_shipdate) as string) || '-01-01T0' || substr('013', cast(l_linenumber % 3 as int) + 1, 1)",
+    "events": "replace(substr(cast(ts as string), 1, 13), ' ', 'T')",
+    "customer": _pick("c_custkey", ["2024-01-28", "2024-01-29", "2024-01-20"]),
+    "nation": "case when n_nationkey % 6 = 5 then '2024-01-25' else '2024-01-27' end",
+}
+
 
 def _bid_from_lineitem() -> dict[str, str]:
     return {
@@ -194,7 +202,7 @@ def derivations(d: Dialect) -> dict[str, str]:
         return f"select {body} from {source}" + (f" where {where}" if where else "")
 
     def fact(columns: dict[str, str], event_type: str, more: str = "") -> str:
-        return select({**columns, "dt": "replace(substr(cast(ts as string), 1, 13), ' ', 'T')"}, events, f"event_type = '{event_type}'{more}")
+        return select({**columns, "dt": _DT["events"]}, events, f"event_type = '{event_type}'{more}")
 
     click = {
         "at": "t_ms",
@@ -211,7 +219,7 @@ def derivations(d: Dialect) -> dict[str, str]:
                 **_bid_from_lineitem(),
                 "spend_micros": "cast(floor(l_quantity * 1000 * (1 - l_tax)) as bigint)",
                 "revenue_micros": "case when l_quantity = 1 then 0 else cast(floor(l_quantity * 1000) as bigint) end",
-                "dt": "cast(year(l_shipdate) as string) || '-01-01T0' || substr('013', cast(l_linenumber % 3 as int) + 1, 1)",
+                "dt": _DT["lineitem"],
             },
             lineitems,
         ),
@@ -298,7 +306,7 @@ def derivations(d: Dialect) -> dict[str, str]:
                 "sales_sub_region__c": "case when c_nationkey > 20 then null else 'sub-' || cast(c_nationkey % 8 as string) end",
                 "service_level__c": "c_mktsegment",
                 "opportunity__c": "'opp-' || cast(c_nationkey as string)",
-                "dt": _pick("c_custkey", ["2024-01-28", "2024-01-29", "2024-01-20"]),
+                "dt": _DT["customer"],
             },
             "{customer}",
         ),
@@ -306,7 +314,7 @@ def derivations(d: Dialect) -> dict[str, str]:
             {
                 "opportunity_id_18_digit__c": "'opp-' || cast(n_nationkey as string)",
                 "scale_zone__c": "n_name",
-                "dt": "case when n_nationkey % 6 = 5 then '2024-01-25' else '2024-01-27' end",
+                "dt": _DT["nation"],
             },
             "{nation}",
         ),
@@ -367,24 +375,29 @@ class Tables:
 class TypedTables(Tables):
     """The same tables, those with a `dt` stored as declared and partitioned by it, and read back so.
 
-    Each is written once per application and folder.
+    Each is written once per application and folder. The given rows, which are narrower, are dealt to tasks by
+    their `dt`, those of a large one to several.
     """
 
     _written: dict[tuple[str, str, str], str] = {}
 
     def _open(self, name: str) -> DataFrame:
-        derived = super()._open(name)
         if name not in SCHEMAS or "dt" not in SCHEMAS[name].names:
-            return derived
+            return super()._open(name)
+        sql = _SPARK_SQL[name]
+        derived = self.spark.sql(sql, **{t: self._dealt(t) for t in GIVEN if f"{{{t}}}" in sql})
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in self._written:
             root = f"{shared_folder(self.spark)}/typed-{uuid.uuid4().hex}"
             given = [F.col(f.name) if f.name in derived.columns else F.lit(None) for f in SCHEMAS[name]]
             columns = [c.cast(f.dataType).alias(f.name) for c, f in zip(given, SCHEMAS[name])]
-            derived.where("dt is not null").select(*columns).repartition("dt").write.partitionBy("dt").parquet(f"{root}/{name}")
+            derived.where("dt is not null").select(*columns).write.partitionBy("dt").parquet(f"{root}/{name}")
             self._written[key] = root
         return self._read(self._written[key], name)
 
+    def _dealt(self, given: str) -> DataFrame:
+        return self[given].withColumn("_dt", F.expr(_DT[given])).hint("rebalance", "_dt").drop("_dt")
+
     def _read(self, root: str, name: str) -> DataFrame:
         return read_table(self.spark, root, name)
 
