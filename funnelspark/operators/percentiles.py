@@ -137,19 +137,17 @@ def exact_cuts(
     while not ranges.where("low < high").isEmpty():
         ranges = ranges.where("low < high")
         lists = ranges.groupBy(*keys).agg(
-            *[F.expr(f"collect_list(struct(low, high, before, ranks)) filter (where axis = {i})").alias(f"_r{i}") for i in range(len(names))]
+            *[F.expr(f"collect_list(struct(low, high)) filter (where axis = {i})").alias(f"_r{i}") for i in range(len(names))]
         )
         # The one range of its axis that a value is in, if any.
         hits = ", ".join(
             f"named_struct('axis', {i}, 'v', `_v{i}`, 'r', get(filter(`_r{i}`, r -> `_v{i}` >= r.low and `_v{i}` <= r.high), 0))" for i in range(len(names))
         )
         met = rows.join(lists, keys).selectExpr(*keys, f"inline(filter(array({hits}), h -> h.r is not null))")
-        binned = met.selectExpr(*group, "v", "r.low as low", "r.high as high", "r.before as before", "r.ranks as ranks").selectExpr(
-            *group, "low as _low", "before", "ranks", f"{_bin(bins)} as bin", "v"
-        )
-        counts = binned.groupBy(*group, "_low", "bin").agg(
-            F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.first("before").alias("before"), F.first("ranks").alias("ranks")
-        )
+        binned = met.selectExpr(*group, "v", "r.low as low", "r.high as high").selectExpr(*group, "low as _low", f"{_bin(bins)} as bin", "v")
+        # Numbers only, so that tasks fold rows in a hash table; with an array among them Spark would sort all rows.
+        counts = binned.groupBy(*group, "_low", "bin").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        counts = counts.join(ranges.select(*group, F.col("low").alias("_low"), "before", "ranks"), [*group, "_low"])
         ranges = via_shared_table(_narrowed(counts, group, "bin", ["_low"]), "ranges")
         found.append(ranges.where("low = high"))
     points = reduce(DataFrame.unionByName, found).selectExpr(*group, "low as value", "inline(ranks)")
