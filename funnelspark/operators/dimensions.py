@@ -165,20 +165,20 @@ def attach_all(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[str, s
 
     While every dimension fits a broadcast that is one pass over the facts, without a shuffle. One that
     doesn't by Spark's estimate is stored, what is needed of it, to know its true size. If it still
-    doesn't, the facts, which are sums here, are stored, the small dimensions attached first, and the large
-    ones one after another by `attach_spread`, each on rows that are stored: no task gets a hot key's rows.
+    doesn't, the facts, which are sums here, are stored, and the large ones attached one after another by
+    `attach_spread`, each on rows that are stored: no task gets a hot key's rows. The small ones come after
+    them, on rows that are not stored again; so of several large ones, one that repeats rows is best given last.
     """
     order = facts.columns + [name for _, _, take in steps for name in take.values()]
-    large = []
+    small, large = [], []
     for dimension, on, take in steps:
         if not fits_broadcast(dimension):
             dimension = via_shared_table(dimension.select(*dict.fromkeys([*on.values(), *take])), "dimension")
-        if fits_broadcast(dimension):
-            facts = attach(facts, dimension, on, take)
-        else:
-            large.append((dimension, on, take))
+        (small if fits_broadcast(dimension) else large).append((dimension, on, take))
     for step in large:
         facts = attach_spread(via_shared_table(facts, "sums"), *step)
+    for step in small:
+        facts = attach(facts, *step)
     return facts.select(*order)
 
 

@@ -2,7 +2,7 @@
 
 One shuffle carries the whole job while dimensions are under the broadcast threshold. The funnel is
 summed per group key; what is known of a campaign is joined among dimensions first, so that the sums
-meet four dimensions at most; and the second sum, needed because joins may repeat rows, groups by a
+meet four dimensions at most; CRM rows that agree are attached once, with their number; and the second sum, needed because joins may repeat rows, groups by a
 superset of the keys the rows are already partitioned on. A dimension over the threshold costs one
 shuffle of the sums, over which the rows of a hot campaign, customer or app are spread.
 """
@@ -51,7 +51,8 @@ def _first_sums(rows: DataFrame, keys: Sequence[str], exact: bool) -> DataFrame:
 def _report(enriched: DataFrame, keys: Sequence[str], derived: Mapping[str, str], exact: bool) -> DataFrame:
     """Second sum, per group key and dimension; revenue from micros to units."""
     added = list(summands(exact))
-    keyed = enriched.selectExpr(*keys, *[f"{sql} as {name}" for name, sql in derived.items()], *added)
+    repeated = [f"{m} * coalesce(_times, 1L) as {m}" for m in added]
+    keyed = enriched.selectExpr(*keys, *[f"{sql} as {name}" for name, sql in derived.items()], *repeated)
     if not exact:
         sums = [F.expr(f"sum({micros(m) if m == 'customer_revenue_d7' else m})").alias(m) for m in METRICS]
         return format_hours(keyed.groupBy(*keys, *derived).agg(*sums))
@@ -65,6 +66,11 @@ def _stored_campaigns(*arguments) -> DataFrame:
     return via_shared_table(campaign_dimension(*arguments), "campaigns")
 
 
+def _folded(crm: DataFrame) -> DataFrame:
+    """CRM rows that agree in all columns as one, and their number, by which sums are multiplied where it is attached."""
+    return crm.groupBy(*crm.columns).agg(F.count("*").alias("_times"))
+
+
 def replaced(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{columns[c]} as {c}" if c in columns else c for c in df.columns])
 
@@ -97,14 +103,14 @@ def platform_health_v1(
     rows = replaced(rows, {e: f"case when model_type = 'revenue' then {micros(e)} else {e} end" for e in edges})
     f = _first_sums(rows, keys, exact)
 
-    crm = crm_campaign_v1(tables["crm_campaigns"], tables["campaigns"], as_of)
+    crm = _folded(crm_campaign_v1(tables["crm_campaigns"], tables["campaigns"], as_of))
     campaign = _stored_campaigns(
         tables["campaigns"],
         [
             (tables["trackers"], {"_tracker_id": "id"}, {"name": "_tracker"}),
             (primary_goal(tables["goals"], goal_tiebreak), _BY_CAMPAIGN, {"type": "_goal", "target_value": "_goal_value"}),
             (tables["treasurer_configs"], _BY_CAMPAIGN, {"target": "_treasurer"}),
-            (crm, _BY_CAMPAIGN, {"sales_region": "_region", "sales_sub_region": "_sub_region", "service_level": "_service"}),
+            (crm, _BY_CAMPAIGN, {"sales_region": "_region", "sales_sub_region": "_sub_region", "service_level": "_service", "_times": "_times"}),
         ],
         {"display_name": "_campaign_name", "current_optimization_state": "_optimization", "vt_cap": "_vt_cap", "tracker_id": "_tracker_id"},
     )
@@ -113,9 +119,9 @@ def platform_health_v1(
         f,
         [
             (tables["customers"], {"customer_id": "id"}, {"company": "_company"}),
-            (campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_tracker_id")}),
             (tables["apps"], {"dest_app_id": "id"}, {"display_name": "_app", **VIEWTHROUGH_FLAGS}),
             (tables["ad_groups"], {"ad_group_id": "id"}, ad_group),
+            (campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_tracker_id")}),
         ],
     )
     report = _report(
@@ -167,7 +173,7 @@ def platform_health_v2(
     f = _first_sums(_gate_cohort(funnel_rows(tables, start, end, "v2")), keys, exact)
 
     crm = crm_campaign_v2(tables["crm_campaigns"], tables["crm_opportunities"], tables["campaigns"], as_of)
-    crm = via_shared_table(crm, "crm-campaigns")
+    crm = via_shared_table(_folded(crm), "crm-campaigns")
     campaign = _stored_campaigns(
         tables["campaigns"],
         [
@@ -182,15 +188,15 @@ def platform_health_v2(
             "tracker_id": "_tracker_id",
         },
     )
-    sold = {"service_level": "_service", "sales_region": "_region", "sales_sub_region": "_sub_region", "scale_zone": "_zone"}
+    sold = {"service_level": "_service", "sales_region": "_region", "sales_sub_region": "_sub_region", "scale_zone": "_zone", "_times": "_times"}
     app = {"display_name": "_app", "category": "_category", **VIEWTHROUGH_FLAGS}
     f = attach_all(
         f,
         [
             (tables["customers"], {"customer_id": "id"}, {"company": "_company"}),
-            (crm, {"campaign_id": "campaign_id", "customer_id": "customer_id"}, sold),
             (tables["apps"], {"dest_app_id": "id", "customer_id": "customer_id"}, app),
             (campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_type_id", "_tracker_id")}),
+            (crm, {"campaign_id": "campaign_id", "customer_id": "customer_id"}, sold),
         ],
     )
     return _report(

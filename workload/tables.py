@@ -62,13 +62,7 @@ _SOURCE = ["banner-tap", "end-card", None]
 
 _NAN = "cast('NaN' as double)"
 
-# `dt` of what is derived from a given table, off its own columns.
-_DT = {
-    "lineitem": "cast(year(l_shipdate) as string) || '-01-01T0' || substr('013', cast(l_linenumber % 3 as int) + 1, 1)",
-    "events": "replace(substr(cast(ts as string), 1, 13), ' ', 'T')",
-    "customer": _pick("c_custkey", ["2024-01-28", "2024-01-29", "2024-01-20"]),
-    "nation": "case when n_nationkey % 6 = 5 then '2024-01-25' else '2024-01-27' end",
-}
+_LINEITEM_DT = "cast(year(l_shipdate) as string) || '-01-01T0' || substr('013', cast(l_linenumber % 3 as int) + 1, 1)"
 
 
 def _bid_from_lineitem() -> dict[str, str]:
@@ -202,7 +196,7 @@ def derivations(d: Dialect) -> dict[str, str]:
         return f"select {body} from {source}" + (f" where {where}" if where else "")
 
     def fact(columns: dict[str, str], event_type: str, more: str = "") -> str:
-        return select({**columns, "dt": _DT["events"]}, events, f"event_type = '{event_type}'{more}")
+        return select({**columns, "dt": "replace(substr(cast(ts as string), 1, 13), ' ', 'T')"}, events, f"event_type = '{event_type}'{more}")
 
     click = {
         "at": "t_ms",
@@ -219,7 +213,7 @@ def derivations(d: Dialect) -> dict[str, str]:
                 **_bid_from_lineitem(),
                 "spend_micros": "cast(floor(l_quantity * 1000 * (1 - l_tax)) as bigint)",
                 "revenue_micros": "case when l_quantity = 1 then 0 else cast(floor(l_quantity * 1000) as bigint) end",
-                "dt": _DT["lineitem"],
+                "dt": _LINEITEM_DT,
             },
             lineitems,
         ),
@@ -306,7 +300,7 @@ def derivations(d: Dialect) -> dict[str, str]:
                 "sales_sub_region__c": "case when c_nationkey > 20 then null else 'sub-' || cast(c_nationkey % 8 as string) end",
                 "service_level__c": "c_mktsegment",
                 "opportunity__c": "'opp-' || cast(c_nationkey as string)",
-                "dt": _DT["customer"],
+                "dt": _pick("c_custkey", ["2024-01-28", "2024-01-29", "2024-01-20"]),
             },
             "{customer}",
         ),
@@ -314,7 +308,7 @@ def derivations(d: Dialect) -> dict[str, str]:
             {
                 "opportunity_id_18_digit__c": "'opp-' || cast(n_nationkey as string)",
                 "scale_zone__c": "n_name",
-                "dt": _DT["nation"],
+                "dt": "case when n_nationkey % 6 = 5 then '2024-01-25' else '2024-01-27' end",
             },
             "{nation}",
         ),
@@ -375,8 +369,8 @@ class Tables:
 class TypedTables(Tables):
     """The same tables, those with a `dt` stored as declared and partitioned by it, and read back so.
 
-    Each is written once per application and folder. The given rows, which are narrower, are dealt to tasks by
-    their `dt`, those of a large one to several.
+    Each is written once per application and folder. Rows are dealt to tasks by `dt`, those of a large year's or
+    snapshot's to several; line items before they are widened.
     """
 
     _written: dict[tuple[str, str, str], str] = {}
@@ -384,8 +378,13 @@ class TypedTables(Tables):
     def _open(self, name: str) -> DataFrame:
         if name not in SCHEMAS or "dt" not in SCHEMAS[name].names:
             return super()._open(name)
-        sql = _SPARK_SQL[name]
-        derived = self.spark.sql(sql, **{t: self._dealt(t) for t in GIVEN if f"{{{t}}}" in sql})
+        if name == "impressions":
+            items = self["lineitem"].withColumn("_dt", F.expr(_LINEITEM_DT)).hint("rebalance", "_dt").drop("_dt")
+            derived = self.spark.sql(_SPARK_SQL[name], lineitem=items)
+        elif "{events}" in _SPARK_SQL[name]:
+            derived = super()._open(name).repartition("dt")  # hundreds of hours, none of them large
+        else:
+            derived = super()._open(name).hint("rebalance", "dt")
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in self._written:
             root = f"{shared_folder(self.spark)}/typed-{uuid.uuid4().hex}"
@@ -395,9 +394,6 @@ class TypedTables(Tables):
             self._written[key] = root
         return self._read(self._written[key], name)
 
-    def _dealt(self, given: str) -> DataFrame:
-        return self[given].withColumn("_dt", F.expr(_DT[given])).hint("rebalance", "_dt").drop("_dt")
-
     def _read(self, root: str, name: str) -> DataFrame:
         return read_table(self.spark, root, name)
 
