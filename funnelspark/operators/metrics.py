@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.functions.numbers import (
@@ -118,6 +120,15 @@ def predicted_metrics(variant: str, prefix: str = "bid__", exact: bool = False)
     return [F.expr(f"sum({sql})").alias(name) for name, sql in predicted_terms(variant, prefix).items()]
 
 
+def gathered(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt to tasks by key before exact sums of them, those of a hot key to several.
+
+    Exact sums are several times as wide as the rows they are of. Where rows of many keys come mixed, a task would hold
+    sums of nearly as many keys as it has rows. Dealt out, it holds those of few, and sends few on.
+    """
+    return rows.withColumn("_key", F.xxhash64(*keys)).hint("rebalance", "_key").drop("_key")
+
+
 def revenue_micros(value: str) -> str:
     """One event's revenue; implausible amounts and null count as zero."""
     return clamp_or_zero(value, -REVENUE_LIMIT_MICROS, REVENUE_LIMIT_MICROS)

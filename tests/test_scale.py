@@ -2,12 +2,16 @@
 
 import math
 from fractions import Fraction
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.operators import percentiles
-from funnelspark.sources import sinks
+from funnelspark.functions.numbers import exact_sum
+from funnelspark.operators import metrics, percentiles
+from funnelspark.plans import health
+from funnelspark.sources import SCHEMAS, sinks
 from workload import tables
 
 
@@ -69,3 +73,42 @@ def test_exact_cuts_sort_no_rows(spark, monkeypatch):
             known = sorted(r[axis] for r in rows.where(f"k = {k} and {axis} is not null").collect())
             ranks = [math.ceil(len(known) * Fraction(str(p))) for p in percentiles.PROBABILITIES]
             assert cuts[k][axis] == [known[r - 1] for r in ranks]
+
+
+def test_exact_sums_of_mixed_keys_are_gathered_first(spark):
+    """No task of the first sum sends on nearly as many sums as it has read rows; one key holds half of all rows."""
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("if(id % 2 = 0, null, id % 4001) as k", "id * 0.25D as x")
+    parts = metrics.gathered(rows, ["k"]).groupBy("k", F.spark_partition_id()).count()
+    assert parts.count() <= 4001 + 8 < rows.groupBy("k", F.spark_partition_id()).count().count()
+    want = {r.k: r.x for r in rows.groupBy("k").agg(F.sum("x").alias("x")).collect()}
+    sums = metrics.gathered(rows, ["k"]).groupBy("k").agg(F.expr(exact_sum("x")).alias("x"))
+    assert {r.k: r.x for r in sums.collect()} == want
+
+
+def test_repeated_crm_rows_are_attached_once(spark, monkeypatch):
+    """200 equal CRM rows multiply the sums by 200, and the rows that the last sum reads by one."""
+    met = []
+    real = health.attach_all
+    monkeypatch.setattr(health, "attach_all", lambda facts, steps: met.append(real(facts, steps)) or met[-1])
+
+    def table(name, rows):
+        if not rows:
+            return spark.createDataFrame([], SCHEMAS[name])
+        return reduce(DataFrame.unionByName, [spark.range(1).select(*[F.lit(r.get(f.name)).cast(f.dataType).alias(f.name) for f in SCHEMAS[name]]) for r in rows])
+
+    impression = {"at": 1704067200000, "dt": "2024-01-01T00", "bid__app_platform": "IOS", "bid__campaign_id": 1, "bid__customer_id": 1, "spend_micros": 1_000_001, "revenue_micros": 3}
+    crm = {"campaign_id_18_digit__c": "a", "sales_region__c": "EMEA", "opportunity__c": "o", "dt": "2024-01-01"}
+    given = {
+        **dict.fromkeys(SCHEMAS, None),
+        "impressions": [impression],
+        "campaigns": [{"id": 1, "customer_id": 1, "state": "enabled", "salesforce_campaign_id": "a"}],
+        "crm_opportunities": [{"opportunity_id_18_digit__c": "o", "scale_zone__c": "z", "dt": "2024-01-01"}],
+    }
+    filled = {name: table(name, rows) for name, rows in given.items()}
+    once = table("crm_campaigns", [crm])
+    filled["crm_campaigns"] = once.crossJoin(spark.range(200)).drop("id").unionByName(once.withColumn("sales_region__c", F.lit("NA")))
+    for exact in (False, True):
+        report = health.platform_health_v2(filled, "2024-01-01T00", as_of="timestamp'2024-01-01 12:00:00'", exact=exact).collect()
+        assert {r.campaign_sales_region: r.impressions for r in report} == {"EMEA": 200, "NA": 1}
+        assert {r.campaign_sales_region: round(r.internal_spend, 6) for r in report} == {"EMEA": 200.0002, "NA": 1.000001}
+        assert met[-1].count() == 2

@@ -183,7 +183,7 @@ def finite_sum_exact(t: Tables) -> DataFrame:
 def _predicted_exact(t: Tables, variant: str) -> DataFrame:
     keys = ["bid__campaign_id", "bid__app_platform", "bid__ad_group_type", "bid__creative__type"]
     terms = t["impressions"].selectExpr(*keys, *[f"{sql} as {name}" for name, sql in metrics.predicted_terms(variant).items()])
-    return terms.groupBy(*keys).agg(*metrics.predicted_metrics(variant, exact=True))
+    return metrics.gathered(terms, keys).groupBy(*keys).agg(*metrics.predicted_metrics(variant, exact=True))
 
 
 @query
