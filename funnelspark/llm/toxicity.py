@@ -1,7 +1,8 @@
 """Toxicity grades by a cumulative-link ordinal regression over sparse word counts.
 
 P(grade <= k) = sigmoid(threshold[k] - x . w): one weight per word, shared by ordered thresholds.
-A document's expected severity is the sum over k of P(grade > k).
+A document's expected severity is the sum over k of P(grade > k). Words that begin alike, by a beginning that
+tells the grades apart, share a weight on top of their own: that also weighs inflected forms each of which is rare.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,13 @@ WORDS = 512
 #: Fewest labelled documents a word must occur in.
 LEAST_DOCUMENTS = 4
 GRADES = 4
+#: Bytes of the beginnings of words, most of them looked at, and the standard errors by which one must differ.
+STEM_BYTES = (4, 6)
+STEMS = 64
+STEM_ERRORS = 6
+#: Most words that are known by a beginning, and fewest labelled documents each must occur in.
+STEM_WORDS = 8192
+STEM_LEAST_DOCUMENTS = 2
 
 
 @dataclass(frozen=True)
@@ -91,6 +100,46 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, grade: str, most: i
     return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("grade").alias("grade"))
 
 
+def sample_stems(sample: DataFrame) -> DataFrame:
+    """word, stem: the beginnings of STEM_BYTES bytes of the sample's words, repeated as they occur."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            for _, texts in slices(_texts(batch.column(0))):
+                words, _ = hash_words(texts, lower=True, also_between=PUNCTUATION)
+                some, at = np.unique(words, return_index=True)
+                for size in STEM_BYTES:
+                    stems, _ = hash_words(texts, lower=True, also_between=PUNCTUATION, first=size)
+                    # A word of no more bytes is its own beginning.
+                    longer = stems[at] != some
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(some[longer].view(np.int64)), pa.array(stems[at][longer].view(np.int64))], names=["word", "stem"]
+                    )
+
+    return sample.select("text").mapInArrow(run, "word long, stem long")
+
+
+def choose_stems(counts: DataFrame, stems: DataFrame) -> pd.DataFrame:
+    """word, stem: the beginnings whose presence differs by STEM_ERRORS standard errors or more between grade 0 and
+    higher ones, with the words that begin so, the most frequent ones."""
+    totals = counts.groupBy("grade").agg(F.countDistinct("doc_id").alias("n")).collect()
+    above, zero = (max(1, sum(r.n for r in totals if (r.grade > 0) == high)) for high in (True, False))
+    pairs = stems.distinct()
+    tally = (
+        counts.join(pairs, "word").select("doc_id", "grade", "stem").distinct().groupBy("stem")
+        .agg(F.count_if(F.col("grade") > 0).alias("a"), F.count_if(F.col("grade") == 0).alias("z"))
+    )
+    share = F.expr(f"(a + z) / {above + zero}D")
+    error = F.sqrt((share * (F.lit(1.0) - share) + 1e-6) * (1 / above + 1 / zero))
+    strength = F.abs(F.expr(f"a / {above}D - z / {zero}D")) / error
+    best = tally.withColumn("strength", strength).where(f"a + z >= {LEAST_DOCUMENTS} and strength >= {STEM_ERRORS}")
+    best = [r.stem for r in best.orderBy(F.desc("strength"), "stem").limit(STEMS).collect()]
+    told = pairs.where(F.col("stem").isin(best))
+    often = counts.join(told.select("word").distinct(), "word").groupBy("word").agg(F.countDistinct("doc_id").alias("n"))
+    often = often.where(f"n >= {STEM_LEAST_DOCUMENTS}").orderBy(F.desc("n"), "word").limit(STEM_WORDS).select("word")
+    return told.join(often, "word").toPandas().sort_values(["word", "stem"])
+
+
 def choose_words(counts: DataFrame, most: int = WORDS, least: int = LEAST_DOCUMENTS) -> np.ndarray:
     """The words whose presence differs most, in standard errors, between grade 0 and higher ones."""
     totals = counts.groupBy("grade").agg(F.countDistinct("doc_id").alias("n")).collect()
@@ -161,23 +210,36 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", graded:
     Labels of documents that are not there, and null ones, are left out; of several labels of a document
     the highest counts. Without any labelled document every document gets grade 0.
     """
-    counts = sample_counts(labelled_sample(documents, labels, label, most)).persist()
+    sample = labelled_sample(documents, labels, label, most).persist()
+    counts = sample_counts(sample).persist()
     words = choose_words(counts)
     if not len(words):
         counts.unpersist()
+        sample.unpersist()
         return OrdinalModel(words, np.zeros(0), np.full(GRADES - 1, 40.0))
     if graded:
         grade_of = {r.doc_id: min(max(int(r.grade), 0), GRADES - 1) for r in counts.select("doc_id", "grade").distinct().collect()}
     else:
         grade_of = severity_grades(counts, words)
-    picked = counts.where(F.col("word").isin(words.view(np.int64).tolist())).toPandas().sort_values(["doc_id", "word"])
+    stems = choose_stems(counts, sample_stems(sample))
+    known = np.union1d(words, stems.word.to_numpy(dtype=np.int64).view(np.uint64))
+    table = documents.sparkSession.createDataFrame(pd.DataFrame({"word": known.view(np.int64)}))
+    picked = counts.join(F.broadcast(table), "word").toPandas().sort_values(["doc_id", "word"])  # bounded by WORDS and STEM_WORDS
     counts.unpersist()
+    sample.unpersist()
     ids = {d: i for i, d in enumerate(sorted(grade_of))}
     grade = np.array([grade_of[d] for d in ids])
-    row = picked.doc_id.map(ids).to_numpy()
-    column = np.searchsorted(words, picked.word.to_numpy().view(np.uint64))
-    weights, thresholds = fit_ordinal(row, column, np.log1p(picked["count"].to_numpy()), grade, len(words))
-    return OrdinalModel(words, weights, thresholds)
+    # One column for each word chosen by itself, then one for each beginning.
+    own = pd.DataFrame({"word": words.view(np.int64), "column": np.arange(len(words))})
+    kinds, kind = np.unique(stems.stem.to_numpy(dtype=np.int64), return_inverse=True)
+    columns = pd.concat([own, pd.DataFrame({"word": stems.word.to_numpy(dtype=np.int64), "column": len(words) + kind})])
+    spread = picked.merge(columns, on="word").sort_values(["doc_id", "word", "column"])
+    row = spread.doc_id.map(ids).to_numpy()
+    fitted, thresholds = fit_ordinal(
+        row, spread.column.to_numpy(), np.log1p(spread["count"].to_numpy()), grade, len(words) + len(kinds)
+    )
+    at = np.searchsorted(known, columns.word.to_numpy(dtype=np.int64).view(np.uint64))
+    return OrdinalModel(known, np.bincount(at, fitted[columns.column.to_numpy()], len(known)), thresholds)
 
 
 def evidence(model: OrdinalModel, texts: list[bytes]) -> np.ndarray:

@@ -1,8 +1,8 @@
 """Words and word shingles of whole texts as 64-bit hashes, computed with numpy inside tasks.
 
 A word is a maximal run of bytes other than space and \\t \\n \\v \\f \\r in UTF-8, so no word is
-ever cut inside a character. Hashing works on the bytes of many texts at once: a word's hash is a
-difference of two prefix sums of `table[byte] * base ** position`, moved back to position 0.
+ever cut inside a character. Hashing works on many words at once, eight bytes of each at a time; a very
+long word's hash is a sum of `table[byte] * base ** position`.
 """
 
 from __future__ import annotations
@@ -20,7 +20,11 @@ SLICE_BYTES = 1 << 19
 _random = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_STEP = U64(0x9FB21C651E98DF25)
+#: The first bytes of a little-endian number.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
 _PLACES = _random.integers(1, 1 << 63, 8, dtype=np.uint64) | U64(1)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -101,27 +105,52 @@ def slices(texts: Iterable[bytes], most: int = SLICE_BYTES) -> Iterator[tuple[in
         yield first, run
 
 
-def hash_words(texts: list[bytes], lower: bool = False, also_between: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word of every text, in order, and the index of its text."""
+def _hashed(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each run of bytes, from 8 bytes of all runs at a time. `data` ends with 8 other bytes at least."""
+    eights = data.view(np.uint64)
+    hashes = sizes.astype(np.uint64) * _STEP
+    at, left, some = starts, sizes, slice(None)
+    for _ in range(LONG_WORD // 8):
+        cell, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        value = (eights[cell] >> shift) | ((eights[cell + 1] << U64(1)) << (U64(63) - shift))
+        hashes[some] = mix((hashes[some] ^ (value & _MASKS[np.minimum(left, 8)])) * _STEP)
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        some = more if isinstance(some, slice) else some[more]
+        at, left = at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(sizes > LONG_WORD):
+        run = data[starts[i] : starts[i] + sizes[i]]
+        hashes[i] = mix((_BYTE[run] * _power(_BASE, len(run))[: len(run)]).sum(dtype=np.uint64, keepdims=True) + U64(len(run)))[0]
+    return hashes
+
+
+def hash_words(
+    texts: list[bytes], lower: bool = False, also_between: bytes = b"", first: int | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of every text, in order, and the index of its text. With `first`, a hash of no more
+    than that many bytes of each word."""
     space = _SPACE
     if also_between:
         space = space.copy()
         space[list(also_between)] = True
     joined = b"\n".join(texts)
-    data = np.frombuffer(joined, dtype=np.uint8)
+    size = len(joined)
+    padded = np.frombuffer(joined + bytes(16 - size % 8), dtype=np.uint8)
     if lower:
-        data = _LOWER[data]
-    word = np.zeros(len(data) + 2, dtype=np.int8)
-    word[1:-1] = ~space[data]
-    edge = np.diff(word)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        padded = _LOWER[padded]
+    data = padded[:size]
+    apart = np.ones(size + 2, dtype=bool)
+    apart[1:-1] = space[data]
+    edges = np.flatnonzero(apart[1:] != apart[:-1])
+    starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * _power(_BASE, len(data))[: len(data)], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _power(_INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
+    if first is not None:
+        ends = np.minimum(ends, starts + first)
+    hashes = _hashed(padded, starts, ends - starts)
     lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-    text_of = np.searchsorted(np.cumsum(lengths), starts, side="right")
+    text_of = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, np.cumsum(lengths)), prepend=0))
     return hashes, text_of
 
 

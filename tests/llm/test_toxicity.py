@@ -88,3 +88,22 @@ def test_grades_out_of_range(spark):
     labels = spark.createDataFrame([(i, [-3, 1, 2, 3, 99][i % 5]) for i in range(100)], "doc_id long, toxic int")
     got = {r.doc_id % 5: r.tox_grade for r in score(docs, train(docs, labels, graded=True)).collect()}
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 3}
+
+
+def test_rare_forms_of_a_word_are_told_by_how_they_begin(spark):
+    rng = np.random.default_rng(3)
+    plain = [f"{a}{b}" for a in ("kan", "mol", "ter", "sul", "vin") for b in "abcdefghij"]
+
+    def form(i):
+        return "grobian" + "".join("abcdefghijklmnopqrstuvwxyz"[i // 26**k % 26] for k in range(2))
+
+    def text(toxic):
+        words = [*rng.choice(plain, 20), *(form(i) for i in rng.integers(0, 400, 8 if toxic else 0))]
+        return " ".join(rng.permutation(words))
+
+    toxic = [i % 4 == 0 for i in range(1200)]
+    docs = spark.createDataFrame([(i, text(t)) for i, t in enumerate(toxic)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic) if i < 600], "doc_id long, toxic int")
+    held = {r.doc_id: r.tox_rejected for r in score(docs.where("doc_id >= 600"), train(docs, labels)).collect()}
+    assert np.mean([v for i, v in held.items() if toxic[i]]) > 0.95
+    assert np.mean([v for i, v in held.items() if not toxic[i]]) < 0.01
