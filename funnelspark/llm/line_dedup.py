@@ -2,9 +2,9 @@
 
 A line is the set of its words, ordered from rare to frequent. Two lines of Jaccard 0.8 or more share
 a word in their prefixes of |x| - ceil(t |x|) + 1 words, so lines meet in the posting lists of their
-prefix words. Length and positional filters, and a bound from 128-bit word maps, drop most of what
-meets, and larger maps of the lines left most of the rest; what remains is verified on the words
-themselves. Lines of equal sets are one line to all this.
+prefix words. Length and positional filters, and a bound from word maps of 64 or 128 bits, drop most of
+what meets, and larger maps most of the rest where both lines are long; what remains is verified on the
+words themselves. Lines of equal sets are one line to all this.
 """
 
 from __future__ import annotations
@@ -28,10 +28,14 @@ PERCENT = 80
 TABLE_BITS = 22
 #: Earlier lines kept for a line and word; if none of them matches and there are more, all are verified.
 FEW = 3
+#: Earliest candidates of a line that are verified first.
+FIRST = 3
+#: Most words of a line whose map has 64 bits, and of one for which 128 bits tell enough.
+SMALL, LONG = 48, 144
 #: Pairs of one posting list looked at in one go.
 CHUNK = 1 << 19
 _ENTRY = np.dtype(
-    [("token", "<u8"), ("key", "<u8"), ("map1", "<u8"), ("map2", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4"), ("place", "u1")]
+    [("token", "<u4"), ("key", "<u4"), ("map1", "<u8"), ("map2", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4"), ("place", "u1")]
 )
 
 
@@ -78,42 +82,68 @@ class Lines:
         return np.argsort((self.line.astype(np.int64) << 16) | level, kind="stable")
 
     def maps(self) -> tuple[np.ndarray, np.ndarray]:
-        """A map of 128 bits for each line, in two words: each word of the line flips a bit."""
+        """A map of 128 bits for each line, in two words: each word of the line flips a bit. Of lines of SMALL words
+        or fewer the two are folded into the first."""
         spread = mix(self.words ^ np.uint64(0xD6E8FEB86659FD93))
         bit, high = np.uint64(1) << (spread >> np.uint64(58)), spread & np.uint64(1) == 0
+        high |= (self.n <= SMALL)[self.line]
         return self._each(np.bitwise_xor, np.where(high, bit, 0)), self._each(np.bitwise_xor, np.where(high, 0, bit))
 
     def marks(self) -> tuple[np.ndarray, np.ndarray]:
-        """A larger map, two to four bits a word and 64 at least: bytes of all lines, and where each line's end."""
-        bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * self.n, 1))).astype(np.int64))
+        """A larger map of lines of more than LONG words, two to four bits a word: bytes of all lines, and where each
+        line's end."""
+        bits = np.where(self.n > LONG, 1 << np.ceil(np.log2(np.maximum(2 * self.n, 64))).astype(np.int64), 0)
         first = np.cumsum(bits) - bits
-        place = (mix(self.words ^ np.uint64(0xA0761D6478BD642F)) & (bits[self.line] - 1).astype(np.uint64)).astype(np.int64)
-        odd = np.bincount(first[self.line] + place, minlength=int(bits.sum())) & 1
+        some = (self.n > LONG)[self.line]
+        words, line = self.words[some], self.line[some]
+        place = (mix(words ^ np.uint64(0xA0761D6478BD642F)) & (bits[line] - 1).astype(np.uint64)).astype(np.int64)
+        odd = np.bincount(first[line] + place, minlength=int(bits.sum())) & 1
         return np.packbits(odd.astype(bool), bitorder="little"), np.cumsum(bits) // 8
 
 
+def token(words: np.ndarray) -> np.ndarray:
+    """The part of a word's hash by which its owner tells words apart; two that share it only meet more lines."""
+    return words & np.uint64(0xFFFFFFFF)
+
+
 def line_id(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     """A 64-bit hash of document and line number."""
     return mix(mix(doc.astype(np.int64).view(np.uint64)) + line.astype(np.uint64)).view(np.int64)
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Lines]]:
-    """Document ids and lines of a batch (doc_id, text) in slices; rows without an id are left out."""
+def _runs(batch: pa.RecordBatch, among: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, Lines]]:
+    """Of a batch (doc_id, text) in slices: document id and number of each line, and the lines; rows without an id
+    are left out. With `among`, a bit table of tokens, only lines of which a word may be in it."""
     batch = batch.filter(batch.column(0).is_valid())
     ids = batch.column(0).to_numpy(zero_copy_only=False)
     for first, run in slices(texts_of(batch.column(1))):
-        yield ids[first : first + len(run)], Lines(run)
+        if among is None:
+            lines = Lines(run)
+            yield ids[first + lines.text], lines.number, lines
+            continue
+        doc, number, every = _split(ids[first : first + len(run)], run)
+        words, line = hash_words(every)
+        some = np.unique(line[maybe(among, token(words).view(np.int64))])
+        yield doc[some], number[some], Lines([every[i] for i in some])
+
+
+def _split(ids: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Document id, number and bytes of each line."""
+    split = [t.split(b"\n") for t in texts]
+    counts = np.array([len(x) for x in split], dtype=np.int64)
+    number = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(ids, counts), number, [x for t in split for x in t]
 
 
 def read_lines(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, line, key1, key2, n, marks of every line that has words; and, by the same scan, hashed counts
-    of the lines that each word is in."""
+    """doc_id, line, key1, key2, n, marks (empty up to LONG words) of every line that has words; and, by the same
+    scan, hashed counts of the lines that each word is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = Slots(TABLE_BITS)
         names = ["doc_id", "line", "key1", "key2", "n", "marks", "part", "counts"]
         for batch in batches:
-            for ids, lines in _runs(batch):
+            for doc, number, lines in _runs(batch):
                 slots.add(lines.words)
                 full = np.flatnonzero(lines.n)
                 key1, key2 = lines.keys()
@@ -122,8 +152,8 @@ def read_lines(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 marks = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(marks)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[lines.text[full]], pa.int64()),
-                        pa.array(lines.number[full].astype(np.int32)),
+                        pa.array(doc[full], pa.int64()),
+                        pa.array(number[full].astype(np.int32)),
                         pa.array(key1[full].view(np.int64)),
                         pa.array(key2[full].view(np.int64)),
                         pa.array(lines.n[full].astype(np.int32)),
@@ -157,49 +187,51 @@ def _unpacked(blob: bytes) -> np.ndarray:
 
 
 def _first_of(entries: np.ndarray) -> np.ndarray:
-    """Entries by word, length, set and place in the corpus; of each word and set the first."""
-    entries = entries[np.lexsort((entries["line"], entries["doc"], entries["key"], entries["n"], entries["token"]))]
+    """Entries by word, length, set and place in the corpus; of each word and set the first. Key and maps together
+    tell sets apart."""
+    entries = entries[np.lexsort(tuple(entries[k] for k in ("place", "line", "doc", "key", "n", "token")))]
     new = np.ones(len(entries), dtype=bool)
-    new[1:] = (entries["token"][1:] != entries["token"][:-1]) | (entries["key"][1:] != entries["key"][:-1]) | (entries["n"][1:] != entries["n"][:-1])
+    new[1:] = np.logical_or.reduce([entries[k][1:] != entries[k][:-1] for k in ("token", "key", "n", "map1", "map2")])
     return entries[new]
 
 
 def _prefix_blobs(documents: DataFrame, levels, owners: int, among=None) -> DataFrame:
     """owner, entries: prefix words with what the filters need, packed by the owner of the word.
 
-    With `among`, a bit table, only those of the words that may be in it.
+    With `among`, a bit table of tokens, only those of the words that may be in it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            entries = _first_of(np.concatenate(parts)) if parts else np.zeros(0, dtype=_ENTRY)
-            owner = (mix(entries["token"]) % np.uint64(owners)).astype(np.int32)
+            entries = np.concatenate([e for e, _ in parts]) if parts else np.zeros(0, dtype=_ENTRY)
+            owner = np.concatenate([o for _, o in parts]) if parts else np.zeros(0, dtype=np.int32)
             order = np.argsort(owner, kind="stable")
-            entries, owner = entries[order], owner[order]
-            which, at = np.unique(owner, return_index=True)
-            blobs = [_packed(e) for e in np.split(entries, at[1:])] if len(entries) else []
+            which, at = np.unique(owner[order], return_index=True)
+            blobs = [_packed(_first_of(entries[i])) for i in np.split(order, at[1:])] if len(entries) else []
             return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary())], names=["owner", "entries"])
 
         for batch in batches:
-            for ids, lines in _runs(batch):
+            for doc, number, lines in _runs(batch, None if among is None else among.value):
                 level = levels.value[slot(lines.words, TABLE_BITS)]
                 order = lines.order(level)
                 line, level = lines.line[order], level[order]
                 place = np.arange(len(line)) - lines.start[line]
                 n = lines.n[line]
                 # A word whose slot was hit once is in no other line.
-                kept = (place < n + (-PERCENT * n // 100) + 1) & (level > 0)
+                kept = np.flatnonzero((place < n + (-PERCENT * n // 100) + 1) & (level > 0))
+                words = lines.words[order[kept]]
                 if among is not None:
-                    kept &= maybe(among.value, lines.words[order].view(np.int64))
+                    some = maybe(among.value, token(words).view(np.int64))
+                    kept, words = kept[some], words[some]
                 line = line[kept]
                 entries = np.zeros(len(line), dtype=_ENTRY)
-                entries["token"], entries["place"] = lines.words[order][kept], np.minimum(place[kept], 255)
-                entries["key"] = lines.key()[line]
+                entries["token"], entries["place"] = token(words), np.minimum(place[kept], 255)
+                entries["key"] = (lines.key() >> np.uint64(32))[line]
                 entries["map1"], entries["map2"] = (m[line] for m in lines.maps())
-                entries["doc"], entries["line"], entries["n"] = ids[lines.text[line]], lines.number[line], lines.n[line]
-                parts.append(entries)
+                entries["doc"], entries["line"], entries["n"] = doc[line], number[line], lines.n[line]
+                parts.append((entries, (mix(words) % np.uint64(owners)).astype(np.int32)))
                 size += len(entries)
                 if size > 250_000:
                     yield flush()
@@ -214,9 +246,11 @@ def _meetings(e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(i, j) of entries of one word, j shorter or equal, that pass the filters. `e` is by word and length."""
     if not len(e):
         return
-    token, n, maps = e["token"].copy(), e["n"].astype(np.int64), (e["map1"].copy(), e["map2"].copy())
+    word, n, maps = e["token"].copy(), e["n"].astype(np.int64), (e["map1"].copy(), e["map2"].copy())
+    # The larger of two maps folded to the smaller one's size still differs in no more bits than the sets in words.
+    folds = [(0, [maps[0] ^ maps[1]]), (SMALL, maps)]
     place = np.minimum(e["place"], n - 1).astype(np.int64)
-    group = np.concatenate([[0], np.cumsum(token[1:] != token[:-1])])
+    group = np.concatenate([[0], np.cumsum(word[1:] != word[:-1])])
     least = -(-PERCENT * n // 100)
     rank = group * (int(n.max()) + 1)
     low = np.searchsorted(rank + n, rank + least)  # the word's first entry that is long enough
@@ -233,14 +267,18 @@ def _meetings(e: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         overlap = -(-PERCENT * both // (100 + PERCENT))
         good = np.minimum(n[i] - place[i], n[j] - place[j]) >= overlap
         i, j, spare = i[good], j[good], (both - 2 * overlap)[good]
-        good = sum(np.bitwise_count(m[i] ^ m[j]).astype(np.int64) for m in maps) <= spare
-        yield i[good], j[good]
+        for least_words, fold in folds:
+            good = n[j] <= least_words
+            good |= sum(np.bitwise_count(m[i] ^ m[j]).astype(np.int64) for m in fold) <= spare
+            i, j, spare = i[good], j[good], spare[good]
+        yield i, j
         i0 = i1
 
 
 def _candidates(few: int | None, only) -> callable:
-    """Task body: from entries, sorted by owner, to pairs (x, y), y the earlier line; with `few` the earliest
-    ones of each word. One owner's entries are held at a time.
+    """Task body: from entries, sorted by owner, to pairs (x, y), y the earlier line, and whether both are long;
+    with `few` the earliest ones of each word, and the word's token where there are more. One owner's entries are
+    held at a time.
 
     With `only`, a bit table, just the pairs whose x may be among its lines.
     """
@@ -259,7 +297,7 @@ def _candidates(few: int | None, only) -> callable:
 
     def meet(blobs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         e = _first_of(np.concatenate(blobs))
-        doc, line = e["doc"].copy(), e["line"].astype(np.int64)
+        doc, line, n = e["doc"].copy(), e["line"].astype(np.int64), e["n"].copy()
         for i, j in _meetings(e):
             later = (doc[i] > doc[j]) | ((doc[i] == doc[j]) & (line[i] > line[j]))
             x, y = np.where(later, i, j), np.where(later, j, i)
@@ -275,9 +313,11 @@ def _candidates(few: int | None, only) -> callable:
                 kept = at < few
                 more = np.repeat(np.diff(np.append(first, len(x))) > few, np.diff(np.append(first, len(x))))[kept]
                 x, y = x[kept], y[kept]
+            long = np.minimum(n[x], n[y]) > LONG
+            asked_by = pa.array(e["token"][x].astype(np.int64), mask=~more)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[x]), pa.array(line[x].astype(np.int32)), pa.array(doc[y]), pa.array(line[y].astype(np.int32)), pa.array(more)],
-                names=["x_doc", "x_line", "y_doc", "y_line", "more"],
+                [pa.array(doc[x]), pa.array(line[x].astype(np.int32)), pa.array(doc[y]), pa.array(line[y].astype(np.int32)), pa.array(long), asked_by],
+                names=["x_doc", "x_line", "y_doc", "y_line", "long", "more"],
             )
 
     return run
@@ -286,15 +326,15 @@ def _candidates(few: int | None, only) -> callable:
 def candidates(documents: DataFrame, levels, few: int | None = None, only=None, among=None) -> DataFrame:
     owners = 16 * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blobs = _prefix_blobs(documents, levels, owners, among).repartition("owner").sortWithinPartitions("owner")
-    return blobs.mapInArrow(_candidates(few, only), "x_doc long, x_line int, y_doc long, y_line int, more boolean")
+    return blobs.mapInArrow(_candidates(few, only), "x_doc long, x_line int, y_doc long, y_line int, long boolean, more long")
 
 
 def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pairs (x_doc, x_line, y_doc, y_line, more, x_n, y_n, x_marks, y_marks) those that the marks let match."""
+    """Of pairs (x_doc, x_line, y_doc, y_line, x_n, y_n, x_marks, y_marks) those that the marks let match."""
     for batch in batches:
-        n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (5, 6))
+        n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (4, 5))
         differ = np.zeros(len(n), dtype=np.int64)
-        sides = [batch.column(i) for i in (7, 8)]
+        sides = [batch.column(i) for i in (6, 7)]
         sizes = [pc.binary_length(c).to_numpy() for c in sides]
         for a, b in np.unique(np.stack(sizes, axis=1), axis=0).tolist():
             rows = np.flatnonzero((sizes[0] == a) & (sizes[1] == b))
@@ -304,17 +344,18 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             maps = [np.bitwise_xor.reduce(x.reshape(len(rows), -1, width), axis=1) for x in maps]
             differ[rows] = np.bitwise_count(maps[0] ^ maps[1]).sum(axis=1)
         may = 100 * (n + m - differ) >= PERCENT * (n + m + differ)
-        yield pa.RecordBatch.from_arrays(batch.columns[:5], names=batch.schema.names[:5]).filter(pa.array(may))
+        yield pa.RecordBatch.from_arrays(batch.columns[:4], names=batch.schema.names[:4]).filter(pa.array(may))
 
 
 def plausible(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs (x_doc, x_line, y_doc, y_line, more) whose sets may match by their marks, a thirtieth of the words."""
-    marked = lines.select("doc_id", "line", "n", "marks")
+    """The pairs (x_doc, x_line, y_doc, y_line; long) without those of long lines that their marks, a thirtieth of the
+    words, rule out. Each pair comes once if it does in `pairs`."""
+    columns = ["x_doc", "x_line", "y_doc", "y_line"]
+    marked = lines.where(f"n > {LONG}").select("doc_id", "line", "n", "marks")
     named = {s: marked.toDF(f"{s}_doc", f"{s}_line", f"{s}_n", f"{s}_marks") for s in "xy"}
-    joined = pairs.join(named["y"], ["y_doc", "y_line"]).join(named["x"], ["x_doc", "x_line"])
-    columns = ["x_doc", "x_line", "y_doc", "y_line", "more"]
-    kept = joined.select(*columns, "x_n", "y_n", "x_marks", "y_marks").mapInArrow(_plausible, "x_doc long, x_line int, y_doc long, y_line int, more boolean")
-    return kept.distinct()
+    joined = pairs.where("long").join(named["y"], ["y_doc", "y_line"]).join(named["x"], ["x_doc", "x_line"])
+    kept = joined.select(*columns, "x_n", "y_n", "x_marks", "y_marks").mapInArrow(_plausible, "x_doc long, x_line int, y_doc long, y_line int")
+    return pairs.where("not long").select(*columns).unionByName(kept)
 
 
 def _line_ids(batch: pa.RecordBatch) -> np.ndarray:
@@ -322,21 +363,23 @@ def _line_ids(batch: pa.RecordBatch) -> np.ndarray:
     return line_id(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False))
 
 
+def _bits(n: int) -> int:
+    """The size of a bit table of n keys: at least 16 slots a key, up to 2 ** 26 slots."""
+    return min(26, max(16, (16 * n).bit_length()))
+
+
 def line_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, line, words of the lines named in wanted (doc_id, line), by a bit table and an exact join, stored."""
-    table = documents.sparkSession.sparkContext.broadcast(seen_of(wanted, _line_ids))
+    """doc_id, line, words of the lines named in wanted (doc_id, line; stored), by a bit table and an exact join,
+    stored."""
+    table = documents.sparkSession.sparkContext.broadcast(seen_of(wanted, _line_ids, _bits(wanted.count())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(batch.column(0).is_valid())
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for first, texts in slices(texts_of(batch.column(1))):
-                split = [t.split(b"\n") for t in texts]
-                counts = np.array([len(x) for x in split], dtype=np.int64)
-                doc = np.repeat(ids[first : first + len(texts)], counts)
-                number = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+                doc, number, every = _split(ids[first : first + len(texts)], texts)
                 some = np.flatnonzero(maybe(table.value, line_id(doc, number)))
-                every = [x for t in split for x in t]
                 # Every line wanted is a text of one line.
                 lines = Lines([every[i] for i in some])
                 words = [lines.words[a : a + n].tobytes() for a, n in zip(lines.start, lines.n)]
@@ -350,20 +393,6 @@ def line_words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return via_shared_table(found, "line-words")
 
 
-def _prefix_words(levels) -> callable:
-    """The prefix words of the lines of a batch (doc_id, line, words)."""
-
-    def words_of(batch: pa.RecordBatch) -> np.ndarray:
-        found = [np.zeros(0, dtype=np.uint64)]
-        for data in batch.column(2).to_pylist():
-            words = np.frombuffer(data, dtype=np.uint64)
-            order = np.lexsort((words, levels.value[slot(words, TABLE_BITS)]))
-            found.append(words[order[: len(words) + (-PERCENT * len(words) // 100) + 1]])
-        return np.concatenate(found).view(np.int64)
-
-    return words_of
-
-
 def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         match = []
@@ -387,6 +416,21 @@ def matched(pairs: DataFrame, documents: DataFrame) -> DataFrame:
         return via_shared_table(found.where("match").select("x_doc", "x_line").distinct(), "similar-lines", outlive=True)
 
 
+def copied_lines(rows: DataFrame) -> DataFrame:
+    """doc_id, line of the lines (as by read_lines) whose set an earlier line has."""
+    keys = ["key1", "key2", "n"]
+    spark = rows.sparkSession
+    with intermediates(spark):
+        groups = rows.groupBy(*keys).agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("lines"))
+        groups = groups.where("lines > 1").drop("lines")
+        repeated = via_shared_table(rows.select("doc_id", "line", *keys).join(groups, keys), "repeated-lines", outlive=True)
+    # Only in the first document one of them stays.
+    own = repeated.where("doc_id = first_doc")
+    first = own.groupBy(*keys).agg(F.min("line").alias("first_line"))
+    later = own.join(first, keys).where("line != first_line")
+    return repeated.where("doc_id != first_doc").select("doc_id", "line").unionByName(later.select("doc_id", "line"))
+
+
 def removed_lines(documents: DataFrame) -> DataFrame:
     """doc_id, removed: the sorted numbers (from 0) of the lines that match an earlier line.
 
@@ -399,40 +443,32 @@ def removed_lines(documents: DataFrame) -> DataFrame:
     documents, spark = documents.select("doc_id", "text"), documents.sparkSession
     rows, table = read_lines(documents)
     levels = spark.sparkContext.broadcast(rarity(table))
-    keys = ["key1", "key2", "n"]
-    with intermediates(spark):
-        firsts = via_shared_table(rows.groupBy(*keys).agg(F.min(F.struct("doc_id", "line")).alias("first")), "first-lines", outlive=True)
+    copies = copied_lines(rows)
+    pair = ["x_doc", "x_line", "y_doc", "y_line"]
     with intermediates(spark):
         met = via_shared_table(candidates(documents, levels, FEW), "line-candidates")
-        met = met.groupBy("x_doc", "x_line", "y_doc", "y_line").agg(F.bool_or("more").alias("more"))
-        # Lines of which more was cut off are asked again if nothing matches, also if none of theirs is plausible.
-        cut = met.where("more").select("x_doc", "x_line").distinct()
-        cut = via_shared_table(cut, "cut-lines", outlive=True)
-        by_line = plausible(met, rows).groupBy("x_doc", "x_line").agg(F.array_sort(F.collect_list(F.struct("y_doc", "y_line"))).alias("ys"))
+        # Lines of which more was cut off are asked again, by the words it was cut off from, if nothing matches.
+        cut = via_shared_table(met.where("more is not null").select("x_doc", "x_line", "more").distinct(), "cut-lines", outlive=True)
+        once = plausible(via_shared_table(met.select(*pair, "long").distinct(), "line-pairs"), rows)
+        by_line = once.groupBy("x_doc", "x_line").agg(F.array_sort(F.collect_list(F.struct("y_doc", "y_line"))).alias("ys"))
         by_line = via_shared_table(by_line, "line-candidates", outlive=True)
-    # First the earliest candidate of each line, then, of lines it doesn't match, the others kept.
-    pairs = by_line.select("x_doc", "x_line", F.inline(F.slice("ys", 1, 1)))
+    # First the earliest candidates of each line, then, of lines they don't match, all others.
+    pairs = by_line.select("x_doc", "x_line", F.inline(F.slice("ys", 1, FIRST)))
     similar = matched(via_shared_table(pairs, "line-pairs"), documents)
-    rest = by_line.where("size(ys) > 1").join(similar, ["x_doc", "x_line"], "left_anti")
-    pairs = rest.select("x_doc", "x_line", F.inline(F.expr("slice(ys, 2, size(ys))")))
-    pairs = via_shared_table(pairs, "line-pairs")
-    if not pairs.isEmpty():
-        similar = via_shared_table(similar.unionByName(matched(pairs, documents)), "similar-lines")
+    rest = by_line.where(f"size(ys) > {FIRST}").join(similar, ["x_doc", "x_line"], "left_anti")
+    pairs = rest.select("x_doc", "x_line", F.inline(F.expr(f"slice(ys, {FIRST + 1}, size(ys))")))
     open_ = via_shared_table(cut.join(similar, ["x_doc", "x_line"], "left_anti"), "open-lines")
-    if not open_.isEmpty():
-        # None of the candidates kept matched; now all there are.
-        with intermediates(spark):
-            only = spark.sparkContext.broadcast(seen_of(open_, _line_ids))
-            named = open_.select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line"))
-            among = spark.sparkContext.broadcast(seen_of(line_words(documents, named), _prefix_words(levels)))
-            rest = candidates(documents, levels, None, only, among).join(open_, ["x_doc", "x_line"], "left_semi").distinct()
-            pairs = via_shared_table(plausible(rest, rows).drop("more"), "line-pairs", outlive=True)
-        similar = via_shared_table(similar.unionByName(matched(pairs, documents)), "similar-lines")
-
-    gone = firsts.join(
-        similar, (F.col("first.doc_id") == similar["x_doc"]) & (F.col("first.line") == similar["x_line"]), "left"
-    ).select(*keys, "first", F.col("x_doc").isNotNull().alias("similar"))
-    lines = rows.join(gone, keys).where("similar or doc_id != first.doc_id or line != first.line")
+    with intermediates(spark):
+        if asked := open_.count():
+            only = spark.sparkContext.broadcast(seen_of(open_, _line_ids, _bits(asked)))
+            among = seen_of(open_.select("more"), lambda b: b.column(0).to_numpy(zero_copy_only=False), _bits(asked))
+            more = candidates(documents, levels, None, only, spark.sparkContext.broadcast(among))
+            more = via_shared_table(more.join(open_, ["x_doc", "x_line"], "left_semi").select(*pair, "long").distinct(), "line-candidates")
+            pairs = pairs.select(*pair).unionByName(plausible(more, rows)).distinct()
+        pairs = via_shared_table(pairs.select(*pair), "line-pairs", outlive=True)
+    if not pairs.isEmpty():
+        similar = similar.unionByName(matched(pairs, documents))
+    lines = copies.unionByName(similar.toDF("doc_id", "line"))
     return lines.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
@@ -457,7 +493,9 @@ def drop_lines(documents: DataFrame) -> DataFrame:
     name = free_name(rows, "removed_number")
     kept = [c for c in documents.columns if c.lower() != "removed_lines"]
     rows = rows.select(*kept, *([number] if number not in kept else []))
-    joined = rows.join(removed.withColumnRenamed("doc_id", name).withColumnRenamed("removed", "removed_lines"), rows[number] == F.col(name), "left")
+    # The lists grow with the texts, so they are dealt out with them at every size; texts are not sorted for that.
+    lists = removed.withColumnRenamed("doc_id", name).withColumnRenamed("removed", "removed_lines").hint("shuffle_hash")
+    joined = rows.join(lists, rows[number] == F.col(name), "left")
     joined = joined.select(*kept, F.col("removed_lines"))
     at = kept.index("text")
 

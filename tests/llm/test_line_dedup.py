@@ -90,3 +90,34 @@ def test_empty_and_long(spark):
     rows = [(1, long, 0, ""), (2, long + " more", 0, ""), (2, long + " more", 0, ""), (3, "\n\n", 0, "")]
     got = drop_lines(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r.doc_id, len(r.text), r.removed_lines) for r in got)[:2] == [(1, len(long), None), (2, 0, [0])] and len(got) == 4
+
+
+def test_texts_are_dealt_alike_at_every_size(spark):
+    """The lists of removed lines grow with the texts: they are not broadcast while they are small, nor texts sorted."""
+    docs = spark.createDataFrame([(i, f"a line\nof its own {i} words", 0, "") for i in range(20)], SCHEMA)
+    plan = drop_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan
+
+
+def test_entries_of_prefix_words_are_short_and_keep_their_sets_apart():
+    """41 bytes an entry (49 before); sets that share a word and a short key stay apart by their maps."""
+    assert line_dedup._ENTRY.itemsize == 41
+    e = line_dedup.np.zeros(5, dtype=line_dedup._ENTRY)
+    e["token"], e["key"], e["n"], e["doc"], e["map1"] = 7, 9, 50, [4, 2, 3, 1, 5], [1, 1, 3, 1, 3]
+    assert set(line_dedup._first_of(e)["doc"].tolist()) >= {1, 3}
+
+
+def test_lines_around_the_sizes_of_maps(spark):
+    """Lines of 44 to 56 and of 135 to 160 words, some within and some just beyond the bound of each other."""
+    r = random.Random(9)
+    rows = []
+    for size in (44, 48, 49, 56, 135, 144, 145, 160):
+        for group in range(6):
+            base = [f"g{size}_{group}_{i}" for i in range(size)]
+            for k in range(8):
+                line = [w for w in base if r.random() > r.choice([0.02, 0.1, 0.13])]
+                rows.append((len(rows), " ".join(line + [f"x{len(rows)}_{j}" for j in range(r.randrange(size // 8))]), 0, ""))
+    r.shuffle(rows)
+    got = drop_lines(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = brute(rows)
+    assert {x.doc_id: x.removed_lines for x in got if x.removed_lines} == want and 50 < len(want) < len(rows) - 50
