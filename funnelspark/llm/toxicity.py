@@ -185,22 +185,25 @@ def fit_ordinal(
     return free[grades - 1 :], free[0] + np.concatenate([[0], np.cumsum(np.exp(free[1 : grades - 1]))])
 
 
-def severity_grades(counts: DataFrame, words: np.ndarray, grades: int = GRADES) -> dict:
-    """doc_id -> grade from yes-or-no labels: 0 for no, else by the share of telling words, in equal parts.
+def severity_grades(labels: dict, spread: pd.DataFrame, grades: int = GRADES) -> dict:
+    """doc_id -> grade from yes-or-no labels: 0 for no, else by the sum of log(1 + count) of telling words, in equal parts.
 
-    A telling word occurs at least ten times as often, per document, under yes as under no.
+    A telling word is in a column of `spread` (doc_id, word, column, count) that at least ten times as many documents
+    hold, per document, under yes as under no. The sum is what the regression weighs: by the share of telling words,
+    short documents of little evidence would be the worst ones, and no weights could fit that.
     """
-    picked = counts.where(F.col("word").isin(words.view(np.int64).tolist())).select("doc_id", "grade", "word", "count").toPandas()
-    lengths = counts.groupBy("doc_id", "grade").agg(F.sum("count").alias("n")).toPandas()
-    yes, no = max(1, (lengths.grade > 0).sum()), max(1, (lengths.grade == 0).sum())
-    present = picked.groupby(["word", picked.grade > 0]).size().unstack(fill_value=0).reindex(columns=[False, True], fill_value=0)
+    yes = max(1, sum(label > 0 for label in labels.values()))
+    no = max(1, sum(label <= 0 for label in labels.values()))
+    held = spread[["doc_id", "column"]].drop_duplicates()
+    above = held.doc_id.map(labels) > 0
+    present = held.groupby(["column", above]).size().unstack(fill_value=0).reindex(columns=[False, True], fill_value=0)
     telling = present.index[present[True] / yes >= 10 * (present[False] + 0.5) / no]
-    hits = picked[picked.word.isin(telling)].groupby("doc_id")["count"].sum()
-    lengths["share"] = lengths.doc_id.map(hits).fillna(0.0) / lengths.n.clip(lower=1)
-    marked = (lengths.grade > 0) & (lengths.share > 0)
-    cuts = np.quantile(lengths.share[marked], np.arange(1, grades - 1) / (grades - 1)) if marked.any() else []
-    lengths["grade"] = np.where(lengths.grade > 0, 1 + np.searchsorted(cuts, lengths.share, side="right"), 0)
-    return dict(zip(lengths.doc_id, lengths.grade.astype(int)))
+    hits = spread[spread.column.isin(telling)].drop_duplicates(["doc_id", "word"])
+    evidence = np.log1p(hits["count"]).groupby(hits.doc_id).sum()
+    marked = evidence[[labels[d] > 0 for d in evidence.index]]
+    cuts = np.quantile(marked, np.arange(1, grades - 1) / (grades - 1)) if len(marked) else []
+    of = {d: 1 + int(np.searchsorted(cuts, e, side="right")) for d, e in marked.items()}
+    return {d: of.get(d, 1) if label > 0 else 0 for d, label in labels.items()}
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", graded: bool = False, most: int = SAMPLE) -> OrdinalModel:
@@ -217,23 +220,24 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", graded:
         counts.unpersist()
         sample.unpersist()
         return OrdinalModel(words, np.zeros(0), np.full(GRADES - 1, 40.0))
-    if graded:
-        grade_of = {r.doc_id: min(max(int(r.grade), 0), GRADES - 1) for r in counts.select("doc_id", "grade").distinct().collect()}
-    else:
-        grade_of = severity_grades(counts, words)
+    given = {r.doc_id: r.grade for r in counts.select("doc_id", "grade").distinct().collect()}
     stems = choose_stems(counts, sample_stems(sample))
     known = np.union1d(words, stems.word.to_numpy(dtype=np.int64).view(np.uint64))
     table = documents.sparkSession.createDataFrame(pd.DataFrame({"word": known.view(np.int64)}))
     picked = counts.join(F.broadcast(table), "word").toPandas().sort_values(["doc_id", "word"])  # bounded by WORDS and STEM_WORDS
     counts.unpersist()
     sample.unpersist()
-    ids = {d: i for i, d in enumerate(sorted(grade_of))}
-    grade = np.array([grade_of[d] for d in ids])
     # One column for each word chosen by itself, then one for each beginning.
     own = pd.DataFrame({"word": words.view(np.int64), "column": np.arange(len(words))})
     kinds, kind = np.unique(stems.stem.to_numpy(dtype=np.int64), return_inverse=True)
     columns = pd.concat([own, pd.DataFrame({"word": stems.word.to_numpy(dtype=np.int64), "column": len(words) + kind})])
     spread = picked.merge(columns, on="word").sort_values(["doc_id", "word", "column"])
+    if graded:
+        grade_of = {d: min(max(int(g), 0), GRADES - 1) for d, g in given.items()}
+    else:
+        grade_of = severity_grades(given, spread)
+    ids = {d: i for i, d in enumerate(sorted(grade_of))}
+    grade = np.array([grade_of[d] for d in ids])
     row = spread.doc_id.map(ids).to_numpy()
     fitted, thresholds = fit_ordinal(
         row, spread.column.to_numpy(), np.log1p(spread["count"].to_numpy()), grade, len(words) + len(kinds)

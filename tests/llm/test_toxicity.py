@@ -107,3 +107,23 @@ def test_rare_forms_of_a_word_are_told_by_how_they_begin(spark):
     held = {r.doc_id: r.tox_rejected for r in score(docs.where("doc_id >= 600"), train(docs, labels)).collect()}
     assert np.mean([v for i, v in held.items() if toxic[i]]) > 0.95
     assert np.mean([v for i, v in held.items() if not toxic[i]]) < 0.01
+
+
+def test_few_telling_words_tell_in_short_and_long_texts(spark):
+    rng = np.random.default_rng(5)
+    plain = [f"{a}{b}" for a in ("kan", "mol", "ter", "sul", "vin") for b in "abcdefghijklmnopqrst"]
+    telling = ["snarl", "gripe", "scoff", "jeer", "taunt", "sneer", "mock", "hiss"]
+
+    def text(toxic):
+        n = int(rng.choice([30, 100, 300, 900]))
+        return " ".join(rng.permutation([*rng.choice(plain, n), *rng.choice(telling, 2 + n // 60 if toxic else 0)]))
+
+    toxic = [i % 8 == 0 for i in range(2400)]
+    docs = spark.createDataFrame([(i, text(t)) for i, t in enumerate(toxic)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic) if i < 1200], "doc_id long, toxic int")
+    held = {r.doc_id: r for r in score(docs.where("doc_id >= 1200"), train(docs, labels)).collect()}
+    assert np.mean([r.tox_rejected for i, r in held.items() if toxic[i]]) > 0.95
+    assert np.mean([r.tox_rejected for i, r in held.items() if not toxic[i]]) < 0.01
+    # The more telling words, the higher the grade.
+    grades = [[r.tox_severity for i, r in held.items() if toxic[i] and (len(r.text.split()) > 600) == long] for long in (False, True)]
+    assert np.mean(grades[0]) < np.mean(grades[1])
