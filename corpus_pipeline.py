@@ -17,7 +17,7 @@ from funnelspark.llm.mixing import mixed_documents
 from funnelspark.llm.ngram_join import one_of_each
 from funnelspark.llm.packing import pack_documents
 from funnelspark.llm.toxicity import reject, train
-from funnelspark.llm.workers import reachable
+from funnelspark.llm.workers import lean
 from funnelspark.sources.sinks import Files, intermediates, shared_folder
 
 # Text classifiers, set joins and best-fit packing are beyond SQL; the stages are tested one by one
@@ -29,17 +29,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are more likely toxic than not, by a model fitted on the folder's labels, go."""
-    return reject(docs, train(docs, reachable(spark).read.parquet(f"{sf_dir}/labels.parquet")))
+    return reject(docs, train(docs, lean(spark).read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that match an earlier line go, and documents of which no words are left after that."""
+    lean(spark)
     cut = drop_lines(docs)
     return cut.where(r"removed_lines is null or text rlike '[^\\x20\\x09-\\x0D]'").select(*docs.columns)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of the smallest doc_id stays."""
+    lean(spark)
     return one_of_each(docs)
 
 
@@ -52,6 +54,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1,024 tokens; one row per piece of a document."""
     import public_tokenizers
 
+    lean(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -67,7 +70,7 @@ STAGES: list[tuple[str, Stage]] = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the folder's `documents`. What a stage has stored on its way goes once it is written, and
     what it has written once the next one is."""
-    docs = reachable(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = lean(spark).read.parquet(f"{sf_dir}/documents.parquet")
     folder, files = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", Files(spark)
     for i, (_, stage) in enumerate(STAGES):
         out = f"{folder}/{i}"

@@ -33,7 +33,7 @@ FIRST = 3
 #: Most words of a line whose map has 64 bits, and of one for which 128 bits tell enough.
 SMALL, LONG = 48, 144
 #: Pairs of one posting list looked at in one go.
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 _ENTRY = np.dtype(
     [("token", "<u4"), ("key", "<u4"), ("map1", "<u8"), ("map2", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("n", "<u4"), ("place", "u1")]
 )

@@ -223,7 +223,8 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", graded:
     given = {r.doc_id: r.grade for r in counts.select("doc_id", "grade").distinct().collect()}
     stems = choose_stems(counts, sample_stems(sample))
     known = np.union1d(words, stems.word.to_numpy(dtype=np.int64).view(np.uint64))
-    table = documents.sparkSession.createDataFrame(pd.DataFrame({"word": known.view(np.int64)}))
+    # An Arrow table is made into rows by the executors alone; others start Python workers of their own for that, which stay.
+    table = documents.sparkSession.createDataFrame(pa.table({"word": known.view(np.int64)}))
     picked = counts.join(F.broadcast(table), "word").toPandas().sort_values(["doc_id", "word"])  # bounded by WORDS and STEM_WORDS
     counts.unpersist()
     sample.unpersist()

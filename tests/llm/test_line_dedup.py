@@ -121,3 +121,15 @@ def test_lines_around_the_sizes_of_maps(spark):
     got = drop_lines(spark.createDataFrame(rows, SCHEMA)).collect()
     want = brute(rows)
     assert {x.doc_id: x.removed_lines for x in got if x.removed_lines} == want and 50 < len(want) < len(rows) - 50
+
+
+def test_memory_of_lines_that_meet_at_one_word():
+    import tracemalloc
+
+    e = line_dedup.np.zeros(3000, dtype=line_dedup._ENTRY)
+    e["n"], e["line"] = 20, range(3000)
+    tracemalloc.start()
+    met = sum(len(i) for i, _ in line_dedup._meetings(e))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert met == 3000 * 2999 // 2 and peak < 32 << 20

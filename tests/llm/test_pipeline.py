@@ -1,5 +1,6 @@
 """Every stage on its predecessor's rows, beside brute force."""
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -85,3 +86,18 @@ def test_everything_is_packed(kept):
 def test_run_gives_the_last_stage(spark):
     got = corpus_pipeline.run(spark, FOLDER)
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(got.columns) and got.count() > 0
+
+
+@pytest.mark.parametrize("at", [i for i, (name, _) in enumerate(corpus_pipeline.STAGES) if not name.startswith("mixing")])
+def test_batches_of_texts_are_small_when_a_stage_is_run(spark, at):
+    """A stage's last job runs after the stage has returned, so what bounds its batches has to last until then."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.unset(name)
+    try:
+        corpus_pipeline.STAGES[at][1](spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER)
+        sizes = spark.range(0, 3000, 1, 1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"id": [b.num_rows]}) for b in batches), "id long")
+        seen = [r.id for r in sizes.collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sum(seen) == 3000 and max(seen) <= 1024

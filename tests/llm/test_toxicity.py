@@ -127,3 +127,15 @@ def test_few_telling_words_tell_in_short_and_long_texts(spark):
     # The more telling words, the higher the grade.
     grades = [[r.tox_severity for i, r in held.items() if toxic[i] and (len(r.text.split()) > 600) == long] for long in (False, True)]
     assert np.mean(grades[0]) < np.mean(grades[1])
+
+
+def test_training_starts_no_python_workers_for_its_word_table(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    want = train(docs, labels)
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("rows made by Python workers")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    got = train(docs, labels)
+    assert len(got.words) and got.words.tolist() == want.words.tolist() and got.weights == pytest.approx(want.weights)
