@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelspark.sources.readers import PartitionedTable, latest_partition
-from funnelspark.sources.sinks import via_shared_table
+from funnelspark.sources.sinks import intermediates, shuffles_released, via_shared_table
+
+#: Columns that `attach_all` leaves where it has dealt rows out by them: a sum that groups by these too needs no exchange.
+DEALT = ("_ids", "_salt")
 
 
 def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -133,13 +136,14 @@ def heavy_keys(facts: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
 
 
 def attach_spread(
-    facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], take: Mapping[str, str], parts: int | None = None
+    facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], take: Mapping[str, str], parts: int | None = None, dealt: bool = False
 ) -> DataFrame:
     """`attach` for a dimension too large to broadcast, with the rows of heavy keys dealt over many tasks.
 
     Rows of a key that holds more than one row in `parts` get a salt, in proportion to their number, and only
     that key's dimension rows are repeated, once for each salt. Rows with a null key, which match nothing,
     are dealt over all. Other rows are joined as ever. `facts` is read three times and should be stored.
+    With `dealt` the salt stays, as `_salt`, and rows are dealt to tasks by key and salt however the dimension is joined.
     """
     parts = parts or 32 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     heavy = via_shared_table(heavy_keys(facts, list(on), parts), "heavy-keys")  # under `parts` rows
@@ -149,6 +153,8 @@ def attach_spread(
     salted = facts.join(heavy, F.expr(by_fact), "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.expr(f"if({unknown}, {parts}, coalesce(_salts, 1))")).cast("int")
     )
+    if dealt:
+        salted = salted.repartition(*on, "_salt")
     side = dimension.selectExpr(
         *[f"{key} as _dim_{i}" for i, key in enumerate(on.values())],
         *[f"{column} as {name}" for column, name in take.items()],
@@ -157,7 +163,22 @@ def attach_spread(
     side = side.join(heavy, F.expr(by_key), "left").withColumn("_dim_salt", F.explode(F.expr("sequence(0, coalesce(_salts, 1) - 1)")))
     side = side.drop("_salts", *[f"_heavy_{i}" for i, _ in enumerate(on)])
     condition = " and ".join([*[f"`{c}` = _dim_{i}" for i, c in enumerate(on)], "_salt = _dim_salt"])
-    return salted.join(side, F.expr(condition), "left").select(*[F.col(f"`{c}`") for c in facts.columns], *take.values())
+    return salted.join(side, F.expr(condition), "left").select(*[F.col(f"`{c}`") for c in facts.columns], *take.values(), *["_salt"] * dealt)
+
+
+def _attached_to_ids(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
+    """What dimensions know of the ids that occur together in the facts: `_ids`, a struct of them, and what is taken.
+
+    Ids occur together far less often than facts, and these rows hold no measures.
+    """
+    known = facts.select(*dict.fromkeys(c for _, on, _ in steps for c in on)).distinct()
+    ids = known.columns
+    with intermediates(facts.sparkSession):
+        for step in steps:
+            known = attach_spread(via_shared_table(known, "ids"), *step)
+        taken = [c for c in known.columns if c not in ids]
+        # Equal in a struct, nulls find each other.
+        return via_shared_table(known.select(F.struct(*ids).alias("_ids"), *taken), "known", outlive=True)
 
 
 def attach_all(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
@@ -165,21 +186,33 @@ def attach_all(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[str, s
 
     While every dimension fits a broadcast that is one pass over the facts, without a shuffle. One that
     doesn't by Spark's estimate is stored, what is needed of it, to know its true size. If it still
-    doesn't, the facts, which are sums here, are stored, and the large ones attached one after another by
-    `attach_spread`, each on rows that are stored: no task gets a hot key's rows. The small ones come after
-    them, on rows that are not stored again; so of several large ones, one that repeats rows is best given last.
+    doesn't, the facts, which are sums here, are stored once. Several large ones are attached to the ids that occur
+    together in the facts, and what is known of these to the facts, so that the facts are shuffled once however
+    many there are, and before they are widened. `attach_spread` does each step: no task gets a hot key's rows. The small
+    ones come after, on rows that are not stored again. By which columns the facts are dealt then, `DEALT`
+    names; those of them that are there come after the others. What is shuffled on the way is removed step by step.
     """
     order = facts.columns + [name for _, _, take in steps for name in take.values()]
     small, large = [], []
-    for dimension, on, take in steps:
-        if not fits_broadcast(dimension):
-            dimension = via_shared_table(dimension.select(*dict.fromkeys([*on.values(), *take])), "dimension")
-        (small if fits_broadcast(dimension) else large).append((dimension, on, take))
-    for step in large:
-        facts = attach_spread(via_shared_table(facts, "sums"), *step)
+    with shuffles_released(facts.sparkSession):
+        for dimension, on, take in steps:
+            if not fits_broadcast(dimension):
+                dimension = via_shared_table(dimension.select(*dict.fromkeys([*on.values(), *take])), "dimension")
+            (small if fits_broadcast(dimension) else large).append((dimension, on, take))
+        if large:
+            facts = via_shared_table(facts, "sums")
+        if len(large) == 1:
+            facts = attach_spread(facts, *large[0], None, True)
+        elif large:
+            known = _attached_to_ids(facts, large)
+            ids = known.schema["_ids"].dataType.names
+            narrow = facts.select(F.struct(*ids).alias("_ids"), *[c for c in facts.columns if c not in ids])
+            taken = {c: c for c in known.columns if c != "_ids"}
+            spread = attach_spread(narrow, known, {"_ids": "_ids"}, taken, None, True)
+            facts = spread.select("*", *[F.col(f"_ids.{c}").alias(c) for c in ids])
     for step in small:
         facts = attach(facts, *step)
-    return facts.select(*order)
+    return facts.select(*order, *[c for c in DEALT if c in facts.columns])
 
 
 def campaign_dimension(

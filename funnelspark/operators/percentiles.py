@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from funnelspark.sources.sinks import via_shared_table
+from funnelspark.sources.sinks import shuffles_released, via_shared_table
 
 # The eleven probabilities every bucket table is cut at.
 PROBABILITIES = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99)
@@ -113,8 +113,8 @@ def exact_cuts(
     so on until each holds one value, three or four times for prices. Every pass reads the rows and shuffles
     histograms only: a count, least and largest value for each bin that a task has met, so the shuffle does
     not depend on the number of rows or of distinct values, and a hot segment is folded where it is read.
-    The ranges of a segment, eleven to an axis at most, are joined to the rows; while they are under the
-    broadcast threshold no row moves. Rows without a value give nothing; key columns must not be null.
+    A pass's histograms are removed once they are read. The ranges of a segment, eleven to an axis at
+    most, are joined to the rows; while they are under the broadcast threshold no row moves. Rows without a value give nothing; key columns must not be null.
     """
     keys, names = list(keys), list(axes)
     group = [*keys, "axis"]
@@ -132,7 +132,9 @@ def exact_cuts(
     )
     whole = Window.partitionBy(*group)
     classes = classes.withColumn("total", F.sum("n").over(whole)).selectExpr("*", "0L as before", f"array({ranks}) as ranks")
-    ranges = via_shared_table(_narrowed(classes, group, "class"), "ranges")
+    spark = df.sparkSession
+    with shuffles_released(spark):
+        ranges = via_shared_table(_narrowed(classes, group, "class"), "ranges")
     found = [ranges.where("low = high")]
     while not ranges.where("low < high").isEmpty():
         ranges = ranges.where("low < high")
@@ -148,7 +150,8 @@ def exact_cuts(
         # Numbers only, so that tasks fold rows in a hash table; with an array among them Spark would sort all rows.
         counts = binned.groupBy(*group, "_low", "bin").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         counts = counts.join(ranges.select(*group, F.col("low").alias("_low"), "before", "ranks"), [*group, "_low"])
-        ranges = via_shared_table(_narrowed(counts, group, "bin", ["_low"]), "ranges")
+        with shuffles_released(spark):
+            ranges = via_shared_table(_narrowed(counts, group, "bin", ["_low"]), "ranges")
         found.append(ranges.where("low = high"))
     points = reduce(DataFrame.unionByName, found).selectExpr(*group, "low as value", "inline(ranks)")
     lists = points.groupBy(*keys).agg(

@@ -4,7 +4,8 @@ One shuffle carries the whole job while dimensions are under the broadcast thres
 summed per group key; what is known of a campaign is joined among dimensions first, so that the sums
 meet four dimensions at most; CRM rows that agree are attached once, with their number; and the second sum, needed because joins may repeat rows, groups by a
 superset of the keys the rows are already partitioned on. A dimension over the threshold costs one
-shuffle of the sums, over which the rows of a hot campaign, customer or app are spread.
+shuffle of the sums, over which the rows of a hot campaign, customer or app are spread; several large ones, too,
+cost that one, and the second sum needs no other.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import functions as F
 from funnelspark.functions import recode
 from funnelspark.functions.numbers import micros
 from funnelspark.functions.times import hour_plus, in_cohort
-from funnelspark.operators.dimensions import attach_all, campaign_dimension, crm_campaign_v1, crm_campaign_v2, primary_goal
+from funnelspark.operators.dimensions import DEALT, attach_all, campaign_dimension, crm_campaign_v1, crm_campaign_v2, primary_goal
 from funnelspark.operators.funnel import format_hours, funnel_rows, key_names
 from funnelspark.operators.metrics import COHORT_DAYS, METRICS, cohort_value, summands, totals
-from funnelspark.sources.sinks import via_shared_table
+from funnelspark.sources.sinks import shuffles_released, via_shared_table
 
 COHORT_METRICS = ("customer_revenue_d7", "target_events_d7", "target_events_first_d7")
 VIEWTHROUGH_FLAGS = {
@@ -52,18 +53,20 @@ def _report(enriched: DataFrame, keys: Sequence[str], derived: Mapping[str, str]
     """Second sum, per group key and dimension; revenue from micros to units."""
     added = list(summands(exact))
     repeated = [f"{m} * coalesce(_times, 1L) as {m}" for m in added]
-    keyed = enriched.selectExpr(*keys, *[f"{sql} as {name}" for name, sql in derived.items()], *repeated)
+    dealt = [c for c in DEALT if c in enriched.columns]  # sums of one group have these in common
+    keyed = enriched.selectExpr(*dealt, *keys, *[f"{sql} as {name}" for name, sql in derived.items()], *repeated)
     if not exact:
         sums = [F.expr(f"sum({micros(m) if m == 'customer_revenue_d7' else m})").alias(m) for m in METRICS]
-        return format_hours(keyed.groupBy(*keys, *derived).agg(*sums))
-    sums = keyed.groupBy(*keys, *derived).agg(*[F.sum(m).alias(m) for m in added])
+        return format_hours(keyed.groupBy(*dealt, *keys, *derived).agg(*sums).drop(*dealt))
+    sums = keyed.groupBy(*dealt, *keys, *derived).agg(*[F.sum(m).alias(m) for m in added])
     put_together = {m: micros(sql) if m == "customer_revenue_d7" else sql for m, sql in totals(exact).items()}
     return format_hours(sums.selectExpr(*keys, *derived, *[f"{sql} as {m}" for m, sql in put_together.items()]))
 
 
 def _stored_campaigns(*arguments) -> DataFrame:
     """Written first: Spark then knows its size when it plans the join, which a chain of joins hides."""
-    return via_shared_table(campaign_dimension(*arguments), "campaigns")
+    with shuffles_released(arguments[0].sparkSession):
+        return via_shared_table(campaign_dimension(*arguments), "campaigns")
 
 
 def _folded(crm: DataFrame) -> DataFrame:

@@ -297,6 +297,27 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
         spark._jvm.System.gc()
 
 
+#: Spark's own setting for it.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of every job run inside go as soon as it has ended, not when the driver finds them unused.
+
+    For steps that store a result and go on from there: a result that is run twice inside is computed twice.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def via_shared_table(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
     """Write a result to the shared folder and read it back. This runs a job.
 

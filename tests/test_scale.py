@@ -1,6 +1,9 @@
 """What a single task gets does not grow with the input."""
 
 import math
+import os
+import re
+import time
 from fractions import Fraction
 from functools import reduce
 
@@ -9,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.functions.numbers import exact_sum
-from funnelspark.operators import metrics, percentiles
+from funnelspark.operators import dimensions, metrics, percentiles
 from funnelspark.plans import health
 from funnelspark.sources import SCHEMAS, sinks
 from workload import tables
@@ -112,3 +115,51 @@ def test_repeated_crm_rows_are_attached_once(spark, monkeypatch):
         assert {r.campaign_sales_region: r.impressions for r in report} == {"EMEA": 200, "NA": 1}
         assert {r.campaign_sales_region: round(r.internal_spend, 6) for r in report} == {"EMEA": 200.0002, "NA": 1.000001}
         assert met[-1].count() == 2
+
+
+def shuffle_files(spark):
+    places = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {name for top in places for _, _, names in os.walk(str(top)) for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffle_files_of_stored_results_go_at_once(spark):
+    rows = spark.range(0, 20_000, 1, 4).groupBy((F.col("id") % 5000).alias("k")).count()
+    before = shuffle_files(spark)
+    with sinks.shuffles_released(spark):
+        stored = sinks.via_shared_table(rows, "released")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and stored.count() == 5000
+    assert spark.conf.get(sinks._CLEANUP) == "false"
+
+
+def test_several_large_dimensions_move_the_facts_once(spark, monkeypatch):
+    """Three of them, no broadcast: sums are stored once, dealt out once, and summed again where they are. Null ids,
+    repeated dimension rows, and a pair of ids that holds half of the facts."""
+    facts = spark.range(0, 20_000, 1, 4).selectExpr("if(id % 2 = 0, 7, if(id % 11 = 0, null, id % 50)) as a", "if(id % 2 = 0, 3, if(id % 13 = 0, null, id % 30)) as b", "id % 4 as c", "id as x", "1L as n")
+    sides = [spark.range(45).selectExpr("id as key", f"if(id % 9 = 0, null, concat('{name}', id)) as named") for name in "abc"]
+    sides[1] = sides[1].unionByName(sides[1].where("key = 3")).unionByName(sides[1].where("key = 5").withColumn("named", F.lit("other")))
+    steps = [(side, {on: "key"}, {"named": f"{on}_name"}) for on, side in zip("abc", sides)]
+    keys = ["a", "b", "c", "x", "a_name", "b_name", "c_name"]
+    plain = reduce(lambda df, step: dimensions.attach(df, *step), steps, facts)
+    want = sorted(map(str, plain.groupBy(*keys).agg(F.sum("n").alias("n")).collect()))
+    stored = []
+    real = dimensions.via_shared_table
+    monkeypatch.setattr(dimensions, "via_shared_table", lambda df, name, **more: stored.append(name) or real(df, name, **more))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = dimensions.attach_all(facts, steps)
+        dealt = [c for c in dimensions.DEALT if c in joined.columns]
+        sums = joined.groupBy(*dealt, *keys).agg(F.sum("n").alias("n")).drop(*dealt)
+        assert stored.count("sums") == 1
+        assert len(re.findall(r"Exchange hashpartitioning", plan(sums))) == 2  # of facts, and of what is known of their ids
+        assert sorted(map(str, sums.collect())) == want
+        tasks = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert len(tasks) == 8 and tasks[-1] <= 2 * tasks[4]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
