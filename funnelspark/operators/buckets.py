@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions.text import quoted
 from funnelspark.operators.percentiles import exact_cuts, sketch_cuts
+from funnelspark.sources.sinks import via_shared_table
 
 # Names of the twelve intervals between the cut points.
 LABELS = (
@@ -103,51 +104,42 @@ def _interval_index(value: str, edge: Callable[[int], str], first: int, last: in
     return f"case when {value} >= {edge(middle)} then {upper} else {lower} end"
 
 
-def assign_bucket(
-    facts: DataFrame,
-    segments: DataFrame,
-    keys: Mapping[str, str],
-    axes: Mapping[str, tuple[str, float]],
-) -> DataFrame:
-    """Inner join of rows to their grid cell: adds low, high and name per axis.
+def _edge(axis: str, factor: float) -> Callable[[int], str]:
+    return lambda i: f"get(_lows_{axis}, {i}) * {float(factor)!r}D" if factor != 1 else f"get(_lows_{axis}, {i})"
 
-    `keys` maps a segment key to the row's expression for it. `axes` maps an axis to the row's
-    value and the factor its edges are scaled by before the comparison (the factor goes on the
-    edge, not the value: the two round differently). Rows whose segment is not trained, or with
-    a null, NaN or below-range value, are dropped.
 
-    The small side has one row per segment, not one per cell, and brings one array of low edges per
-    axis (a high edge is the next low one), in which the cell is looked up. Beyond the broadcast threshold Spark sort-merges and splits hot segments at
-    run time.
-    """
-    n = len(LABELS)
+def _located(
+    facts: DataFrame, segments: DataFrame, keys: Mapping[str, str], axes: Mapping[str, tuple[str, float]], take: Sequence[str]
+) -> DataFrame:
+    """Rows that have a cell, with its place on each axis and some columns of the small side."""
     small = segments.selectExpr(
         *[f"{k} as _key_{k}" for k in keys],
         *[f"{a}.low as _lows_{a}" for a in axes],
+        *[c for c in take if not c.startswith("_lows_")],
     )
     probe = facts.selectExpr(
         "*",
         *[f"{sql} as _probe_{k}" for k, sql in keys.items()],
         *[f"cast({sql} as double) as _value_{a}" for a, (sql, _) in axes.items()],
     )
-
-    def edge(axis: str) -> Callable[[int], str]:
-        factor = float(axes[axis][1])
-        return lambda i: f"get(_lows_{axis}, {i}) * {factor!r}D" if factor != 1 else f"get(_lows_{axis}, {i})"
-
+    edges = {a: _edge(a, factor) for a, (_, factor) in axes.items()}
     same_segment = " and ".join(f"_probe_{k} = _key_{k}" for k in keys)
     # A row has a cell when it reaches the first edge or the first cut, whichever is lower.
     # Null fails every comparison; NaN, which Spark sorts above all, fails the one with Infinity.
     has_cell = " and ".join(
-        f"_value_{a} <= double('Infinity') and _value_{a} >= least({edge(a)(0)}, {edge(a)(1)})" for a in axes
+        f"_value_{a} <= double('Infinity') and _value_{a} >= least({edge(0)}, {edge(1)})" for a, edge in edges.items()
     )
-    located = probe.join(small, F.expr(f"{same_segment} and {has_cell}")).selectExpr(
+    return probe.join(small, F.expr(f"{same_segment} and {has_cell}")).selectExpr(
         *[f"`{c}`" for c in facts.columns],
-        *[f"_lows_{a}" for a in axes],
-        *[f"{_interval_index(f'_value_{a}', edge(a), 0, n - 1)} as _index_{a}" for a in axes],
+        *take,
+        *[f"{_interval_index(f'_value_{a}', edge, 0, len(LABELS) - 1)} as _index_{a}" for a, edge in edges.items()],
     )
+
+
+def _named(located: DataFrame, columns: Sequence[str], axes: Sequence[str]) -> DataFrame:
+    """Low, high and name per axis from the place and the low edges of the segment."""
     return located.selectExpr(
-        *[f"`{c}`" for c in facts.columns],
+        *[f"`{c}`" for c in columns],
         *[
             sql
             for a in axes
@@ -158,3 +150,45 @@ def assign_bucket(
             )
         ],
     )
+
+
+def assign_bucket(
+    facts: DataFrame,
+    segments: DataFrame,
+    keys: Mapping[str, str],
+    axes: Mapping[str, tuple[str, float]],
+) -> DataFrame:
+    """Inner join of rows to their grid cell: adds low, high and name per axis.
+
+    `keys` maps a segment key to the row's expression for it. `axes` maps an axis to the row's
+    value and the factor its edges are scaled by before the comparison (the factor goes on the
+    edge, not the value: the two round differently). Rows whose segment is not trained, or with
+    a null, NaN or below-range value, are dropped.
+
+    The small side has one row per segment, not one per cell, and brings one array of low edges per
+    axis (a high edge is the next low one), in which the cell is looked up. Beyond the broadcast threshold Spark sort-merges and splits hot segments at
+    run time.
+    """
+    return _named(_located(facts, segments, keys, axes, [f"_lows_{a}" for a in axes]), facts.columns, list(axes))
+
+
+def numbered_segments(segments: DataFrame) -> DataFrame:
+    """Segments with a number of their own, `_segment`, for `locate_bucket` and `name_bucket`; stored, so that it stays."""
+    return via_shared_table(segments.withColumn("_segment", F.monotonically_increasing_id()), "segments")
+
+
+def locate_bucket(
+    facts: DataFrame,
+    segments: DataFrame,
+    keys: Mapping[str, str],
+    axes: Mapping[str, tuple[str, float]],
+) -> DataFrame:
+    """`assign_bucket` short of the names and edges: adds `_segment`, and `_index_...` per axis, in place of nine columns."""
+    return _located(facts, segments, keys, axes, ["_segment"])
+
+
+def name_bucket(located: DataFrame, segments: DataFrame, axes: Sequence[str]) -> DataFrame:
+    """Low, high and name per axis in place of what `locate_bucket` has added; null where that is null."""
+    kept = [c for c in located.columns if c not in ("_segment", *[f"_index_{a}" for a in axes])]
+    small = segments.selectExpr("_segment as _numbered", *[f"{a}.low as _lows_{a}" for a in axes])
+    return _named(located.join(small, F.expr("_segment = _numbered"), "left"), kept, axes)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,14 +136,15 @@ def heavy_keys(facts: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
 
 
 def attach_spread(
-    facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], take: Mapping[str, str], parts: int | None = None, dealt: bool = False
+    facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], take: Mapping[str, str], parts: int | None = None, dealt: Sequence[str] = ()
 ) -> DataFrame:
     """`attach` for a dimension too large to broadcast, with the rows of heavy keys dealt over many tasks.
 
     Rows of a key that holds more than one row in `parts` get a salt, in proportion to their number, and only
     that key's dimension rows are repeated, once for each salt. Rows with a null key, which match nothing,
     are dealt over all. Other rows are joined as ever. `facts` is read three times and should be stored.
-    With `dealt` the salt stays, as `_salt`, and rows are dealt to tasks by key and salt however the dimension is joined.
+    With `dealt`, columns, the salt is taken from these alone and stays, as `_salt`, and rows are dealt to tasks by
+    key and salt however the dimension is joined.
     """
     parts = parts or 32 * int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     heavy = via_shared_table(heavy_keys(facts, list(on), parts), "heavy-keys")  # under `parts` rows
@@ -151,7 +152,7 @@ def attach_spread(
     by_fact = " and ".join(f"`{c}` = _heavy_{i}" for i, c in enumerate(on))
     unknown = " or ".join(f"`{c}` is null" for c in on)
     salted = facts.join(heavy, F.expr(by_fact), "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.expr(f"if({unknown}, {parts}, coalesce(_salts, 1))")).cast("int")
+        "_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in dealt or facts.columns]), F.expr(f"if({unknown}, {parts}, coalesce(_salts, 1))")).cast("int")
     )
     if dealt:
         salted = salted.repartition(*on, "_salt")
@@ -163,7 +164,7 @@ def attach_spread(
     side = side.join(heavy, F.expr(by_key), "left").withColumn("_dim_salt", F.explode(F.expr("sequence(0, coalesce(_salts, 1) - 1)")))
     side = side.drop("_salts", *[f"_heavy_{i}" for i, _ in enumerate(on)])
     condition = " and ".join([*[f"`{c}` = _dim_{i}" for i, c in enumerate(on)], "_salt = _dim_salt"])
-    return salted.join(side, F.expr(condition), "left").select(*[F.col(f"`{c}`") for c in facts.columns], *take.values(), *["_salt"] * dealt)
+    return salted.join(side, F.expr(condition), "left").select(*[F.col(f"`{c}`") for c in facts.columns], *take.values(), *["_salt"] * bool(dealt))
 
 
 def _attached_to_ids(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
@@ -181,7 +182,11 @@ def _attached_to_ids(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[
         return via_shared_table(known.select(F.struct(*ids).alias("_ids"), *taken), "known", outlive=True)
 
 
-def attach_all(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
+def attach_all(
+    facts: DataFrame,
+    steps: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]],
+    narrow: Callable[[], tuple[DataFrame, Sequence[str], Callable[[DataFrame], DataFrame]]] | None = None,
+) -> DataFrame:
     """(dimension, on, take) after (dimension, on, take), as by `attach`.
 
     While every dimension fits a broadcast that is one pass over the facts, without a shuffle. One that
@@ -191,6 +196,9 @@ def attach_all(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[str, s
     many there are, and before they are widened. `attach_spread` does each step: no task gets a hot key's rows. The small
     ones come after, on rows that are not stored again. By which columns the facts are dealt then, `DEALT`
     names; those of them that are there come after the others. What is shuffled on the way is removed step by step.
+
+    `narrow` gives rows that stand for the facts where these have to be stored and shuffled, the columns they are spread
+    by, and a function that adds the columns they lack. Rows that a later sum puts together must agree in the former.
     """
     order = facts.columns + [name for _, _, take in steps for name in take.values()]
     small, large = [], []
@@ -200,16 +208,17 @@ def attach_all(facts: DataFrame, steps: Sequence[tuple[DataFrame, Mapping[str, s
                 dimension = via_shared_table(dimension.select(*dict.fromkeys([*on.values(), *take])), "dimension")
             (small if fits_broadcast(dimension) else large).append((dimension, on, take))
         if large:
-            facts = via_shared_table(facts, "sums")
-        if len(large) == 1:
-            facts = attach_spread(facts, *large[0], None, True)
-        elif large:
-            known = _attached_to_ids(facts, large)
-            ids = known.schema["_ids"].dataType.names
-            narrow = facts.select(F.struct(*ids).alias("_ids"), *[c for c in facts.columns if c not in ids])
-            taken = {c: c for c in known.columns if c != "_ids"}
-            spread = attach_spread(narrow, known, {"_ids": "_ids"}, taken, None, True)
-            facts = spread.select("*", *[F.col(f"_ids.{c}").alias(c) for c in ids])
+            rows, by, widened = narrow() if narrow else (facts, facts.columns, lambda df: df)
+            rows = via_shared_table(rows, "sums")
+            if len(large) == 1:
+                facts = widened(attach_spread(rows, *large[0], None, by))
+            else:
+                known = _attached_to_ids(rows, large)
+                ids = known.schema["_ids"].dataType.names
+                rows = rows.select(F.struct(*ids).alias("_ids"), *[c for c in rows.columns if c not in ids])
+                taken = {c: c for c in known.columns if c != "_ids"}
+                spread = attach_spread(rows, known, {"_ids": "_ids"}, taken, None, [c for c in rows.columns if c in (*by, "_ids")])
+                facts = widened(spread).select("*", *[F.col(f"_ids.{c}").alias(c) for c in ids])
     for step in small:
         facts = attach(facts, *step)
     return facts.select(*order, *[c for c in DEALT if c in facts.columns])

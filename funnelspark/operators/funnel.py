@@ -17,7 +17,7 @@ from funnelspark.functions import chains, recode
 from funnelspark.functions.numbers import ieee_div, micros
 from funnelspark.functions.text import quoted
 from funnelspark.functions.times import hour_ms, iso_text
-from funnelspark.operators.buckets import assign_bucket
+from funnelspark.operators.buckets import assign_bucket, locate_bucket
 from funnelspark.operators.dimensions import campaign_targets
 from funnelspark.operators.metrics import METRICS, predicted_terms, revenue_micros, target_event_terms
 from funnelspark.sources.readers import scan_hours
@@ -54,6 +54,8 @@ BUCKET_KEYS = {
     "cpm_percentile_high": "double",
     "cpm_percentile": "string",
 }
+#: What stands for BUCKET_KEYS in rows that are located and not named.
+BUCKET_PLACES = {"_segment": "bigint", **{f"_index_{a}": "int" for a in BUCKET_AXES}}
 _V1_ONLY = ("exchange_group", "country_group", "ad_group_id")
 _SEGMENT = ("platform", "model_type", "exchange_group", "ad_format_group")
 
@@ -361,11 +363,13 @@ def funnel_rows(
     end: str,
     variant: str,
     segments: DataFrame | None = None,
+    named: bool = True,
 ) -> DataFrame:
     """Every event of [start, end) as one row: source, group keys, measures; not aggregated.
 
     v1 also places matched events in their bucket cell and drops those without one; unmatched
-    events carry null buckets. The lookup runs once, over the union of the matched sources.
+    events carry null buckets. The lookup runs once, over the union of the matched sources. Rows that
+    are not `named` have BUCKET_PLACES for BUCKET_KEYS, until `name_bucket`; `segments` are numbered then.
     """
 
     def scan(name: str) -> DataFrame:
@@ -379,7 +383,7 @@ def funnel_rows(
         return rows.select("source", *key_names(variant), *METRICS)
     if segments is None:
         raise ValueError("v1 needs the trained segments")
-    matched = assign_bucket(
+    matched = (assign_bucket if named else locate_bucket)(
         _recoded(matched),
         segments,
         {k: f"_seg_{k}" for k in _SEGMENT},
@@ -390,8 +394,9 @@ def funnel_rows(
             "cpm": ("_val_cpm", 1e6),
         },
     )
-    unmatched = _recoded(unmatched).selectExpr("*", *[f"cast(null as {t}) as {k}" for k, t in BUCKET_KEYS.items()])
-    columns = ["source", *key_names(variant), *METRICS]
+    cell = BUCKET_KEYS if named else BUCKET_PLACES
+    unmatched = _recoded(unmatched).selectExpr("*", *[f"cast(null as {t}) as {k}" for k, t in cell.items()])
+    columns = ["source", *KEYS, *cell, *METRICS]
     return stated_once(union_branches([matched.select(*columns), unmatched.select(*columns)]))
 
 

@@ -10,7 +10,7 @@ cost that one, and the second sum needs no other.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from funnelspark.functions import recode
 from funnelspark.functions.numbers import micros
 from funnelspark.functions.times import hour_plus, in_cohort
+from funnelspark.operators.buckets import name_bucket, numbered_segments
 from funnelspark.operators.dimensions import DEALT, attach_all, campaign_dimension, crm_campaign_v1, crm_campaign_v2, primary_goal
-from funnelspark.operators.funnel import format_hours, funnel_rows, key_names
+from funnelspark.operators.funnel import BUCKET_AXES, BUCKET_PLACES, KEYS, format_hours, funnel_rows, key_names
 from funnelspark.operators.metrics import COHORT_DAYS, METRICS, cohort_value, summands, totals
 from funnelspark.sources.sinks import shuffles_released, via_shared_table
 
@@ -40,6 +41,12 @@ def _gate_cohort(rows: DataFrame) -> DataFrame:
     return replaced(rows, {m: cohort_value(m, inside) for m in COHORT_METRICS})
 
 
+def _edges_in_units(rows: DataFrame) -> DataFrame:
+    """Edges of revenue models are stored in millionths and reported in units."""
+    edges = ("convx_percentile_low", "convx_percentile_high")
+    return replaced(rows, {e: f"case when model_type = 'revenue' then {micros(e)} else {e} end" for e in edges})
+
+
 _BY_CAMPAIGN = {"campaign_id": "campaign_id"}
 VIEWTHROUGH = recode.viewthrough_enabled("creative_type", "ad_format", *VIEWTHROUGH_FLAGS.values())
 
@@ -99,12 +106,15 @@ def platform_health_v1(
     of an hour agree to the last bit.
     """
     start, end = _hours(hour, until)
-    rows = _gate_cohort(funnel_rows(tables, start, end, "v1", segments))
     keys = key_names("v1")
-    # Edges of revenue models are stored in millionths and reported in units.
-    edges = ("convx_percentile_low", "convx_percentile_high")
-    rows = replaced(rows, {e: f"case when model_type = 'revenue' then {micros(e)} else {e} end" for e in edges})
-    f = _first_sums(rows, keys, exact)
+    f = _first_sums(_edges_in_units(_gate_cohort(funnel_rows(tables, start, end, "v1", segments))), keys, exact)
+
+    def located() -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
+        """The same sums by place on the axes, and the names and edges when the sums have been moved."""
+        numbered = numbered_segments(segments)
+        rows = _gate_cohort(funnel_rows(tables, start, end, "v1", numbered, named=False))
+        sums = _first_sums(rows, [*KEYS, *BUCKET_PLACES], exact)
+        return sums, list(KEYS), lambda df: _edges_in_units(name_bucket(df, numbered, BUCKET_AXES))
 
     crm = _folded(crm_campaign_v1(tables["crm_campaigns"], tables["campaigns"], as_of))
     campaign = _stored_campaigns(
@@ -126,6 +136,7 @@ def platform_health_v1(
             (tables["ad_groups"], {"ad_group_id": "id"}, ad_group),
             (campaign, _BY_CAMPAIGN, {c: c for c in campaign.columns if c not in ("campaign_id", "_tracker_id")}),
         ],
+        located,
     )
     report = _report(
         f,

@@ -398,3 +398,43 @@ def test_flatten_records(spark):
     flat = flatten_records(df)
     assert flat.columns == ["a", "b__x", "b__y__z", "c"]
     assert tuple(flat.first())[:3] == (1, 2, 3)
+
+
+def test_events_of_segments_with_equal_edges_are_one_row(spark, tables, segments):
+    """App events of two segments whose report keys agree, dimensions broadcast and not: sums by place are put together."""
+    event = {"event_timestamp": AT, "install__at": AT, "for_reporting": True, "is_uncredited": False, "dt": HOUR, "customer_revenue_micros": 5_000_000}
+    origin = bid("install__ad_click__impression__", bid_request__exchange="SMALL_ONE")
+    events = [{**event, **origin, **bid("attribution_event__click__impression__", bid_request__exchange=x)} for x in ("UNITY", "VUNGLE", "VUNGLE")]
+    given = make_tables(spark, matched_app_events=events)
+    given = {**tables, **{n: given[n] for n in given if "for_reporting" in given[n].columns or "has_prior_click" in given[n].columns or n == "impressions"}}
+    both = segments.unionByName(segments.withColumn("exchange_group", F.lit("VUNGLE")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    found = []
+    try:
+        for threshold in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            for exact in (False, True):
+                found.append(platform_health_v1(given, both, HOUR, as_of=AS_OF, exact=exact).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert all(rows == found[0] for rows in found)
+    assert [(r.customer_revenue_d7, r.convx_percentile, r.convx_percentile_low, r.cpm_percentile_high) for r in found[0]] == [(30.0, "30-40", 3.0, 3.5)]
+
+
+def test_sums_are_stored_and_moved_without_names_of_buckets(spark, stored, monkeypatch):
+    kept = {}
+    real = dimensions.via_shared_table
+
+    def keep(df, name, **more):
+        kept[name] = real(df, name, **more)
+        return kept[name]
+
+    monkeypatch.setattr(dimensions, "via_shared_table", keep)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        platform_health_v1(stored, stored["segments"], HOUR, as_of=AS_OF)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert set(funnel.BUCKET_PLACES) < set(kept["sums"].columns) and not set(funnel.BUCKET_KEYS) & set(kept["sums"].columns)
+    assert not set(METRICS) & set(kept["known"].columns)
